@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, licenses, near_dup, packing, secret_scan, toxicity
+from . import ann, cdc_dedup, decontam, licenses, near_dup, packing, quality, secret_scan, suffix_dedup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,14 +27,30 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cdc_dedup.report(_table(spark, sf_dir, "documents"))
+
+
+def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(_table(spark, sf_dir, "embeddings"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.select(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_table(spark, sf_dir, "documents"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup(_table(spark, sf_dir, "documents"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find_hits(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
