@@ -55,9 +55,12 @@ def features(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def _distinct(d: np.ndarray, f: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    key = np.sort((d << BITS) | f)
+    key = d.astype(np.int64)
+    key <<= BITS
+    key |= f
+    key.sort()
     key = key[np.concatenate([[True], key[1:] != key[:-1]])] if len(key) else key
-    return key >> BITS, key & ((1 << BITS) - 1)
+    return (key >> BITS).astype(np.int32), (key & ((1 << BITS) - 1)).astype(np.int32)
 
 
 def mine(d: np.ndarray, f: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -222,20 +225,23 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.nd
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(at, hi - at), b.column(1).slice(at, hi - at), lists, pa.array(n_words)], ["id", "toxic", "f", "n_words"])
                 at = hi
 
-    got = texts.mapInArrow(run, "id long, toxic int, f array<int>, n_words long").toArrow().sort_by([("id", "ascending")])
+    got = texts.mapInArrow(run, "id long, toxic int, f array<int>, n_words long").toArrow()
     toxic = got["toxic"].to_numpy().astype(np.int64)
     if len(toxic) == 0 or toxic.min() == toxic.max():
         return np.zeros(0, np.int64), np.zeros(0), -np.inf
+    n_words = got["n_words"].to_numpy()
     lists = got["f"].combine_chunks()
-    f = lists.flatten().to_numpy().astype(np.int64)
-    d = np.repeat(np.arange(len(toxic)), lists.value_lengths().to_numpy())
+    del got
+    f = lists.flatten().to_numpy()
+    d = np.repeat(np.arange(len(toxic), dtype=np.int32), lists.value_lengths().to_numpy())
     du, fu = _distinct(d, f)
     feats, z = mine(du, fu, toxic)
     voters = Voters(feats, z)
-    masks = voters.masks(d, f, got["n_words"].to_numpy())
+    masks = voters.masks(d, f, n_words)
+    del d, f, lists
     gold = np.array([np.bincount(masks[toxic == y], minlength=1 << VOTERS) for y in (0, 1)])
     _, posterior = label_model(_patterns(docs, voters), gold)
-    place = np.full(1 << BITS, -1, np.int64)
+    place = np.full(1 << BITS, -1, np.int32)
     place[feats] = np.arange(len(feats))
     known = place[fu] >= 0
     w, bias = fit_linear(du[known], place[fu[known]], len(toxic), len(feats), posterior[toxic, masks])
