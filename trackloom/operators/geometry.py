@@ -63,10 +63,10 @@ def require_samples(fit: DataFrame, least: int = 2) -> DataFrame:
 
 def apply_rigid(df: DataFrame, fit: DataFrame, *, x: str, y: str, keys: Sequence[str] = ()) -> DataFrame:
     """``df`` moved by the transform in ``fit``: its one row, or its row of the same key."""
-    one = fit.select(*keys, "theta_rad", "tx", "ty")
+    one = fit.select(*keys, F.col("theta_rad").alias("_theta"), F.col("tx").alias("_tx"), F.col("ty").alias("_ty"))
     joined = df.join(one, list(keys)) if keys else df.crossJoin(F.broadcast(one))  # one row of parameters
-    rx, ry = rotate(F.col(x), F.col(y), F.col("theta_rad"))
-    return joined.withColumns({x: rx + F.col("tx"), y: ry + F.col("ty")}).drop("theta_rad", "tx", "ty")
+    rx, ry = rotate(F.col(x), F.col(y), F.col("_theta"))
+    return joined.withColumns({x: rx + F.col("_tx"), y: ry + F.col("_ty")}).drop("_theta", "_tx", "_ty")
 
 
 # WGS84 and the UTM grid.

@@ -25,7 +25,9 @@ def fresh(df: DataFrame, start_ns: int, time: str = "pi_time_ns") -> DataFrame:
 
 def carry(df: DataFrame, values: Sequence[str], *, keys: Sequence[str], order: str) -> DataFrame:
     """Streaming form of carrying the latest value: the state of a key is one value per column."""
-    state_schema = ", ".join(f"`s_{v}` {dict(df.dtypes)[v]}" for v in values)
+    kinds = dict(df.dtypes)
+    state_schema = ", ".join(f"`s_{v}` {kinds[v]}" for v in values)
+    whole = [kinds[v] in ("tinyint", "smallint", "int", "bigint") for v in values]
 
     def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         last = list(state.get) if state.exists else [None] * len(values)
@@ -33,7 +35,7 @@ def carry(df: DataFrame, values: Sequence[str], *, keys: Sequence[str], order: s
         for i, v in enumerate(values):
             filled, out = last[i], []
             for x in rows[v].tolist():
-                filled = filled if x is None or x != x else x
+                filled = filled if x is None or x != x else int(x) if whole[i] else x  # whole numbers beside nulls arrive as floats
                 out.append(filled)
             rows[v], last[i] = pd.Series(out, index=rows.index, dtype=object), filled
         state.update(tuple(last))
