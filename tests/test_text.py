@@ -122,3 +122,27 @@ def test_gate(spark):
     got = {r.k: (r.opened, r.passed) for r in status.gate(polls, keys=["k"], time="t", ready="ready", timeout_ns=10).collect()}
     assert got == {"a": (5, True), "b": (None, False), "c": (None, False)}
     assert status.gate(polls, keys=["k"], time="t", ready="ready", timeout_ns=None).where("passed").count() == 2
+
+
+def test_helper_documents(spark):
+    rows = [(0, '{"gps_time_ready": true, "summary": "fine"}', ""), (1, "out", " bad "), (0, "[1]", ""), (0, "{", ""), (0, "", ""), (2, "", "")]
+    df = status.timing_snapshot(status.helper_document(spark.createDataFrame(rows, "rc int, out string, err string"), returncode="rc", stdout="out", stderr="err"))
+    got = [(r.ok, r.gps_time_ready, r.summary, r.error) for r in df.collect()]
+    off = "status unavailable"
+    assert got == [(True, True, "fine", None), (False, False, off, "bad"), (False, False, off, "not an object"), (False, False, off, "invalid JSON"), (True, False, off, None), (False, False, off, "exit code 2")]
+
+
+def test_sensor_facts_and_preflight(spark):
+    clock = spark.createDataFrame([(1, True), (2, True), (3, False)], "k int, ready boolean")
+    lock = '{"timestamp_mode":"TIME_FROM_PTP_1588","ptp":{"port_data_set":{"port_state":"SLAVE"},"time_status_np":{"gm_present":true}}}'
+    sensor = spark.createDataFrame([(1, lock, '{"prod_line":"M","serial_no":"7","image_rev":"fw-v3.2"}', None), (3, lock, "{}", "e")], "k int, status string, info string, error string")
+    got = {r.k: r for r in status.preflight(clock, sensor, keys=["k"]).collect()}
+    assert [got[k].go for k in (1, 2, 3)] == [True, False, False]
+    assert got[1].facts.asDict() == {"model": "M", "serial": "7", "firmware": "fw-v3.2 fw-v3.2", "imu_rate_hint_hz": "640"}
+    assert got[3].facts.firmware == "-" and got[3].sensor_error == "e"
+
+
+def test_capture_arguments(spark):
+    args = text.capture_arguments(F.lit(" "), F.lit("gpsd"), flags={"wait": F.lit(True), "lock": F.lit(False)}, options={"mode": F.lit("1024x20"), "host": F.lit(" ")})
+    assert one(spark, args) == ["--wait", "--no-lock", "--mode", "1024x20"]
+    assert one(spark, text.capture_arguments(F.lit("x"), F.lit(None).cast("string"), flags={"a": F.lit(True)}, options={})) is None

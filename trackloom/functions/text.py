@@ -101,3 +101,20 @@ def service_state(stdout: Column, stderr: Column) -> Column:
 def first_json_value(c: Column, key: str) -> Column:
     """First value of ``key`` at any depth, as text, in document order."""
     return F.nullif(F.regexp_extract(c, rf'"{key}"\s*:\s*"?([^",}}\]]*)', 1), F.lit(""))
+
+
+def flag(name: str, on: Column) -> Column:
+    """'--name' or '--no-name'."""
+    return F.when(on, f"--{name}").otherwise(f"--no-{name}")
+
+
+def option(name: str, value: Column) -> Column:
+    """['--name', value], or nothing if the value is blank."""
+    return F.when(blank_to_null(value).isNotNull(), F.array(F.lit(f"--{name}"), F.trim(value))).otherwise(F.array().cast("array<string>"))
+
+
+def capture_arguments(mode: Column, gps_mode: Column, *, flags: dict[str, Column], options: dict[str, Column]) -> Column:
+    """Arguments of a capture run; null for an unknown capture or fix input mode."""
+    good = F.coalesce(blank_to_null(mode), F.lit("ptp")).isin("ptp", "original") & F.coalesce(blank_to_null(gps_mode), F.lit("bridge")).isin("serial", "gpsd", "bridge")
+    parts = F.concat(F.array(*[flag(k, v) for k, v in flags.items()]), *[option(k, v) for k, v in options.items()])
+    return F.when(good, parts)

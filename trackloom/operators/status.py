@@ -124,3 +124,41 @@ def probe(df: DataFrame, text: str, *, keys: Sequence[str]) -> DataFrame:
     """One row per probe text and rule: PASS or FAIL."""
     rules = F.array(*[F.struct(F.lit(k).alias("check"), F.when(F.col(text).rlike(p), "PASS").otherwise("FAIL").alias("level")) for k, p in PROBES.items()])
     return df.select(*keys, F.explode(rules).alias("r")).select(*keys, "r.check", "r.level")
+
+
+def helper_document(df: DataFrame, *, returncode: str, stdout: str, stderr: str) -> DataFrame:
+    """Adds ``document`` (a JSON object's text) and ``error``: a failed call's message, or that its output is no JSON object."""
+    said = F.coalesce(F.nullif(F.trim(stdout), F.lit("")), F.lit("{}"))
+    parsed = F.try_parse_json(said)
+    failed = F.coalesce(F.nullif(F.trim(stderr), F.lit("")), F.nullif(F.trim(stdout), F.lit("")), F.concat(F.lit("exit code "), F.col(returncode).cast("string")))
+    error = F.when(F.col(returncode) != 0, failed).when(parsed.isNull(), "invalid JSON").when(~F.schema_of_variant(parsed).startswith("OBJECT"), "not an object")
+    return df.withColumn("error", error).withColumn("document", F.when(F.col("error").isNull(), said))
+
+
+def timing_snapshot(documents: DataFrame) -> DataFrame:
+    """Flags and summary out of ``document``; a row with an error gets the same shape, all flags off and the error as text."""
+    flags = ("gps_time_ready", "pi_time_broadcast_ready", "background_services_ready")
+    value = lambda k: F.get_json_object("document", f"$.{k}")
+    return documents.withColumns(
+        {k: F.coalesce(value(k) == "true", F.lit(False)) for k in flags}
+        | {"ok": F.col("error").isNull(), "summary": F.coalesce(value("summary"), F.lit("status unavailable")), "recommended_action": F.coalesce(value("recommended_action"), F.col("error"), F.lit(""))}
+    )
+
+
+def sensor_facts(info: Column) -> Column:
+    """Model, serial, firmware and a hint at the inertial rate, each under the keys that different firmwares use; '-' where unknown."""
+    value = lambda *ks: F.coalesce(*[F.nullif(F.get_json_object(info, f"$.{k}"), F.lit("")) for k in ks], F.lit("-"))
+    build, image = value("build_rev", "image_rev"), value("image_rev")
+    firmware = F.when(build == "-", image).when(image == "-", build).otherwise(F.concat_ws(" ", build, image))
+    return F.struct(
+        value("prod_line", "product_line").alias("model"), value("prod_sn", "serial_no").alias("serial"), firmware.alias("firmware"),
+        F.when(F.lower(firmware).contains("v3.2"), "640").otherwise("-").alias("imu_rate_hint_hz"),
+    )
+
+
+def preflight(clock: DataFrame, sensor: DataFrame, *, keys: Sequence[str]) -> DataFrame:
+    """One readiness row per key out of :func:`clock_sync` and sensor status text (status, info, error as captured)."""
+    s = F.from_json("status", STATUS_SCHEMA)
+    facts = sensor.select(*keys, ptp_locked(s).alias("locked"), sensor_seconds(s).alias("sensor_s"), sensor_facts(F.col("info")).alias("facts"), F.col("error").alias("sensor_error"))
+    both = clock.join(facts, list(keys), "left")
+    return both.withColumn("locked", F.coalesce("locked", F.lit(False))).withColumn("go", F.col("ready") & F.col("locked"))
