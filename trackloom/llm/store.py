@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -28,6 +29,9 @@ def settle(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/trackloom-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    # Nothing refers to the finished job any more: its shuffle files can go as soon as the collector has seen that.
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
