@@ -13,8 +13,10 @@ Signatures are banded; documents that share a bucket are candidates.  Candidates
 are verified on their texts by exact multiset overlap.  Hot buckets never make
 all pairs: first each member meets the bucket's smallest document only, the
 links found are joined to classes, and then just those members that are still
-in another class than that document meet the members of other classes.  Every
-candidate pair is thereby either tested or already in one class.
+in another class than that document are held against the members of other
+classes: in tiles of bounded size, by larger sketches, of which only those pairs
+that may reach the threshold go on to their texts.  Every candidate pair is
+thereby either tested or already in one class.
 
 Edge cases: documents without words are in no link and form classes of their
 own; texts of one to four words have one shingle; equal multisets (exact copies
@@ -41,6 +43,10 @@ SIMILARITY = 0.8
 BANDS, ROWS = 36, 7
 #: Texts whose points are drawn together.
 STRIDE = 48
+#: Components of the sketches that members of mixed buckets are compared by, and the size of a tile of such comparisons.
+SKETCH, OUTER, INNER = 1024, 128, 256
+#: Ids up to which a set of documents is broadcast; it is counted before.
+FEW = 500_000
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _LEVEL = np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -195,6 +201,13 @@ def overlap(a: pa.Array, b: pa.Array) -> np.ndarray:
     return out
 
 
+def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, text) of the documents in ``ids`` (id); where they are few, which is counted, no other text is shuffled."""
+    texts = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("id"), "text")
+    few = ids.count() <= FEW
+    return texts.join(F.broadcast(ids) if few else ids, "id", "left_semi")
+
+
 def verified(pairs: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
     """The pairs (u, v) whose texts reach the threshold."""
 
@@ -203,12 +216,68 @@ def verified(pairs: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
             keep = pa.array(overlap(b.column(2), b.column(3)) >= threshold)
             yield pa.RecordBatch.from_arrays([b.column(0).filter(keep), b.column(1).filter(keep)], ["u", "v"])
 
-    texts = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("id"), "text")
+    pairs = settle(pairs)
+    texts = _texts(docs, pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct())
     a = texts.select(F.col("id").alias("u"), F.col("text").alias("ta"))
     b = texts.select(F.col("id").alias("v"), F.col("text").alias("tb"))
     return pairs.join(a, "u").join(b, "v").select("u", "v", "ta", "tb").mapInArrow(run, "u long, v long").distinct()
 
 
+def sketches(texts: DataFrame) -> DataFrame:
+    """(id, sketch): a byte for each of SKETCH components of a signature."""
+
+    def run(batches):
+        for batch in batches:
+            for lo, hi, block, at in kit.blocks(*kit.as_bytes(batch.column(1)), kit.BLOCK // 8):
+                _, _, wdoc, wh = kit.words(block, at)
+                d, h, w = bags(*kit.shingles(wh, wdoc, hi - lo, SHINGLE))
+                sig = bag_minhash(d, h, w, hi - lo, SKETCH).astype(np.uint8)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array([r.tobytes() for r in sig], pa.binary())], ["id", "sketch"])
+
+    return texts.mapInArrow(run, "id long, sketch binary")
+
+
+def _met(inside: DataFrame, signed: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (u, v) of different classes in one bucket whose sketches do not rule the threshold out.
+
+    ``inside``: (b, id, c, far, outside) for members of mixed buckets; every ``far`` one meets all of other classes.
+    A bucket is cut into tiles of at most some OUTER far members and INNER others, so that no task holds a bucket, and
+    only pairs that pass leave a tile, and of all buckets that a pair shares only the first one's. A byte of a pair of similarity s agrees with probability s + (1 - s) / 256; the
+    bar lies four standard deviations below the threshold's.
+    """
+    ids = inside.select("id").distinct()
+    drawn = sketches(_texts(docs, ids).dropDuplicates(["id"]))
+    drawn = settle(drawn.join(signed.select(F.col("doc_id").alias("id"), "bands").dropDuplicates(["id"]), "id"))
+    sizes = inside.groupBy("b").agg(F.ceil(F.first("outside") / OUTER).cast("int").alias("no"), F.ceil(F.count("*") / INNER).cast("int").alias("ni"))
+    rows = inside.join(sizes, "b").join(drawn, "id")
+    spot = F.xxhash64("id")
+    rows = rows.withColumns({"o": F.pmod(spot, F.col("no")).cast("int"), "i": F.pmod(F.shiftright(spot, 20), F.col("ni")).cast("int")})
+    upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    query = rows.where("far").select("b", "o", upto("ni").alias("i"), "id", "c", F.lit(True).alias("ask"), "far", "sketch", "bands")
+    data = rows.select("b", upto("no").alias("o"), "i", "id", "c", F.lit(False).alias("ask"), "far", "sketch", "bands")
+    agree = threshold + (1 - threshold) / 256
+    bar = SKETCH * agree - 4 * math.sqrt(SKETCH * agree * (1 - agree))
+
+    def tile(table: pa.Table) -> pa.Table:
+        ask, far = (table[c].to_numpy(zero_copy_only=False) for c in ("ask", "far"))
+        ids, c = table["id"].to_numpy(), table["c"].to_numpy()
+        sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8).reshape(-1, SKETCH)
+        bands = table["bands"].combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+        here = table["b"][0].as_py()
+        xs, ys = np.flatnonzero(ask), np.flatnonzero(~ask)
+        us, vs = [], []
+        for x in xs:
+            y = ys[(c[ys] != c[x]) & (~far[ys] | (ids[ys] > ids[x]))]
+            y = y[(sketch[y] == sketch[x]).sum(axis=1) >= bar] if len(y) else y
+            y = y[bands[x][(bands[y] == bands[x]).argmax(axis=1)] == here] if len(y) else y
+            us.append(np.minimum(ids[y], ids[x]))
+            vs.append(np.maximum(ids[y], ids[x]))
+        none = [np.zeros(0, np.int64)]
+        return pa.table({"u": np.concatenate(us or none), "v": np.concatenate(vs or none)})
+
+    return query.unionByName(data).groupBy("b", "o", "i").applyInArrow(tile, "u long, v long").distinct()
+
+
 def classes(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     """(doc_id, class_id) for every row of ``docs``: class_id is the smallest doc_id linked to it, directly or not."""
     signed = settle(signatures(docs))
@@ -222,13 +291,12 @@ def classes(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     links = settle(verified(stars, docs, threshold))
     of = components(links)
 
-    # Members in another class than their bucket's head: each meets the rest of its bucket.
+    # Members in another class than their bucket's head: each is held against the members of other classes.
     label = lambda df, c, to: df.join(of.select(F.col("node").alias(c), F.col("component").alias(to)), c, "left").withColumn(to, F.coalesce(to, c))
     placed = settle(label(label(full, "id", "c"), "head", "hc"))
-    out = placed.where("c <> hc").select("b", F.col("id").alias("x"), F.col("c").alias("cx"))
-    mixed = placed.where("id <> head").join(out.select("b").distinct(), "b", "left_semi").select("b", F.col("id").alias("y"), F.col("c").alias("cy"), (F.col("c") != F.col("hc")).alias("far"))
-    rest = out.join(mixed, "b").where("cx <> cy and (not far or x < y)").select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")).distinct()
-    more = settle(verified(rest, docs, threshold))
+    mixed = placed.where("c <> hc").groupBy("b").agg(F.count("*").alias("outside"))
+    inside = settle(placed.where("id <> head").join(mixed, "b").select("b", "id", "c", (F.col("c") != F.col("hc")).alias("far"), "outside"))
+    more = settle(verified(_met(inside, signed, docs, threshold), docs, threshold))
     if not more.isEmpty():
         of = components(links.unionByName(more))
 
