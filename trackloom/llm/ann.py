@@ -1,13 +1,13 @@
 """Approximate nearest neighbours over balanced posting lists (operator 5).
 
 Centroids come from balanced bisecting k-means on a bounded sample.  Every
-vector is filed under its nearest centroid and, if it lies near a border, under
-further ones whose distance is within a ratio, unless a chosen centroid already
-stands between.  Centroids are searched through an in-memory neighbour graph by
-best-first steps, on batches of vectors at once.  A query reads the lists whose
-centroid is within a distance ratio of the nearest one, at least LEAST vectors;
-their vectors meet the query in a join on the list, and distances are computed
-in double precision on the original vectors.
+vector is filed under its nearest centroid and, as it lies near their borders,
+under up to seven further ones whose distance is within a ratio.  Centroids are
+searched through an in-memory neighbour graph by best-first steps, on batches of
+vectors at once.  A query reads the PROBES nearest lists, further ones within a
+distance ratio, and as many as hold LEAST vectors; their vectors meet the query
+in a join on the list, and distances are computed in double precision on the
+original vectors.
 
 Identical vectors are filed once, with their eleven smallest ids: ten neighbours
 and the query itself are all that a search can return of them, so a vector that
@@ -33,9 +33,9 @@ from .store import settle
 #: Vectors that centroids are fitted on, and centroids, at most; vectors for each list aimed at.
 SAMPLE, LISTS, LIST_SIZE = 32_000, 4096, 128
 #: Replicas of a vector at most, and the ratio of distances within which it gets one.
-REPLICAS, BORDER = 4, 1.15
+REPLICAS, BORDER = 8, 1.25
 #: Lists that a query reads: centroids within this ratio of the nearest, between these numbers.
-RATIO, PROBES, MOST = 1.35, 24, 64
+RATIO, PROBES, MOST = 1.12, 32, 48
 #: Candidates that a query's lists hold at least, together, where there are so many.
 LEAST = 400
 DEGREE, BEAM = 16, 32
@@ -132,20 +132,10 @@ class CentroidGraph:
 
 def file_under(graph: CentroidGraph, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(row, list) pairs: the nearest list of each row, and those across a near border."""
-    ids, d = graph.search(x, 2 * REPLICAS)
-    rows, lists = [np.arange(len(x))], [ids[:, 0]]
-    chosen = ids[:, :1]
-    count = np.ones(len(x), np.int64)
-    for j in range(1, ids.shape[1]):
-        ok = np.isfinite(d[:, j]) & (d[:, j] <= BORDER**2 * d[:, 0]) & (count < REPLICAS)
-        between = ((graph.c[chosen] - graph.c[ids[:, j]][:, None]) ** 2).sum(2)
-        ok &= (between >= d[:, j][:, None]).all(1)
-        r = np.flatnonzero(ok)
-        rows.append(r)
-        lists.append(ids[r, j])
-        count[r] += 1
-        chosen = np.concatenate([chosen, np.where(ok, ids[:, j], ids[:, 0])[:, None]], 1)
-    return np.concatenate(rows), np.concatenate(lists)
+    ids, d = graph.search(x, REPLICAS)
+    near = np.isfinite(d) & (d <= BORDER**2 * d[:, :1])
+    near[:, 0] = True
+    return np.nonzero(near)[0], ids[near]
 
 
 def probes(graph: CentroidGraph, x: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
