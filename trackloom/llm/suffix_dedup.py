@@ -5,9 +5,10 @@ hash within it, so equal strings always meet under one name, whatever surrounds
 them.  A *snippet* is the stretch of all 50-byte strings with one minimizer
 occurrence.  Names that only one document has are dropped; of equal snippets all
 but the first document's are covered at once.  Where snippets under one name
-differ, their suffixes are sorted: the suffix array is built by linear grouping
-(``suffix_array``), suffixes that share 50 bytes stand together in it, and the
-smallest document of each such group settles which strings are covered.
+differ, the stretches of strings whose fingerprint occurs twice are sorted: their
+suffix array is built by linear grouping (``suffix_array``), suffixes that share
+50 bytes stand together in it, and the smallest document of each such group
+settles which strings are covered.
 
 Work is split by name, so no text, document or bucket is held whole by a task;
 only counts per name and snippet are aggregated, with partial aggregation before
@@ -37,8 +38,8 @@ SPAN = 50
 _K = 16
 _W = SPAN - _K + 1
 _TABLE = kit.mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-#: Snippet bytes that one suffix array is built over, about.
-SORTED_BYTES = 1 << 16
+#: Snippet bytes, about, of whose stretches one suffix array is built.
+SORTED_BYTES = 1 << 18
 
 
 def suffix_array(text: list[int]) -> list[int]:
@@ -179,29 +180,50 @@ def snippets(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return text, h[p].view(np.int64), first - offs[text], last - first + 1
 
 
+def _promising(raw: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(start, end) of the stretches of all strings whose fingerprint occurs more than once; others need no sorting."""
+    owner = np.repeat(np.arange(len(sizes)), sizes - SPAN + 1)
+    at = starts[owner] + np.arange(len(owner)) - np.repeat(np.cumsum(sizes - SPAN + 1) - (sizes - SPAN + 1), sizes - SPAN + 1)
+    print_ = kit.span_hash(raw, at, at + SPAN)
+    order = np.argsort(print_)
+    same = print_[order[1:]] == print_[order[:-1]]
+    twice = np.zeros(len(at), bool)
+    twice[order[1:][same]] = twice[order[:-1][same]] = True
+    at, owner = at[twice], owner[twice]
+    if not len(at):
+        return at, at
+    new = np.concatenate([[True], (at[1:] != at[:-1] + 1) | (owner[1:] != owner[:-1])])
+    first = np.flatnonzero(new)
+    return at[first], at[np.append(first[1:], len(at)) - 1] + SPAN
+
+
 def covered(docs: list[int], parts: list[bytes]) -> list[list[tuple[int, int]]]:
     """For each snippet (its document, its bytes), the runs of its strings that a snippet of a smaller document has too."""
     sizes = np.array([len(p) for p in parts])
-    starts = np.concatenate([[0], np.cumsum(sizes + 1)])[:-1]
-    joined = b"\0".join(parts) + b"\0"
-    raw = np.frombuffer(joined, np.uint8)
-    symbols = raw.astype(np.int64) + 2
-    symbols[starts + sizes] = 1
-    order = np.array(suffix_array([*symbols.tolist(), 0]))
-    owner = np.repeat(np.arange(len(parts)), sizes + 1)
-    left = (starts + sizes)[owner] - np.arange(len(raw))
-    order = order[order < len(raw)]
-    order = order[left[order] >= SPAN]
-    view = np.lib.stride_tricks.sliding_window_view(raw, SPAN)[order]
-    new = np.concatenate([[True], (view[1:] != view[:-1]).any(1)])
-    doc = np.array(docs)[owner[order]]
-    least = np.minimum.reduceat(doc, np.flatnonzero(new))[np.cumsum(new) - 1]
-    hit = np.zeros(len(raw), bool)
-    hit[order[least < doc]] = True
+    starts = np.cumsum(sizes) - sizes
+    raw = np.frombuffer(b"".join(parts), np.uint8)
+    hit = np.zeros(len(raw) + 1, bool)
+    lo, hi = _promising(raw, starts, sizes)
+    if len(lo):
+        # The stretches one after the other, each closed by a symbol below all bytes, and the lowest at the very end.
+        length = hi - lo
+        begin = np.cumsum(length + 1) - (length + 1)
+        owner = np.repeat(np.arange(len(lo)), length + 1)
+        inside = np.arange(len(owner)) - begin[owner]
+        src = lo[owner] + np.minimum(inside, length[owner] - 1)
+        symbols = raw[src].astype(np.int64) + 2
+        symbols[begin + length] = 1
+        order = np.array(suffix_array([*symbols.tolist(), 0]))[1:]
+        order = order[length[owner[order]] - inside[order] >= SPAN]
+        view = np.lib.stride_tricks.sliding_window_view(raw, SPAN)[src[order]]
+        new = np.concatenate([[True], (view[1:] != view[:-1]).any(1)])
+        doc = np.array(docs)[np.searchsorted(starts, src[order], "right") - 1]
+        least = np.minimum.reduceat(doc, np.flatnonzero(new))[np.cumsum(new) - 1]
+        hit[src[order[least < doc]]] = True
     out = []
     for s, size in zip(starts.tolist(), sizes.tolist(), strict=True):
         edge = np.diff(np.concatenate([[0], hit[s : s + size].view(np.int8), [0]]))
-        out.append(list(zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist(), strict=True)))
+        out.append(list(zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist(), strict=True)) if edge.any() else [])
     return out
 
 
@@ -303,7 +325,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     named = _named(texts)
     shared = named.groupBy("h").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b").select("h")
     marks = named.join(shared, "h").groupBy("id").agg(F.collect_list(F.struct("h", "w")).alias("x"))
-    marks = marks.select("id", F.col("x.h").alias("hs"), F.col("x.w").alias("ws"))
+    marks = settle(marks.select("id", F.col("x.h").alias("hs"), F.col("x.w").alias("ws")))
     own = settle(_digested(texts.join(marks, "id").select("id", "text", "hs", "ws")))
     least = settle(own.groupBy("s1", "s2").agg(F.min("id").alias("least"), F.min("h").alias("name")))
     mixed = least.groupBy("name").agg(F.min("least").alias("a"), F.max("least").alias("b")).where("a < b").select(F.col("name").alias("mixed"))
