@@ -218,6 +218,32 @@ def test_nearest(spark):
     assert ann.nearest(df.limit(0)).count() == 0
 
 
+def test_lists_read_grow_with_the_table():
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(300_000, 64)).astype(np.float32)  # no clusters
+    graph = ann.CentroidGraph(ann.balanced_centroids(x[:32_000].astype(np.float64), 300_000 // ann.LIST_SIZE))
+    ids = np.arange(0, 300_000, 4000)
+    recall = []
+    rows, lists = ann.probes(graph, x[ids], np.full(len(graph.c), ann.LIST_SIZE * ann.REPLICAS))
+    for k, i in enumerate(ids):
+        d = ((x - x[i]) ** 2).sum(1)
+        near = np.setdiff1d(np.argpartition(d, 11)[:11], [i])[:10]
+        at, under = ann.file_under(graph, x[near])
+        recall.append(len(np.unique(at[np.isin(under, lists[rows == k])])) / 10)
+    assert np.mean(recall) >= 0.95
+
+
+def test_closest_measures_near_ties():
+    rng = np.random.default_rng(9)
+    x = np.repeat(rng.integers(-3, 4, (40, 5)).astype(float), 3, 0) + 1e6  # products cancel, distances tie
+    entry = rng.permutation(len(x))
+    row, col, score = ann.closest(x[:7], x, entry, 11)
+    for r in range(7):
+        d = np.sqrt(((x - x[r]) ** 2).sum(1))
+        want = np.lexsort((entry, d))[:11]
+        assert col[row == r].tolist() == want.tolist() and score[row == r].tolist() == d[want].tolist()
+
+
 def test_toxicity(spark):
     rng = random.Random(1)
     bad = ["grumf", "zokkel", "vreth", "spladd"]

@@ -4,15 +4,17 @@ Centroids come from balanced bisecting k-means on a bounded sample.  Every
 vector is filed under its nearest centroid and, as it lies near their borders,
 under up to seven further ones whose distance is within a ratio.  Centroids are
 searched through an in-memory neighbour graph by best-first steps, on batches of
-vectors at once.  A query reads the PROBES nearest lists, further ones within a
-distance ratio, and as many as hold LEAST vectors; their vectors meet the query
-in a join on the list, and distances are computed in double precision on the
-original vectors.
+vectors at once.  A query holds all centroids against itself and reads the
+nearest SHARE of the lists (PROBES at least), all others within a distance
+ratio, and as many as hold LEAST vectors; so what is read grows with the number
+of lists.  Queries and vectors meet list by list in numpy, lists of more than
+PART vectors in parts; the nearest of each part are chosen by products and then
+measured in double precision on the original vectors.
 
 Identical vectors are filed once, with their eleven smallest ids: ten neighbours
 and the query itself are all that a search can return of them, so a vector that
 a third of the rows share costs one entry.  Lists that outgrow the sample's
-balance are split among tasks by the join's skew handling.
+balance are dealt in parts, so that no task holds one.
 
 Edge cases: vectors that are null, empty, zero, of another length than most, or
 that hold null or non-finite components take no part, neither as query nor as
@@ -27,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .store import settle
 
@@ -34,10 +37,12 @@ from .store import settle
 SAMPLE, LISTS, LIST_SIZE = 32_000, 4096, 128
 #: Replicas of a vector at most, and the ratio of distances within which it gets one.
 REPLICAS, BORDER = 8, 1.25
-#: Lists that a query reads: centroids within this ratio of the nearest, between these numbers.
-RATIO, PROBES, MOST = 1.12, 32, 48
+#: Lists that a query reads: this share of them and this many at least, and all centroids within this ratio of the nearest.
+SHARE, PROBES, RATIO = 0.05, 32, 1.12
 #: Candidates that a query's lists hold at least, together, where there are so many.
 LEAST = 400
+#: Vectors of a list in a part, about; query rows at a time, and distances at a time.
+PART, ROWS, CELLS = 20_000, 32, 1 << 21
 DEGREE, BEAM = 16, 32
 
 
@@ -139,13 +144,39 @@ def file_under(graph: CentroidGraph, x: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def probes(graph: CentroidGraph, x: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(row, list) pairs that queries read: pruned by distance ratio, but with enough candidates."""
-    ids, d = graph.search(x, MOST)
+    """(row, list) pairs that queries read: a share of the lists, those within the distance ratio, and enough candidates."""
+    d = _dist(x.astype(np.float32), graph.c)
+    ids = np.argsort(d, axis=1, kind="stable")
+    d = np.take_along_axis(d, ids, 1)
     held = np.cumsum(np.where(np.isfinite(d), sizes[ids], 0), axis=1) - sizes[ids]
-    read = (d <= RATIO**2 * d[:, :1]) | (np.arange(ids.shape[1]) < PROBES) | (held < LEAST)
+    least = max(PROBES, int(np.ceil(SHARE * len(graph.c))))
+    read = (d <= RATIO**2 * d[:, :1]) | (np.arange(ids.shape[1]) < least) | (held < LEAST)
     return np.nonzero(read & np.isfinite(d))[0], ids[read & np.isfinite(d)]
 
 
+def closest(q: np.ndarray, x: np.ndarray, entry: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row of q, row of x, distance): the ``k`` nearest rows of x for each row of q, ties to the smaller entry."""
+    q, x = q.astype(np.float64), x.astype(np.float64)
+    own, norm = (q * q).sum(1), (x * x).sum(1)
+    out = []
+    for lo in range(0, len(q), max(1, CELLS // max(1, len(x)))):
+        to = lo + max(1, CELLS // max(1, len(x)))
+        d = own[lo:to, None] + norm[None] - 2 * q[lo:to] @ x.T
+        keep = np.ones(d.shape, bool)
+        if len(x) > k:
+            # Products round: what may be among the nearest by the rounding's bound is measured.
+            slack = 8 * (x.shape[1] + 4) * np.finfo(np.float64).eps * (own[lo:to] + norm.max())
+            bar = np.partition(d, k - 1, axis=1)[:, k - 1] + slack
+            keep = (d <= bar[:, None]) | ~np.isfinite(d) | ~np.isfinite(bar)[:, None]
+        row, col = np.nonzero(keep)
+        score = np.concatenate([np.sqrt(((q[lo + row[i : i + 65_536]] - x[col[i : i + 65_536]]) ** 2).sum(1)) for i in range(0, len(row), 65_536)] or [np.zeros(0)])
+        order = np.lexsort((entry[col], score, row))
+        row, col, score = row[order], col[order], score[order]
+        nth = np.arange(len(row)) - np.searchsorted(row, row)
+        out.append((lo + row[nth < k], col[nth < k], score[nth < k]))
+    return tuple(np.concatenate(c) for c in zip(*out, strict=True))
+
+
 def _vectors(batch: pa.Array) -> np.ndarray:
     return batch.flatten().to_numpy(zero_copy_only=False).reshape(len(batch), -1) if len(batch) else np.zeros((0, 0))
 
@@ -153,8 +184,9 @@ def _vectors(batch: pa.Array) -> np.ndarray:
 def nearest(vectors: DataFrame, k: int = 10, every: int = 100) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` nearest found for every row whose vec_id is divisible by ``every``."""
     spark = vectors.sparkSession
+    kind = "float" if vectors.schema["embedding"].dataType.elementType == T.FloatType() else "double"
     finite = F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
-    good = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
+    good = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(f"array<{kind}>").alias("embedding"))
     good = good.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & finite & F.exists("embedding", lambda v: v != 0))
     lengths = good.groupBy(F.size("embedding").alias("n")).count().orderBy(F.desc("count"), "n").first()
     if lengths is None:
@@ -167,7 +199,7 @@ def nearest(vectors: DataFrame, k: int = 10, every: int = 100) -> DataFrame:
     entries = settle(entries.groupBy("embedding").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")).select(F.col("ids")[0].alias("entry"), "ids", "embedding"))
     n = entries.count()
     sample = entries.select("embedding", "entry").orderBy(F.xxhash64("entry"), "entry").limit(SAMPLE).toArrow()
-    x = _vectors(sample["embedding"].combine_chunks())
+    x = _vectors(sample["embedding"].combine_chunks()).astype(np.float64)
     graph = spark.sparkContext.broadcast(CentroidGraph(balanced_centroids(x, int(np.clip(n // LIST_SIZE, 1, min(LISTS, len(x)))))))
 
     def assign(batches):
@@ -183,18 +215,37 @@ def nearest(vectors: DataFrame, k: int = 10, every: int = 100) -> DataFrame:
 
     def ask(batches):
         for b in batches:
-            rows, lists = probes(graph.value, _vectors(b.column(1)), held.value)
-            yield pa.RecordBatch.from_arrays([pa.array(lists, pa.int32()), b.column(0).take(pa.array(rows)), b.column(1).take(pa.array(rows))], ["list", "query_id", "q"])
+            for lo in range(0, len(b), ROWS):
+                c = b.slice(lo, ROWS)
+                rows, lists = probes(graph.value, _vectors(c.column(1)), held.value)
+                # A query meets every part of a list.
+                times = held.value[lists] // PART + 1
+                part = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+                rows = pa.array(np.repeat(rows, times))
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(lists, times), pa.int32()), pa.array(part, pa.int32()), c.column(0).take(rows), c.column(1).take(rows)], ["list", "part", "query_id", "q"])
+
+    def deal(batches):
+        for b in batches:
+            parts = held.value[b.column(0).to_numpy()] // PART + 1
+            part = (b.column(2).to_numpy() % parts).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(part), b.column(1)], ["list", "part", "entry"])
+
+    def meet(asked: pa.Table, posted: pa.Table) -> pa.Table:
+        if not len(asked) or not len(posted):
+            return pa.table({"query_id": pa.array([], pa.int64()), "entry": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
+        entry = posted["entry"].to_numpy()
+        row, col, score = closest(_vectors(asked["q"].combine_chunks()), _vectors(posted["embedding"].combine_chunks()), entry, k + 1)
+        return pa.table({"query_id": asked["query_id"].to_numpy()[row], "entry": entry[col], "score": score})
 
     queries = good.where(F.col("vec_id") % every == 0).select("vec_id", "embedding").distinct()
-    asked = queries.mapInArrow(ask, "list int, query_id long, q array<double>")
-    posted = filed.join(entries, "entry").select("list", "ids", "embedding")
-    square = F.zip_with("q", "embedding", lambda a, b: (a - b) * (a - b))
-    met = asked.join(posted, "list").select("query_id", "ids", F.sqrt(F.aggregate(square, F.lit(0.0), lambda t, v: t + v)).alias("score"))
+    asked = queries.mapInArrow(ask, f"list int, part int, query_id long, q array<{kind}>")
+    spread = filed.select("list", "entry", F.shiftrightunsigned(F.xxhash64("entry"), 1).alias("h")).mapInArrow(deal, "list int, part int, entry long")
+    posted = spread.join(entries.select("entry", "embedding"), "entry")
+    met = asked.groupBy("list", "part").cogroup(posted.groupBy("list", "part")).applyInArrow(meet, "query_id long, entry long, score double")
     # A vector filed under several lists is met several times; its first id names it.
-    once = met.groupBy("query_id", F.col("ids")[0].alias("entry")).agg(F.min("score").alias("score"), F.first("ids").alias("ids"))
+    once = met.groupBy("query_id", "entry").agg(F.min("score").alias("score"))
     best = Window.partitionBy("query_id").orderBy("score", "entry")
-    few = once.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1)
+    few = once.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1).join(entries.select("entry", "ids"), "entry")
     found = few.select("query_id", "score", F.explode("ids").alias("vec_id")).where("vec_id <> query_id")
     ranked = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return found.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
