@@ -4,6 +4,7 @@ import collections
 import hashlib
 import math
 import random
+import re
 import zlib
 
 import numpy as np
@@ -313,6 +314,28 @@ def test_licenses(spark):
     assert all(any(h in licenses.normal(v) for h in licenses.HINTS.split("|")) for v in s.values())
 
 
+def test_licenses_of_usual_notices(spark):
+    said = {
+        "Licensed under the MIT License": "MIT",
+        "# This project is licensed under the MIT License - see the [LICENSE](LICENSE) file for details.": "MIT",
+        "Released under the GNU General Public License, version 2 or later.": "GPL-2.0",
+        "This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General Public\nLicense as published by the Free Software Foundation; either\nversion 2.1 of the License, or (at your option) any later version.": "LGPL-2.1",
+        "Distributed under AGPLv3": "AGPL-3.0",
+        "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this file": "MPL-2.0",
+        "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies.": "ISC",
+        "This is free and unencumbered software released into the public domain.": "Unlicense",
+        "Released under CC0": "CC0-1.0",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.": "CC-BY-SA-4.0",
+        "// SPDX-License-Identifier: BSD-3-Clause": "BSD-3-Clause",
+        "/* SPDX-License-Identifier: (GPL-2.0-only OR MIT) */": "GPL-2.0,MIT",
+        "a licensed driver drove under the bridge": "",
+    }
+    got = licenses.scan(table(spark, enumerate(said))).collect()
+    assert {r.doc_id: r.licenses for r in got} == dict(enumerate(said.values()))
+    assert all(re.search(licenses.HINTS, s) for s in licenses._known()[0])
+    assert {i for _, ids in licenses._known()[1] for i in ids} <= {*licenses._known()[0].values()} | {*licenses.SENTENCES}
+
+
 @pytest.mark.parametrize("block", [32 << 20, 200])
 def test_decontamination(spark, corpus, block, monkeypatch):
     monkeypatch.setattr(decontam, "BLOCK_BYTES", block)  # a small bound takes several passes
