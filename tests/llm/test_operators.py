@@ -165,6 +165,20 @@ def test_substring_dedup(spark, corpus):
     assert cdc_dedup.report(docs.limit(0)).count() == 0
 
 
+def test_substring_dedup_cuts_short_repeats(spark):
+    rng = random.Random(12)
+    short = [prose(rng, 60)[:n] for n in (2, 10, 24, 25, 40, 60, 95)]
+    rows = [(10 * k + c, t) for k, t in enumerate(short) for c in range(3)]
+    for k in range(40):  # passages of 250 bytes in new surroundings
+        passage = prose(rng, 80)[:250]
+        rows += [(1000 + 2 * k + c, prose(rng, 40) + passage + prose(rng, 40)) for c in range(2)]
+    got = {r.doc_id: r for r in cdc_dedup.report(table(spark, rows)).collect()}
+    for k, t in enumerate(short):
+        assert [got[10 * k + c].n_removed for c in range(3)] == [0, len(t), len(t)]
+    assert sum(got[1001 + 2 * k].n_removed > 0 for k in range(40)) >= 39
+    assert all(got[1000 + 2 * k].n_removed == 0 for k in range(40))
+
+
 def test_suffix_dedup(spark, corpus):
     docs = table(spark, [c for c in corpus if c != (2, dict(corpus)[2])] + [(2, dict(corpus)[2])])
     got = {r.doc_id: r for r in suffix_dedup.dedup(docs, with_text=True).collect()}

@@ -5,8 +5,9 @@ largest within ``REACH`` bytes on either side, so borders depend on nearby bytes
 only and an insertion moves the borders next to it, not those after it.  Chunks
 have more than REACH bytes; where no border comes for MAX_CHUNK bytes, one is
 set.  Chunks are compared by 128-bit digest: the occurrence with the smallest
-(doc_id, position) stays, all later ones are repeats.  Runs of neighbouring
-repeats of at least MIN_RUN bytes are cut out; shorter ones may be chance.
+(doc_id, position) stays, all later ones are repeats.  Every repeated chunk is
+cut out; only where MAX_CHUNK set a border may a chunk have REACH bytes or less,
+and such a piece goes only in a run of more, or as a whole text.
 
 Per digest only the first place and whether there are others is aggregated, with
 partial aggregation before the shuffle, so a line in a third of all rows is one
@@ -32,7 +33,8 @@ from .store import free_name, settle, small_batches
 #: Half-width of the neighbourhood in which a border's hash is the largest; a chunk has about twice as many bytes.
 REACH = 24
 MAX_CHUNK = 256
-MIN_RUN = 96
+#: Bytes of a run that is cut: those of the smallest chunk between borders.
+MIN_RUN = REACH + 1
 _WINDOW = 32
 
 #: One random word for each byte value, made by a rule.
@@ -87,7 +89,7 @@ def borders(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
 
 
 def chunks(docs: DataFrame) -> DataFrame:
-    """(doc_id, start, size, a, b): every chunk of every text, with its digest in two halves."""
+    """(doc_id, start, size, a, b, last): every chunk of every text, with its digest in two halves."""
 
     def run(batches):
         for batch in batches:
@@ -101,26 +103,27 @@ def chunks(docs: DataFrame) -> DataFrame:
                 raw = memoryview(block.tobytes())
                 digest = xxhash.xxh3_128_digest
                 made = np.frombuffer(b"".join([digest(raw[s:e]) for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]), np.int64).reshape(-1, 2)
-                cols = [ids[lo + text], (starts - offs[text]).astype(np.int32), (ends - starts).astype(np.int32), made[:, 0].copy(), made[:, 1].copy()]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["doc_id", "start", "size", "a", "b"])
+                cols = [ids[lo + text], (starts - offs[text]).astype(np.int32), (ends - starts).astype(np.int32), made[:, 0].copy(), made[:, 1].copy(), ends == offs[text + 1]]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["doc_id", "start", "size", "a", "b", "last"])
 
     small_batches(docs.sparkSession)
     rows = docs.where("doc_id is not null and text <> ''").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(run, "doc_id long, start int, size int, a long, b long")
+    return rows.mapInArrow(run, "doc_id long, start int, size int, a long, b long, last boolean")
 
 
 @F.arrow_udf(T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])))
 def _runs(repeats: pa.Array, least: pa.Array) -> pa.Array:
-    """Runs of touching chunks that have at least so many bytes."""
+    """Runs of touching chunks that have at least so many bytes or are a whole text."""
     out = []
     for row, size in zip(repeats.to_pylist(), least.to_pylist(), strict=True):
-        runs: list[list[int]] = []
+        runs: list[list] = []
         for x in sorted(row or [], key=lambda x: x["start"]):
             if runs and x["start"] <= runs[-1][1]:
                 runs[-1][1] = max(runs[-1][1], x["start"] + x["size"])
+                runs[-1][2] |= x["last"]
             else:
-                runs.append([x["start"], x["start"] + x["size"]])
-        out.append([{"start": s, "end": e} for s, e in runs if e - s >= size])
+                runs.append([x["start"], x["start"] + x["size"], x["last"]])
+        out.append([{"start": s, "end": e} for s, e, last in runs if e - s >= size or (s == 0 and last)])
     return pa.array(out, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))
 
 
@@ -129,7 +132,7 @@ def repeats(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
     made = settle(chunks(docs))
     first = made.groupBy("a", "b").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.max(F.struct("doc_id", "start")).alias("last")).where("first <> last")
     later = made.join(first.select("a", "b", "first"), ["a", "b"]).where(F.struct("doc_id", "start") > F.col("first"))
-    per_doc = later.groupBy("doc_id").agg(F.collect_set(F.struct("start", "size")).alias("parts"))
+    per_doc = later.groupBy("doc_id").agg(F.collect_set(F.struct("start", "size", "last")).alias("parts"))
     return per_doc.select("doc_id", F.size("parts").cast("long").alias("n_repeats"), _runs("parts", F.lit(min_run)).alias("runs"))
 
 
