@@ -27,6 +27,16 @@ def test_stages(spark):
         assert got.columns == docs.columns
 
 
+def test_near_dedup_keeps_one_row(spark):
+    words = " ".join(f"word{k}" for k in range(30))
+    rows = [(5, words), (5, words), (7, words), (8, "another text that nobody repeats"), (9, "seen twice under one id"), (9, "seen twice under one id"), (None, "no id here"), (None, "no id here"), (None, "no id there"), (None, "?!"), (None, "?!"), (None, None)]
+    docs = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, k int").repartition(3)
+    kept = near_dup.keep_one(docs)
+    assert kept.columns == docs.columns
+    want = [(5, words), (8, rows[3][1]), (9, rows[4][1]), (None, "no id here"), (None, "no id there"), (None, "?!"), (None, "?!"), (None, None)]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(want, key=str)
+
+
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_sql(spark, name):
     import duckdb

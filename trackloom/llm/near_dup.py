@@ -30,12 +30,12 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import kit
 from .graph import components
-from .store import settle, small_batches
+from .store import free_name, settle, small_batches
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -306,6 +306,19 @@ def classes(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
-    """``docs`` with one document of each class: the one with the smallest id; all columns stay."""
+    """``docs`` with one row of each class: one of the smallest id; all columns stay.
+
+    Rows with a null id have no class: of those with equal texts that hold a word, one stays.
+    """
     gone = classes(docs, threshold).where("doc_id <> class_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    digest = F.sha2(F.col("text"), 256)
+    key = F.coalesce(F.concat(F.lit("i"), F.col("doc_id").cast("string")), F.when(F.col("text").rlike(r"[0-9A-Za-z]|[^\x00-\x7F]"), F.concat(F.lit("t"), digest)))
+    name, again, nth = free_name(docs, "k"), free_name(docs, "again"), free_name(docs, "nth")
+    # Only keys that more than one row has send their rows through a shuffle.
+    twice = settle(docs.select(key.alias(again)).where(F.col(again).isNotNull()).groupBy(again).count().where("count > 1").select(again))
+    if twice.isEmpty():
+        return kept
+    marked = kept.withColumn(name, key).join(twice, F.col(name) == F.col(again), "left")
+    first = marked.where(F.col(again).isNotNull()).withColumn(nth, F.row_number().over(Window.partitionBy(again).orderBy(digest))).where(F.col(nth) == 1)
+    return marked.where(F.col(again).isNull()).select(*docs.columns).unionByName(first.select(*docs.columns))
