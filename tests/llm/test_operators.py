@@ -117,6 +117,21 @@ def test_secret_scan(spark, corpus):
     assert secret_scan.report(docs.limit(0)).count() == 0
 
 
+def test_added_rules_have_no_bounds():
+    def secrets(text, kind):
+        return [text[v:e] for k, _, e, v in secret_scan.find(text) if k == kind]
+
+    for user, password in (("", "pw1234"), ("u" * 200, "p" * 500), ("u", "x"), ("u", "a:b")):
+        assert secrets(f"see redis://{user}:{password}@host/0", "url") == [f"{password}@"]
+    assert secrets("x" * 50 + "://u:pass@h and http://host:80/a@b", "url") == ["pass@"]
+    key = "MIIEabc+/=" * 12
+    head = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0123ABCD\n\n"
+    for body in (f"\n{key}\n", f"\n{head}{key}\n", f"\\n{key}\\n{key}\\n", "\\n" + head.replace("\n", "\\n") + f"{key}\\n"):
+        text = f"-----BEGIN RSA PRIVATE KEY-----{body}-----END RSA PRIVATE KEY-----"
+        assert secrets(f"k = '{text}'", "pem") == [text]
+    assert not secrets("between -----BEGIN PRIVATE KEY----- and, later, -----END PRIVATE KEY-----", "pem")
+
+
 def test_ledger_scans_only_what_is_new(spark, corpus):
     docs = table(spark, [(1, "secret=abcdefgh"), (2, "nothing here"), (3, "secret=abcdefgh")])
     ledger = secret_scan.scan_blobs(docs)

@@ -3,11 +3,14 @@
 Every version of every path is addressed by the SHA-256 of its text.  The
 ledger holds, for each (blob, rule version) pair that was ever scanned, the
 spans found.  A run scans only pairs that the ledger lacks - each blob once,
-however many paths or historical versions carry it - appends them, and joins
-the findings back to all paths.
+however many paths or historical versions carry it - and joins the findings of
+new and known pairs back to all paths.  ``scan_blobs`` returns the new pairs;
+storing the ledger and passing it to the next run is the caller's part, and the
+query and the pipeline run without one.
 
 Rules (kinds): ``assign``, ``access`` and ``hex`` are the base; ``pem`` (private
-key blocks), ``jwt`` and ``url`` (credentials in an address) are added.  Spans
+key blocks, with headers and escaped line ends), ``jwt`` and ``url`` (credentials
+in an address, with or without a user) are added; no rule bounds a length.  Spans
 are code points, end exclusive, leftmost and non-overlapping within a kind.
 
 Edge cases: a null text is the empty blob; empty texts have no findings;
@@ -25,20 +28,36 @@ from pyspark.sql import types as T
 
 from .store import free_name, settle, small_batches
 
-RULE_VERSION = "r1"
+RULE_VERSION = "r1.1"
 BASE = ("assign", "access", "hex")
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 _HINT = ("passw", "secret", "token", "api")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
-_PEM = re.compile(r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[A-Za-z0-9+/=\s]*-----END [A-Z ]{0,40}PRIVATE KEY-----")
+_EOL = r"(?:\\+[rn]|[\r\n])"
+_PEM = re.compile(rf"-----BEGIN [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----(?:(?:\\+[rnt]|\s)*+[A-Za-z][A-Za-z0-9-]*+:[^\r\n\\]*+{_EOL})*[A-Za-z0-9+/=\s\\]*-----END [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----")
 _JWT = re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")
-_URL = re.compile(r"[a-z][a-z0-9+.-]{1,20}://[^\s:/@]{1,64}:([^\s:/@]{3,128})@", re.ASCII)
+_URL = re.compile(r"://[^\s:/@]*+:([^\s/@]++)@", re.ASCII)
+_SCHEME = frozenset("abcdefghijklmnopqrstuvwxyz0123456789+.-")
 KINDS = (*BASE, "pem", "jwt", "url")
 _FINDINGS = "array<struct<kind:string,start:bigint,end:bigint,secret_start:bigint>>"
 _FINDINGS_TYPE = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), *[T.StructField(c, T.LongType()) for c in ("start", "end", "secret_start")]]))
 
 
+def _urls(text: str):
+    """(start, end, start of the password) of addresses with one; schemes are read backwards, so that long runs stay linear."""
+    reach = 0
+    for m in _URL.finditer(text):
+        at = m.start()
+        while at > reach and text[at - 1] in _SCHEME:
+            at -= 1
+        while at < m.start() and not "a" <= text[at] <= "z":
+            at += 1
+        if m.start() - at >= 2:
+            yield at, m.end(), m.start(1)
+            reach = m.end()
+
+
 def find(text: str) -> list[tuple[str, int, int, int]]:
     """(kind, start, end, start of the secret itself), by start, then by kind as in KINDS."""
     out = []
@@ -48,12 +67,12 @@ def find(text: str) -> list[tuple[str, int, int, int]]:
     if "AKIA" in text:
         out += [(1, m.start(), m.end(), m.start()) for m in _ACCESS.finditer(text)]
     out += [(2, m.start(), m.end(), m.start()) for m in _HEX.finditer(text)]
-    if "PRIVATE KEY-----" in text:
+    if "PRIVATE KEY" in text:
         out += [(3, m.start(), m.end(), m.start()) for m in _PEM.finditer(text)]
     if "eyJ" in text:
         out += [(4, m.start(), m.end(), m.start()) for m in _JWT.finditer(text)]
     if "://" in text:
-        out += [(5, m.start(), m.end(), m.start(1)) for m in _URL.finditer(text)]
+        out += [(5, *found) for found in _urls(text)]
     return [(KINDS[k], s, e, v) for s, k, e, v in sorted((s, k, e, v) for k, s, e, v in out)]
 
 
