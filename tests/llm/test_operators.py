@@ -320,6 +320,19 @@ def test_quality(spark):
     assert quality.select(docs.limit(0), labels).count() == 0
 
 
+def test_quality_counts_all_targets(spark):
+    rows = [(i, "common good") for i in range(20_500)] + [(90_000 + i, "junk") for i in range(500)]
+    labels = spark.createDataFrame([(i, int(i < 90_000), 0) for i, _ in rows], "doc_id long, quality int, toxic int")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    raw, target = np.zeros(quality.BUCKETS), np.zeros(quality.BUCKETS)
+    for text, n, good in (("common good", 20_500, 1), ("junk", 500, 0)):
+        _, buckets = quality.grams(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)]))
+        for b in buckets:
+            raw[b] += n
+            target[b] += n * good
+    assert np.allclose(quality.fit(docs, labels), quality.log_ratio(raw, target), rtol=0, atol=1e-12)
+
+
 def test_exact_cut_with_ties(spark, monkeypatch):
     monkeypatch.setattr(quality, "_IN_BIN", 5)
     rng = random.Random(3)

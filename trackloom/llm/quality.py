@@ -6,9 +6,9 @@ document's log importance weight is the sum of the log ratios of its n-grams;
 adding Gumbel noise drawn from its id and keeping the k largest keys samples k
 documents without replacement in proportion to their weights.
 
-The raw model covers every document.  The target model is counted from at most
-``TARGETS`` labelled documents, whose ids (a bounded set) are broadcast.  What
-meets on the driver has ``BUCKETS`` rows, whatever the input.  The k-th largest
+The raw model covers every document.  The target model covers every
+document labelled as good; their ids are joined, by broadcast only where Spark
+knows their table to be small.  What meets on the driver has ``BUCKETS`` rows, whatever the input.  The k-th largest
 key is found by bounded histograms, so no sort of all rows takes place.
 
 Edge cases: null and empty texts have weight 0 in the log; without target labels
@@ -28,7 +28,6 @@ from . import kit
 from .store import settle, small_batches
 
 BUCKETS = 10_000
-TARGETS = 20_000
 #: Share of the documents that is sampled.
 SHARE = 0.8
 SMOOTH = 1.0
@@ -56,12 +55,12 @@ def log_ratio(raw: np.ndarray, target: np.ndarray) -> np.ndarray:
     return np.log(p) - np.log(q)
 
 
-def fit(docs: DataFrame, labels: DataFrame, targets: int = TARGETS) -> np.ndarray:
+def fit(docs: DataFrame, labels: DataFrame) -> np.ndarray:
     """The table of log ratios."""
     small_batches(docs.sparkSession)
     good = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").alias("id")).distinct()
-    good = good.orderBy(F.xxhash64("id"), "id").limit(targets).withColumn("good", F.lit(True))
-    rows = docs.select("doc_id", "text").join(F.broadcast(good), F.col("doc_id") == F.col("id"), "left").select("text", F.coalesce("good", F.lit(False)).alias("good"))
+    good = settle(good.withColumn("good", F.lit(True)))
+    rows = docs.select("doc_id", "text").join(good, F.col("doc_id") == F.col("id"), "left").select("text", F.coalesce("good", F.lit(False)).alias("good"))
 
     def run(batches):
         raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
