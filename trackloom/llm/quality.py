@@ -7,8 +7,8 @@ adding Gumbel noise drawn from its id and keeping the k largest keys samples k
 documents without replacement in proportion to their weights.
 
 The raw model covers every document.  The target model covers every
-document labelled as good; their ids are joined, by broadcast only where Spark
-knows their table to be small.  What meets on the driver has ``BUCKETS`` rows, whatever the input.  The k-th largest
+document labelled as good; their ids are joined, by broadcast where at most
+``FEW`` are counted, else by a shuffle.  What meets on the driver has ``BUCKETS`` rows, whatever the input.  The k-th largest
 key is found by bounded histograms, so no sort of all rows takes place.
 
 Edge cases: null and empty texts have weight 0 in the log; without target labels
@@ -28,6 +28,8 @@ from . import kit
 from .store import settle, small_batches
 
 BUCKETS = 10_000
+#: Ids up to which the labelled documents are broadcast; they are counted before.
+FEW = 500_000
 #: Share of the documents that is sampled.
 SHARE = 0.8
 SMOOTH = 1.0
@@ -60,7 +62,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> np.ndarray:
     small_batches(docs.sparkSession)
     good = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").alias("id")).distinct()
     good = settle(good.withColumn("good", F.lit(True)))
-    rows = docs.select("doc_id", "text").join(good, F.col("doc_id") == F.col("id"), "left").select("text", F.coalesce("good", F.lit(False)).alias("good"))
+    rows = docs.select("doc_id", "text").join(F.broadcast(good) if good.count() <= FEW else good, F.col("doc_id") == F.col("id"), "left").select("text", F.coalesce("good", F.lit(False)).alias("good"))
 
     def run(batches):
         raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
