@@ -2,37 +2,68 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Frees a finished query's shuffle files at once; Spark versions without it leave them to their cleaner.
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_TABLE = "_settled_at"
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; a temporary one only where none is set, as in local tests."""
+    """The folder in ``spark.checkpoint.dir``; a temporary one only where none is set and all runs on this machine."""
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if d is None:
         d = spark.sparkContext.getCheckpointDir()
     if d is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all machines of the cluster share")
         d = "file://" + tempfile.mkdtemp(prefix="trackloom-")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
     return d
 
 
-def settle(df: DataFrame) -> DataFrame:
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """Sets ``key`` for a while, then restores what the caller had."""
+    had = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if had is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, had)
+
+
+def settle(df: DataFrame, *done: DataFrame) -> DataFrame:
     """Runs ``df`` once into a Parquet table in the shared folder and reads it back: lineage ends there.
 
-    The table outlives a lost executor, and later readers get column pruning and pushdown.
+    The table outlives a lost executor, and later readers get column pruning and
+    pushdown.  The shuffle files of the run are freed with it.  ``done`` are settled
+    tables that nothing reads any more; they are removed.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/trackloom-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    # Nothing refers to the finished job any more: its shuffle files can go as soon as the collector has seen that.
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+    with setting(spark, _CLEAN, "true"):
+        df.write.parquet(path)
+    discard(*done)
+    out = spark.read.schema(df.schema).parquet(path)
+    setattr(out, _TABLE, path)
+    return out
+
+
+def discard(*done: DataFrame) -> None:
+    """Removes settled tables that nothing reads any more."""
+    for df in done:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(getattr(df, _TABLE))
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def free_name(df: DataFrame, stem: str) -> str:
@@ -45,7 +76,7 @@ def free_name(df: DataFrame, stem: str) -> str:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Arrow batches that stay small when texts are long."""
+    """Arrow batches that stay small when texts are long; for the session, since results are computed after the call."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     try:
         spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))

@@ -2,22 +2,24 @@
 
 Every 50-byte string of a text is named by its minimizer, the k-gram of smallest
 hash within it, so equal strings always meet under one name, whatever surrounds
-them.  A *snippet* is the stretch of all 50-byte strings with one minimizer
-occurrence.  Names that only one document has are dropped; of equal snippets all
-but the first document's are covered at once.  Where snippets under one name
-differ, the stretches of strings whose fingerprint occurs twice are sorted: their
-suffix array is built by linear grouping (``suffix_array``), suffixes that share
-50 bytes stand together in it, and the smallest document of each such group
-settles which strings are covered.
-
-Work is split by name, so no text, document or bucket is held whole by a task;
-only counts per name and snippet are aggregated, with partial aggregation before
-each shuffle, and common names are split by the joins' skew handling.
+them.  Names that only one document has are dropped.  Every other name is filed
+under its smallest document and a stretch of positions; the strings of a text
+that are filed together and follow each other move as one stretch of bytes.  All
+stretches filed in one place form a *lane*, a small text of its own, and suffix
+arrays by linear grouping decide which strings of a lane are equal: exact copies,
+near copies and passages alike.  Thousands of lanes are sorted in step, one
+group of suffixes of each lane at a time, so that a step is a few numpy calls.
+
+Names with many occurrences are split.  The counting aggregates on the map side;
+the join that brings the counts back deals the names that hold more than one in
+HOT occurrences (at most HOT names) over several keys; and lanes of names with more
+than LANE occurrences are salted: what stays first in a salted lane is held
+against the other lanes' firsts, string by string, in a second pass.
 
 Edge cases: null and empty texts have no bytes; texts shorter than 50 bytes lose
 nothing; exact copies of a text of an earlier document lose all; rows repeated
-under one id are one document and are not compared with each other; rows with a
-null id are not compared.
+under one id are one document, are not compared with each other, and each is cut
+by its own text; rows with a null id are not compared and stay whole.
 """
 
 from __future__ import annotations
@@ -26,8 +28,8 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,101 +40,120 @@ SPAN = 50
 _K = 16
 _W = SPAN - _K + 1
 _TABLE = kit.mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-#: Snippet bytes, about, of whose stretches one suffix array is built.
-SORTED_BYTES = 1 << 18
+#: Bytes of lanes, about, that are sorted in step.
+SORTED_BYTES = 3 << 20
+#: Positions of a name's first places (a power of two) that share a lane, and occurrences of a name in an unsalted one.
+REGION, LANE = 9, 4096
+#: A name with more than one in HOT of all occurrences is dealt over several keys of the join.
+HOT = 10_000
+#: A stretch is cut where it enters another block of so many bytes (a power of two).
+_CUT = 12
+#: A place within a document: which of the texts under one id, first byte, number of strings.
+_V, _S = 38, 6
 
 
-def suffix_array(text: list[int]) -> list[int]:
-    """Suffix array of ``text``, whose last symbol is its only smallest one, by linear grouping.
+def suffix_arrays(text: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Suffix arrays of many texts by linear grouping, in step: positions in ``text``, one text after the other.
+
+    ``ends`` holds the end of each text; its last symbol is its only smallest one.
 
     Phase 1 takes groups of suffixes from the highest down.  Each suffix of the
-    group looks for the nearest position before it that lies in a lower group
-    (its previous smaller suffix); the suffixes so found are extended by the
-    group's common prefix and move, by how often they were found, into new
-    groups right above their old ones.  In the end every group is the set of
-    suffixes with one Lyndon prefix, and groups are in order.  Phase 2 goes
-    through the suffixes in ascending order and, for each, emits the suffixes
-    that lead to it into the front of their groups.
+    group looks for the nearest position before it that lies in a lower group (its
+    previous smaller suffix); the suffixes so found are extended by the group's
+    common prefix and move, by how often they were found, into new groups right
+    above their old ones.  In the end every group is the set of suffixes with one
+    Lyndon prefix, and groups are in order.  Phase 2 goes through the suffixes in
+    ascending order and, for each, emits the suffixes that lead to it into the front
+    of their groups.  A step does this for one group, or one suffix, of every text.
     """
-    n = len(text)
-    order = sorted(range(n), key=text.__getitem__)
-    group = [0] * n  # where a suffix's group starts in ``order``
-    size: dict[int, int] = {}
-    where = [0] * n
-    start = 0
-    for at, i in enumerate(order):
-        if at and text[i] != text[order[at - 1]]:
-            start = at
-        group[i] = start
-        where[i] = at
-        size[start] = size.get(start, 0) + 1
-    prev = [-1] * n
-    end = n
-    while end > 0:
+    k = len(ends)
+    sizes = np.diff(np.concatenate([[0], ends]))
+    base = np.concatenate([[0], ends[:-1]]) + np.arange(k)  # a place below all others stands before each text
+    n = len(text) + k
+    lane = np.repeat(np.arange(k), sizes + 1)
+    symbol = np.zeros(n, np.int64)
+    real = np.ones(n, bool)
+    real[base] = False
+    symbol[real] = text + 1
+    key = lane * (int(symbol.max(initial=0)) + 1) + symbol
+    order = np.argsort(key, kind="stable")
+    new = np.concatenate([[True], np.diff(key[order]) != 0])
+    starts = np.flatnonzero(new)
+    group = np.empty(n, np.int64)  # where a suffix's group starts in ``order``
+    group[order] = starts[np.cumsum(new) - 1]
+    where = np.empty(n, np.int64)
+    where[order] = np.arange(n)
+    size = np.zeros(n, np.int64)
+    size[starts] = np.diff(np.append(starts, n))
+    prev = np.arange(n) - 1
+    found = np.zeros(n, bool)
+
+    first, end = base + 1, base + sizes + 1
+    while len(end):
         start = group[order[end - 1]]
-        if end - start == 1:
-            i = order[start]
-            p = i - 1
-            while p >= 0 and group[p] >= start:
-                p = prev[p]
-            prev[i] = p
-            if p >= 0:
-                g = group[p]
-                k = size[g] - 1
-                if k:
-                    to = g + k
-                    q, w = order[to], where[p]
-                    order[w], order[to] = q, p
-                    where[q], where[p] = w, to
-                    group[p] = to
-                    size[g] = k
-                    size[to] = 1
-            end = start
-            continue
-        found: dict[int, int] = {}
-        for i in sorted(order[start:end]):
-            p = i - 1
-            while p >= 0 and group[p] >= start:
-                p = prev[p]
-            prev[i] = p
-            if p >= 0:
-                found[p] = found.get(p, 0) + 1
-        if found:
-            by: dict[tuple[int, int], list[int]] = {}
-            for p, times in found.items():
-                by.setdefault((-times, group[p]), []).append(p)
-            for (_, g), ps in sorted(by.items()):
-                keep = size[g] - len(ps)
-                if keep == 0:
-                    continue
-                to = g + keep
-                at = g + size[g]
-                for p in ps:
-                    at -= 1
-                    q, w = order[at], where[p]
-                    order[w], order[at] = q, p
-                    where[q], where[p] = w, at
-                for p in ps:
-                    group[p] = to
-                size[g] = keep
-                size[to] = len(ps)
-        end = start
-    # Phase 2: order[] is filled anew from the front of each group.
-    out = [-1] * n
-    free: dict[int, int] = {}
-    out[0] = n - 1
-    for r in range(n):
-        j = out[r] - 1
-        while j >= 0:
-            g = group[j]
-            if g == -1:
-                break
-            at = free.get(g, g)
-            out[at] = j
-            free[g] = at + 1
-            group[j] = -1
-            j = prev[j]
-    return out
+        count = end - start
+        at = np.repeat(start - np.cumsum(count) + count, count) + np.arange(count.sum())
+        i = order[at]
+        bar = np.repeat(start, count)
+        p = i - 1
+        todo = np.flatnonzero(group[p] >= bar)
+        while len(todo):
+            p[todo] = prev[p[todo]]
+            prev[i[todo]] = p[todo]
+            todo = todo[group[p[todo]] >= bar[todo]]
+        p = np.sort(p[real[p]])
+        if len(p):
+            edge = np.flatnonzero(np.concatenate([[True], p[1:] != p[:-1]]))
+            u, times = p[edge], np.diff(np.append(edge, len(p)))
+            g = group[u]
+            by = np.argsort((g << 32) + times)
+            u, times, g = u[by], times[by], g[by]
+            fresh = np.concatenate([[True], g[1:] != g[:-1]])
+            seg = np.flatnonzero(fresh)
+            of = np.cumsum(fresh) - 1
+            here = np.diff(np.append(seg, len(u)))
+            keep = size[g[seg]] - here
+            tail = g[seg] + keep  # the found suffixes of a group move to its end, the most often found last
+            to = (tail - seg)[of] + np.arange(len(u))
+            step = np.flatnonzero(fresh | np.concatenate([[True], times[1:] != times[:-1]]))
+            had = where[u]
+            found[u] = True
+            out = order[to]
+            out, gap = out[~found[out]], had[had < tail[of]]
+            found[u] = False
+            order[gap], where[out] = out, gap
+            order[to], where[u] = u, to
+            long = np.diff(np.append(step, len(u)))
+            group[u] = np.repeat(to[step], long)
+            size[g[seg][keep > 0]] = keep[keep > 0]
+            size[to[step]] = long
+        more = start > first
+        first, end = first[more], start[more]
+
+    out = np.empty(n, np.int64)
+    free = np.arange(n)
+    placed = ~real
+    read, last = base + 1, base + sizes
+    out[read] = base + sizes
+    j = out[read] - 1
+    while len(read):
+        done = placed[j]
+        if done.any():
+            read = read + done
+            live = read <= last
+            if not live.all():
+                read, last, j, done = read[live], last[live], j[live], done[live]
+            j[done] = out[read[done]] - 1
+        go = np.flatnonzero(~placed[j])
+        i = j[go]
+        g = group[i]
+        to = free[g]
+        out[to] = i
+        free[g] = to + 1
+        placed[i] = True
+        j[go] = prev[i]
+    out = out[real]
+    return out - lane[out] - 1
 
 
 def _fold(h: np.ndarray, n: int, f) -> np.ndarray:
@@ -180,11 +201,11 @@ def snippets(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return text, h[p].view(np.int64), first - offs[text], last - first + 1
 
 
-def _promising(raw: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(start, end) of the stretches of all strings whose fingerprint occurs more than once; others need no sorting."""
+def _promising(raw: np.ndarray, starts: np.ndarray, sizes: np.ndarray, lane: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(start, end) of the runs of strings whose fingerprint occurs more than once in their lane; others need no sorting."""
     owner = np.repeat(np.arange(len(sizes)), sizes - SPAN + 1)
     at = starts[owner] + np.arange(len(owner)) - np.repeat(np.cumsum(sizes - SPAN + 1) - (sizes - SPAN + 1), sizes - SPAN + 1)
-    print_ = kit.span_hash(raw, at, at + SPAN)
+    print_ = kit.mix(kit.span_hash(raw, at, at + SPAN) + lane[owner].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     order = np.argsort(print_)
     same = print_[order[1:]] == print_[order[:-1]]
     twice = np.zeros(len(at), bool)
@@ -197,146 +218,205 @@ def _promising(raw: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[
     return at[first], at[np.append(first[1:], len(at)) - 1] + SPAN
 
 
-def covered(docs: list[int], parts: list[bytes]) -> list[list[tuple[int, int]]]:
-    """For each snippet (its document, its bytes), the runs of its strings that a snippet of a smaller document has too."""
+def _runs(mark: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(stretch, first, end) of the runs of marked strings of each stretch; the last 49 bytes of one start no string."""
+    edge = np.diff(np.concatenate([[0], mark.view(np.int8), [0]]))
+    lo, hi = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    own = np.searchsorted(starts, lo, "right") - 1
+    return own, lo - starts[own], hi - starts[own]
+
+
+def covered(docs: np.ndarray, lanes: np.ndarray, parts: list[bytes]) -> tuple[tuple, tuple]:
+    """Runs (stretch, first string, end) of strings that a smaller document of the lane has too, and of all others.
+
+    ``lanes`` ascends.  Of the others, strings without an equal in the lane are among them.
+    """
     sizes = np.array([len(p) for p in parts])
     starts = np.cumsum(sizes) - sizes
     raw = np.frombuffer(b"".join(parts), np.uint8)
-    hit = np.zeros(len(raw) + 1, bool)
-    lo, hi = _promising(raw, starts, sizes)
+    hit = np.zeros(len(raw), bool)
+    lo, hi = _promising(raw, starts, sizes, lanes)
     if len(lo):
-        # The stretches one after the other, each closed by a symbol below all bytes, and the lowest at the very end.
+        # The runs one after the other, each closed by a symbol below all bytes, and the lowest at a lane's very end.
+        of = np.searchsorted(starts, lo, "right") - 1
+        closing = np.append(lanes[of][1:] != lanes[of][:-1], True)
         length = hi - lo
-        begin = np.cumsum(length + 1) - (length + 1)
-        owner = np.repeat(np.arange(len(lo)), length + 1)
+        begin = np.cumsum(length + 1 + closing) - (length + 1 + closing)
+        owner = np.repeat(np.arange(len(lo)), length + 1 + closing)
         inside = np.arange(len(owner)) - begin[owner]
         src = lo[owner] + np.minimum(inside, length[owner] - 1)
         symbols = raw[src].astype(np.int64) + 2
         symbols[begin + length] = 1
-        order = np.array(suffix_array([*symbols.tolist(), 0]))[1:]
+        ends = (begin + length + 1 + closing)[closing]
+        symbols[ends - 1] = 0
+        order = suffix_arrays(symbols, ends)
         order = order[length[owner[order]] - inside[order] >= SPAN]
         view = np.lib.stride_tricks.sliding_window_view(raw, SPAN)[src[order]]
-        new = np.concatenate([[True], (view[1:] != view[:-1]).any(1)])
-        doc = np.array(docs)[np.searchsorted(starts, src[order], "right") - 1]
+        stretch = of[owner[order]]
+        new = np.concatenate([[True], (view[1:] != view[:-1]).any(1) | (lanes[stretch[1:]] != lanes[stretch[:-1]])])
+        doc = docs[stretch]
         least = np.minimum.reduceat(doc, np.flatnonzero(new))[np.cumsum(new) - 1]
         hit[src[order[least < doc]]] = True
-    out = []
-    for s, size in zip(starts.tolist(), sizes.tolist(), strict=True):
-        edge = np.diff(np.concatenate([[0], hit[s : s + size].view(np.int8), [0]]))
-        out.append(list(zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist(), strict=True)) if edge.any() else [])
-    return out
+    rest = ~hit
+    for back in range(1, SPAN):
+        rest[starts + sizes - back] = False
+    return _runs(hit, starts, sizes), _runs(rest, starts, sizes)
 
 
 def _named(texts: DataFrame) -> DataFrame:
-    """(h, id, w): every minimizer occurrence; w is the first string's start times 64 plus the number of strings."""
+    """(h, id, w): every minimizer occurrence; w is its place, see _V and _S."""
 
     def run(batches):
         for b in batches:
-            ids = b.column(0).to_numpy()
-            for lo, _, block, offs in kit.blocks(*kit.as_bytes(b.column(1))):
+            ids, version = b.column(0).to_numpy(), b.column(1).to_numpy()
+            for lo, _, block, offs in kit.blocks(*kit.as_bytes(b.column(2))):
                 text, name, first, count = snippets(block, offs)
-                yield pa.RecordBatch.from_arrays([pa.array(name.astype(np.int64)), pa.array(ids[lo + text]), pa.array(first * 64 + count)], ["h", "id", "w"])
+                w = (version[lo + text] << _V) + (first << _S) + count
+                yield pa.RecordBatch.from_arrays([pa.array(name.astype(np.int64)), pa.array(ids[lo + text]), pa.array(w)], ["h", "id", "w"])
 
-    return texts.mapInArrow(run, "h long, id long, w long")
+    return texts.select("id", "v", "text").mapInArrow(run, "h long, id long, w long")
 
 
-def _digested(rows: DataFrame) -> DataFrame:
-    """(s1, s2, h, id, ws): per document, each distinct snippet with its digest and all its places."""
+_PART = "a long, b long, id long, w long, part binary"
 
-    def run(batches):
-        for b in batches:
-            cols: list[list] = [[] for _ in range(5)]
-            for i in range(b.num_rows):
-                raw, doc = memoryview(b.column(1)[i].as_buffer()), b.column(0)[i].as_py()
-                seen: dict[bytes, int] = {}
-                for h, w in zip(b.column(2)[i].values.to_pylist(), b.column(3)[i].values.to_pylist(), strict=True):
-                    s = w >> 6
-                    key = xxhash.xxh3_128_digest(raw[s : s + (w & 63) + SPAN - 1])
-                    at = seen.get(key)
-                    if at is None:
-                        seen[key] = len(cols[0])
-                        for c, v in zip(cols, (int.from_bytes(key[:8], "little", signed=True), int.from_bytes(key[8:], "little", signed=True), h, doc, [w]), strict=True):
-                            c.append(v)
-                    else:
-                        cols[4][at].append(w)
-            yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in cols[:4]], pa.array(cols[4], pa.list_(pa.int64()))], ["s1", "s2", "h", "id", "ws"])
-
-    return rows.mapInArrow(run, "s1 long, s2 long, h long, id long, ws array<long>")
-
-
-def _bytes_of(rows: DataFrame) -> DataFrame:
-    """(h, id, ws, part): the bytes of snippets, from (id, text, list of (h, ws))."""
-
-    def run(batches):
-        for b in batches:
-            cols: list[list] = [[] for _ in range(4)]
-            for i in range(b.num_rows):
-                raw = b.column(1)[i].as_buffer().to_pybytes()
-                for x in b.column(2)[i].as_py():
-                    w = x["ws"][0]
-                    for c, v in zip(cols, (x["h"], b.column(0)[i].as_py(), x["ws"], raw[w >> 6 : (w >> 6) + (w & 63) + SPAN - 1]), strict=True):
-                        c.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.list_(pa.int64())), pa.array(cols[3], pa.binary())], ["h", "id", "ws", "part"])
 
-    return rows.mapInArrow(run, "h long, id long, ws array<long>, part binary")
+def _stretches(rows: DataFrame) -> DataFrame:
+    """The bytes of neighbouring strings that are filed together, by lane (a, b), from (id, v, text, ws, as, bs)."""
 
-
-def _sorted_out(parts: DataFrame) -> DataFrame:
-    """(id, s, e): byte ranges of first documents' snippets that a smaller document's other snippet covers in part."""
+    def run(batches):
+        for batch in batches:
+            cols: list[list] = [[] for _ in range(5)]
+            ids, version = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            data, offs = kit.as_bytes(batch.column(2))
+            ws, fs, rs = (batch.column(c) for c in (3, 4, 5))
+            for i in range(batch.num_rows):
+                w, a, b = (x[i].values.to_numpy(zero_copy_only=False) for x in (ws, fs, rs))
+                own = np.flatnonzero(w >> _V == version[i])
+                own = own[np.argsort(w[own], kind="stable")]
+                w, a, b = w[own] & ((1 << _V) - 1), a[own], b[own]
+                start, to = w >> _S, (w >> _S) + (w & ((1 << _S) - 1))
+                # The place of many: log2 of how many lanes it is dealt over stands in the low bits of b.
+                deal = b & 63
+                spot = kit.mix(ids[i : i + 1].astype(np.uint64)) + (start >> _CUT).astype(np.uint64)
+                salt = (kit.mix(spot) >> np.uint64(2)).astype(np.int64) & ((np.int64(1) << deal) - 1)
+                b = (b << 32) + np.where(deal > 0, salt + 1, 0)
+                new = np.ones(len(own), bool)
+                new[1:] = (start[1:] != to[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (start[1:] >> _CUT != start[:-1] >> _CUT)
+                first = np.flatnonzero(new)
+                last = to[np.append(first[1:], len(own)) - 1] if len(own) else to
+                raw = data[offs[i] : offs[i + 1]].tobytes()
+                cols[0] += a[first].tolist()
+                cols[1] += b[first].tolist()
+                cols[2] += [int(ids[i])] * len(first)
+                cols[3] += ((version[i] << _V) + (start[first] << _S)).tolist()
+                cols[4] += [raw[s : e + SPAN - 1] for s, e in zip(start[first].tolist(), last.tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in cols[:4]], pa.array(cols[4], pa.binary())], ["a", "b", "id", "w", "part"])
+
+    return rows.select("id", "v", "text", "ws", "as", "bs").mapInArrow(run, _PART)
+
+
+def _lanes(batches):
+    """Tables of whole lanes, of about SORTED_BYTES each, from batches sorted by lane."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+
+    def cut(last: bool):
+        t = pa.Table.from_batches(held).combine_chunks()
+        a, b = t["a"].to_numpy(), t["b"].to_numpy()
+        ends = np.flatnonzero((a[1:] != a[:-1]) | (b[1:] != b[:-1])) + 1  # the last lane may go on in the next batch
+        ends = np.append(ends, len(t)) if last else ends
+        reach = np.concatenate([[0], np.cumsum(pc.binary_length(t["part"]).to_numpy().astype(np.int64))])
+        lo, out = 0, []
+        while len(ends) and lo < ends[-1]:
+            k = max(np.searchsorted(ends, lo, "right"), np.searchsorted(reach[ends], reach[lo] + SORTED_BYTES, "right") - 1)
+            hi = int(ends[min(k, len(ends) - 1)])
+            out.append(t.slice(lo, hi - lo).combine_chunks())
+            lo = hi
+        return out, t.slice(lo)
+
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            size += batch.nbytes
+            if size > SORTED_BYTES:
+                out, rest = cut(last=False)
+                yield from out
+                held, size = rest.to_batches(), 0
+    if held and sum(len(h) for h in held):
+        yield from cut(last=True)[0]
+
+
+def _sorted_out(parts: DataFrame, salted: bool) -> DataFrame:
+    """(id, w, n, part): runs of n strings from place w that a smaller document of their lane has too.
+
+    With ``salted``, rows with a part are strings that are first in a salted lane.  ``parts`` is sorted by lane.
+    """
 
     def run(batches):
-        held: list[tuple] = []
-        size, last = 0, None
-
-        def flush():
-            docs, starts, ends = [], [], []
-            for (_, doc, ws, _), runs in zip(held, covered([x[1] for x in held], [x[3] for x in held]), strict=True):
-                for s, e in runs:
-                    for w in ws:
-                        docs.append(doc)
-                        starts.append((w >> 6) + s)
-                        ends.append((w >> 6) + e + SPAN - 1)
-            return pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(starts, pa.int64()), pa.array(ends, pa.int64())], ["id", "s", "e"])
-
-        for b in batches:  # sorted by name: a name's snippets follow each other
-            for row in zip(*[c.to_pylist() for c in b.columns], strict=True):
-                if size > SORTED_BYTES and row[0] != last:
-                    yield flush()
-                    held, size = [], 0
-                held.append(row)
-                size += len(row[3])
-                last = row[0]
-        if held:
-            yield flush()
-
-    return parts.select("h", "id", "ws", "part").mapInArrow(run, "id long, s long, e long")
-
-
-def repeats(docs: DataFrame) -> DataFrame:
-    """(id, s, e): byte ranges to remove; they may overlap."""
-    small_batches(docs.sparkSession)
-    rows = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("id"), "text").where(F.octet_length("text") >= SPAN)
-    # Exact copies of an earlier text go as a whole; only digests are shuffled to find them.
-    digest = F.sha2("text", 256)
-    first = rows.select("id", digest.alias("d")).groupBy("d").agg(F.min("id").alias("first"))
-    copies = settle(rows.select("id", digest.alias("d"), F.octet_length("text").cast("long").alias("e")).join(first, "d").where("id > first").select("id", F.lit(0).cast("long").alias("s"), "e"))
-    texts = rows.join(copies.select("id"), "id", "left_anti")
+        for t in _lanes(batches):
+            a, b, ids, w = (t[c].to_numpy() for c in ("a", "b", "id", "w"))
+            lane = np.cumsum(np.concatenate([[0], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
+            raw = t["part"].to_pylist()
+            (own, lo, hi), (more, s, e) = covered(ids, lane, raw)
+            open_ = (b[more] & 0xFFFFFFFF) > 0 if salted else np.zeros(len(more), bool)
+            more, s, n = more[open_], s[open_], (e - s)[open_]
+            more = np.repeat(more, n)
+            s = np.repeat(s - np.cumsum(n) + n, n) + np.arange(n.sum())
+            cols = [np.concatenate([ids[own], ids[more]]), np.concatenate([w[own] + (lo << _S), w[more] + (s << _S)]), np.concatenate([hi - lo, np.ones(len(more), np.int64)])]
+            firsts = [None] * len(own) + [raw[i][x : x + SPAN] for i, x in zip(more.tolist(), s.tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in cols], pa.array(firsts, pa.binary())], ["id", "w", "n", "part"])
+
+    return parts.mapInArrow(run, "id long, w long, n long, part binary")
+
+
+def _versions(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, id, v): v tells the texts of a repeated id apart and is 0 for all others."""
+    rows = docs.select("doc_id", "text", F.col("doc_id").cast("long").alias("id"))
+    again = settle(rows.where("id is not null").groupBy("id").count().where("count > 1").select(F.col("id").alias("again")))
+    if again.isEmpty():
+        return rows.withColumn("v", F.lit(0).cast("long"))
+    own = F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit((1 << 24) - 1)) + 1
+    return rows.join(again, F.col("id") == F.col("again"), "left").select("doc_id", "text", "id", F.when(F.col("again").isNotNull(), own).otherwise(0).alias("v"))
+
+
+def _dealt(parts: DataFrame, size: Column, *keys: str) -> DataFrame:
+    """``parts`` in partitions of about 16 MB, sorted by the lane's key."""
+    n = max(parts.sparkSession.sparkContext.defaultParallelism, (parts.agg(F.sum(size)).first()[0] or 0) >> 24)
+    return parts.repartition(int(n), *keys).sortWithinPartitions(*keys)
+
+
+def repeats(rows: DataFrame) -> DataFrame:
+    """(id, v, s, e): byte ranges to remove from ``rows`` (id, v, text); they may overlap."""
+    small_batches(rows.sparkSession)
+    texts = rows.where(F.col("id").isNotNull() & (F.octet_length("text") >= SPAN)).select("id", "v", "text")
+    single, twin = texts.where("v = 0"), texts.where("v > 0").dropDuplicates(["id", "v"])
+    texts = single if rows.where("v > 0").isEmpty() else single.unionByName(twin)
 
     named = _named(texts)
-    shared = named.groupBy("h").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b").select("h")
-    marks = named.join(shared, "h").groupBy("id").agg(F.collect_list(F.struct("h", "w")).alias("x"))
-    marks = settle(marks.select("id", F.col("x.h").alias("hs"), F.col("x.w").alias("ws")))
-    own = settle(_digested(texts.join(marks, "id").select("id", "text", "hs", "ws")))
-    least = settle(own.groupBy("s1", "s2").agg(F.min("id").alias("least"), F.min("h").alias("name")))
-    mixed = least.groupBy("name").agg(F.min("least").alias("a"), F.max("least").alias("b")).where("a < b").select(F.col("name").alias("mixed"))
-
-    met = own.join(least, ["s1", "s2"])
-    whole = met.where("id > least").select("id", F.explode("ws").alias("w")).select("id", F.shiftright("w", 6).alias("s"), (F.shiftright("w", 6) + F.col("w").bitwiseAND(63) + SPAN - 1).alias("e"))
-    todo = met.where("id = least").join(mixed, F.col("h") == F.col("mixed")).groupBy("id").agg(F.collect_list(F.struct("h", "ws")).alias("x"))
-    parts = settle(_bytes_of(texts.join(todo, "id").select("id", "text", "x")))
-    n = max(8, parts.count() // 20_000)
-    partly = _sorted_out(parts.repartition(n, "h").sortWithinPartitions("h"))
-    return copies.unionByName(whole).unionByName(partly)
+    start = F.shiftright(F.col("w").bitwiseAND(F.lit((1 << _V) - 1)), _S)
+    shared = named.groupBy("h").agg(F.min("id").alias("a"), F.max("id").alias("z"), F.min(start).alias("s"), F.count("*").alias("n")).where("a < z")
+    shared = settle(shared.select("h", "a", "s", "n"))
+    # Names with more than one in HOT of these occurrences, at most HOT of them, are dealt over several keys.
+    bar = max(LANE, (shared.agg(F.sum("n")).first()[0] or 0) // HOT)
+    times = F.ceil(F.col("n") / bar).cast("int")
+    hot = settle(shared.where(F.col("n") > bar).select("h", times.alias("times")))
+    deal = F.greatest(F.ceil(F.log2(F.col("n") / LANE)), F.lit(0)).cast("long")
+    place = shared.select("h", "a", (F.shiftleft(F.shiftright("s", REGION), 6) + deal).alias("b"), F.explode(F.sequence(F.lit(0), F.greatest(times, F.lit(1)) - 1)).alias("k"))
+    if hot.isEmpty():
+        named = named.withColumn("k", F.lit(0))
+    else:
+        named = named.join(F.broadcast(hot), "h", "left").withColumn("k", F.pmod(F.xxhash64("id", "w"), F.coalesce("times", F.lit(1))).cast("int"))
+    marks = named.join(place, ["h", "k"]).groupBy("id", F.shiftright("w", _V).alias("v")).agg(F.collect_list(F.struct("w", "a", "b")).alias("x"))
+    marks = settle(marks.select("id", "v", F.col("x.w").alias("ws"), F.col("x.a").alias("as"), F.col("x.b").alias("bs")), shared, hot)
+
+    parts = settle(_stretches(texts.join(marks, ["id", "v"])), marks)
+    found = settle(_sorted_out(_dealt(parts, F.octet_length("part"), "a", "b"), salted=True), parts)
+    ranges = found.where("part is null")
+    firsts = found.where("part is not null")
+    if not firsts.isEmpty():  # strings that are first in a salted lane, held against those of the other lanes
+        strings = firsts.select(F.xxhash64("part").alias("a"), F.lit(0).cast("long").alias("b"), "id", "w", "part")
+        ranges = ranges.unionByName(_sorted_out(_dealt(strings, F.lit(SPAN), "a"), salted=False))
+    return ranges.select("id", F.shiftright("w", _V).alias("v"), start.alias("s"), (start + F.col("n") + SPAN - 1).alias("e"))
 
 
 _DONE = T.StructType([*[T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")], T.StructField("kept_sha256", T.StringType()), T.StructField("kept", T.StringType())])
@@ -368,7 +448,8 @@ def _cut(with_text: bool):
 
 def dedup(docs: DataFrame, with_text: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and ``kept``, the rest of the text) for every row of ``docs``."""
-    ranges = repeats(docs).groupBy(F.col("id").alias("k")).agg(F.collect_list(F.struct("s", "e")).alias("x"))
-    joined = docs.select("doc_id", "text").join(ranges, F.col("doc_id").cast("long") == F.col("k"), "left")
+    rows = _versions(docs)
+    ranges = repeats(rows).groupBy(F.col("id").alias("k"), F.col("v").alias("kv")).agg(F.collect_list(F.struct("s", "e")).alias("x"))
+    joined = rows.join(ranges, (F.col("id") == F.col("k")) & (F.col("v") == F.col("kv")), "left")
     done = joined.select("doc_id", _cut(with_text).asNondeterministic()("text", "x").alias("r"))
     return done.select("doc_id", "r.n_bytes", "r.n_removed", "r.n_spans", "r.kept_sha256", *(["r.kept"] if with_text else []))
