@@ -50,6 +50,8 @@ HOT = 10_000
 _CUT = 12
 #: A place within a document: which of the texts under one id, first byte, number of strings.
 _V, _S = 38, 6
+#: Strings of a run at most.
+MOST = (1 << _S) - 1
 
 
 def suffix_arrays(text: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -64,7 +66,7 @@ def suffix_arrays(text: np.ndarray, ends: np.ndarray) -> np.ndarray:
     above their old ones.  In the end every group is the set of suffixes with one
     Lyndon prefix, and groups are in order.  Phase 2 goes through the suffixes in
     ascending order and, for each, emits the suffixes that lead to it into the front
-    of their groups.  A step does this for one group, or one suffix, of every text.
+    of their groups.  A step does this for one group of every text.
     """
     k = len(ends)
     sizes = np.diff(np.concatenate([[0], ends]))
@@ -131,27 +133,44 @@ def suffix_arrays(text: np.ndarray, ends: np.ndarray) -> np.ndarray:
         first, end = first[more], start[more]
 
     out = np.empty(n, np.int64)
-    free = np.arange(n)
-    placed = ~real
+    free, best, placed = np.arange(n), np.full(n, n), ~real
+    home = group[order]  # the group that holds a place
     read, last = base + 1, base + sizes
     out[read] = base + sizes
-    j = out[read] - 1
+    free[home[read]] += 1
+    placed[out[read]] = True
     while len(read):
-        done = placed[j]
-        if done.any():
-            read = read + done
-            live = read <= last
-            if not live.all():
-                read, last, j, done = read[live], last[live], j[live], done[live]
-            j[done] = out[read[done]] - 1
-        go = np.flatnonzero(~placed[j])
-        i = j[go]
-        g = group[i]
-        to = free[g]
-        out[to] = i
-        free[g] = to + 1
-        placed[i] = True
-        j[go] = prev[i]
+        # All suffixes that stand ready at the front of the lowest open group, in order.
+        to = free[home[read]]
+        count = to - read
+        r = np.repeat(read - np.cumsum(count) + count, count) + np.arange(count.sum())
+        j = out[r] - 1
+        reached, by = [], []
+        while True:
+            go = np.flatnonzero(~placed[j] & (r < best[j]))
+            if not len(go):
+                break
+            j, r = j[go], r[go]
+            best[j[::-1]] = r[::-1]
+            go = best[j] == r
+            j, r = j[go], r[go]
+            reached.append(j)
+            by.append(r)
+            j = prev[j]
+        if reached:
+            j, r = np.concatenate(reached), np.concatenate(by)
+            own = best[j] == r
+            j, r = j[own], r[own]
+            g = group[j]
+            at = np.argsort((g << 32) + r)
+            j, g = j[at], g[at]
+            seg = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
+            long = np.diff(np.append(seg, len(j)))
+            out[np.repeat(free[g[seg]] - seg, long) + np.arange(len(j))] = j
+            free[g[seg]] += long
+            placed[j] = True
+        more = to <= last
+        read, last = to[more], last[more]
     out = out[real]
     return out - lane[out] - 1
 
@@ -167,7 +186,10 @@ def _fold(h: np.ndarray, n: int, f) -> np.ndarray:
 
 
 def snippets(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(text index, name, first string's start, number of strings) of every minimizer occurrence."""
+    """(text index, name, first string's start, number of strings) of every run of strings with one name.
+
+    A string's name is the smallest hash of its k-grams; runs are cut at MOST strings.
+    """
     none = np.zeros(0, np.int64)
     if len(data) < SPAN:
         return none, none, none, none
@@ -175,30 +197,19 @@ def snippets(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray
     for c in kit._STEP:
         h = h[:-step] * c + h[step:]
         step *= 2
-    h = kit.mix(h) | np.uint64(1)
-    least = _fold(h, _W, np.minimum)
-    n = len(least)
-    valid = np.arange(n) + SPAN <= np.repeat(offs[1:], np.diff(offs))[:n]
-    least[~valid] = 0
-    pad = np.zeros(_W - 1, np.uint64)
-    reach = _fold(np.concatenate([pad, least, pad]), _W, np.maximum)[: len(h)]
-    p = np.flatnonzero(reach == h[: len(reach)])
-    # The strings named by p are a run around it: all that hold p and whose least hash is p's.
-    same = np.concatenate([[False], (least[1:] == least[:-1])])
-    run = np.flatnonzero(~same)
-    run_end = np.append(run[1:], n)
-    lo = np.maximum(p - _W + 1, 0)
-    first = np.maximum(lo, run[np.searchsorted(run, np.minimum(p, n - 1), "right") - 1])
-    # p may lie past the last string that holds it, or left of the run's other strings: take the run at its first hit.
-    miss = (least[np.minimum(p, n - 1)] != h[p]) | (p >= n)
-    if miss.any():
-        at = np.flatnonzero(miss)
-        spans = np.minimum(lo[at][:, None] + np.arange(_W), n - 1)
-        hit = (least[spans] == h[p[at]][:, None]) & (spans <= p[at][:, None])
-        first[at] = spans[np.arange(len(at)), hit.argmax(1)]
-    last = np.minimum(run_end[np.searchsorted(run, first, "right") - 1] - 1, p)
-    text = np.searchsorted(offs, first, "right") - 1
-    return text, h[p].view(np.int64), first - offs[text], last - first + 1
+    least = _fold(kit.mix(h), _W, np.minimum)
+    text = np.repeat(np.arange(len(offs) - 1), np.diff(offs))[: len(least)]
+    at = np.flatnonzero(np.arange(len(least)) + SPAN <= offs[text + 1])
+    least, text = least[at], text[at]
+    new = np.ones(len(at), bool)
+    new[1:] = (least[1:] != least[:-1]) | (text[1:] != text[:-1])
+    run = np.flatnonzero(new)
+    size = np.diff(np.append(run, len(at)))
+    more = (size + MOST - 1) // MOST
+    nth = np.arange(more.sum()) - np.repeat(np.cumsum(more) - more, more)
+    first = np.repeat(run, more) + nth * MOST
+    count = np.minimum(MOST, np.repeat(run + size, more) - first)
+    return text[first], least[first].view(np.int64), at[first] - offs[text[first]], count
 
 
 def _promising(raw: np.ndarray, starts: np.ndarray, sizes: np.ndarray, lane: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -394,7 +405,7 @@ def repeats(rows: DataFrame) -> DataFrame:
 
     named = _named(texts)
     start = F.shiftright(F.col("w").bitwiseAND(F.lit((1 << _V) - 1)), _S)
-    shared = named.groupBy("h").agg(F.min("id").alias("a"), F.max("id").alias("z"), F.min(start).alias("s"), F.count("*").alias("n")).where("a < z")
+    shared = named.groupBy("h").agg(F.min("id").alias("a"), F.max("id").alias("z"), F.min_by(start, "id").alias("s"), F.count("*").alias("n")).where("a < z")
     shared = settle(shared.select("h", "a", "s", "n"))
     # Names with more than one in HOT of these occurrences, at most HOT of them, are dealt over several keys.
     bar = max(LANE, (shared.agg(F.sum("n")).first()[0] or 0) // HOT)
