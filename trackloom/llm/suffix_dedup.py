@@ -37,7 +37,7 @@ from . import kit
 from .store import settle, small_batches
 
 SPAN = 50
-_K = 16
+_K = 20
 _W = SPAN - _K + 1
 _TABLE = kit.mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 #: Bytes of lanes, about, that are sorted in step.
@@ -92,43 +92,46 @@ def suffix_arrays(text: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
     first, end = base + 1, base + sizes + 1
     while len(end):
-        start = group[order[end - 1]]
+        start = group.take(order.take(end - 1))
         count = end - start
         at = np.repeat(start - np.cumsum(count) + count, count) + np.arange(count.sum())
-        i = order[at]
+        i = order.take(at)
         bar = np.repeat(start, count)
         p = i - 1
-        todo = np.flatnonzero(group[p] >= bar)
+        todo = np.flatnonzero(group.take(p) >= bar)
         while len(todo):
-            p[todo] = prev[p[todo]]
-            prev[i[todo]] = p[todo]
-            todo = todo[group[p[todo]] >= bar[todo]]
-        p = np.sort(p[real[p]])
+            to = prev.take(p.take(todo))
+            p[todo] = to
+            prev[i.take(todo)] = to
+            todo = todo[group.take(to) >= bar.take(todo)]
+        p = p[real.take(p)]
+        p.sort()
         if len(p):
             edge = np.flatnonzero(np.concatenate([[True], p[1:] != p[:-1]]))
-            u, times = p[edge], np.diff(np.append(edge, len(p)))
-            g = group[u]
+            u, times = p.take(edge), np.diff(np.append(edge, len(p)))
+            g = group.take(u)
             by = np.argsort((g << 32) + times)
-            u, times, g = u[by], times[by], g[by]
+            u, times, g = u.take(by), times.take(by), g.take(by)
             fresh = np.concatenate([[True], g[1:] != g[:-1]])
             seg = np.flatnonzero(fresh)
             of = np.cumsum(fresh) - 1
             here = np.diff(np.append(seg, len(u)))
-            keep = size[g[seg]] - here
-            tail = g[seg] + keep  # the found suffixes of a group move to its end, the most often found last
-            to = (tail - seg)[of] + np.arange(len(u))
+            low = g.take(seg)
+            keep = size.take(low) - here
+            tail = low + keep  # the found suffixes of a group move to its end, the most often found last
+            to = (tail - seg).take(of) + np.arange(len(u))
             step = np.flatnonzero(fresh | np.concatenate([[True], times[1:] != times[:-1]]))
-            had = where[u]
+            had = where.take(u)
             found[u] = True
-            out = order[to]
-            out, gap = out[~found[out]], had[had < tail[of]]
+            out = order.take(to)
+            out, gap = out[~found.take(out)], had[had < tail.take(of)]
             found[u] = False
             order[gap], where[out] = out, gap
             order[to], where[u] = u, to
             long = np.diff(np.append(step, len(u)))
-            group[u] = np.repeat(to[step], long)
-            size[g[seg][keep > 0]] = keep[keep > 0]
-            size[to[step]] = long
+            group[u] = np.repeat(to.take(step), long)
+            size[low[keep > 0]] = keep[keep > 0]
+            size[to.take(step)] = long
         more = start > first
         first, end = first[more], start[more]
 
@@ -141,29 +144,29 @@ def suffix_arrays(text: np.ndarray, ends: np.ndarray) -> np.ndarray:
     placed[out[read]] = True
     while len(read):
         # All suffixes that stand ready at the front of the lowest open group, in order.
-        to = free[home[read]]
+        to = free.take(home.take(read))
         count = to - read
         r = np.repeat(read - np.cumsum(count) + count, count) + np.arange(count.sum())
-        j = out[r] - 1
+        j = out.take(r) - 1
         reached, by = [], []
         while True:
-            go = np.flatnonzero(~placed[j] & (r < best[j]))
+            go = np.flatnonzero(~placed.take(j) & (r < best.take(j)))
             if not len(go):
                 break
-            j, r = j[go], r[go]
+            j, r = j.take(go), r.take(go)
             best[j[::-1]] = r[::-1]
-            go = best[j] == r
-            j, r = j[go], r[go]
+            go = np.flatnonzero(best.take(j) == r)
+            j, r = j.take(go), r.take(go)
             reached.append(j)
             by.append(r)
-            j = prev[j]
+            j = prev.take(j)
         if reached:
             j, r = np.concatenate(reached), np.concatenate(by)
-            own = best[j] == r
-            j, r = j[own], r[own]
-            g = group[j]
+            own = np.flatnonzero(best.take(j) == r)
+            j, r = j.take(own), r.take(own)
+            g = group.take(j)
             at = np.argsort((g << 32) + r)
-            j, g = j[at], g[at]
+            j, g = j.take(at), g.take(at)
             seg = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
             long = np.diff(np.append(seg, len(j)))
             out[np.repeat(free[g[seg]] - seg, long) + np.arange(len(j))] = j
@@ -197,6 +200,7 @@ def snippets(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray
     for c in kit._STEP:
         h = h[:-step] * c + h[step:]
         step *= 2
+    h = h[: step - _K] * kit._STEP[0] + h[_K - step :]  # two overlapping 16-grams make a 20-gram
     least = _fold(kit.mix(h), _W, np.minimum)
     text = np.repeat(np.arange(len(offs) - 1), np.diff(offs))[: len(least)]
     at = np.flatnonzero(np.arange(len(least)) + SPAN <= offs[text + 1])
@@ -237,10 +241,10 @@ def _runs(mark: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.n
     return own, lo - starts[own], hi - starts[own]
 
 
-def covered(docs: np.ndarray, lanes: np.ndarray, parts: list[bytes]) -> tuple[tuple, tuple]:
-    """Runs (stretch, first string, end) of strings that a smaller document of the lane has too, and of all others.
+def covered(docs: np.ndarray, lanes: np.ndarray, parts: list[bytes], salted: np.ndarray) -> tuple[tuple, tuple]:
+    """Runs (stretch, first string, end) of strings that a smaller document of the lane has too, and of all others of salted lanes.
 
-    ``lanes`` ascends.  Of the others, strings without an equal in the lane are among them.
+    ``lanes`` ascends from 0.  Strings without an equal in their lane are among the others.
     """
     sizes = np.array([len(p) for p in parts])
     starts = np.cumsum(sizes) - sizes
@@ -268,7 +272,7 @@ def covered(docs: np.ndarray, lanes: np.ndarray, parts: list[bytes]) -> tuple[tu
         doc = docs[stretch]
         least = np.minimum.reduceat(doc, np.flatnonzero(new))[np.cumsum(new) - 1]
         hit[src[order[least < doc]]] = True
-    rest = ~hit
+    rest = ~hit & np.repeat(salted[lanes], sizes)
     for back in range(1, SPAN):
         rest[starts + sizes - back] = False
     return _runs(hit, starts, sizes), _runs(rest, starts, sizes)
@@ -357,27 +361,51 @@ def _lanes(batches):
         yield from cut(last=True)[0]
 
 
-def _sorted_out(parts: DataFrame, salted: bool) -> DataFrame:
-    """(id, w, n, part): runs of n strings from place w that a smaller document of their lane has too.
+def _laned(batches):
+    """(table, lane of each row from 0, rows that open a lane, parts) of whole lanes."""
+    for t in _lanes(batches):
+        a, b = t["a"].to_numpy(), t["b"].to_numpy()
+        lane = np.cumsum(np.concatenate([[0], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
+        yield t, lane, np.flatnonzero(np.concatenate([[True], lane[1:] != lane[:-1]])), t["part"].to_pylist()
+
+
+_FOUND = "id long, ws array<long>, n long, part binary"
+
+
+def _found(ids, ws, n, parts) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(ws, pa.list_(pa.int64())), pa.array(n, pa.int64()), pa.array(parts, pa.binary())], ["id", "ws", "n", "part"])
+
+
+def _sorted_out(parts: DataFrame) -> DataFrame:
+    """(id, ws, n, part): runs of n strings from place ws[0] that a smaller document of their lane has too.
 
-    With ``salted``, rows with a part are strings that are first in a salted lane.  ``parts`` is sorted by lane.
+    Rows with a part are strings, with all their places, that are first in a salted lane.  ``parts`` is sorted by lane.
     """
 
     def run(batches):
-        for t in _lanes(batches):
-            a, b, ids, w = (t[c].to_numpy() for c in ("a", "b", "id", "w"))
-            lane = np.cumsum(np.concatenate([[0], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
-            raw = t["part"].to_pylist()
-            (own, lo, hi), (more, s, e) = covered(ids, lane, raw)
-            open_ = (b[more] & 0xFFFFFFFF) > 0 if salted else np.zeros(len(more), bool)
-            more, s, n = more[open_], s[open_], (e - s)[open_]
-            more = np.repeat(more, n)
-            s = np.repeat(s - np.cumsum(n) + n, n) + np.arange(n.sum())
-            cols = [np.concatenate([ids[own], ids[more]]), np.concatenate([w[own] + (lo << _S), w[more] + (s << _S)]), np.concatenate([hi - lo, np.ones(len(more), np.int64)])]
-            firsts = [None] * len(own) + [raw[i][x : x + SPAN] for i, x in zip(more.tolist(), s.tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in cols], pa.array(firsts, pa.binary())], ["id", "w", "n", "part"])
-
-    return parts.mapInArrow(run, "id long, w long, n long, part binary")
+        for t, lane, opens, raw in _laned(batches):
+            b, ids, w = (t[c].to_numpy() for c in ("b", "id", "w"))
+            (own, lo, hi), more = covered(ids, lane, raw, (b[opens] & 0xFFFFFFFF) > 0)
+            first: dict[tuple, list] = {}
+            for i, s, e in zip(*[x.tolist() for x in more], strict=True):
+                for x in range(s, e):
+                    first.setdefault((int(ids[i]), raw[i][x : x + SPAN]), []).append(int(w[i]) + (x << _S))
+            runs = (w[own] + (lo << _S))[:, None].tolist()
+            yield _found([*ids[own].tolist(), *[k[0] for k in first]], runs + list(first.values()), [*(hi - lo).tolist(), *[1] * len(first)], [None] * len(own) + [k[1] for k in first])
+
+    return parts.mapInArrow(run, _FOUND)
+
+
+def _sorted_firsts(strings: DataFrame) -> DataFrame:
+    """The same rows, without parts, for single strings (a, b, id, ws, part) sorted by lane."""
+
+    def run(batches):
+        for t, lane, opens, raw in _laned(batches):
+            (own, _, _), _ = covered(t["id"].to_numpy(), lane, raw, np.zeros(len(opens), bool))
+            at = pa.array(own)
+            yield _found(t["id"].take(at).combine_chunks(), t["ws"].take(at).combine_chunks(), np.ones(len(own), np.int64), [None] * len(own))
+
+    return strings.mapInArrow(run, _FOUND)
 
 
 def _versions(docs: DataFrame) -> DataFrame:
@@ -417,17 +445,18 @@ def repeats(rows: DataFrame) -> DataFrame:
         named = named.withColumn("k", F.lit(0))
     else:
         named = named.join(F.broadcast(hot), "h", "left").withColumn("k", F.pmod(F.xxhash64("id", "w"), F.coalesce("times", F.lit(1))).cast("int"))
-    marks = named.join(place, ["h", "k"]).groupBy("id", F.shiftright("w", _V).alias("v")).agg(F.collect_list(F.struct("w", "a", "b")).alias("x"))
+    marks = named.join(place.hint("shuffle_hash"), ["h", "k"]).groupBy("id", F.shiftright("w", _V).alias("v")).agg(F.collect_list(F.struct("w", "a", "b")).alias("x"))
     marks = settle(marks.select("id", "v", F.col("x.w").alias("ws"), F.col("x.a").alias("as"), F.col("x.b").alias("bs")), shared, hot)
 
     parts = settle(_stretches(texts.join(marks, ["id", "v"])), marks)
-    found = settle(_sorted_out(_dealt(parts, F.octet_length("part"), "a", "b"), salted=True), parts)
+    found = settle(_sorted_out(_dealt(parts, F.octet_length("part"), "a", "b")), parts)
     ranges = found.where("part is null")
     firsts = found.where("part is not null")
-    if not firsts.isEmpty():  # strings that are first in a salted lane, held against those of the other lanes
-        strings = firsts.select(F.xxhash64("part").alias("a"), F.lit(0).cast("long").alias("b"), "id", "w", "part")
-        ranges = ranges.unionByName(_sorted_out(_dealt(strings, F.lit(SPAN), "a"), salted=False))
-    return ranges.select("id", F.shiftright("w", _V).alias("v"), start.alias("s"), (start + F.col("n") + SPAN - 1).alias("e"))
+    if not firsts.isEmpty():  # held against those of the other lanes
+        strings = firsts.select(F.xxhash64("part").alias("a"), F.lit(0).cast("long").alias("b"), "id", "ws", "part")
+        ranges = ranges.unionByName(_sorted_firsts(_dealt(strings, F.lit(SPAN), "a")))
+    spots = ranges.select("id", F.explode("ws").alias("w"), "n")
+    return spots.select("id", F.shiftright("w", _V).alias("v"), start.alias("s"), (start + F.col("n") + SPAN - 1).alias("e"))
 
 
 _DONE = T.StructType([*[T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")], T.StructField("kept_sha256", T.StringType()), T.StructField("kept", T.StringType())])
