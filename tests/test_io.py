@@ -158,3 +158,12 @@ def test_recorded_chunks(spark):
     rows = spark.createDataFrame([(5,), (10,), (15,)], "t_ns long")
     chunks = spark.createDataFrame([(0, 0, 10), (1, 11, 14)], "chunk_index int, capture_start_ns long, capture_end_ns long")
     assert [r.chunk_index for r in streaming.chunk_of_time(rows, chunks).orderBy("t_ns").collect()] == [0, 0, None]
+
+
+def test_point_stream_on_a_recorded_track(spark, tmp_path):
+    track = spark.createDataFrame([(1, 0, 0.0), (1, 3_000_000_000, 30.0), (2, 0, 5.0)], "session_id int, t_ns long, easting double")
+    rows = [(1, 0), (1, 1_500_000_000), (1, 3_000_000_000), (1, 3_000_000_001), (2, 0), (2, 1), (1, -1)]
+    spark.createDataFrame(rows, "session_id int, t_ns long").coalesce(1).write.parquet(str(tmp_path / "points"))
+    live = spark.readStream.schema("session_id int, t_ns long").parquet(str(tmp_path / "points"))
+    got = drain(streaming.fuse_stream(live, track, values=["easting"]), "laid").orderBy("session_id", "t_ns").collect()
+    assert [tuple(r) for r in got] == [(1, 0, 0.0), (1, 1_500_000_000, 15.0), (1, 3_000_000_000, 30.0), (2, 0, 5.0)]

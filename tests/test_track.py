@@ -1,6 +1,7 @@
 """Cleaning, time choice, joins and folds against literal vectors and numpy."""
 
 import math
+import time
 
 import numpy as np
 import pytest
@@ -275,3 +276,35 @@ def test_replay(spark):
     poses = spark.createDataFrame([("a", 1000, [float(v) for v in ident])], "file string, t_ns long, m array<double>")
     got = sorted((r.x, r.y, r.z) for r in jobs.replay_map(pts, poses, JobConfig()).collect())
     assert got == [(5.0, 6.0, 7.0), (5.0, 7.0, 7.0), (6.0, 6.0, 7.0), (6.0, 7.0, 7.0)]
+
+
+def test_one_long_key_stays_linear(spark):
+    """A million rows under one key: frames that only grow, not one scan for each row."""
+    n = 500_000
+    rows = spark.range(n).select(F.lit(0).alias("k"), (F.col("id") * 1000 + 500).alias("t_ns"), F.col("id").alias("ord"))
+    ref = spark.range(n).select(F.lit(0).alias("k"), (F.col("id") * 1000 + 1).alias("t_ns"), F.col("id").alias("pose_ord"), F.col("id").cast("double").alias("v"))
+    start = time.perf_counter()
+    got = asof.interpolate_partitioned(rows, ref, ["v"], keys=["k"]).agg(F.count("*").alias("n"), F.max(F.abs(F.col("v") - (F.col("t_ns") - 1) / 1000)).alias("off")).first()
+    assert got.n == n - 1 and got.off < 1e-6
+    near = asof.nearest(rows, ref, keys=["k"]).agg(F.count("*").alias("n"), F.count_if(F.col("pose_ord") == F.col("ord")).alias("same")).first()
+    assert near.n == near.same == n
+    flat = rows.select("k", "ord", F.lit(0.0).alias("easting"), F.when(F.col("ord") > n - 3, 5.0).otherwise(0.0).alias("northing"))
+    assert track.heading(flat, keys=["k"], order=["ord"]).where("heading_rad > 1.5").count() == n
+    assert time.perf_counter() - start < 60
+
+
+def test_references_of_one_time(spark):
+    ref = spark.createDataFrame([(0, 100, 3), (0, 100, 1), (0, 200, 7), (0, 200, 5)], "k int, t_ns long, pose_ord long")
+    q = spark.createDataFrame([(0, 100, 0), (0, 150, 1), (0, 190, 2), (0, 300, 3)], "k int, t_ns long, ord long")
+    assert [r.pose_ord for r in asof.nearest(q, ref, keys=["k"]).orderBy("ord").collect()] == [1, 3, 5, 7]
+
+
+def test_anchor_of_two_sessions(spark):
+    g = [(s, i, i * 10**9, 100.0 * s + i, 50.0 * s, 7.0 + s) for s in (1, 2) for i in range(5)]
+    gps = spark.createDataFrame(g, "session_id int, ord long, t_ns long, easting double, northing double, altitude_m double")
+    traj = spark.createDataFrame([(s, i, i * 10**9, float(i), 0.0, 1.0) for s in (1, 2) for i in range(5)], "session_id int, ord long, t_ns long, tx double, ty double, tz double")
+    fit, _ = jobs.anchor_rigid(traj, gps, JobConfig())
+    moved = jobs.apply_anchor(traj, fit).orderBy("session_id", "ord").collect()
+    assert [(round(r.tx, 6), round(r.ty, 6), round(r.tz, 6)) for r in moved] == [(x, y, z) for _, _, _, x, y, z in g]
+    laid = jobs.constraints(traj, gps, JobConfig(constraint_every_m=2.0))
+    assert laid.where("session_id = 2 and y <> 100.0").count() == 0 and laid.where("session_id = 1").count() > 1

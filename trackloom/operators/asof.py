@@ -40,34 +40,51 @@ def interpolate(query: DataFrame, ref: DataFrame, values: Sequence[str], *, time
 
 
 def _interpolate_binned(query: DataFrame, ref: DataFrame, values: Sequence[str], time: str, lo: int, width: int, broadcast: bool) -> DataFrame:
+    if not broadcast:
+        return _interpolate_in_parts(query, ref, values, time, lo, width)
     knot = F.struct(F.col(time).alias("t"), *values)
-    every = Window.orderBy(time) if broadcast else Window.partitionBy("_part").orderBy(time)
     knots = ref.select(time, *values)
-    if not broadcast:  # neighbours across a border of parts: every part also gets the last knot before it
-        knots = knots.withColumn("_part", F.expr(f"({time} - {lo}) div {width}"))
-        last = knots.groupBy("_part").agg(F.max(F.struct(time, *values)).alias("k")).withColumn("_to", F.lead("_part").over(Window.orderBy("_part")))
-        carried = last.where("_to is not null").select(*[F.col("k")[c].alias(c) for c in (time, *values)], F.col("_to").alias("_part"))
-        knots = knots.unionByName(carried)
-    segments = knots.select(knot.alias("_prev"), F.lead(knot).over(every).alias("_next"))
+    segments = knots.select(knot.alias("_prev"), F.lead(knot).over(Window.orderBy(time)).alias("_next"))
     segments = segments.where("_next is not null").unionByName(knots.groupBy().agg(F.max(knot).alias("_prev")).where("_prev is not null").withColumn("_next", F.col("_prev")))
     bins = F.sequence(F.expr(f"(_prev.t - {lo}) div {width}"), F.expr(f"(_next.t - {lo}) div {width}"))
     segments = segments.select("_prev", "_next", F.explode(bins).alias("_bin"))
     binned = query.withColumn("_bin", F.expr(f"({time} - {lo}) div {width}"))
     inside = (F.col("_prev.t") <= F.col(time)) & ((F.col(time) < F.col("_next.t")) | (F.col("_prev.t") == F.col("_next.t")) & (F.col(time) == F.col("_next.t")))
-    joined = binned.join(F.broadcast(segments) if broadcast else segments, "_bin").where(inside)
+    joined = binned.join(F.broadcast(segments), "_bin").where(inside)
     return joined.select(*query.columns, *[_blend(v, time).alias(v) for v in values])
 
 
+def _interpolate_in_parts(query: DataFrame, ref: DataFrame, values: Sequence[str], time: str, lo: int, width: int) -> DataFrame:
+    """One long track: parts of time become the keys of :func:`interpolate_partitioned`.
+
+    Every part, empty ones too, also gets the last knot before it and the first one after it, so each point meets two knots.
+    """
+    part = F.expr(f"({time} - {lo}) div {width}").alias("_part")
+    knots = ref.select(part, time, *values)
+    knot = F.struct(time, *values)
+    ends = knots.groupBy("_part").agg(F.min(knot).alias("_first"), F.max(knot).alias("_last"))  # one row a part
+    gaps = ends.withColumns({"_to": F.lead("_part").over(Window.orderBy("_part")), "_after": F.lead("_first").over(Window.orderBy("_part"))}).where("_to is not null")
+    lent = [gaps.select(F.explode(F.sequence(F.col("_part") + 1, F.col("_to"))).alias("_part"), F.col("_last").alias("k")),
+            gaps.select(F.explode(F.sequence(F.col("_part"), F.col("_to") - 1)).alias("_part"), F.col("_after").alias("k"))]
+    for more in lent:
+        knots = knots.unionByName(more.select("_part", *[F.col("k")[c].alias(c) for c in (time, *values)]))
+    return interpolate_partitioned(query.withColumn("_part", part), knots, values, time=time, keys=["_part"]).drop("_part")
+
+
+def _neighbours(both: DataFrame, knot: str, keys: Sequence[str], before: Sequence[Column], after: Sequence[Column], names: tuple[str, str]) -> DataFrame:
+    """The last ``knot`` up to each row in the order ``before``, and that in the reverse order ``after``: frames that only grow."""
+    last = lambda order: F.last(knot, ignorenulls=True).over(Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    return both.withColumn(names[0], last(before)).withColumn(names[1], last(after))
+
+
 def interpolate_partitioned(query: DataFrame, ref: DataFrame, values: Sequence[str], *, time: str = "t_ns", keys: Sequence[str]) -> DataFrame:
     """The same per key, both sides large: one shuffle on the keys, then ordered frames over the union."""
     require_columns(query, [time, *keys], "query")
     kept = [c for c in query.columns if c not in keys and c != time]
     left = query.select(*keys, time, F.struct(*(kept or [F.lit(1).alias("_one")])).alias("_row"), F.lit(None).cast(ref.select(F.struct(F.col(time).alias("t"), *values).alias("k")).schema["k"].dataType).alias("_knot"))
     right = ref.select(*keys, time, F.lit(None).cast(left.schema["_row"].dataType).alias("_row"), F.struct(F.col(time).alias("t"), *values).alias("_knot"))
-    w = Window.partitionBy(*keys).orderBy(time)
-    both = left.unionByName(right)
-    both = both.withColumn("_prev", F.last("_knot", ignorenulls=True).over(w.rangeBetween(Window.unboundedPreceding, 0)))
-    both = both.withColumn("_next", F.first("_knot", ignorenulls=True).over(w.rangeBetween(0, Window.unboundedFollowing)))
+    point = F.col("_row").isNotNull()  # at equal times knots come first in either order
+    both = _neighbours(left.unionByName(right), "_knot", keys, [F.col(time), point, F.col("_knot")], [F.desc(time), point, F.desc("_knot")], ("_prev", "_next"))
     hit = both.where("_row is not null and _prev is not null and _next is not null")
     return hit.select(*[F.col(c) if c in keys or c == time else F.col("_row")[c].alias(c) for c in query.columns], *[_blend(v, time).alias(v) for v in values])
 
@@ -75,17 +92,17 @@ def interpolate_partitioned(query: DataFrame, ref: DataFrame, values: Sequence[s
 def nearest(query: DataFrame, ref: DataFrame, *, time: str = "t_ns", order: str = "ord", ref_id: str = "pose_ord", keys: Sequence[str], tolerance: int = 100_000_000) -> DataFrame:
     """Adds the nearest reference row's id, the distance in time, and whether it is an inlier.
 
-    A tie goes to the earlier row.  A time <= 0 is no time: such rows borrow the
-    match of the first valid row of their key (the first reference row if none is
-    valid), at distance 0, and are never inliers.
+    A tie goes to the earlier row; of references of one time the last id counts
+    as the one before, the first id as the one at or after.  A time <= 0 is no
+    time: such rows borrow the match of the first valid row of their key (the
+    first reference row if none is valid), at distance 0, and are never inliers.
     """
     ref_t = F.struct(F.col(time).alias("t"), F.col(ref_id).alias("id"))
     left = query.select(*keys, time, order, F.lit(True).alias("_q"), F.lit(None).cast(ref.select(ref_t.alias("k")).schema["k"].dataType).alias("_ref"))
     right = ref.select(*keys, time, F.lit(None).cast("long").alias(order), F.lit(False).alias("_q"), ref_t.alias("_ref"))
-    by_time = Window.partitionBy(*keys).orderBy(time)
     both = left.unionByName(right)
-    both = both.withColumn("_l", F.last("_ref", ignorenulls=True).over(by_time.rangeBetween(Window.unboundedPreceding, -1)))
-    both = both.withColumn("_r", F.first("_ref", ignorenulls=True).over(by_time.rangeBetween(0, Window.unboundedFollowing)))
+    # Before: references of smaller times only; at or after: those of the same time as well.
+    both = _neighbours(both, "_ref", keys, [F.col(time), F.desc("_q"), F.col("_ref")], [F.desc(time), F.col("_q"), F.desc("_ref")], ("_l", "_r"))
     dl, dr = F.col(time) - F.col("_l.t"), F.col("_r.t") - F.col(time)
     pick = F.when(F.col("_l").isNull(), F.col("_r")).when(F.col("_r").isNull(), F.col("_l")).when(dr < dl, F.col("_r")).otherwise(F.col("_l"))
     both = both.withColumn("_pick", pick)

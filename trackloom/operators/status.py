@@ -26,8 +26,29 @@ def clock_sources(df: DataFrame, text: str, *, keys: Sequence[str]) -> DataFrame
     return lines.where(F.col("line").rlike(pattern)).select(*keys, "ord", part(1).alias("mode"), part(2).alias("state"), part(3).alias("name"))
 
 
-def clock_sync(sources: DataFrame, returncodes: DataFrame, *, keys: Sequence[str]) -> DataFrame:
-    """Ready if waiting for sync succeeded and the first selected source is a local one; states of the local sources; a summary."""
+#: What the capture program and the timing helper say of a clock, in this order: nothing printed by the wait,
+#: no local source, none selected, another one selected (before and after its name), a local one selected (before and after).
+CAPTURE_TEXTS = (
+    "chronyc waitsync not yet satisfied",
+    "chrony waitsync passed, but GPS/PPS refclocks were not present in `chronyc sources -v`.",
+    "chrony waitsync passed, but no selected source was reported.",
+    "chrony is synchronized to ", " instead of GPS/PPS.",
+    "chrony synchronized to local source ", ".",
+)
+HELPER_TEXTS = (
+    "Pi time has not settled yet.",
+    "GPS/PPS timing sources are not showing up yet.",
+    "A timing source is visible, but none is selected yet.",
+    "Pi time is still following ", " instead of local GPS/PPS.",
+    "Pi time is locked to local ", ".",
+)
+
+
+def clock_sync(sources: DataFrame, returncodes: DataFrame, *, keys: Sequence[str], texts: Sequence[str] = CAPTURE_TEXTS) -> DataFrame:
+    """Ready if waiting for sync succeeded and the first selected source is a local one; states of the local sources; a summary.
+
+    ``returncodes`` holds the wait's ``returncode`` and, where captured, its ``stdout`` and ``stderr``, which a failed wait's summary repeats.
+    """
     local = F.col("name").isin(*LOCAL_CLOCKS)
     per = sources.groupBy(*keys).agg(
         F.min_by("name", F.when(F.col("state") == "*", F.col("ord"))).alias("_name"),
@@ -38,18 +59,19 @@ def clock_sync(sources: DataFrame, returncodes: DataFrame, *, keys: Sequence[str
     name = F.when(F.col("_selected") > 0, F.col("_name"))
     is_local = F.coalesce(name.isin(*LOCAL_CLOCKS), F.lit(False))
     waited = F.coalesce(F.col("returncode") == 0, F.lit(False))
+    said = [F.nullif(F.col(c), F.lit("")) for c in ("stdout", "stderr") if c in returncodes.columns]
     summary = (
-        F.when(~waited, "wait for sync not satisfied").when(F.coalesce(F.size("_local"), F.lit(0)) <= 0, "no local clock among the sources")
-        .when(name.isNull(), "no source selected").when(~is_local, F.concat(F.lit("selected: "), name)).otherwise(F.concat(F.lit("local: "), name))
+        F.when(~waited, F.coalesce(*said, F.lit(texts[0]))).when(F.coalesce(F.size("_local"), F.lit(0)) <= 0, texts[1]).when(name.isNull(), texts[2])
+        .when(~is_local, F.concat(F.lit(texts[3]), name, F.lit(texts[4]))).otherwise(F.concat(F.lit(texts[5]), name, F.lit(texts[6])))
     )
     return both.select(*keys, (waited & is_local).alias("ready"), name.alias("selected_source"), F.coalesce(F.concat_ws(",", "_local"), F.lit("")).alias("local_states"), summary.alias("summary"))
 
 
 def ptp_locked(status: Column) -> Column:
-    """Locked to a grandmaster: PTP time if the mode is known, port is slave, and a grandmaster is present or named."""
+    """Locked to a grandmaster: PTP time if the mode is known, port is slave in any case, and a grandmaster is present or named."""
     mode, port = status["timestamp_mode"], status["ptp"]["port_data_set"]["port_state"]
     present, named = status["ptp"]["time_status_np"]["gm_present"], status["ptp"]["parent_data_set"]["grandmaster_identity"]
-    ok = (mode.isNull() | mode.contains("PTP")) & (port == "SLAVE") & F.coalesce(present, F.lit(True)) & (present.isNotNull() | (F.coalesce(named, F.lit("")) != ""))
+    ok = (mode.isNull() | (mode == "TIME_FROM_PTP_1588")) & (F.upper(port) == "SLAVE") & F.coalesce(present, F.lit(True)) & (present.isNotNull() | (F.coalesce(named, F.lit("")) != ""))
     return F.coalesce(ok, F.lit(False))
 
 
@@ -81,20 +103,60 @@ def gate(polls: DataFrame, *, keys: Sequence[str], time: str, ready: str, timeou
     return per.select(*keys, "started", F.when(ok, F.col("opened")).alias("opened"), ok.alias("passed"))
 
 
+SERVICES = ("chrony", "bridge", "ptp4l", "phc2sys")
+#: Fixed values: (summary, recommended action) by state; an empty summary repeats the clock's or the broadcast's own.
+ROLL_UP = {
+    "ready": ("Timing stack looks ready for PTP capture.", "You can start a PTP capture session."),
+    "no gps time": ("", "Move outside for sky view and wait for GPS time to lock before starting capture."),
+    "no broadcast": ("Pi time broadcast is not running yet.", "Use the Fix Time Broadcast button once GPS time is ready."),
+    "broadcast not aligned": ("", "Use the Fix Time Broadcast button to restart the broadcast after GPS time is ready."),
+    "service missing": ("One or more background timing services are not running.", "Check the service details below and restart the missing service."),
+    "partly ready": ("Timing stack is partially ready.", "Refresh timing status after a few seconds."),
+}
+BROADCAST_UNKNOWN, BROADCAST_OFF = "Pi time broadcast status unavailable.", "Pi time broadcast is not aligned yet."
+RESTART_OK = "GPS time is ready, so the Pi time broadcast can be restarted safely."
+RESTART_WAIT = "Wait for GPS/PPS lock before restarting the Pi time broadcast."
+
+
 def roll_up(df: DataFrame) -> DataFrame:
-    """Summary and advice from the flags gps_ready, ptp4l, phc2sys, chrony, bridge (active) and phc_ready, most urgent first."""
+    """The status document's own fields, most urgent state first.
+
+    From the flags ``gps_ready``, ``phc_ready`` and one for each of SERVICES (active), and the clock's and the
+    broadcast's summaries ``gps_time_summary`` and ``phc_summary``.
+    """
+    stack = F.forall(F.array(*SERVICES), lambda x: x)
     broadcast = F.col("ptp4l") & F.col("phc2sys") & F.col("phc_ready")
-    stack = F.col("chrony") & F.col("bridge") & F.col("ptp4l") & F.col("phc2sys")
     state = (
         F.when(F.col("gps_ready") & broadcast, "ready").when(~F.col("gps_ready"), "no gps time").when(~F.col("phc2sys"), "no broadcast")
         .when(~F.col("phc_ready"), "broadcast not aligned").when(~stack, "service missing").otherwise("partly ready")
     )
-    advice = (
-        F.when(state == "ready", "start capture").when(state == "no gps time", "wait for sky view").when(state.isin("no broadcast", "broadcast not aligned"), "restart broadcast")
-        .when(state == "service missing", "restart service").otherwise("refresh")
-    )
-    active = sum((F.col(c).cast("int") for c in ("chrony", "bridge", "ptp4l", "phc2sys")), F.lit(0))
-    return df.withColumns({"state": state, "advice": advice, "services": F.concat(active.cast("string"), F.lit("/4"))})
+    phc = F.nullif(F.col("phc_summary"), F.lit(""))
+    own = F.when(F.col("state") == "no gps time", F.col("gps_time_summary")).when(F.col("state") == "broadcast not aligned", F.coalesce(phc, F.lit(BROADCAST_OFF)))
+    said = lambda i: F.create_map(*[F.lit(x) for k, v in ROLL_UP.items() for x in (k, v[i])])[F.col("state")]
+    active = sum((F.col(c).cast("int") for c in SERVICES), F.lit(0))
+    return df.withColumn("state", state).withColumns({
+        "gps_time_ready": F.col("gps_ready"), "pi_time_broadcast_ready": broadcast, "pi_time_broadcast_summary": F.coalesce(phc, F.lit(BROADCAST_UNKNOWN)),
+        "background_services_ready": stack, "background_services_summary": F.concat(active.cast("string"), F.lit(f"/{len(SERVICES)} timing services running.")),
+        "summary": F.coalesce(own, said(0)), "recommended_action": said(1), "restart_phc2sys_allowed": F.col("gps_ready"),
+        "restart_phc2sys_reason": F.when(F.col("gps_ready"), RESTART_OK).otherwise(RESTART_WAIT),
+    })
+
+
+#: What must hold for a fresh capture to count as aligned.
+CAPTURE_CHECKS = ("phc_ready", "locked_before", "locked_after", "aligned_before", "aligned_after", "file_ready", "window_ready")
+
+
+def capture_verdict(df: DataFrame) -> DataFrame:
+    """Adds ``passed``, the AND of CAPTURE_CHECKS (null counts as not passed), and ``failed``, the names of those that are not."""
+    flags = {c: F.coalesce(F.col(c), F.lit(False)) for c in CAPTURE_CHECKS}
+    failed = F.filter(F.array(*[F.when(~f, F.lit(c)) for c, f in flags.items()]), lambda x: x.isNotNull())
+    return df.withColumn("failed", failed).withColumn("passed", F.size("failed") == 0)
+
+
+def pulse_count(df: DataFrame, text: str, *, least: int = 2) -> DataFrame:
+    """Adds ``asserts``, the lines of a pulse test's output that hold 'assert', and ``pulsing``, whether there are enough."""
+    n = F.size(F.filter(F.split(F.coalesce(F.col(text), F.lit("")), "\n"), lambda line: line.contains("assert")))
+    return df.withColumn("asserts", n).withColumn("pulsing", F.col("asserts") >= least)
 
 
 def verdict(locked: Column, synced: Column) -> Column:

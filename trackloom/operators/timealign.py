@@ -47,8 +47,9 @@ def choose_time_mode(query: DataFrame, ref: DataFrame, mode: str = "auto", *, ti
     """
     if mode not in ("auto", "unix_ns", "relative_start"):
         raise ValueError(f"unknown time mode: {mode}")
-    q, r = series_stats(query, time=time, order=order, keys=keys, prefix="q_"), series_stats(ref, time=time, order=order, keys=keys, prefix="r_")
-    both = q.join(r, list(keys)) if keys else q.crossJoin(F.broadcast(r))  # one row each
+    own = keys if set(keys) <= set(ref.columns) else ()  # a reference without the keys is one series for all of them
+    q, r = series_stats(query, time=time, order=order, keys=keys, prefix="q_"), series_stats(ref, time=time, order=order, keys=own, prefix="r_")
+    both = q.join(r, list(keys)) if own else q.crossJoin(F.broadcast(r))  # one row of the reference
     epoch = F.lit(True)
     for c in ("q_median", "r_median"):
         epoch = epoch & F.col(c).between(EPOCH_FROM_NS, EPOCH_TO_NS)

@@ -104,7 +104,9 @@ def heading(df: DataFrame, *, keys: Sequence[str], order: Sequence[str], fallbac
     slope = df.withColumn("_dx", gradient(x, w)).withColumn("_dy", gradient(y, w))
     slope = slope.withColumn("_h", F.when(F.hypot("_dx", "_dy") > 1e-9, F.atan2("_dy", "_dx")))
     back = F.last("_h", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    ahead = F.first("_h", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
+    # The first one ahead, as the last one so far of the reverse order: a frame that only grows.
+    reverse = Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in order]).rowsBetween(Window.unboundedPreceding, 0)
+    ahead = F.last("_h", ignorenulls=True).over(reverse)
     return slope.withColumn("heading_rad", F.coalesce(back, ahead, F.lit(float(fallback_rad)))).drop("_dx", "_dy", "_h")
 
 

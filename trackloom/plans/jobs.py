@@ -27,10 +27,12 @@ def prepare_track(fixes: DataFrame, cfg: JobConfig, *, preferred: str | None = N
 
 def gps_fusion(points: DataFrame, gps: DataFrame, cfg: JobConfig, *, scan_keys: tuple = ("file",)) -> DataFrame:
     """Global points from local ones (t_ns, x, y, z, ord) and a clean track: align, trim, interpolate, turn, shift."""
+    if cfg.time_mode == "unix_ns":  # nothing to subtract
+        return _fuse(points, gps, cfg, scan_keys, points.columns)
     per = scan_keys if cfg.time_mode_scope == "file" else ()
     if per:
-        used = timealign.choose_time_mode(points, points.select(*per).distinct().crossJoin(F.broadcast(gps)), cfg.time_mode, keys=per)
-        aligned = points.join(F.broadcast(used), list(per))
+        used = timealign.choose_time_mode(points, gps, cfg.time_mode, keys=per)
+        aligned = points.join(used, list(per))
         shifts = [r["ref_origin"] for r in used.select("ref_origin").distinct().collect()]  # 0, the track's start, or both
         parts = [_fuse(aligned.where(F.col("ref_origin") == s).withColumn("t_ns", F.col("t_ns") - F.col("query_origin")), gps.withColumn("t_ns", F.col("t_ns") - s), cfg, scan_keys, points.columns) for s in shifts]
         out = parts[0]
@@ -48,7 +50,7 @@ def _first_scan(points: DataFrame, keys: tuple) -> DataFrame:
 
 
 def _fuse(points: DataFrame, gps: DataFrame, cfg: JobConfig, keys: tuple, columns: list[str]) -> DataFrame:
-    joined = asof.interpolate(points.select(*columns), gps, TRACK)
+    joined = asof.interpolate(points.select(*columns), gps, TRACK, keys=_shared(keys, gps))
     yaw = math.radians(cfg.sensor_yaw_deg)
     theta = F.lit(yaw)
     if cfg.orientation == "path_tangent":
@@ -63,9 +65,14 @@ def _fuse(points: DataFrame, gps: DataFrame, cfg: JobConfig, keys: tuple, column
     return scan.reflectivity_gate(moved, cfg.min_reflectivity) if cfg.reflectivity_filter else moved
 
 
+def _shared(keys: tuple, gps: DataFrame) -> tuple:
+    """The keys if the track has them too: each session meets its own track then, else all meet the one there is."""
+    return keys if set(keys) <= set(gps.columns) else ()
+
+
 def constraints(trajectory: DataFrame, gps: DataFrame, cfg: JobConfig, *, keys: tuple = ("session_id",)) -> DataFrame:
     """Absolute position constraints along a trajectory (t_ns, tx, ty, tz, ord): every so many metres the track's place and the weights."""
-    at = asof.interpolate(trajectory, gps, TRACK)
+    at = asof.interpolate(trajectory, gps, TRACK, keys=_shared(keys, gps))
     thin = track.thin_by_distance(at, every_m=cfg.constraint_every_m, keys=keys, x="tx", y="ty")
     w, z = cfg.constraint_weights, cfg.anchor_z_mode == "offset"
     return thin.select(*keys, "t_ns", F.col("easting").alias("x"), F.col("northing").alias("y"), (F.col("altitude_m") if z else F.lit(0.0)).alias("z"), F.lit(w[0]).alias("wx"), F.lit(w[1]).alias("wy"), F.lit(w[2] if z else 0.0).alias("wz"))
@@ -73,7 +80,7 @@ def constraints(trajectory: DataFrame, gps: DataFrame, cfg: JobConfig, *, keys:
 
 def anchor_rigid(trajectory: DataFrame, gps: DataFrame, cfg: JobConfig, *, keys: tuple = ("session_id",)) -> tuple[DataFrame, DataFrame]:
     """(transform, metrics): the rigid motion that lays a trajectory on the track, and how well it fits, per key."""
-    at = asof.interpolate(trajectory, gps, TRACK)
+    at = asof.interpolate(trajectory, gps, TRACK, keys=_shared(keys, gps))
     fit = geometry.rigid_fit(at, src=("tx", "ty"), dst=("easting", "northing"), min_motion_m=cfg.anchor_min_motion_m, keys=keys)
     if cfg.anchor_z_mode == "offset":
         fit = fit.join(at.groupBy(*keys).agg(F.median(F.col("altitude_m") - F.col("tz")).alias("z_offset")), list(keys))
@@ -83,10 +90,18 @@ def anchor_rigid(trajectory: DataFrame, gps: DataFrame, cfg: JobConfig, *, keys:
     return fit, metrics.alignment(moved, ref=("easting", "northing"), est=("tx", "ty"), keys=keys, order=("t_ns", "ord"))
 
 
+def apply_anchor(trajectory: DataFrame, fit: DataFrame, *, keys: tuple = ("session_id",)) -> DataFrame:
+    """A trajectory (tx, ty, tz) moved by the transforms of :func:`anchor_rigid` and lifted by their z offsets."""
+    moved = geometry.apply_rigid(trajectory, fit, x="tx", y="ty", keys=keys)
+    lift = fit.select(*keys, F.col("z_offset").alias("_z"))
+    return moved.join(lift, list(keys)).withColumn("tz", F.col("tz") + F.col("_z")).drop("_z")
+
+
 def replay_map(points: DataFrame, poses: DataFrame, cfg: JobConfig, *, keys: tuple = ("file",)) -> DataFrame:
     """Map points from decoded scans and column poses: nearest pose, transform, gates, one point per voxel."""
     columns = points.select(*keys, "scan_idx", "col", "t_ns").distinct().withColumn("ord", F.col("scan_idx").cast("long") * 1_000_000 + F.col("col"))
-    numbered = poses.select(*keys, "t_ns", F.col("t_ns").alias("pose_t"), "m")
+    # Of poses of one time the smallest counts: a point meets one pose.
+    numbered = poses.groupBy(*keys, "t_ns").agg(F.min("m").alias("m")).withColumn("pose_t", F.col("t_ns"))
     match = asof.nearest(columns, numbered, ref_id="pose_t", keys=keys, tolerance=cfg.max_pose_delta_ns).where("inlier")
     at = match.join(numbered.select(*keys, "pose_t", "m"), [*keys, "pose_t"]).select(*keys, (F.col("ord") / 1_000_000).cast("long").alias("scan_idx"), (F.col("ord") % 1_000_000).cast("int").alias("col"), "m")
     rows = scan.valid_pixels(points).join(at, [*keys, "scan_idx", "col"])

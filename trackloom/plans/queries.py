@@ -12,11 +12,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..config import JobConfig
 from ..functions import nmea, text
 from ..operators import asof, geometry, logs, manifest, metrics, scan, status, timealign, track
 from ..schema import finite
 from ..sources import sidecars
 from ..streaming import tumble
+from . import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -189,11 +191,10 @@ def fuse_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
     n = lambda k: (F.col("ord") % k).cast("double")
     x, y, z = geometry.to_local(n(11), n(7), n(5))
     points = e.where(~is_knot()).select("session_id", "ord", "t_ns", x.alias("x"), y.alias("y"), z.alias("z"))
-    at = asof.interpolate(points, e.where(is_knot()), ["easting", "northing"], keys=["session_id"])
-    at = track.heading(at, keys=["session_id"], order=["t_ns", "ord"])
-    dx, dy = geometry.rotate(F.col("x"), F.col("y"), F.col("heading_rad"))
-    out = at.select("session_id", F.col("t_ns").alias("timestamp_ns"), r(F.col("easting") + dx + 1, 4).alias("x_global"), r(F.col("northing") + dy - 1, 4).alias("y_global"), F.col("z").alias("z_global"))
-    return out.where(finite("x_global", "y_global", "z_global"))
+    gps = e.where(is_knot()).select("session_id", "ord", "t_ns", "easting", "northing", F.lit(0.0).alias("altitude_m"))
+    cfg = JobConfig(time_mode="unix_ns", orientation="path_tangent", heading_order="time", sensor_offset_x=1.0, sensor_offset_y=-1.0)
+    out = jobs.gps_fusion(points, gps, cfg, scan_keys=("session_id",))
+    return out.select("session_id", "timestamp_ns", r("x_global", 4).alias("x_global"), r("y_global", 4).alias("y_global"), "z_global")
 
 
 @query(f"""WITH RECURSIVE {EVENTS},
@@ -391,7 +392,8 @@ VALUES = ", ".join(f"({i}, {rc}, '{s}')" for i, rc, s in LISTINGS)
 s AS (SELECT id, ord, regexp_extract(line, '^([#^=])([*+\-?x~])\s*(\S+)', 2) AS state, regexp_extract(line, '^([#^=])([*+\-?x~])\s*(\S+)', 3) AS name FROM x WHERE regexp_matches(line, '^([#^=])([*+\-?x~])\s*(\S+)')),
 p AS (SELECT id, arg_min(name, ord) FILTER (state = '*') AS sel, string_agg(DISTINCT name || ':' || state, ',' ORDER BY name || ':' || state) FILTER (name IN ('GPS', 'PPS')) AS loc FROM s GROUP BY 1)
 SELECT CAST(l.id AS INTEGER) AS id, rc = 0 AND coalesce(sel IN ('GPS', 'PPS'), false) AS ready, sel AS selected_source, coalesce(loc, '') AS local_states,
-  CASE WHEN rc <> 0 THEN 'wait for sync not satisfied' WHEN loc IS NULL THEN 'no local clock among the sources' WHEN sel IS NULL THEN 'no source selected' WHEN sel NOT IN ('GPS', 'PPS') THEN 'selected: ' || sel ELSE 'local: ' || sel END AS summary
+  CASE WHEN rc <> 0 THEN 'chronyc waitsync not yet satisfied' WHEN loc IS NULL THEN 'chrony waitsync passed, but GPS/PPS refclocks were not present in `chronyc sources -v`.' WHEN sel IS NULL THEN 'chrony waitsync passed, but no selected source was reported.'
+    WHEN sel NOT IN ('GPS', 'PPS') THEN 'chrony is synchronized to ' || sel || ' instead of GPS/PPS.' ELSE 'chrony synchronized to local source ' || sel || '.' END AS summary
 FROM l LEFT JOIN p ON l.id = p.id""")
 def chrony_parse(spark: SparkSession, sf: str) -> DataFrame:
     texts = spark.createDataFrame(LISTINGS, "id int, returncode int, body string")
@@ -489,12 +491,15 @@ def mode_lookup(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "part").select("p_partkey", text.mode_of(n, hz).alias("mode"), text.lidar_mode(raw).alias("normal"), text.lidar_mode_error(broken).alias("broken"), text.number(F.when(s % 2 == 0, "n/a").otherwise(s.cast("string"))).alias("num"))
 
 
-@query("""SELECT event_id, (event_id % 5 <> 0) AND (event_id % 3 <> 0) AND NOT (event_id % 4 = 1) AND (event_id % 4 <> 2 OR event_id % 2 = 1) AS locked, value AS sensor_s, abs(value - 50) <= 25 AS aligned,
-  CASE WHEN (event_id % 5 <> 0) AND (event_id % 3 <> 0) AND event_id % 4 IN (0, 3) THEN CASE WHEN abs(value - 50) <= 25 THEN 'PASS' ELSE 'PARTIAL: clock' END WHEN abs(value - 50) <= 25 THEN 'PARTIAL: lock' ELSE 'FAIL' END AS verdict FROM events""")
+LOCKED = "(event_id % 5 NOT IN (0, 1)) AND (event_id % 3 <> 0) AND event_id % 4 IN (0, 3)"
+
+
+@query(f"""SELECT event_id, {LOCKED} AS locked, value AS sensor_s, abs(value - 50) <= 25 AS aligned,
+  CASE WHEN {LOCKED} THEN CASE WHEN abs(value - 50) <= 25 THEN 'PASS' ELSE 'PARTIAL: clock' END WHEN abs(value - 50) <= 25 THEN 'PARTIAL: lock' ELSE 'FAIL' END AS verdict FROM events""")
 def ptp_lock(spark: SparkSession, sf: str) -> DataFrame:
     i = F.col("event_id")
-    mode = F.when(i % 5 == 0, "TIME_FROM_INTERNAL_OSC").otherwise("TIME_FROM_PTP_1588")
-    port = F.when(i % 3 == 0, "LISTENING").otherwise("SLAVE")
+    mode = F.when(i % 5 == 0, "TIME_FROM_INTERNAL_OSC").when(i % 5 == 1, "TIME_FROM_PTP_1588_OTHER").otherwise("TIME_FROM_PTP_1588")
+    port = F.when(i % 3 == 0, "LISTENING").when(i % 3 == 1, "slave").otherwise("SLAVE")
     # Of four kinds one says present, one says absent, one names nothing, one names a grandmaster only.
     gm = F.when(i % 4 == 0, ',"time_status_np":{"gm_present":true}').when(i % 4 == 1, ',"time_status_np":{"gm_present":false}').when(i % 4 == 2, "").otherwise(',"parent_data_set":{"grandmaster_identity":"ab"}')
     doc = F.concat(F.lit('{"timestamp_mode":"'), mode, F.lit('","ptp":{"port_data_set":{"port_state":"'), port, F.lit('"}'), gm, F.lit('},"time":{"sensor":{"timestamp":{"time":'), F.col("value").cast("string"), F.lit("}}}}"))
@@ -591,10 +596,35 @@ def readiness_gate(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""WITH f AS (SELECT event_id, event_id % 2 = 0 AS g, event_id % 3 <> 0 AS p, event_id % 5 <> 0 AS s, event_id % 7 <> 0 AS c, event_id % 11 <> 0 AS b, event_id % 13 <> 0 AS a FROM events),
-st AS (SELECT *, CASE WHEN g AND p AND s AND a THEN 'ready' WHEN NOT g THEN 'no gps time' WHEN NOT s THEN 'no broadcast' WHEN NOT a THEN 'broadcast not aligned' WHEN NOT (c AND b AND p AND s) THEN 'service missing' ELSE 'partly ready' END AS state FROM f)
-SELECT event_id, state, CASE state WHEN 'ready' THEN 'start capture' WHEN 'no gps time' THEN 'wait for sky view' WHEN 'no broadcast' THEN 'restart broadcast' WHEN 'broadcast not aligned' THEN 'restart broadcast' WHEN 'service missing' THEN 'restart service' ELSE 'refresh' END AS advice,
-  (CAST(c AS INTEGER) + CAST(b AS INTEGER) + CAST(p AS INTEGER) + CAST(s AS INTEGER)) || '/4' AS services FROM st""")
+st AS (SELECT *, CASE WHEN g AND p AND s AND a THEN 1 WHEN NOT g THEN 2 WHEN NOT s THEN 3 WHEN NOT a THEN 4 WHEN NOT (c AND b AND p AND s) THEN 5 ELSE 6 END AS state, CASE WHEN event_id % 17 = 0 THEN NULL WHEN a THEN 'aligned' ELSE 'off by ' || event_id END AS phc FROM f)
+SELECT event_id, g AS gps_time_ready, 'clock ' || event_id AS gps_time_summary, p AND s AND a AS pi_time_broadcast_ready, coalesce(phc, 'Pi time broadcast status unavailable.') AS pi_time_broadcast_summary,
+  c AND b AND p AND s AS background_services_ready, (CAST(c AS INTEGER) + CAST(b AS INTEGER) + CAST(p AS INTEGER) + CAST(s AS INTEGER)) || '/4 timing services running.' AS background_services_summary,
+  CASE state WHEN 1 THEN 'Timing stack looks ready for PTP capture.' WHEN 2 THEN 'clock ' || event_id WHEN 3 THEN 'Pi time broadcast is not running yet.' WHEN 4 THEN coalesce(phc, 'Pi time broadcast is not aligned yet.')
+    WHEN 5 THEN 'One or more background timing services are not running.' ELSE 'Timing stack is partially ready.' END AS summary,
+  CASE state WHEN 1 THEN 'You can start a PTP capture session.' WHEN 2 THEN 'Move outside for sky view and wait for GPS time to lock before starting capture.' WHEN 3 THEN 'Use the Fix Time Broadcast button once GPS time is ready.'
+    WHEN 4 THEN 'Use the Fix Time Broadcast button to restart the broadcast after GPS time is ready.' WHEN 5 THEN 'Check the service details below and restart the missing service.' ELSE 'Refresh timing status after a few seconds.' END AS recommended_action,
+  g AS restart_phc2sys_allowed, CASE WHEN g THEN 'GPS time is ready, so the Pi time broadcast can be restarted safely.' ELSE 'Wait for GPS/PPS lock before restarting the Pi time broadcast.' END AS restart_phc2sys_reason FROM st""")
 def status_roll_up(spark: SparkSession, sf: str) -> DataFrame:
     i = F.col("event_id")
     flags = {"gps_ready": i % 2 == 0, "ptp4l": i % 3 != 0, "phc2sys": i % 5 != 0, "chrony": i % 7 != 0, "bridge": i % 11 != 0, "phc_ready": i % 13 != 0}
-    return status.roll_up(table(spark, sf, "events").select("event_id").withColumns(flags)).select("event_id", "state", "advice", "services")
+    phc = F.when(i % 17 == 0, None).when(F.col("phc_ready"), "aligned").otherwise(F.concat(F.lit("off by "), i.cast("string")))
+    rows = table(spark, sf, "events").select("event_id").withColumns(flags).withColumns({"gps_time_summary": F.concat(F.lit("clock "), i.cast("string")), "phc_summary": phc})
+    return status.roll_up(rows).drop(*flags, "phc_summary", "state")
+
+
+@query("""WITH f AS (SELECT event_id, event_id % 2 = 0 AS c1, event_id % 3 <> 0 AS c2, CASE WHEN event_id % 31 = 0 THEN NULL ELSE true END AS c3, event_id % 5 <> 0 AS c4, event_id % 7 <> 0 AS c5, event_id % 11 <> 0 AS c6, value <= 90 AS c7 FROM events)
+SELECT event_id, c1 AND c2 AND coalesce(c3, false) AND c4 AND c5 AND c6 AND c7 AS passed,
+  concat_ws(',', CASE WHEN NOT c1 THEN 'phc_ready' END, CASE WHEN NOT c2 THEN 'locked_before' END, CASE WHEN c3 IS NULL THEN 'locked_after' END, CASE WHEN NOT c4 THEN 'aligned_before' END, CASE WHEN NOT c5 THEN 'aligned_after' END,
+    CASE WHEN NOT c6 THEN 'file_ready' END, CASE WHEN NOT c7 THEN 'window_ready' END) AS failed FROM f""")
+def capture_verdict(spark: SparkSession, sf: str) -> DataFrame:
+    i = F.col("event_id")
+    flags = {"phc_ready": i % 2 == 0, "locked_before": i % 3 != 0, "locked_after": F.when(i % 31 != 0, True), "aligned_before": i % 5 != 0, "aligned_after": i % 7 != 0, "file_ready": i % 11 != 0, "window_ready": F.col("value") <= 90}
+    return status.capture_verdict(table(spark, sf, "events").withColumns(flags)).select("event_id", "passed", F.concat_ws(",", "failed").alias("failed"))
+
+
+@query("""WITH t AS (SELECT page_id, repeat('source 0 - assert 1.0, sequence: 1' || chr(10), CAST(page_id % 5 AS INTEGER)) || 'done' AS body FROM pages)
+SELECT page_id, CAST(page_id % 5 AS INTEGER) AS asserts, page_id % 5 >= 2 AS pulsing FROM t""")
+def pulse_count(spark: SparkSession, sf: str) -> DataFrame:
+    line = F.lit("source 0 - assert 1.0, sequence: 1\n")
+    body = F.concat(F.repeat(line, (F.col("page_id") % 5).cast("int")), F.lit("done"))
+    return status.pulse_count(table(spark, sf, "pages").select("page_id", body.alias("body")), "body").drop("body")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -24,10 +24,15 @@ def fresh(df: DataFrame, start_ns: int, time: str = "pi_time_ns") -> DataFrame:
 
 
 def carry(df: DataFrame, values: Sequence[str], *, keys: Sequence[str], order: str) -> DataFrame:
-    """Streaming form of carrying the latest value: the state of a key is one value per column."""
+    """Streaming form of carrying the latest value: the state of a key is one value per column.
+
+    Whole numbers travel as text, since beside nulls they would turn into floats and lose digits.
+    """
     kinds = dict(df.dtypes)
-    state_schema = ", ".join(f"`s_{v}` {kinds[v]}" for v in values)
-    whole = [kinds[v] in ("tinyint", "smallint", "int", "bigint") for v in values]
+    whole = [v for v in values if kinds[v] in ("tinyint", "smallint", "int", "bigint")]
+    rows = df.withColumns({v: F.col(v).cast("string") for v in whole})
+    moved = dict(rows.dtypes)
+    state_schema = ", ".join(f"`s_{v}` {moved[v]}" for v in values)
 
     def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         last = list(state.get) if state.exists else [None] * len(values)
@@ -35,30 +40,36 @@ def carry(df: DataFrame, values: Sequence[str], *, keys: Sequence[str], order: s
         for i, v in enumerate(values):
             filled, out = last[i], []
             for x in rows[v].tolist():
-                filled = filled if x is None or x != x else int(x) if whole[i] else x  # whole numbers beside nulls arrive as floats
+                filled = filled if x is None or x != x else x
                 out.append(filled)
             rows[v], last[i] = pd.Series(out, index=rows.index, dtype=object), filled
         state.update(tuple(last))
         yield rows
 
-    return df.groupBy(*keys).applyInPandasWithState(run, _ddl(df, df.columns), state_schema, "append", GroupStateTimeout.NoTimeout)
+    out = rows.groupBy(*keys).applyInPandasWithState(run, _ddl(rows, rows.columns), state_schema, "append", GroupStateTimeout.NoTimeout)
+    return out.select(*[F.col(c).cast(kinds[c]).alias(c) if c in whole else F.col(c) for c in df.columns])
 
 
 def drop_repeats(df: DataFrame, *, keys: Sequence[str], order: str, sequence: str, signature: Sequence[str]) -> DataFrame:
-    """Rows that differ from the last one of their key, by number, or by signature where there is none; the number must be whole to be remembered."""
+    """Rows that differ from the last one of their key, by number, or by signature where there is none; the number must be whole to be remembered.
+
+    Both are compared as text: the number's digits, and the signature as one JSON object, so no digit or separator is lost.
+    """
+    rows = df.withColumns({"_number": F.col(sequence).cast("bigint").cast("string"), "_sig": F.to_json(F.struct(*signature), {"ignoreNullFields": "false"})})
 
     def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         number, sig = state.get if state.exists else (None, None)
         keep = []
         rows = pd.concat(list(batches)).sort_values(order, kind="stable")
-        for n, s in zip(rows[sequence].tolist(), rows[list(signature)].astype(str).agg("|".join, axis=1).tolist(), strict=True):
-            n = None if n is None or n != n else int(n)
+        for n, s in zip(rows["_number"].tolist(), rows["_sig"].tolist(), strict=True):
             keep.append(n != number if n is not None else s != sig)
             number, sig = number if n is None else n, s
         state.update((number, sig))
-        yield rows[keep]
+        yield rows[keep][["_row"]]
 
-    return df.groupBy(*keys).applyInPandasWithState(run, _ddl(df, df.columns), "number long, sig string", "append", GroupStateTimeout.NoTimeout)
+    packed = rows.select(*keys, order, "_number", "_sig", F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("_row"))
+    kept = packed.groupBy(*keys).applyInPandasWithState(run, "_row string", "number string, sig string", "append", GroupStateTimeout.NoTimeout)
+    return kept.select(F.from_json("_row", df.schema).alias("r")).select("r.*")
 
 
 def nmea_fixes(df: DataFrame, *, keys: Sequence[str], order: str = "ord", text: str = "value") -> DataFrame:
@@ -101,6 +112,28 @@ def tumble(df: DataFrame, time: str, width: str, *, keys: Sequence[str] = (), la
     return rows.groupBy(*keys, F.window(time, width).alias("w")).agg(F.count("*").alias("n"), F.min(time).alias("first"), F.max(time).alias("last")).select(*keys, F.col("w.start").alias("start"), "n", "first", "last")
 
 
-def chunk_of_time(rows: DataFrame, chunks: DataFrame, *, time: str = "t_ns") -> DataFrame:
-    """Rows with the index of the recorded interval (ends included) that holds their time; chunks of one session are few."""
-    return rows.join(F.broadcast(chunks), (F.col(time) >= F.col("capture_start_ns")) & (F.col(time) <= F.col("capture_end_ns")), "left")
+def chunk_of_time(rows: DataFrame, chunks: DataFrame, *, time: str = "t_ns", keys: Sequence[str] = ("session_id",)) -> DataFrame:
+    """Rows with the index of the interval (ends included) that their session recorded at their time, if any."""
+    both = [k for k in keys if k in rows.columns and k in chunks.columns]
+    c = chunks.select(*[F.col(k).alias(f"_{k}") for k in both], *[x for x in chunks.columns if x not in both])
+    inside = (F.col(time) >= F.col("capture_start_ns")) & (F.col(time) <= F.col("capture_end_ns"))
+    for k in both:
+        inside = inside & (F.col(k) == F.col(f"_{k}"))
+    return rows.join(c, inside, "left").drop(*[f"_{k}" for k in both])
+
+
+def fuse_stream(points: DataFrame, track: DataFrame, *, keys: Sequence[str] = ("session_id",), time: str = "t_ns", values: Sequence[str] = ("easting", "northing", "altitude_m"), bin_ns: int = 1_000_000_000) -> DataFrame:
+    """A point stream laid on a recorded track: a stream-static join on session and bin of time, then linear interpolation.
+
+    The track's segments are cut into bins, so the join has equal keys and no state; points outside the track are dropped.
+    """
+    knot = F.struct(F.col(time).alias("t"), *values)
+    w = Window.partitionBy(*keys).orderBy(time)
+    end = F.struct((F.col(time) + 1).alias("t"), *values)  # the last knot holds for its own time only
+    segments = track.select(*keys, knot.alias("_a"), F.coalesce(F.lead(knot).over(w), end).alias("_b"))
+    bins = F.sequence(F.expr(f"_a.t div {bin_ns}"), F.expr(f"(_b.t - 1) div {bin_ns}"))
+    segments = segments.where("_a.t < _b.t").select(*keys, "_a", "_b", F.explode(bins).alias("_bin"))
+    met = points.withColumn("_bin", F.expr(f"{time} div {bin_ns}")).join(segments, [*keys, "_bin"])
+    met = met.where((F.col(time) >= F.col("_a.t")) & (F.col(time) < F.col("_b.t")))
+    share = (F.col(time) - F.col("_a.t")).cast("double") / (F.col("_b.t") - F.col("_a.t")).cast("double")
+    return met.select(*points.columns, *[(F.col("_a")[v] + (F.col("_b")[v] - F.col("_a")[v]) * share).alias(v) for v in values])
