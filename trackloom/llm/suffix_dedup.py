@@ -3,7 +3,7 @@
 Every 50-byte string of a text is named by its minimizer, the k-gram of smallest
 hash within it, so equal strings always meet under one name, whatever surrounds
 them.  Names that only one document has are dropped.  Every other name is filed
-under its smallest document and a stretch of positions; the strings of a text
+under one of its documents and a stretch of that one's positions; the strings of a text
 that are filed together and follow each other move as one stretch of bytes.  All
 stretches filed in one place form a *lane*, a small text of its own, and suffix
 arrays by linear grouping decide which strings of a lane are equal: exact copies,
@@ -50,6 +50,8 @@ HOT = 10_000
 _CUT = 12
 #: A place within a document: which of the texts under one id, first byte, number of strings.
 _V, _S = 38, 6
+#: Low bits of a place: log2 of how many lanes its name is dealt over.
+_DEAL = 31
 #: Strings of a run at most.
 MOST = (1 << _S) - 1
 
@@ -241,11 +243,45 @@ def _runs(mark: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.n
     return own, lo - starts[own], hi - starts[own]
 
 
+def _once(docs: np.ndarray, lanes: np.ndarray, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(rows, place of each row's stand-in among them): of equal stretches of a lane, one of its smallest document and one of another."""
+    stands = np.empty(len(parts), np.int64)
+    rows: list[int] = []
+    seen: dict[tuple, list] = {}
+    for i, doc in zip((order := np.lexsort((docs, lanes))).tolist(), docs[order].tolist(), strict=True):
+        known = seen.setdefault((int(lanes[i]), parts[i]), [])
+        nth = 0 if not known or known[0][0] == doc else 1
+        if nth == len(known):
+            known.append((doc, len(rows)))
+            rows.append(i)
+        stands[i] = known[nth][1]
+    return np.array(rows, np.int64), stands
+
+
 def covered(docs: np.ndarray, lanes: np.ndarray, parts: list[bytes], salted: np.ndarray) -> tuple[tuple, tuple]:
     """Runs (stretch, first string, end) of strings that a smaller document of the lane has too, and of all others of salted lanes.
 
     ``lanes`` ascends from 0.  Strings without an equal in their lane are among the others.
     """
+    rows, stands = _once(docs, lanes, parts)
+    order = np.argsort(rows)  # lanes have to ascend
+    found = _covered(docs[rows[order]], lanes[rows[order]], [parts[i] for i in rows[order].tolist()], salted)
+    back = np.empty(len(rows), np.int64)
+    back[order] = np.arange(len(rows))
+    stands = back[stands]
+    by = np.argsort(stands, kind="stable")
+    first, times = np.searchsorted(stands[by], np.arange(len(rows))), np.bincount(stands, minlength=len(rows))
+
+    def spread(runs):
+        own, lo, hi = runs
+        n = times[own]
+        at = np.repeat(first[own] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        return by[at], np.repeat(lo, n), np.repeat(hi, n)
+
+    return spread(found[0]), spread(found[1])
+
+
+def _covered(docs: np.ndarray, lanes: np.ndarray, parts: list[bytes], salted: np.ndarray) -> tuple[tuple, tuple]:
     sizes = np.array([len(p) for p in parts])
     starts = np.cumsum(sizes) - sizes
     raw = np.frombuffer(b"".join(parts), np.uint8)
@@ -296,38 +332,40 @@ _PART = "a long, b long, id long, w long, part binary"
 
 
 def _stretches(rows: DataFrame) -> DataFrame:
-    """The bytes of neighbouring strings that are filed together, by lane (a, b), from (id, v, text, ws, as, bs)."""
+    """The bytes of neighbouring strings that are filed together, by lane (a, b), from (id, v, text, ws, as)."""
 
     def run(batches):
         for batch in batches:
             cols: list[list] = [[] for _ in range(5)]
             ids, version = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             data, offs = kit.as_bytes(batch.column(2))
-            ws, fs, rs = (batch.column(c) for c in (3, 4, 5))
+            ws, fs = batch.column(3), batch.column(4)
             for i in range(batch.num_rows):
-                w, a, b = (x[i].values.to_numpy(zero_copy_only=False) for x in (ws, fs, rs))
-                own = np.flatnonzero(w >> _V == version[i])
-                own = own[np.argsort(w[own], kind="stable")]
-                w, a, b = w[own] & ((1 << _V) - 1), a[own], b[own]
+                w, a = (x[i].values.to_numpy(zero_copy_only=False) for x in (ws, fs))
+                order = np.argsort(w, kind="stable")
+                w, a = w[order] & ((1 << _V) - 1), a[order]
                 start, to = w >> _S, (w >> _S) + (w & ((1 << _S) - 1))
-                # The place of many: log2 of how many lanes it is dealt over stands in the low bits of b.
-                deal = b & 63
-                spot = kit.mix(ids[i : i + 1].astype(np.uint64)) + (start >> _CUT).astype(np.uint64)
-                salt = (kit.mix(spot) >> np.uint64(2)).astype(np.int64) & ((np.int64(1) << deal) - 1)
-                b = (b << 32) + np.where(deal > 0, salt + 1, 0)
-                new = np.ones(len(own), bool)
-                new[1:] = (start[1:] != to[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (start[1:] >> _CUT != start[:-1] >> _CUT)
+                new = np.ones(len(w), bool)
+                new[1:] = (start[1:] != to[:-1]) | (a[1:] != a[:-1])
                 first = np.flatnonzero(new)
-                last = to[np.append(first[1:], len(own)) - 1] if len(own) else to
+                last, a = to[np.append(first[1:], len(w)) - 1], a[first]
+                # Long runs are cut, so that a lane's stretches stay short.
+                times = ((last - start[first]) >> _CUT) + 1
+                lo = np.repeat(start[first] - ((np.cumsum(times) - times) << _CUT), times) + (np.arange(times.sum()) << _CUT)
+                hi, a = np.minimum(np.repeat(last, times), lo + (1 << _CUT)), np.repeat(a, times)
+                lo, hi, a = (x[hi > lo] for x in (lo, hi, a))
+                # Over how many lanes a name of many is dealt stands in the low bits of its place, as a logarithm.
+                spot = kit.mix(kit.mix(ids[i : i + 1].astype(np.uint64)) + (lo >> _CUT).astype(np.uint64))
+                salt = (spot >> np.uint64(2)).astype(np.int64) & ((np.int64(1) << (a & _DEAL)) - 1)
                 raw = data[offs[i] : offs[i + 1]].tobytes()
-                cols[0] += a[first].tolist()
-                cols[1] += b[first].tolist()
-                cols[2] += [int(ids[i])] * len(first)
-                cols[3] += ((version[i] << _V) + (start[first] << _S)).tolist()
-                cols[4] += [raw[s : e + SPAN - 1] for s, e in zip(start[first].tolist(), last.tolist(), strict=True)]
+                cols[0] += a.tolist()
+                cols[1] += np.where(a & _DEAL, salt + 1, 0).tolist()
+                cols[2] += [int(ids[i])] * len(a)
+                cols[3] += ((version[i] << _V) + (lo << _S)).tolist()
+                cols[4] += [raw[s : e + SPAN - 1] for s, e in zip(lo.tolist(), hi.tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in cols[:4]], pa.array(cols[4], pa.binary())], ["a", "b", "id", "w", "part"])
 
-    return rows.select("id", "v", "text", "ws", "as", "bs").mapInArrow(run, _PART)
+    return rows.select("id", "v", "text", "ws", "as").mapInArrow(run, _PART)
 
 
 def _lanes(batches):
@@ -385,7 +423,7 @@ def _sorted_out(parts: DataFrame) -> DataFrame:
     def run(batches):
         for t, lane, opens, raw in _laned(batches):
             b, ids, w = (t[c].to_numpy() for c in ("b", "id", "w"))
-            (own, lo, hi), more = covered(ids, lane, raw, (b[opens] & 0xFFFFFFFF) > 0)
+            (own, lo, hi), more = covered(ids, lane, raw, b[opens] > 0)
             first: dict[tuple, list] = {}
             for i, s, e in zip(*[x.tolist() for x in more], strict=True):
                 for x in range(s, e):
@@ -433,20 +471,22 @@ def repeats(rows: DataFrame) -> DataFrame:
 
     named = _named(texts)
     start = F.shiftright(F.col("w").bitwiseAND(F.lit((1 << _V) - 1)), _S)
-    shared = named.groupBy("h").agg(F.min("id").alias("a"), F.max("id").alias("z"), F.min_by(start, "id").alias("s"), F.count("*").alias("n")).where("a < z")
-    shared = settle(shared.select("h", "a", "s", "n"))
+    # A name is filed under one of its documents (36 bits of a hash), by that one's first places (22 bits); equal hashes only make a lane longer.
+    place = F.shiftleft(F.shiftrightunsigned(F.xxhash64("id"), 28), 27) + F.shiftleft(F.shiftright(start, REGION), 5)
+    shared = named.groupBy("h").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.min(place).alias("a"), F.count("*").alias("n")).where("lo < hi")
+    shared = settle(shared.select("h", "a", "n"))
     # Names with more than one in HOT of these occurrences, at most HOT of them, are dealt over several keys.
     bar = max(LANE, (shared.agg(F.sum("n")).first()[0] or 0) // HOT)
     times = F.ceil(F.col("n") / bar).cast("int")
     hot = settle(shared.where(F.col("n") > bar).select("h", times.alias("times")))
     deal = F.greatest(F.ceil(F.log2(F.col("n") / LANE)), F.lit(0)).cast("long")
-    place = shared.select("h", "a", (F.shiftleft(F.shiftright("s", REGION), 6) + deal).alias("b"), F.explode(F.sequence(F.lit(0), F.greatest(times, F.lit(1)) - 1)).alias("k"))
+    filed = shared.select("h", (F.col("a") + deal).alias("a"), F.explode(F.sequence(F.lit(0), F.greatest(times, F.lit(1)) - 1)).alias("k"))
     if hot.isEmpty():
         named = named.withColumn("k", F.lit(0))
     else:
         named = named.join(F.broadcast(hot), "h", "left").withColumn("k", F.pmod(F.xxhash64("id", "w"), F.coalesce("times", F.lit(1))).cast("int"))
-    marks = named.join(place.hint("shuffle_hash"), ["h", "k"]).groupBy("id", F.shiftright("w", _V).alias("v")).agg(F.collect_list(F.struct("w", "a", "b")).alias("x"))
-    marks = settle(marks.select("id", "v", F.col("x.w").alias("ws"), F.col("x.a").alias("as"), F.col("x.b").alias("bs")), shared, hot)
+    marks = named.join(filed.hint("shuffle_hash"), ["h", "k"]).groupBy("id", F.shiftright("w", _V).alias("v")).agg(F.collect_list(F.struct("w", "a")).alias("x"))
+    marks = settle(marks.select("id", "v", F.col("x.w").alias("ws"), F.col("x.a").alias("as")), shared, hot)
 
     parts = settle(_stretches(texts.join(marks, ["id", "v"])), marks)
     found = settle(_sorted_out(_dealt(parts, F.octet_length("part"), "a", "b")), parts)
