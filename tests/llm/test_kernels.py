@@ -134,9 +134,12 @@ def test_packer_round_trip(seed, monkeypatch):
 @pytest.mark.parametrize("k", [1, 2, 3, 26])
 def test_suffix_array(k):
     rng = random.Random(k)
-    for _ in range(400):
-        x = [rng.randint(1, k) for _ in range(rng.randint(0, 60))] + [0]
-        assert suffix_dedup.suffix_array(x) == sorted(range(len(x)), key=lambda i: x[i:])
+    texts = [[rng.randint(1, k) for _ in range(rng.randint(0, 60))] + [0] for _ in range(400)]
+    ends = np.cumsum([len(x) for x in texts])
+    got = suffix_dedup.suffix_arrays(np.array(sum(texts, [])), ends)
+    for x, e in zip(texts, ends.tolist(), strict=True):
+        lo = e - len(x)
+        assert (got[lo:e] - lo).tolist() == sorted(range(len(x)), key=lambda i: x[i:])
 
 
 def test_snippets_name_every_string():
@@ -211,6 +214,29 @@ def test_centroid_graph():
     rows, lists = ann.file_under(g, x[:300])
     assert set(rows) == set(range(300)) and len(rows) <= 300 * ann.REPLICAS
     sizes = np.full(200, 30)
-    q, _ = ann.probes(g, x[:300], sizes)
+    q, _ = g.within(x[:300], 1.0, sizes)
     assert np.bincount(q).min() * 30 >= ann.LEAST
     assert len(ann.balanced_centroids(x[:1], 5)) == 1
+
+
+def test_clustered_vectors_need_few_lists():
+    """60,000 vectors: at least 0.9 of the ten nearest, reading at most a tenth of the vectors."""
+    rng = np.random.default_rng(3)
+    x = (rng.normal(size=(1000, 64))[rng.integers(1000, size=60_000)] + 0.6 * rng.normal(size=(60_000, 64))).astype(np.float32)
+    sample = x[rng.permutation(len(x))[:20_000]].astype(np.float64)
+    g = ann.CentroidGraph(ann.balanced_centroids(sample, len(x) // ann.LIST_SIZE))
+    ratio = ann.fit_ratio(g, sample, 10)
+    filed = [ann.file_under(g, x[lo : lo + 4000]) for lo in range(0, len(x), 4000)]
+    rows = np.concatenate([lo * 4000 + r for lo, (r, _) in enumerate(filed)])
+    lists = np.concatenate([ls for _, ls in filed])
+    assert len(rows) <= 2 * len(x)
+    asked = np.arange(0, len(x), 600)
+    q, read = g.within(x[asked], ratio, np.bincount(lists, minlength=len(g.c)))
+    found = vectors = 0
+    for k, i in enumerate(asked.tolist()):
+        d = ((x - x[i]) ** 2).sum(1)
+        d[i] = np.inf
+        met = np.unique(rows[np.isin(lists, read[q == k])])
+        found += np.isin(np.argpartition(d, 10)[:10], met).sum()
+        vectors += len(met)
+    assert found >= 0.9 * 10 * len(asked) and vectors <= 0.1 * len(x) * len(asked)

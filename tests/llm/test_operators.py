@@ -215,6 +215,36 @@ def test_suffix_dedup(spark, corpus):
     assert suffix_dedup.dedup(docs.limit(0)).count() == 0
 
 
+def brute_removed(rows):
+    """Bytes of each (id, text) that a 50-byte string of a smaller id covers."""
+    first, out = {}, {}
+    for i, t in sorted(rows):
+        raw = t.encode()
+        gone = np.zeros(len(raw), bool)
+        for w in range(len(raw) - 49):
+            if first.setdefault(raw[w : w + 50], i) < i:
+                gone[w : w + 50] = True
+        out[i] = int(gone.sum())
+    return out
+
+
+def test_suffix_dedup_splits_hot_names(spark, monkeypatch):
+    """One line, in changing surroundings, in a third of the rows, with lanes of four occurrences: salted lanes and their firsts."""
+    monkeypatch.setattr(suffix_dedup, "LANE", 4)
+    rng = random.Random(21)
+    line = "All of this is printed on every third page of the book and goes on for a while. "
+    rows = [(i, prose(rng, 15) + (line if i % 3 == 0 else " ") + prose(rng, 3) + (line * 2 if i % 30 == 0 else "")) for i in range(150)]
+    rows += [(200 + i, "The " * 80) for i in range(3)]
+    got = {r.doc_id: r.n_removed for r in suffix_dedup.dedup(table(spark, rows)).collect()}
+    want = brute_removed(rows)
+    assert got == want and sum(v > 0 for v in want.values()) > 45
+    again = [*rows[:40], (0, prose(rng, 30) + line), (0, rows[0][1]), (300, rows[0][1])]  # two texts under one id, one of them twice
+    out = collections.defaultdict(list)
+    for r in suffix_dedup.dedup(table(spark, again)).collect():
+        out[r.doc_id].append(r.n_removed)
+    assert out[0] == [0, 0, 0] and out[300] == [len(rows[0][1].encode())]
+
+
 def vectors(spark, n=1500):
     rng = np.random.default_rng(3)
     centres = rng.normal(size=(12, 8))
@@ -254,7 +284,8 @@ def test_lists_read_grow_with_the_table():
     graph = ann.CentroidGraph(ann.balanced_centroids(x[:32_000].astype(np.float64), 300_000 // ann.LIST_SIZE))
     ids = np.arange(0, 300_000, 4000)
     recall = []
-    rows, lists = ann.probes(graph, x[ids], np.full(len(graph.c), ann.LIST_SIZE * ann.REPLICAS))
+    ratio = ann.fit_ratio(graph, x[:32_000].astype(np.float64), 10)
+    rows, lists = graph.within(x[ids], ratio, np.full(len(graph.c), ann.LIST_SIZE * ann.REPLICAS))
     for k, i in enumerate(ids):
         d = ((x - x[i]) ** 2).sum(1)
         near = np.setdiff1d(np.argpartition(d, 11)[:11], [i])[:10]

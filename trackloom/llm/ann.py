@@ -1,15 +1,18 @@
 """Approximate nearest neighbours over balanced posting lists (operator 5).
 
 Centroids come from balanced bisecting k-means on a bounded sample.  Every
-vector is filed under its nearest centroid and, as it lies near their borders,
-under up to seven further ones whose distance is within a ratio.  Centroids are
-searched through an in-memory neighbour graph by best-first steps, on batches of
-vectors at once.  A query holds all centroids against itself and reads the
-nearest SHARE of the lists (PROBES at least), all others within a distance
-ratio, and as many as hold LEAST vectors; so what is read grows with the number
-of lists.  Queries and vectors meet list by list in numpy, lists of more than
-PART vectors in parts; the nearest of each part are chosen by products and then
-measured in double precision on the original vectors.
+vector is filed under its nearest centroid and, if it lies near a border, under
+the next one too.  Centroids are searched through an in-memory neighbour graph,
+on batches of vectors at once: best-first steps find the nearest, and from there
+all centroids within a distance ratio of the nearest are reached over the graph.
+A query reads just these lists.  The ratio is fitted on the sample: the smallest
+that leads TARGET of its vectors' neighbours within the sample back to a list of
+theirs.  Clustered vectors thus need few lists; vectors without any structure
+need many, since all their centroids are about equally far.
+
+Queries and vectors meet list by list in numpy, lists of more than PART vectors
+in parts; the nearest of each part are chosen by products and then measured in
+double precision on the original vectors.
 
 Identical vectors are filed once, with their eleven smallest ids: ten neighbours
 and the query itself are all that a search can return of them, so a vector that
@@ -25,6 +28,8 @@ candidates than neighbours asked for, all are returned.
 
 from __future__ import annotations
 
+import heapq
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -33,17 +38,18 @@ from pyspark.sql import types as T
 
 from .store import settle
 
-#: Vectors that centroids are fitted on, and centroids, at most; vectors for each list aimed at.
-SAMPLE, LISTS, LIST_SIZE = 32_000, 4096, 128
-#: Replicas of a vector at most, and the ratio of distances within which it gets one.
-REPLICAS, BORDER = 8, 1.25
-#: Lists that a query reads: this share of them and this many at least, and all centroids within this ratio of the nearest.
-SHARE, PROBES, RATIO = 0.05, 32, 1.12
+#: Vectors that centroids and the ratio are fitted on, and centroids, at most; vectors for each list aimed at.
+SAMPLE, LISTS, LIST_SIZE = 65_536, 16_384, 128
+#: Lists of a vector at most, and the ratio of distances within which it gets a second one.
+REPLICAS, BORDER = 2, 1.1
+#: Share of the sample's neighbours that the ratio has to reach, and the sample's queries that it is fitted with.
+TARGET, ASKED = 0.95, 256
 #: Candidates that a query's lists hold at least, together, where there are so many.
 LEAST = 400
 #: Vectors of a list in a part, about; query rows at a time, and distances at a time.
 PART, ROWS, CELLS = 20_000, 32, 1 << 21
-DEGREE, BEAM = 16, 32
+#: Neighbours of a centroid, places that a search keeps open, and one in how many centroids a search begins at.
+DEGREE, BEAM, ENTRY = 32, 32, 2
 
 
 def _dist(x: np.ndarray, c: np.ndarray) -> np.ndarray:
@@ -53,13 +59,10 @@ def _dist(x: np.ndarray, c: np.ndarray) -> np.ndarray:
 def balanced_centroids(x: np.ndarray, k: int, seed: int = 5) -> np.ndarray:
     """k centroids by bisecting: every cut splits a cell's points into two of equal size along its widest pair."""
     rng = np.random.default_rng(seed)
-    cells = [np.arange(len(x))]
-    while len(cells) < k:
-        cells.sort(key=len, reverse=True)
-        cell = cells.pop(0)
-        if len(cell) < 2:
-            cells.append(cell)
-            break
+    cells = [(-len(x), 0, np.arange(len(x)))]
+    made = 1
+    while len(cells) < k and cells[0][0] < -1:
+        cell = heapq.heappop(cells)[2]
         p = x[cell]
         a = p[rng.integers(len(p))]
         b = p[_dist(p, a[None])[:, 0].argmax()]
@@ -68,8 +71,10 @@ def balanced_centroids(x: np.ndarray, k: int, seed: int = 5) -> np.ndarray:
             lean = (p @ (b - a)).argsort(kind="stable")
             left, right = lean[: len(p) // 2], lean[len(p) // 2 :]
             a, b = p[left].mean(0), p[right].mean(0)
-        cells += [cell[left], cell[right]]
-    return np.array([x[c].mean(0) for c in cells])
+        for half in (left, right):
+            heapq.heappush(cells, (-len(half), made, cell[half]))
+            made += 1
+    return np.array([x[c].mean(0) for _, _, c in sorted(cells, key=lambda c: c[1])])
 
 
 class CentroidGraph:
@@ -87,18 +92,13 @@ class CentroidGraph:
         rng = np.random.default_rng(1)
         far = rng.integers(0, n, (n, min(4, n)))  # long edges keep the graph connected
         self.edges = np.concatenate([np.concatenate(near), far], axis=1)
-        self.entry = np.unique(np.linspace(0, n - 1, max(1, int(np.sqrt(n)) * 2)).astype(np.int64))
+        self.entry = np.arange(0, n, ENTRY)
 
     def search(self, x: np.ndarray, want: int) -> tuple[np.ndarray, np.ndarray]:
-        """(centroids, squared distances) of about the ``want`` nearest for each row, nearest first."""
+        """(centroids, squared distances) of about the ``want`` nearest for each row, nearest first; where there are fewer, the distance is infinite."""
         n = len(self.c)
         x = x.astype(np.float32)
-        want = min(want, n)
-        if n <= 4 * want:
-            d = _dist(x, self.c)
-            order = np.argsort(d, axis=1, kind="stable")[:, :want]
-            return order, np.take_along_axis(d, order, 1)
-        beam = min(n, max(BEAM, want))
+        beam = max(BEAM, want)
         norm = (self.c * self.c).sum(1)
         own = (x * x).sum(1)
         d = _dist(x, self.c[self.entry])
@@ -134,6 +134,31 @@ class CentroidGraph:
         order = np.argsort(d, axis=1, kind="stable")[:, :want]
         return np.take_along_axis(ids, order, 1), np.take_along_axis(d, order, 1)
 
+    def within(self, x: np.ndarray, ratio: float, held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, centroid) pairs: all within ``ratio`` of the nearest that the graph leads to, and the nearest that hold LEAST together."""
+        x = x.astype(np.float32)
+        n = len(self.c)
+        ids, d = self.search(x, BEAM)
+        bar = ratio**2 * d[:, 0]
+        before = np.cumsum(np.where(np.isfinite(d), held[ids], 0), axis=1) - held[ids]
+        near = np.isfinite(d) & ((d <= bar[:, None]) | (before < LEAST))
+        seen = np.zeros((len(x), n), bool)
+        seen[np.nonzero(near)[0], ids[near]] = True
+        read = seen.copy()
+        rows, at = np.nonzero(near & (d <= bar[:, None]))
+        at = ids[rows, at]
+        while len(rows):
+            key = np.unique((rows[:, None] * n + self.edges[at]).ravel())
+            rows, at = key // n, key % n
+            new = ~seen[rows, at]
+            rows, at = rows[new], at[new]
+            seen[rows, at] = True
+            inside = ((x[rows] - self.c[at]) ** 2).sum(1) <= bar[rows]
+            rows, at = rows[inside], at[inside]
+            read[rows, at] = True
+        read[(read * held).sum(1) < LEAST] = True  # hardly any vectors nearby: all lists
+        return np.nonzero(read)
+
 
 def file_under(graph: CentroidGraph, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(row, list) pairs: the nearest list of each row, and those across a near border."""
@@ -143,15 +168,21 @@ def file_under(graph: CentroidGraph, x: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.nonzero(near)[0], ids[near]
 
 
-def probes(graph: CentroidGraph, x: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(row, list) pairs that queries read: a share of the lists, those within the distance ratio, and enough candidates."""
-    d = _dist(x.astype(np.float32), graph.c)
-    ids = np.argsort(d, axis=1, kind="stable")
-    d = np.take_along_axis(d, ids, 1)
-    held = np.cumsum(np.where(np.isfinite(d), sizes[ids], 0), axis=1) - sizes[ids]
-    least = max(PROBES, int(np.ceil(SHARE * len(graph.c))))
-    read = (d <= RATIO**2 * d[:, :1]) | (np.arange(ids.shape[1]) < least) | (held < LEAST)
-    return np.nonzero(read & np.isfinite(d))[0], ids[read & np.isfinite(d)]
+def fit_ratio(graph: CentroidGraph, x: np.ndarray, k: int) -> float:
+    """The distance ratio that reaches TARGET of the ``k`` nearest neighbours within the sample ``x``."""
+    asked = np.linspace(0, len(x) - 1, min(ASKED, len(x))).astype(np.int64)
+    if len(x) < 2:
+        return 1.0
+    d = _dist(x[asked], x)
+    d[np.arange(len(asked)), asked] = np.inf
+    k = min(k, len(x) - 1)
+    near = np.argpartition(d, k - 1, axis=1)[:, :k]
+    lists = np.sqrt(_dist(x[asked].astype(np.float32), graph.c))
+    rows, ids = file_under(graph, x[near.ravel()])
+    need = np.full(near.size, np.inf)
+    np.minimum.at(need, rows, lists[rows // k, ids])
+    need = need.reshape(near.shape) / np.maximum(lists.min(1), 1e-12)[:, None]
+    return float(np.quantile(need, TARGET))
 
 
 def closest(q: np.ndarray, x: np.ndarray, entry: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -200,7 +231,9 @@ def nearest(vectors: DataFrame, k: int = 10, every: int = 100) -> DataFrame:
     n = entries.count()
     sample = entries.select("embedding", "entry").orderBy(F.xxhash64("entry"), "entry").limit(SAMPLE).toArrow()
     x = _vectors(sample["embedding"].combine_chunks()).astype(np.float64)
-    graph = spark.sparkContext.broadcast(CentroidGraph(balanced_centroids(x, int(np.clip(n // LIST_SIZE, 1, min(LISTS, len(x)))))))
+    lists = CentroidGraph(balanced_centroids(x, int(np.clip(n // LIST_SIZE, 1, min(LISTS, len(x))))))
+    ratio = fit_ratio(lists, x, k)
+    graph = spark.sparkContext.broadcast(lists)
 
     def assign(batches):
         for b in batches:
@@ -217,7 +250,7 @@ def nearest(vectors: DataFrame, k: int = 10, every: int = 100) -> DataFrame:
         for b in batches:
             for lo in range(0, len(b), ROWS):
                 c = b.slice(lo, ROWS)
-                rows, lists = probes(graph.value, _vectors(c.column(1)), held.value)
+                rows, lists = graph.value.within(_vectors(c.column(1)), ratio, held.value)
                 # A query meets every part of a list.
                 times = held.value[lists] // PART + 1
                 part = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)

@@ -60,4 +60,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_licenses": licenses.oracle_sql(), "op10_decontamination": decontam.ORACLE_SQL}
+    return {"op8_licenses": licenses.oracle_sql(), "op9_suffix_dedup": suffix_dedup.ORACLE_SQL, "op10_decontamination": decontam.ORACLE_SQL}

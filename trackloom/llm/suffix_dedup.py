@@ -533,3 +533,22 @@ def dedup(docs: DataFrame, with_text: bool = False) -> DataFrame:
     joined = rows.join(ranges, (F.col("id") == F.col("k")) & (F.col("v") == F.col("kv")), "left")
     done = joined.select("doc_id", _cut(with_text).asNondeterministic()("text", "x").alias("r"))
     return done.select("doc_id", "r.n_bytes", "r.n_removed", "r.n_spans", "r.kept_sha256", *(["r.kept"] if with_text else []))
+
+
+#: DuckDB, for query op9: all 50-byte strings, the smallest document of each, and the bytes that they cover.
+ORACLE_SQL = f"""
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS raw FROM documents),
+w AS (SELECT doc_id, p, CAST(array_slice(raw, p + 1, p + {SPAN}) AS BLOB) AS s
+      FROM (SELECT doc_id, raw, unnest(range(0, octet_length(raw) - {SPAN - 1})) AS p FROM d WHERE doc_id IS NOT NULL)),
+f AS (SELECT s, min(doc_id) AS first FROM w GROUP BY s HAVING min(doc_id) <> max(doc_id)),
+h AS (SELECT DISTINCT doc_id, p FROM w JOIN f USING (s) WHERE doc_id > first),
+m AS (SELECT doc_id, p, coalesce(p > lag(p) OVER (PARTITION BY doc_id ORDER BY p) + {SPAN}, true) AS fresh FROM h),
+r AS (SELECT doc_id, min(p) AS a, max(p) + {SPAN} AS b FROM (SELECT doc_id, p, sum(CAST(fresh AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM m) GROUP BY doc_id, run),
+k AS (SELECT doc_id, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS lo, a AS hi FROM r
+      UNION ALL SELECT doc_id, max(b), NULL FROM r GROUP BY doc_id),
+t AS (SELECT doc_id, string_agg(hex(array_slice(raw, lo + 1, coalesce(hi, octet_length(raw)))), '' ORDER BY lo) AS kept FROM k JOIN d USING (doc_id) GROUP BY doc_id),
+n AS (SELECT doc_id, sum(b - a) AS removed, count(*) AS spans FROM r GROUP BY doc_id)
+SELECT d.doc_id, CAST(octet_length(raw) AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(spans, 0) AS BIGINT) AS n_spans,
+  CASE WHEN removed IS NULL THEN sha256(raw) ELSE sha256(unhex(t.kept)) END AS kept_sha256
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN t USING (doc_id)
+"""
