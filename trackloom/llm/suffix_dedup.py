@@ -41,9 +41,9 @@ _K = 20
 _W = SPAN - _K + 1
 _TABLE = kit.mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 #: Bytes of lanes, about, that are sorted in step.
-SORTED_BYTES = 3 << 20
+SORTED_BYTES = 2 << 20
 #: Positions of a name's first places (a power of two) that share a lane, and occurrences of a name in an unsalted one.
-REGION, LANE = 9, 4096
+REGION, LANE = 9, 1024
 #: A name with more than one in HOT of all occurrences is dealt over several keys of the join.
 HOT = 10_000
 #: A stretch is cut where it enters another block of so many bytes (a power of two).
