@@ -178,7 +178,7 @@ def test_chunks_resist_insertions():
 def test_windows_of_items():
     texts = [" ".join(f"w{i}" for i in range(20)), "one two", "", " ".join(["same"] * 30)]
     tables = decontam.build_table([1, 2, 3, 4], texts)
-    assert sorted(tables) == [2, 13] and len(tables[13][0]) == 8 + 1
+    assert sorted(tables["lengths"]) == [2, 13] and len(np.unique(tables["lengths"][13][0])) == 8 + 1
     got = decontam.scan(pa.array(["x ONE, two one two", " ".join(f"W{i}" for i in range(3, 17)), "same " * 13, None]), tables).to_pylist()
     assert [(r["n_words"], r["starts"], r["ends"], r["items"]) for r in got] == [(5, [1], [5], [2]), (14, [0], [14], [1]), (13, [0], [13], [4]), (0, [], [], [])]
     assert decontam._merge(pa.array([[0, 3, 10]]), pa.array([[5, 4, 12]])).to_pylist() == [7]

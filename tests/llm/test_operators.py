@@ -245,6 +245,23 @@ def test_suffix_dedup_splits_hot_names(spark, monkeypatch):
     assert out[0] == [0, 0, 0] and out[300] == [len(rows[0][1].encode())]
 
 
+def test_decontamination_in_passes(spark, corpus, monkeypatch):
+    """Blocks of a few items each, looked up one after the other, give what one block gives."""
+    rng = random.Random(31)
+    items = [(k, prose(rng, n)) for k, n in enumerate((13, 20, 40, 5, 13, 30))]
+    items += [(10, " ".join(items[1][1].split()[4:19]) + " more words of another item")]
+    docs = table(spark, [(k, prose(rng, 30) + " " + items[k % 6][1] + " " + items[(k + 1) % 6][1] + " " + prose(rng, 9)) for k in range(24)] + [(50, None), (51, "")])
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    one = sorted(map(tuple, decontam.find_hits(docs, bench).collect()), key=str)
+    blank = sorted((r.doc_id, r.text) for r in decontam.decontaminate(docs, bench, remove="spans").collect())
+    monkeypatch.setattr(decontam, "BLOCK_BYTES", 200)
+    assert sorted(map(tuple, decontam.find_hits(docs, bench).collect()), key=str) == one and any(r[2] for r in one)
+    again = sorted((r.doc_id, r.text) for r in decontam.decontaminate(docs, bench, remove="spans").collect())
+    words = lambda rows: [(i, t.split() if t else t) for i, t in rows]
+    assert words(again) == words(blank)
+    assert decontam.decontaminate(docs, bench).count() == sum(not r[-1] for r in one)
+
+
 def vectors(spark, n=1500):
     rng = np.random.default_rng(3)
     centres = rng.normal(size=(12, 8))
@@ -440,5 +457,6 @@ def test_decontamination(spark, corpus, block, monkeypatch):
     assert kept.columns == docs.columns and 1 not in ids and 0 in ids and 700 in ids and 500 in ids
     blank = {r.doc_id: r.text for r in decontam.decontaminate(docs, bench, remove="spans").collect()}
     assert plain_words(blank[1]) == w[:20] + w[60:] and blank[500] is None
+    assert all(r.n_chars == len(r.text) for r in decontam.decontaminate(docs, bench, remove="spans").collect() if r.text is not None and r.text != dict(corpus).get(r.doc_id, ""))
     assert decontam.find_hits(docs.limit(0), bench).count() == 0
     assert not any(r.contaminated for r in decontam.find_hits(docs, bench.limit(0)).collect())

@@ -20,11 +20,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import kit
-from .store import free_name, small_batches
+from .store import free_name, settle, small_batches
 
 WINDOW = 13
-#: Bytes of benchmark text in one broadcast block; more items make more passes, not a larger broadcast.
-BLOCK_BYTES = 32 << 20
+#: Bytes of benchmark text in one broadcast block, about (its table takes four times as much); more items make more passes, not a larger broadcast.
+BLOCK_BYTES = 16 << 20
 #: A document is contaminated if hit words are at least one in SHARE of its words.
 SHARE = 20
 
@@ -37,36 +37,39 @@ def _phrases(low: np.ndarray, s: np.ndarray, e: np.ndarray, at: int, k: int) ->
 
 
 def build_table(item_ids: list[int], texts: list[str], window: int = WINDOW) -> dict:
-    """Window length -> (sorted hashes, hash -> [(words, item ids)], hashed filter)."""
+    """Flat arrays of about four times the texts' bytes: the words one after the other, and per window length the sorted hashes and their places."""
     data, offs = kit.as_bytes(pa.array(texts, pa.large_string()))
     s, e, d, h = kit.words(data, offs)
     low = kit.FOLD[data]
+    size = e - s
+    starts = np.concatenate([[0], np.cumsum(size + 1)])
+    raw = np.full(starts[-1], 0x20, np.uint8)
+    raw[np.arange(size.sum()) + np.repeat(np.arange(len(s)), size)] = low[low != 0]
     counts = np.bincount(d, minlength=len(texts)) if len(d) else np.zeros(len(texts), np.int64)
     first = np.concatenate([[0], np.cumsum(counts)])
-    tables: dict[int, dict[int, list]] = {}
-    for k in sorted({min(int(c), window) for c in counts if c}):
-        hashes = kit.windows(h, k)
-        table = tables.setdefault(k, {})
-        for i in np.flatnonzero(np.minimum(counts, window) == k):
-            for at in range(int(first[i]), int(first[i + 1]) - k + 1):
-                words = _phrases(low, s, e, at, k)
-                entries = table.setdefault(int(hashes[at]), [])
-                for known, ids in entries:
-                    if known == words:
-                        ids.add(item_ids[i])
-                        break
-                else:
-                    entries.append((words, {item_ids[i]}))
-    out = {}
-    for k, table in tables.items():
-        keys = np.array(sorted(table), np.uint64)
+    cut = np.minimum(counts, window)
+    lengths = {}
+    for k in np.unique(cut[cut > 0]).tolist():
+        hashes, own = kit.windows(h, k), np.flatnonzero(cut == k)
+        n = counts[own] - k + 1
+        at = np.repeat(first[own] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        at = at[np.argsort(hashes[at], kind="stable")]
         seen = np.zeros(1 << _FILTER_BITS, bool)
-        seen[keys >> np.uint64(64 - _FILTER_BITS)] = True
-        out[k] = (keys, {h: [(w, sorted(ids)) for w, ids in v] for h, v in table.items()}, seen)
-    return out
+        seen[hashes[at] >> np.uint64(64 - _FILTER_BITS)] = True
+        lengths[k] = (hashes[at], at.astype(np.int32), seen)
+    return {"ids": np.array(item_ids, np.int64), "first": first, "raw": raw.tobytes(), "starts": starts.astype(np.int32), "lengths": lengths}
 
 
-def scan(col: pa.Array, tables: dict) -> pa.Array:
+def _items(table: dict, k: int, h: int, words: bytes) -> set:
+    """Items that hold a window of these words."""
+    keys, at, _ = table["lengths"][k]
+    found = at[np.searchsorted(keys, h) : np.searchsorted(keys, h, "right")]
+    raw, starts = table["raw"], table["starts"]
+    same = [w for w in found.tolist() if raw[starts[w] : starts[w + k] - 1] == words]
+    return set(table["ids"][np.searchsorted(table["first"], same, "right") - 1].tolist()) if same else set()
+
+
+def scan(col: pa.Array, table: dict) -> pa.Array:
     """Per text: number of words, merged word intervals inside verified windows, ids of the items found."""
     data, offs = kit.as_bytes(col)
     n = len(offs) - 1
@@ -82,7 +85,7 @@ def scan(col: pa.Array, tables: dict) -> pa.Array:
         n_words[lo:hi] = counts
         first = np.concatenate([[0], np.cumsum(counts)])
         marks = None
-        for k, (keys, table, seen) in tables.items():
+        for k, (keys, _, seen) in table["lengths"].items():
             wh = kit.windows(h, k)
             if not len(wh):
                 continue
@@ -94,13 +97,12 @@ def scan(col: pa.Array, tables: dict) -> pa.Array:
             cand = cand[keys[np.minimum(pos, len(keys) - 1)] == wh[cand]]
             low = kit.FOLD[block] if low is None and len(cand) else low
             for i in cand.tolist():
-                words = _phrases(low, s, e, i, k)
-                for known, ids in table[int(wh[i])]:
-                    if known == words:
-                        marks = np.zeros(len(s) + 1, np.int32) if marks is None else marks
-                        marks[i] += 1
-                        marks[i + k] -= 1
-                        found.setdefault(lo + int(d[i]), set()).update(ids)
+                ids = _items(table, k, wh[i], _phrases(low, s, e, i, k))
+                if ids:
+                    marks = np.zeros(len(s) + 1, np.int32) if marks is None else marks
+                    marks[i] += 1
+                    marks[i + k] -= 1
+                    found.setdefault(lo + int(d[i]), set()).update(ids)
         if marks is not None:
             hit = np.cumsum(marks[:-1]) > 0
             for doc in {x for x in found if lo <= x < hi}:
@@ -131,24 +133,36 @@ def _merge(starts: pa.Array, ends: pa.Array) -> pa.Array:
     return pa.array(out, pa.int64())
 
 
-def _udf(spark, items: list, window: int):
-    shared = spark.sparkContext.broadcast(build_table([r[0] for r in items], [r[1] for r in items], window))
-
-    @F.arrow_udf(_HITS)
-    def hits(text: pa.Array) -> pa.Array:
-        return scan(text, shared.value)
-
-    return hits.asNondeterministic()
-
+def _hits(docs: DataFrame, benchmark: DataFrame, window: int, name: str) -> tuple[DataFrame, Column]:
+    """``docs`` with the hits in column ``name``, and their number of words.
 
-def _passes(docs: DataFrame, benchmark: DataFrame, text: Column, window: int) -> list[Column]:
-    """One column of hits for each block of the benchmark; blocks are bounded in bytes before they are collected."""
+    The benchmark is taken in blocks that are bounded in bytes before they are collected.  One block is a column; of more,
+    each is broadcast, looked up in a pass of its own that is settled, and released before the next one is collected.
+    """
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("i"), F.col("text").alias("t")).where("i is not null and t is not null").distinct()
     size = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     n = max(1, -(-size // BLOCK_BYTES))
-    part = [items if n == 1 else items.where(F.pmod(F.xxhash64("i"), F.lit(n)) == b) for b in range(n)]
-    return [_udf(spark, p.collect(), window)(text) for p in part]
+    block = F.pmod(F.xxhash64("i"), F.lit(n))
+    more, done = free_name(docs, "more"), []
+    for b in range(n):
+        rows = items.where(block == b).collect()
+        shared = spark.sparkContext.broadcast(build_table([r[0] for r in rows], [r[1] for r in rows], window))
+        hits = F.arrow_udf(lambda text, shared=shared: scan(text, shared.value), _HITS).asNondeterministic()
+        docs = docs.withColumn(name if b == 0 else more, hits(F.col("text")))
+        if n == 1:
+            break
+        if b:
+            both = lambda f: F.concat(F.col(f"{name}.{f}"), F.col(f"{more}.{f}")).alias(f)
+            docs = docs.withColumn(name, F.struct(F.col(f"{name}.n_words"), both("starts"), both("ends"), F.array_distinct(both("items")).alias("items"))).drop(more)
+        docs = settle(docs, *done)
+        done = [docs]
+        shared.unpersist()
+    if n == 1:
+        total = F.aggregate(F.zip_with(f"{name}.ends", f"{name}.starts", lambda b, a: b - a), F.lit(0).cast("long"), lambda x, y: x + y)
+    else:
+        total = F.arrow_udf(_merge, "bigint")(F.col(f"{name}.starts"), F.col(f"{name}.ends"))
+    return docs, total
 
 
 def _verdict(n_words: Column, n_hit: Column, items: Column) -> list[Column]:
@@ -161,48 +175,26 @@ def _verdict(n_words: Column, n_hit: Column, items: Column) -> list[Column]:
     ]
 
 
-def _judged(hits: list[Column], base: DataFrame, keep: list[str]) -> DataFrame:
-    names = []
-    for i, h in enumerate(hits):
-        names.append(free_name(base, f"hits_{i}"))
-        base = base.withColumn(names[-1], h)
-    if len(names) == 1:
-        h = names[0]
-        total = F.aggregate(F.zip_with(f"{h}.ends", f"{h}.starts", lambda b, a: b - a), F.lit(0).cast("long"), lambda x, y: x + y)
-        items = F.col(f"{h}.items")
-    else:
-        union = F.arrow_udf(_merge, "bigint")
-        total = union(F.flatten(F.array(*[f"{h}.starts" for h in names])), F.flatten(F.array(*[f"{h}.ends" for h in names])))
-        items = F.array_distinct(F.flatten(F.array(*[f"{h}.items" for h in names])))
-    return base.select(*keep, *_verdict(F.col(f"{names[0]}.n_words"), total, items))
-
-
 def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated: one row per row of ``docs``, no shuffle."""
     small_batches(docs.sparkSession)
-    base = docs.select("doc_id", "text")
-    return _judged(_passes(docs, benchmark, F.col("text"), window), base, ["doc_id"])
+    rows, n_hit = _hits(docs.select("doc_id", "text"), benchmark, window, "h")
+    return rows.select("doc_id", *_verdict(F.col("h.n_words"), n_hit, F.col("h.items")))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, remove: str = "documents") -> DataFrame:
-    """``docs`` without contaminated documents, or (``remove='spans'``) with the hit words blanked out."""
+    """``docs`` without contaminated documents, or (``remove='spans'``) with the hit words blanked out and ``n_chars`` following."""
     small_batches(docs.sparkSession)
-    hits = _passes(docs, benchmark, F.col("text"), window)
+    name, verdict = free_name(docs, "hits"), free_name(docs, "verdict")
+    rows, n_hit = _hits(docs, benchmark, window, name)
     if remove == "spans":
-        for h in hits:
-            docs = docs.withColumn("text", _blank()(F.col("text"), h))
-        return docs
-    name = free_name(docs, "verdict")
-    names = [free_name(docs, f"hits_{i}") for i in range(len(hits))]
-    judged = docs
-    for n, h in zip(names, hits, strict=True):
-        judged = judged.withColumn(n, h)
-    if len(names) == 1:
-        total = F.aggregate(F.zip_with(f"{names[0]}.ends", f"{names[0]}.starts", lambda b, a: b - a), F.lit(0).cast("long"), lambda x, y: x + y)
-    else:
-        total = F.arrow_udf(_merge, "bigint")(F.flatten(F.array(*[f"{h}.starts" for h in names])), F.flatten(F.array(*[f"{h}.ends" for h in names])))
-    judged = judged.withColumn(name, (total > 0) & (SHARE * total >= F.col(f"{names[0]}.n_words")))
-    return judged.where(~F.col(name)).select(*docs.columns)
+        out = rows.withColumn("text", _blank()(F.col("text"), F.col(name)))
+        if "n_chars" in docs.columns:
+            hit = F.size(f"{name}.starts") > 0
+            out = out.withColumn("n_chars", F.when(hit, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+        return out.select(*docs.columns)
+    judged = rows.withColumn(verdict, (n_hit > 0) & (SHARE * n_hit >= F.col(f"{name}.n_words")))
+    return judged.where(~F.col(verdict)).select(*docs.columns)
 
 
 def _blank():
@@ -217,7 +209,11 @@ def _blank():
                 out.append(t)
                 continue
             raw, at, kept = data[offs[i] : offs[i + 1]].tobytes(), 0, []
-            for a, b in zip(h["starts"], h["ends"], strict=True):
+            for a, b in sorted(zip(h["starts"], h["ends"], strict=True)):
+                if s[first[i] + a] - offs[i] < at:  # blocks of the benchmark may mark the same words
+                    a = min(b, int(np.searchsorted(s[first[i] : first[i + 1]] - offs[i], at)))
+                    if a >= b:
+                        continue
                 kept.append(raw[at : s[first[i] + a] - offs[i]])
                 at = e[first[i] + b - 1] - offs[i]
             out.append((b"".join(kept) + raw[at:]).decode())
