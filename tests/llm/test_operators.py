@@ -143,6 +143,23 @@ def test_ledger_scans_only_what_is_new(spark, corpus):
     assert {r.doc_id: len(r.findings) for r in secret_scan.scan_paths(more, ledger).collect()} == {4: 1, 5: 1}
 
 
+def test_stored_ledger(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "ledger")
+    one = table(spark, [(1, "secret=abcdefgh"), (2, "nothing here"), (3, "secret=abcdefgh"), (3, None)])
+    assert {r.doc_id: r.n_assign for r in secret_scan.report(one, path).collect() if r.doc_id != 3} == {1: 1, 2: 0}
+    assert secret_scan.stored(spark, path).count() == 3
+    secret_scan.report(one, path).count()  # the same again: nothing new
+    assert secret_scan.stored(spark, path).count() == 3
+    monkeypatch.setattr(secret_scan, "FEW", 0)  # by a shuffle
+    more = table(spark, [(4, "secret=abcdefgh"), (5, "token=12345678"), (6, "token=12345678")])
+    assert {r.doc_id: r.spans for r in secret_scan.report(more, path).collect()} == {4: "assign:0:15", 5: "assign:0:14", 6: "assign:0:14"}
+    assert secret_scan.stored(spark, path).count() == 4
+    both = secret_scan.stored(spark, path)
+    both.limit(10).write.mode("append").parquet(path + "2")
+    both.limit(10).write.mode("append").parquet(path + "2")  # two runs appended the same
+    assert secret_scan.report(more, path + "2").count() == 3
+
+
 def test_packing(spark, corpus):
     docs = table(spark, [*corpus, (600, "word " * 9000)])
     got = packing.pack(docs).collect()

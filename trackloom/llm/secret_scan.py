@@ -1,12 +1,17 @@
 """Secret scans (operator 2): an incremental ledger of content-addressed blobs.
 
-Every version of every path is addressed by the SHA-256 of its text.  The
-ledger holds, for each (blob, rule version) pair that was ever scanned, the
-spans found.  A run scans only pairs that the ledger lacks - each blob once,
-however many paths or historical versions carry it - and joins the findings of
-new and known pairs back to all paths.  ``scan_blobs`` returns the new pairs;
-storing the ledger and passing it to the next run is the caller's part, and the
-query and the pipeline run without one.
+Every version of every path is addressed by the SHA-256 of its text; historical
+versions are rows like any other, told apart by their keys.  The ledger holds,
+for each (blob, rule version) pair that was ever scanned, the spans found.  A run
+scans only pairs that the ledger lacks - each blob once, however many paths or
+versions carry it - and joins the findings of new and known pairs back to all
+paths.  ``extend`` appends the new pairs to a stored ledger, a Parquet folder that
+the cluster shares: what a broken run had committed is known to the next one, and
+pairs that two runs appended count once.  The query and the pipeline start an
+empty ledger of their own in the shared folder.
+
+Only digests and ids are shuffled to find what need not be scanned; those rows
+are kept out by broadcast while at most FEW are counted, else by a shuffle.
 
 Rules (kinds): ``assign``, ``access`` and ``hex`` are the base; ``pem`` (private
 key blocks, with headers and escaped line ends), ``jwt`` and ``url`` (credentials
@@ -20,15 +25,18 @@ repeated rows each get their own result row; texts are scanned whole.
 from __future__ import annotations
 
 import re
+import uuid
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .store import free_name, settle, small_batches
+from .store import free_name, settle, shared_dir, small_batches
 
 RULE_VERSION = "r1.1"
+#: Rows that need no scan, up to which they are broadcast; they are counted before.
+FEW = 500_000
 BASE = ("assign", "access", "hex")
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 _HINT = ("passw", "secret", "token", "api")
@@ -83,37 +91,65 @@ def _scan(text: pa.Array) -> pa.Array:
     return pa.array(rows, pa.list_(kind))
 
 
+def _blob(text: str = "text"):
+    return F.sha2(F.coalesce(F.col(text), F.lit("")), 256)
+
+
 def scan_blobs(docs: DataFrame, ledger: DataFrame | None = None, rule_version: str = RULE_VERSION) -> DataFrame:
     """New ledger rows (blob, rule_version, findings): one for each blob of ``docs`` that ``ledger`` lacks."""
     small_batches(docs.sparkSession)
-    blob = F.sha2(F.coalesce("text", F.lit("")), 256)
-    rows = docs.select(F.col("doc_id").alias("owner"), blob.alias("blob"), F.coalesce("text", F.lit("")).alias("body"))
-    # The owner of a blob is its smallest path; only ids and digests are shuffled to find it.
-    owners = docs.select(F.col("doc_id").alias("path"), blob.alias("b")).groupBy("b").agg(F.min(F.coalesce("path", F.lit(-(1 << 63)))).alias("p"))
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("owner"), _blob().alias("blob"), F.coalesce("text", F.lit("")).alias("body"))
+    # A blob belongs to its smallest path; other paths' rows, and those of known blobs, are not scanned.
+    named = rows.select("owner", "blob")
     if ledger is not None:
-        known = ledger.where(F.col("rule_version") == rule_version).select(F.col("blob").alias("b"))
-        owners = owners.join(known, "b", "left_anti")
-    todo = rows.join(owners, (F.coalesce("owner", F.lit(-(1 << 63))) == F.col("p")) & (F.col("blob") == F.col("b")))
+        known = ledger.where(F.col("rule_version") == rule_version).select("blob").distinct().withColumn("known", F.lit(True))
+        named = named.join(known, "blob", "left")
+    else:
+        named = named.withColumn("known", F.lit(None).cast("boolean"))
+    owners = named.groupBy("blob").agg(F.min("owner").alias("first"), F.max("owner").alias("last"), F.max("known").alias("known")).where("known or first < last")
+    skip = settle(named.select("owner", "blob").join(owners, "blob").where("known or owner > first").select("owner", "blob").distinct())
+    todo = rows.join(F.broadcast(skip) if skip.count() <= FEW else skip, ["owner", "blob"], "left_anti")
     found = todo.select("blob", F.lit(rule_version).alias("rule_version"), _scan("body").alias("findings"))
     return settle(found).dropDuplicates(["blob", "rule_version"])
 
 
+def stored(spark: SparkSession, path: str) -> DataFrame:
+    """The ledger at ``path``; empty where there is none yet."""
+    schema = f"blob string, rule_version string, findings {_FINDINGS}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
+def extend(docs: DataFrame, path: str, rule_version: str = RULE_VERSION) -> DataFrame:
+    """Scans what the ledger at ``path`` lacks of ``docs``, appends it there, and returns the whole ledger."""
+    scan_blobs(docs, stored(docs.sparkSession, path), rule_version).write.mode("append").parquet(path)
+    return stored(docs.sparkSession, path)
+
+
+def _new_ledger(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/ledger-{uuid.uuid4().hex}"
+
+
+def findings_of(docs: DataFrame, ledger: DataFrame, rule_version: str = RULE_VERSION, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """(keys, blob, findings) for every row of ``docs`` out of the ledger."""
+    # Most blobs have no findings; only those that have some are joined.
+    some = ledger.where((F.col("rule_version") == rule_version) & (F.size("findings") > 0)).dropDuplicates(["blob"])
+    found = some.select(F.col("blob").alias("_b"), "findings")
+    paths = docs.select(*keys, _blob().alias("blob"))
+    return paths.join(found, F.col("blob") == F.col("_b"), "left").select(*keys, "blob", F.coalesce("findings", F.expr(f"cast(array() as {_FINDINGS})")).alias("findings"))
+
+
 def scan_paths(docs: DataFrame, ledger: DataFrame | None = None, rule_version: str = RULE_VERSION) -> DataFrame:
     """(doc_id, blob, findings) for every row of ``docs``, scanning only what ``ledger`` lacks."""
     fresh = scan_blobs(docs, ledger, rule_version)
-    if ledger is not None:
-        fresh = fresh.unionByName(ledger.where(F.col("rule_version") == rule_version).select(*fresh.columns))
-    # Most blobs have no findings; only those that have some are joined.
-    found = fresh.where(F.size("findings") > 0).select(F.col("blob").alias("b"), "findings")
-    paths = docs.select("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("blob"))
-    return paths.join(found, F.col("blob") == F.col("b"), "left").select(
-        "doc_id", "blob", F.coalesce("findings", F.expr(f"cast(array() as {_FINDINGS})")).alias("findings")
-    )
+    return findings_of(docs, fresh if ledger is None else fresh.unionByName(ledger.select(*fresh.columns)), rule_version)
 
 
-def report(docs: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
-    """Per row: counts of the base kinds, a digest of the base spans, and all spans."""
-    found = scan_paths(docs, ledger)
+def report(docs: DataFrame, ledger: str | None = None) -> DataFrame:
+    """Per row: counts of the base kinds, a digest of the base spans, and all spans; ``ledger`` is the path of a stored one."""
+    found = findings_of(docs, extend(docs, ledger or _new_ledger(docs.sparkSession)))
     spans = lambda xs: F.concat_ws(",", F.transform(xs, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))))
     count = lambda k: F.size(F.filter("findings", lambda x: x["kind"] == k)).cast("long")
     return found.select(
@@ -144,7 +180,7 @@ def redact(docs: DataFrame) -> DataFrame:
 
     The ledger's findings come back by content address, so copies are scanned once.
     """
-    found = scan_blobs(docs).where(F.size("findings") > 0)
+    found = extend(docs, _new_ledger(docs.sparkSession)).where(F.size("findings") > 0).dropDuplicates(["blob"])
     name, key, addr = free_name(docs, "findings"), free_name(docs, "b"), free_name(docs, "blob")
     # Rows with secrets are few: their addresses meet the texts in a join whose small side Spark measures at run time.
     joined = docs.withColumn(addr, F.sha2(F.coalesce("text", F.lit("")), 256)).join(
