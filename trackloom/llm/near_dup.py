@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from . import kit
 from .graph import components
-from .store import free_name, settle, small_batches
+from .store import free_name, join_dealt, settle, small_batches
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -285,8 +285,8 @@ def classes(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     members = signed.where("weight > 0").select("doc_id", "d1", "d2").join(groups, ["d1", "d2"]).select("doc_id", "rep")
     reps = signed.join(groups.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").where("weight > 0")
     rows = settle(reps.select(F.col("doc_id").alias("id"), F.explode("bands").alias("b")))
-    heads = rows.groupBy("b").agg(F.min("id").alias("head"), F.count("*").alias("n")).where("n > 1").select("b", "head")
-    full = settle(rows.join(heads, "b"))  # rows of buckets with more than one member
+    heads = settle(rows.groupBy("b").agg(F.min("id").alias("head"), F.count("*").alias("n")).where("n > 1"))
+    full = settle(join_dealt(rows, heads, "b", "id"), rows)  # rows of buckets with more than one member
     stars = full.where("id <> head").select(F.col("head").alias("u"), F.col("id").alias("v")).distinct()
     links = settle(verified(stars, docs, threshold))
     of = components(links)
@@ -295,7 +295,8 @@ def classes(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     label = lambda df, c, to: df.join(of.select(F.col("node").alias(c), F.col("component").alias(to)), c, "left").withColumn(to, F.coalesce(to, c))
     placed = settle(label(label(full, "id", "c"), "head", "hc"))
     mixed = placed.where("c <> hc").groupBy("b").agg(F.count("*").alias("outside"))
-    inside = settle(placed.where("id <> head").join(mixed, "b").select("b", "id", "c", (F.col("c") != F.col("hc")).alias("far"), "outside"))
+    mixed = settle(mixed.join(heads.select("b", "n"), "b"))
+    inside = settle(join_dealt(placed.where("id <> head"), mixed, "b", "id").select("b", "id", "c", (F.col("c") != F.col("hc")).alias("far"), "outside"))
     more = settle(verified(_met(inside, signed, docs, threshold), docs, threshold))
     if not more.isEmpty():
         of = components(links.unionByName(more))

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .store import free_name, settle, shared_dir, small_batches
+from .store import free_name, join_dealt, settle, shared_dir, small_batches
 
 RULE_VERSION = "r1.1"
 #: Rows that need no scan, up to which they are broadcast; they are counted before.
@@ -106,8 +106,9 @@ def scan_blobs(docs: DataFrame, ledger: DataFrame | None = None, rule_version: s
         named = named.join(known, "blob", "left")
     else:
         named = named.withColumn("known", F.lit(None).cast("boolean"))
-    owners = named.groupBy("blob").agg(F.min("owner").alias("first"), F.max("owner").alias("last"), F.max("known").alias("known")).where("known or first < last")
-    skip = settle(named.select("owner", "blob").join(owners, "blob").where("known or owner > first").select("owner", "blob").distinct())
+    owners = named.groupBy("blob").agg(F.min("owner").alias("first"), F.max("owner").alias("last"), F.max("known").alias("known"), F.count("*").alias("n")).where("known or first < last")
+    owners = settle(owners.drop("last"))
+    skip = settle(join_dealt(rows.select("owner", "blob"), owners, "blob", "owner").where("known or owner > first").select("owner", "blob").distinct())
     todo = rows.join(F.broadcast(skip) if skip.count() <= FEW else skip, ["owner", "blob"], "left_anti")
     found = todo.select("blob", F.lit(rule_version).alias("rule_version"), _scan("body").alias("findings"))
     return settle(found).dropDuplicates(["blob", "rule_version"])

@@ -8,6 +8,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Frees a finished query's shuffle files at once; Spark versions without it leave them to their cleaner.
 _CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -66,6 +67,21 @@ def discard(*done: DataFrame) -> None:
         path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def join_dealt(rows: DataFrame, counts: DataFrame, key: str, spread: str, least: int = 1024, share: int = 10_000) -> DataFrame:
+    """``rows`` joined with ``counts`` on ``key``, hot keys dealt over several tasks.
+
+    ``counts`` has one row a key, with its number of rows in ``n``, which is left out of the result.  Keys that hold more
+    than ``least`` rows and one in ``share`` of all, of which there are at most ``share``, are broadcast with the number of
+    tasks they are dealt over; ``spread`` is a column of ``rows`` whose hash deals them.
+    """
+    bar = max(least, (counts.agg(F.sum("n")).first()[0] or 0) // share)
+    times = F.ceil(F.col("n") / bar).cast("int")
+    hot = counts.where(F.col("n") > bar).select(key, times.alias("_times"))
+    rows = rows.join(F.broadcast(hot), key, "left").withColumn("_deal", F.pmod(F.xxhash64(spread), F.coalesce("_times", F.lit(1))).cast("int")).drop("_times")
+    dealt = counts.withColumn("_deal", F.explode(F.sequence(F.lit(0), F.greatest(times, F.lit(1)) - 1))).drop("n")
+    return rows.join(dealt, [key, "_deal"]).drop("_deal")
+
+
 def free_name(df: DataFrame, stem: str) -> str:
     """A column name that ``df`` has not."""
     taken = {c.lower() for c in df.columns}
