@@ -2,16 +2,20 @@
 
 A gear hash rolls over the text's bytes; a chunk ends where the hash is the
 largest within ``REACH`` bytes on either side, so borders depend on nearby bytes
-only and an insertion moves the borders next to it, not those after it.  Chunks
-have more than REACH bytes; where no border comes for MAX_CHUNK bytes, one is
-set.  Chunks are compared by 128-bit digest: the occurrence with the smallest
-(doc_id, position) stays, all later ones are repeats.  Every repeated chunk is
-cut out; only where MAX_CHUNK set a border may a chunk have REACH bytes or less,
-and such a piece goes only in a run of more, or as a whole text.
-
-Per digest only the first place and whether there are others is aggregated, with
+only and an insertion moves the borders next to it, not those after it.  Where no
+border comes for MAX_CHUNK bytes, one is set.  Chunks are compared by the 128-bit
+digest of the chunk together with the bytes that decide its borders: the BEFORE
+bytes before it and the REACH bytes after it, as far as the text goes.  So what is
+equal is at least LEAST bytes long, or a whole text; a few words that two texts
+share by chance are no repeat, while a passage shared in new surroundings holds the
+borders' bytes as well, and is cut beyond its outer borders.  The occurrence with
+the smallest (doc_id, position) stays; every later one is a repeat and is cut out,
+with the bytes around it that were found equal.  Each cut byte thus stands at an
+earlier place as well.
+
+Per digest only the first place and the number of places is aggregated, with
 partial aggregation before the shuffle, so a line in a third of all rows is one
-row per task.
+row per task; the places of such a digest are dealt over several tasks.
 
 Edge cases: null and empty texts have no chunks; rows repeated under one id are
 one document; rows with a null id are neither compared nor cut; very long texts
@@ -28,14 +32,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import kit
-from .store import free_name, settle, small_batches
+from .store import free_name, join_dealt, settle, small_batches
 
 #: Half-width of the neighbourhood in which a border's hash is the largest; a chunk has about twice as many bytes.
 REACH = 24
 MAX_CHUNK = 256
-#: Bytes of a run that is cut: those of the smallest chunk between borders.
-MIN_RUN = REACH + 1
 _WINDOW = 32
+#: Bytes before a border that decide it.
+BEFORE = _WINDOW + REACH
+#: Bytes of the shortest repeat that is found within texts.
+LEAST = BEFORE + REACH + 1
 
 #: One random word for each byte value, made by a rule.
 GEAR = (kit.mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.uint32)
@@ -76,7 +82,7 @@ def borders(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
     peak = at[(h[at] >= side[at - REACH]) & (h[at] > side[at + 1])]
     # Near a text's border the hash has seen its neighbour's bytes: no chunk ends there.
     text = np.searchsorted(offs, peak, "right") - 1
-    room = (peak - offs[text] >= _WINDOW + REACH) & (offs[text + 1] - peak > REACH)
+    room = (peak - offs[text] >= BEFORE) & (offs[text + 1] - peak > REACH)
     cuts = np.unique(np.concatenate([peak[room] + 1, edge]))
     begin = np.concatenate([[0], cuts[:-1]])
     extra = (cuts - begin - 1) // MAX_CHUNK
@@ -89,7 +95,7 @@ def borders(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
 
 
 def chunks(docs: DataFrame) -> DataFrame:
-    """(doc_id, start, size, a, b, last): every chunk of every text, with its digest in two halves."""
+    """(doc_id, start, size, a, b): every chunk of every text with the bytes around it, and their digest in two halves."""
 
     def run(batches):
         for batch in batches:
@@ -100,45 +106,47 @@ def chunks(docs: DataFrame) -> DataFrame:
                     continue
                 starts = np.concatenate([[0], ends[:-1]])
                 text = np.searchsorted(offs, starts, "right") - 1
+                starts, ends = np.maximum(starts - BEFORE, offs[text]), np.minimum(ends + REACH, offs[text + 1])
                 raw = memoryview(block.tobytes())
                 digest = xxhash.xxh3_128_digest
                 made = np.frombuffer(b"".join([digest(raw[s:e]) for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]), np.int64).reshape(-1, 2)
-                cols = [ids[lo + text], (starts - offs[text]).astype(np.int32), (ends - starts).astype(np.int32), made[:, 0].copy(), made[:, 1].copy(), ends == offs[text + 1]]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["doc_id", "start", "size", "a", "b", "last"])
+                cols = [ids[lo + text], (starts - offs[text]).astype(np.int32), (ends - starts).astype(np.int32), made[:, 0].copy(), made[:, 1].copy()]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["doc_id", "start", "size", "a", "b"])
 
     small_batches(docs.sparkSession)
     rows = docs.where("doc_id is not null and text <> ''").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(run, "doc_id long, start int, size int, a long, b long, last boolean")
+    return rows.mapInArrow(run, "doc_id long, start int, size int, a long, b long")
 
 
 @F.arrow_udf(T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])))
-def _runs(repeats: pa.Array, least: pa.Array) -> pa.Array:
-    """Runs of touching chunks that have at least so many bytes or are a whole text."""
+def _runs(repeats: pa.Array) -> pa.Array:
+    """Runs of touching or overlapping repeats."""
     out = []
-    for row, size in zip(repeats.to_pylist(), least.to_pylist(), strict=True):
-        runs: list[list] = []
-        for x in sorted(row or [], key=lambda x: x["start"]):
-            if runs and x["start"] <= runs[-1][1]:
-                runs[-1][1] = max(runs[-1][1], x["start"] + x["size"])
-                runs[-1][2] |= x["last"]
+    for row in repeats.to_pylist():
+        runs: list[dict] = []
+        for start, size in sorted((x["start"], x["size"]) for x in row):
+            if runs and start <= runs[-1]["end"]:
+                runs[-1]["end"] = max(runs[-1]["end"], start + size)
             else:
-                runs.append([x["start"], x["start"] + x["size"], x["last"]])
-        out.append([{"start": s, "end": e} for s, e, last in runs if e - s >= size or (s == 0 and last)])
+                runs.append({"start": start, "end": start + size})
+        out.append(runs)
     return pa.array(out, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))
 
 
-def repeats(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
+def repeats(docs: DataFrame) -> DataFrame:
     """(doc_id, n_repeats, runs): documents with repeated chunks, and the runs to cut out of them."""
     made = settle(chunks(docs))
-    first = made.groupBy("a", "b").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.max(F.struct("doc_id", "start")).alias("last")).where("first <> last")
-    later = made.join(first.select("a", "b", "first"), ["a", "b"]).where(F.struct("doc_id", "start") > F.col("first"))
-    per_doc = later.groupBy("doc_id").agg(F.collect_set(F.struct("start", "size", "last")).alias("parts"))
-    return per_doc.select("doc_id", F.size("parts").cast("long").alias("n_repeats"), _runs("parts", F.lit(min_run)).alias("runs"))
+    place = F.struct("doc_id", "start")
+    seen = made.groupBy("a", "b").agg(F.min(place).alias("first"), F.max(place).alias("final"), F.count("*").alias("n"))
+    seen = settle(seen.where("first <> final").drop("final"))
+    later = join_dealt(made, seen, ["a", "b"], "doc_id").where(place > F.col("first"))
+    per_doc = later.groupBy("doc_id").agg(F.collect_set(F.struct("start", "size")).alias("parts"))
+    return per_doc.select("doc_id", F.size("parts").cast("long").alias("n_repeats"), _runs("parts").alias("runs"))
 
 
-def report(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
+def report(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_repeats, n_removed, spans for every row of ``docs``; spans are start:end, comma-joined."""
-    found = repeats(docs, min_run).withColumnRenamed("doc_id", "id")
+    found = repeats(docs).withColumnRenamed("doc_id", "id")
     rows = docs.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
     removed = F.aggregate("runs", F.lit(0).cast("long"), lambda t, x: t + x["end"] - x["start"])
     return rows.join(found, F.col("doc_id").cast("long") == F.col("id"), "left").select(
@@ -165,9 +173,9 @@ def _without(text: pa.Array, runs: pa.Array) -> pa.Array:
     return pa.array(out, pa.string())
 
 
-def remove(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
+def remove(docs: DataFrame) -> DataFrame:
     """``docs`` with repeated runs cut out of the texts; all rows and columns stay."""
     key, name = free_name(docs, "id"), free_name(docs, "runs")
-    found = repeats(docs, min_run).where(F.size("runs") > 0).select(F.col("doc_id").alias(key), F.col("runs").alias(name))
+    found = repeats(docs).select(F.col("doc_id").alias(key), F.col("runs").alias(name))
     joined = docs.join(found, F.col("doc_id").cast("long") == F.col(key), "left")
     return joined.withColumn("text", F.when(F.col(name).isNull(), F.col("text")).otherwise(_without("text", name))).select(*docs.columns)

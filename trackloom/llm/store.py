@@ -67,7 +67,7 @@ def discard(*done: DataFrame) -> None:
         path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def join_dealt(rows: DataFrame, counts: DataFrame, key: str, spread: str, least: int = 1024, share: int = 10_000) -> DataFrame:
+def join_dealt(rows: DataFrame, counts: DataFrame, key: str | list[str], spread: str, least: int = 1024, share: int = 10_000) -> DataFrame:
     """``rows`` joined with ``counts`` on ``key``, hot keys dealt over several tasks.
 
     ``counts`` has one row a key, with its number of rows in ``n``, which is left out of the result.  Keys that hold more
@@ -76,10 +76,11 @@ def join_dealt(rows: DataFrame, counts: DataFrame, key: str, spread: str, least:
     """
     bar = max(least, (counts.agg(F.sum("n")).first()[0] or 0) // share)
     times = F.ceil(F.col("n") / bar).cast("int")
-    hot = counts.where(F.col("n") > bar).select(key, times.alias("_times"))
-    rows = rows.join(F.broadcast(hot), key, "left").withColumn("_deal", F.pmod(F.xxhash64(spread), F.coalesce("_times", F.lit(1))).cast("int")).drop("_times")
+    keys = [key] if isinstance(key, str) else key
+    hot = counts.where(F.col("n") > bar).select(*keys, times.alias("_times"))
+    rows = rows.join(F.broadcast(hot), keys, "left").withColumn("_deal", F.pmod(F.xxhash64(spread), F.coalesce("_times", F.lit(1))).cast("int")).drop("_times")
     dealt = counts.withColumn("_deal", F.explode(F.sequence(F.lit(0), F.greatest(times, F.lit(1)) - 1))).drop("n")
-    return rows.join(dealt, [key, "_deal"]).drop("_deal")
+    return rows.join(dealt, [*keys, "_deal"]).drop("_deal")
 
 
 def free_name(df: DataFrame, stem: str) -> str:
