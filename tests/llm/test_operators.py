@@ -396,6 +396,25 @@ def test_toxicity(spark):
     assert toxicity.score(docs.limit(0), marks).count() == 0
 
 
+def test_toxicity_learns_from_unlabelled(spark):
+    """Documents without a label are trained on by their votes; a row repeated under one id counts once."""
+    rng = random.Random(4)
+    bad = ["grumf", "zokkel", "vreth", "spladd"]
+    rows = [(i, " ".join([*prose(rng, 30).split(), *(rng.choices(bad, k=3) if i % 4 == 0 else [])])) for i in range(900)]
+    marks = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(450)], "doc_id long, quality int, toxic int")
+    docs = table(spark, [*rows, *[rows[5]] * 20])
+    sample = toxicity._sample(docs, marks, 10_000, 10_000).collect()
+    crc = lambda i: zlib.crc32(str(i).encode()) % 4
+    assert {(r.id, r.toxic) for r in sample} == {(i, int(i % 4 == 0) if i < 450 else -1) for i in range(900) if crc(i) != 2}
+    assert len(sample) == len({r.id for r in sample})
+    few = toxicity._sample(docs, marks, 50, 30).collect()
+    assert sum(r.toxic >= 0 for r in few) == 50 and sum(r.toxic < 0 for r in few) == 30
+    with_all, without = toxicity.fit(docs, marks), toxicity.fit(docs, marks, unlabelled=0)
+    assert not np.array_equal(with_all[1], without[1])
+    got = {r.doc_id: r.predicted for r in toxicity.score(docs, marks).collect()}
+    assert np.mean([got[i] == (i % 4 == 0) for i in range(900) if crc(i) == 2]) > 0.97
+
+
 def test_quality(spark):
     rng = random.Random(2)
     good, junk = [prose(rng, 1) for _ in range(60)], [prose(rng, 1) for _ in range(60)]
@@ -433,6 +452,12 @@ def test_exact_cut_with_ties(spark, monkeypatch):
     for k in (1, 77, 250, 499):
         assert quality.cut(df, k) == sorted(rows, key=lambda r: (-r[0], r[1]))[k - 1]
     assert quality.cut(df, 500) is None
+    # Many rows of one key, and rows alike in both: neither is sorted whole.
+    ids = [-(2**63), 2**63 - 1, -1, 0, 7] + [rng.randrange(-(2**63), 2**63) for _ in range(200)] + [42] * 90
+    rows = [(2.0, i) for i in ids] + [(3.0, 1), (1.0, 1)]
+    df = spark.createDataFrame(rows, "key double, id long")
+    for k in (1, 2, 60, 120, 150, 200, 280, len(rows) - 1):
+        assert quality.cut(df, k) == sorted(rows, key=lambda r: (-r[0], r[1]))[k - 1]
 
 
 def test_licenses(spark):

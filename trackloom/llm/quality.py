@@ -103,29 +103,36 @@ def gumbel(doc_id: Column, seed: int = SEED) -> Column:
     return -F.log(-F.log(u))
 
 
-def cut(rows: DataFrame, k: int) -> tuple[float, int] | None:
-    """The k-th largest (key, smaller id first) of ``rows`` (key double, id long); None if all rows belong.
+def _narrow(rows: DataFrame, column: str, need: int, place) -> tuple[DataFrame, int]:
+    """Rows around the ``need``-th largest of ``column``, few or all equal, and which of them it is.
 
-    Histograms of at most ``_BINS`` rows narrow the place down until few rows are left to sort.
+    ``place(low, high)`` deals values between the two over ``_BINS`` ascending bins, never all into one.
     """
-    n, lo, hi = rows.agg(F.count("*"), F.min("key"), F.max("key")).first()
-    if k >= n:
-        return None
-    need = k
-    while n > _IN_BIN and hi > lo:
-        width = (hi - lo) / _BINS
-        here = rows.where((F.col("key") >= lo) & (F.col("key") <= hi))
-        bins = here.groupBy(F.least(F.floor((F.col("key") - lo) / width), F.lit(_BINS - 1)).alias("bin")).agg(F.count("*"), F.min("key"), F.max("key")).collect()
-        for _, count, low, high in sorted(bins, reverse=True):
+    n, low, high = rows.agg(F.count("*"), F.min(column), F.max(column)).first()
+    while n > _IN_BIN and high > low:
+        bins = rows.where(F.col(column).between(low, high)).groupBy(place(low, high).alias("bin")).agg(F.count("*"), F.min(column), F.max(column)).collect()
+        for _, count, least, most in sorted(bins, reverse=True):
             if need <= count:
-                shrunk = count < n
-                n, lo, hi = count, low, high
+                n, low, high = count, least, most
                 break
             need -= count
-        if not shrunk:
-            break
-    here = rows.where((F.col("key") >= lo) & (F.col("key") <= hi))
-    last = here.orderBy(F.desc("key"), "id").limit(need).orderBy("key", F.desc("id")).first()
+    return rows.where(F.col(column).between(low, high)), need
+
+
+def cut(rows: DataFrame, k: int) -> tuple[float, int] | None:
+    """The k-th largest (key, smaller id first) of ``rows`` (key double, id long); None if all rows belong.
+
+    Histograms of at most ``_BINS`` rows narrow the place down, first by key, then among rows of one key by
+    id, until few rows are left to sort; rows alike in both are one value.
+    """
+    if k >= rows.count():
+        return None
+    key = F.col("key")
+    here, need = _narrow(rows, "key", k, lambda low, high: F.least(F.floor((key - low) / ((high - low) / _BINS)), F.lit(_BINS - 1)))
+    # Turned bit by bit, smaller ids are larger numbers; the differences are decimal, since they may pass a long.
+    here = here.withColumn("turned", F.bitwise_not("id"))
+    here, need = _narrow(here, "turned", need, lambda low, high: F.expr(f"(cast(turned as decimal(20, 0)) - {low}BD) div {(high - low) // _BINS + 1}BD"))
+    last = here.orderBy(F.desc("key"), "id").limit(min(need, _IN_BIN)).orderBy("key", F.desc("id")).first()
     return last["key"], last["id"]
 
 

@@ -8,15 +8,18 @@
    of voters, by expectation maximisation over the table of vote patterns,
    which has at most 4096 rows whatever the input.  The labels of the sample
    are one more, noisy, voter.
-3. A linear classifier over the mined features is trained on the sample's
-   posterior labels; it scores every whole text in one narrow pass.
+3. A linear classifier over the mined features is trained on posterior labels: of
+   the labelled sample, and of a bounded sample of documents without a label, for
+   which the model has their votes alone.  It scores every whole text in one
+   narrow pass.
 
 Labels are read only of documents whose crc32(doc_id as text) mod 4 is not 2.
 
 Edge cases: a null or empty text is scored by the intercept; without usable
 labels of both classes the score is 0 for all; conflicting labels of one
-document count as toxic; null labels and ids are left out of training; every
-row of ``docs`` gets a row.
+document count as toxic; null labels and ids are left out of training; of rows
+repeated under one id the smallest text is trained on; every row of ``docs`` gets
+a row.
 """
 
 from __future__ import annotations
@@ -30,8 +33,9 @@ from pyspark.sql import types as T
 from . import kit
 from .store import free_name, small_batches
 
-#: Labelled documents that the classifier is fitted on, at most.
+#: Labelled documents that the classifier is fitted on, and documents without a label, at most.
 SAMPLE = 12_000
+UNLABELLED = 3_000
 #: Features kept, at most; the z-score and the log odds ratio from which one is kept.
 FEATURES, Z, ODDS = 4000, 3.2, 2.0
 VOTERS = 12
@@ -206,13 +210,22 @@ def _patterns(docs: DataFrame, voters: Voters) -> np.ndarray:
     return out
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray, float]:
+def _sample(docs: DataFrame, labels: DataFrame, labelled: int, unlabelled: int) -> DataFrame:
+    """(id, toxic, text) of documents picked by their id's hash; toxic is -1 where there is no label to learn from."""
+    usable = labels.where(~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
+    usable = usable.groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
+    ids = docs.select(F.col("doc_id").cast("long").alias("id")).where(F.col("id").isNotNull() & ~held_out(F.col("id")))
+    others = ids.join(labels.select(F.col("doc_id").cast("long").alias("id")), "id", "left_anti").distinct().withColumn("toxic", F.lit(-1))
+    pick = lambda df, n: df.orderBy(F.xxhash64("id"), "id").limit(n)
+    chosen = pick(usable, labelled).unionByName(pick(others, unlabelled))
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(F.broadcast(chosen), "id")
+    return texts.groupBy("id", "toxic").agg(F.min("text").alias("text"))
+
+
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, unlabelled: int = UNLABELLED) -> tuple[np.ndarray, np.ndarray, float]:
     """(features, weights, intercept) of the classifier; the intercept is -inf if there is nothing to learn from."""
     small_batches(docs.sparkSession)
-    usable = labels.where(~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
-    usable = usable.groupBy(F.col("doc_id").alias("id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-    chosen = usable.orderBy(F.xxhash64("id"), "id").limit(sample)
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("id")).select("id", "toxic", "text")
+    texts = _sample(docs, labels, sample, unlabelled)
 
     def run(batches):
         for b in batches:
@@ -227,7 +240,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.nd
 
     got = texts.mapInArrow(run, "id long, toxic int, f array<int>, n_words long").toArrow()
     toxic = got["toxic"].to_numpy().astype(np.int64)
-    if len(toxic) == 0 or toxic.min() == toxic.max():
+    if not ((toxic == 0).any() and (toxic == 1).any()):
         return np.zeros(0, np.int64), np.zeros(0), -np.inf
     n_words = got["n_words"].to_numpy()
     lists = got["f"].combine_chunks()
@@ -235,16 +248,20 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.nd
     f = lists.flatten().to_numpy()
     d = np.repeat(np.arange(len(toxic), dtype=np.int32), lists.value_lengths().to_numpy())
     du, fu = _distinct(d, f)
-    feats, z = mine(du, fu, toxic)
+    told = toxic[du] >= 0
+    rank = np.cumsum(toxic >= 0) - 1
+    feats, z = mine(rank[du[told]], fu[told], toxic[toxic >= 0])
+    del told
     voters = Voters(feats, z)
     masks = voters.masks(d, f, n_words)
     del d, f, lists
     gold = np.array([np.bincount(masks[toxic == y], minlength=1 << VOTERS) for y in (0, 1)])
-    _, posterior = label_model(_patterns(docs, voters), gold)
+    alone, posterior = label_model(_patterns(docs, voters), gold)
+    target = np.where(toxic < 0, alone[masks], posterior[np.maximum(toxic, 0), masks])
     place = np.full(1 << BITS, -1, np.int32)
     place[feats] = np.arange(len(feats))
     known = place[fu] >= 0
-    w, bias = fit_linear(du[known], place[fu[known]], len(toxic), len(feats), posterior[toxic, masks])
+    w, bias = fit_linear(du[known], place[fu[known]], len(toxic), len(feats), target)
     return feats, w, bias
 
 
