@@ -134,12 +134,27 @@ def _tree(bits: np.ndarray, mass: np.ndarray) -> list[int]:
     return parent
 
 
+def _calibrated(odds: np.ndarray, gold: np.ndarray) -> np.ndarray:
+    """Log odds of the votes, scaled and shifted to the labels: correlations that the tree leaves out make them too sure."""
+    x, n = np.clip(odds, -50, 50), gold.sum(axis=0)
+    at = np.array([1.0, 0.0])
+    for _ in range(25):
+        p = 1 / (1 + np.exp(-np.clip(at[0] * x + at[1], -500, 500)))
+        w, miss = n * p * (1 - p), gold[1] - n * p
+        grad = np.array([miss @ x - (at[0] - 1), miss.sum() - at[1]])
+        step = np.linalg.solve([[w @ (x * x) + 1, w @ x], [w @ x, w.sum() + 1]], grad)
+        at += np.clip(step, -0.25, 0.25)
+        at[0] = np.clip(at[0], 0.05, 1)
+    return at[0] * x + at[1]
+
+
 def label_model(everyone: np.ndarray, gold: np.ndarray, rounds: int = 40) -> tuple[np.ndarray, np.ndarray]:
     """Posterior of the toxic class for each vote pattern, without and with a label (0, 1).
 
     ``everyone``: counts of the 2^VOTERS patterns; ``gold``: counts by label and pattern.
     Within a class each vote depends on one other vote at most; both the votes'
-    accuracies and this tree of correlations are estimated, starting from the labels.
+    accuracies and this tree of correlations are estimated, starting from the labels,
+    which also calibrate the votes' joint log odds.
     """
     m = 1 << VOTERS
     bits = np.arange(m)[:, None] >> np.arange(VOTERS) & 1
@@ -163,9 +178,10 @@ def label_model(everyone: np.ndarray, gold: np.ndarray, rounds: int = 40) -> tup
                     given[a, 1] = (mass[y][at & (bits[:, i] == 1)].sum() + 2 * rate) / (mass[y][at].sum() + 2)
                     given[a, 0] = 1 - given[a, 1]
                 joint[y] += np.log(given[bits[:, p] if p >= 0 else 0, bits[:, i]])
-        post = 1 / (1 + np.exp(np.clip(joint[0] - joint[1], -500, 500)))
+        votes = _calibrated(joint[1] - joint[0], gold)
+        post = 1 / (1 + np.exp(-votes))
         for g in (0, 1):
-            odds = joint[0] - joint[1] + np.log(honest[0, g] / honest[1, g])
+            odds = np.log(honest[0, g] / honest[1, g]) - votes
             with_label[g] = 1 / (1 + np.exp(np.clip(odds, -500, 500)))
         honest = np.array([[(gold[g] * (with_label[g] if y else 1 - with_label[g])).sum() + (9 if g == y else 0.5) for g in (0, 1)] for y in (0, 1)])
         honest /= honest.sum(axis=1, keepdims=True)
