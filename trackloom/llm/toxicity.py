@@ -34,7 +34,7 @@ from . import kit
 from .store import free_name, small_batches
 
 #: Labelled documents that the classifier is fitted on, and documents without a label, at most.
-SAMPLE = 12_000
+SAMPLE = 9_000
 UNLABELLED = 3_000
 #: Features kept, at most; the z-score and the log odds ratio from which one is kept.
 FEATURES, Z, ODDS = 4000, 3.2, 2.0
@@ -265,8 +265,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, unlabelled: in
     d = np.repeat(np.arange(len(toxic), dtype=np.int32), lists.value_lengths().to_numpy())
     du, fu = _distinct(d, f)
     told = toxic[du] >= 0
-    rank = np.cumsum(toxic >= 0) - 1
-    feats, z = mine(rank[du[told]], fu[told], toxic[toxic >= 0])
+    rank = np.cumsum(toxic >= 0, dtype=np.int32) - 1
+    feats, z = mine(rank[du[told]], fu[told], toxic[toxic >= 0].astype(np.int8))
     del told
     voters = Voters(feats, z)
     masks = voters.masks(d, f, n_words)
