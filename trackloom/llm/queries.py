@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, cdc_dedup, decontam, licenses, near_dup, packing, quality, secret_scan, suffix_dedup, toxicity
+from . import alignment, ann, cdc_dedup, decontam, hard_negatives, licenses, near_dup, packing, quality, secret_scan, suffix_dedup, toxicity, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,9 +55,24 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find_hits(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(_table(spark, sf_dir, "pages"), url_filter.labelled_urls(spark), url_filter.RULES).drop("score")
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.links(_table(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_licenses": licenses.oracle_sql(), "op9_suffix_dedup": suffix_dedup.ORACLE_SQL, "op10_decontamination": decontam.ORACLE_SQL}
+    return {
+        "op8_licenses": licenses.oracle_sql(), "op9_suffix_dedup": suffix_dedup.ORACLE_SQL, "op10_decontamination": decontam.ORACLE_SQL,
+        "op11_url_filter": url_filter.oracle_sql(), "op13_hard_negatives": hard_negatives.ORACLE_SQL,
+    }
