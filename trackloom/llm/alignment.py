@@ -28,6 +28,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,28 +40,42 @@ from .store import join_dealt, settle, small_batches
 from .tokens import byte_symbols
 
 #: Distinct chunks that a worker remembers, and bytes of their results, before it starts afresh.
-REMEMBER, REMEMBER_BYTES = 400_000, 128 << 20
+REMEMBER, REMEMBER_BYTES = 400_000, 160 << 20
+#: Characters of texts that are aligned at a time; one longer text is aligned alone.
+BATCH = 1 << 20
 #: Bits of a B id within a pair.
 SIDE = 15
 #: An A id is hot beyond this many postings and this share of all.
 LEAST, SHARE = 4096, 2000
 
 _CHUNK = re.compile(r" \s*\S*(?:[^\S ]\s*\S*)*")
+#: Fixed value: how byte_bpe_50k splits texts before it merges bytes.
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Characters whose classes no version of Unicode disputes.
+_PLAIN = re.compile("[\x21-\x7e\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f \n]*")
 
 
-def align(a: list[int], b: list[int], a_ends: list[int], b_ends: list[int]) -> tuple[list[str], list[int]]:
-    """The groups, as ``a1,a2|b1``, and the linked pairs (a << SIDE | b) of two tokenizations of the same bytes."""
+def align(a: list[int], b: list[int], a_ends: list[int], b_ends: list[int]) -> tuple[str, list[int]]:
+    """The groups, as ``a1,a2|b1;a3|b2``, and the linked pairs (a << SIDE | b) of two tokenizations of the same bytes."""
+    if len(a) == 1 or len(b) == 1:
+        return f"{','.join(map(str, a))}|{','.join(map(str, b))}", [x << SIDE | y for x in a for y in b]
     groups, pairs = [], []
     i = j = left_i = left_j = 0
-    while i < len(a) and j < len(b):
+    end_a, end_b, n = a_ends[0], b_ends[0], a_ends[-1]
+    while True:
         pairs.append(a[i] << SIDE | b[j])
-        end_a, end_b = a_ends[i], b_ends[j]
-        i += end_a <= end_b
-        j += end_b <= end_a
-        if end_a == end_b:
-            groups.append(f"{','.join(map(str, a[left_i:i]))}|{','.join(map(str, b[left_j:j]))}")
-            left_i, left_j = i, j
-    return groups, pairs
+        if end_a < end_b:
+            i += 1
+            end_a = a_ends[i]
+        elif end_b < end_a:
+            j += 1
+            end_b = b_ends[j]
+        else:
+            i, j = i + 1, j + 1
+            groups.append(f"{a[left_i]}|{b[left_j]}" if i - left_i == 1 == j - left_j else f"{','.join(map(str, a[left_i:i]))}|{','.join(map(str, b[left_j:j]))}")
+            if end_a == n:
+                return ";".join(groups), pairs
+            left_i, left_j, end_a, end_b = i, j, a_ends[i], b_ends[j]
 
 
 class Aligner:
@@ -75,6 +90,7 @@ class Aligner:
         return cls._one[key]
 
     def __init__(self, byte_bpe: str | None = None, piece_bpe: str | None = None) -> None:
+        import tiktoken
         from sentencepiece import SentencePieceProcessor
         from tokenizers import Tokenizer
 
@@ -87,57 +103,101 @@ class Aligner:
         sym = byte_symbols()
         with open(byte_bpe, encoding="utf-8") as f:
             vocab = json.load(f)["model"]["vocab"]
-        self.a_bytes = {i: bytes(sym[c] for c in t) for t, i in vocab.items() if all(c in sym for c in t)}
+        self.a_bytes = [b""] * (max(vocab.values()) + 1)
+        for t, i in vocab.items():
+            self.a_bytes[i] = bytes(sym[c] for c in t) if all(c in sym for c in t) else b""
+        # Ids ascend in the order of merges, so they serve as ranks.
+        special = {t["content"] for t in json.loads(self.a.to_str())["added_tokens"]}
+        self.fast = tiktoken.Encoding("bytes", pat_str=_SPLIT, mergeable_ranks={self.a_bytes[i]: i for t, i in vocab.items() if t not in special}, special_tokens={})
         self.b_bytes = []
         for i in range(self.b.get_piece_size()):
             piece = self.b.id_to_piece(i)
             byte = re.fullmatch("<0x([0-9A-Fa-f]{2})>", piece)
             self.b_bytes.append(bytes([int(byte[1], 16)]) if byte else piece.replace("▁", " ").encode())
+        self.a_size, self.b_size = [len(x) for x in self.a_bytes], [len(x) for x in self.b_bytes]
         if len(self.b_bytes) > 1 << SIDE or max(vocab.values()) >= 1 << 31 - SIDE:
             raise ValueError("the vocabularies are too large for pairs in an int")
         self._space = self.b.piece_to_id("▁")
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, tuple | None] = {}
-        self.held = 0
-
-    def encode(self, chunk: str) -> tuple[list[int], list[int]]:
-        """Both ids of a chunk, which starts with a space; B adds that space itself."""
-        return self.a.encode(chunk, add_special_tokens=False).ids, self.b.encode(chunk[1:]) if len(chunk) > 1 else [self._space]
-
-    def _chunk(self, chunk: str) -> tuple | None:
-        raw = chunk.encode()
-        a, b = self.encode(chunk)
-        a_raw, b_raw = [self.a_bytes.get(i, b"") for i in a], [self.b_bytes[i] for i in b]
-        out = None
-        if b"".join(a_raw) == raw == b"".join(b_raw):
-            ends = [np.cumsum([len(x) for x in side]).tolist() for side in (a_raw, b_raw)]
-            groups, pairs = align(a, b, *ends)
-            out = ";".join(groups), np.array(pairs, np.int32), len(a), len(b), len(groups)
-        if len(self.known) >= REMEMBER or self.held > REMEMBER_BYTES:
+        self.known: dict[str, int] = {}
+        self.names: list[str] = []
+        self.held = self.used = 0
+        self.pool = np.zeros(1 << 20, np.int32)
+        #: Of each chunk: tokens of A, of B, groups, links, place of its pairs, and 1 if its bytes are not those of its tokens.
+        self.facts = np.zeros((1 << 16, 6), np.int64)
+
+    def encode(self, chunks: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        """Both ids of chunks, which start with a space; B adds that space itself."""
+        a = [self.fast.encode_ordinary(c) if _PLAIN.fullmatch(c) else self.a.encode(c, add_special_tokens=False).ids for c in chunks]
+        b = self.b.encode([c[1:] for c in chunks], num_threads=1)
+        return a, [ids if c != " " else [self._space] for c, ids in zip(chunks, b, strict=True)]
+
+    def _learn(self, chunks: list[str]) -> None:
+        facts, pairs, at = [], [], self.used
+        a_byte, b_byte, a_size, b_size = (x.__getitem__ for x in (self.a_bytes, self.b_bytes, self.a_size, self.b_size))
+        for chunk, a, b in zip(chunks, *self.encode(chunks), strict=True):
+            raw = chunk.encode()
+            if b"".join(map(a_byte, a)) == raw == b"".join(map(b_byte, b)):
+                name, linked = align(a, b, list(accumulate(map(a_size, a))), list(accumulate(map(b_size, b))))
+                facts.append((len(a), len(b), name.count(";") + 1, len(linked), at, 0))
+                pairs += linked
+                at += len(linked)
+            else:
+                facts.append((0, 0, 0, 0, at, 1))
+                name = ""
+            self.known[chunk] = len(self.names)
+            self.names.append(name)
+            self.held += len(raw) + len(name) + 150
+        n = len(self.names)
+        while len(self.facts) < n:
+            self.facts = np.concatenate([self.facts, np.zeros_like(self.facts)])
+        self.facts[n - len(chunks) : n] = facts
+        while len(self.pool) < at:
+            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
+        self.pool[self.used : at] = pairs
+        self.held += 4 * len(pairs)
+        self.used = at
+
+    def documents(self, texts: list[str | None]):
+        """(facts, digests, pairs, times, offsets): n_a, n_b, n_groups and n_links of each text, and its pairs with their multiplicities."""
+        cut = [_CHUNK.findall(" " + t) if t else [] for t in texts]
+        flat = list(chain.from_iterable(cut))
+        if len(self.known) > REMEMBER or self.held > REMEMBER_BYTES:
             self._forget()
-        self.known[chunk] = out
-        self.held += len(raw) * 2 + (out[1].nbytes + len(out[0]) if out else 0)
-        return out
-
-    def document(self, text: str | None):
-        """(n_a, n_b, n_groups, n_links, digest, pairs, times); without tokens all zero and empty."""
-        parts = []
-        for chunk in _CHUNK.findall(" " + text) if text else ():
-            known = self.known.get(chunk, 0)
-            if known == 0:
-                known = self._chunk(chunk)
-            if known is None:
-                parts = []
-                break
-            parts.append(known)
-        if not parts:
-            return 0, 0, 0, 0, "", np.zeros(0, np.int32), np.zeros(0, np.int32)
-        names, pairs, n_a, n_b, n_groups = zip(*parts, strict=True)
-        pairs = np.concatenate(pairs)
-        once, times = np.unique(pairs, return_counts=True)
-        return sum(n_a), sum(n_b), sum(n_groups), len(pairs), hashlib.sha256(";".join(names).encode()).hexdigest(), once, times.astype(np.int32)
+        ids = list(map(self.known.get, flat))
+        new = list(dict.fromkeys(c for c, i in zip(flat, ids, strict=True) if i is None))
+        if new:
+            self._learn(new)
+            ids = list(map(self.known.__getitem__, flat))
+        offs = np.concatenate([[0], np.cumsum([len(c) for c in cut])]).astype(np.int64)
+        facts = self.facts[np.array(ids, np.int64)]
+        whole = np.zeros((len(facts) + 1, 6), np.int64)
+        np.cumsum(facts, axis=0, out=whole[1:])
+        of = whole[offs[1:]] - whole[offs[:-1]]
+        good = of[:, 5] == 0
+        name = self.names.__getitem__
+        digests = [hashlib.sha256(";".join(map(name, ids[lo:hi])).encode()).hexdigest() if ok and hi > lo else "" for lo, hi, ok in zip(offs[:-1].tolist(), offs[1:].tolist(), good, strict=True)]
+        doc = np.repeat(np.arange(len(texts)), np.diff(offs))
+        use = good[doc]
+        size, first = facts[use, 3], facts[use, 4]
+        ends = np.cumsum(size)
+        pairs = self.pool[np.repeat(first - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
+        once, times = np.unique(np.repeat(doc[use], size) << 32 | pairs, return_counts=True)
+        return of[:, :4] * good[:, None], digests, (once & 0xFFFFFFFF).astype(np.int32), times.astype(np.int32), np.searchsorted(once >> 32, np.arange(len(texts) + 1)).astype(np.int32)
+
+
+def _batches(texts: list[str | None]):
+    """(first, last) of runs of texts of about BATCH characters."""
+    lo = held = 0
+    for i, t in enumerate(texts):
+        if held and held + len(t or "") > BATCH:
+            yield lo, i
+            lo, held = i, 0
+        held += len(t or "") + 1
+    if lo < len(texts):
+        yield lo, len(texts)
 
 
 def aligned(docs: DataFrame, byte_bpe: str | None = None, piece_bpe: str | None = None) -> DataFrame:
@@ -147,14 +207,13 @@ def aligned(docs: DataFrame, byte_bpe: str | None = None, piece_bpe: str | None
         base, n = TaskContext.get().partitionId() << 40, 0
         aligner = Aligner.shared(byte_bpe, piece_bpe)
         for batch in batches:
-            for lo in range(0, len(batch), 256):
-                part = batch.slice(lo, 256)
-                cols = list(zip(*(aligner.document(t.as_py()) for t in part.column(1)), strict=True))
-                offs = pa.array(np.concatenate([[0], np.cumsum([len(x) for x in cols[5]])]).astype(np.int32))
-                lists = [pa.ListArray.from_arrays(offs, pa.array(np.concatenate(c))) for c in cols[5:]]
-                keys = pa.array(np.arange(base + n, base + n + len(part)))
-                n += len(part)
-                yield pa.RecordBatch.from_arrays([keys, part.column(0), *[pa.array(c, pa.int64()) for c in cols[:4]], pa.array(cols[4]), *lists], ["key", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs", "times"])
+            texts = batch.column(1).to_pylist()
+            for lo, hi in _batches(texts):
+                facts, digests, pairs, times, offs = aligner.documents(texts[lo:hi])
+                keys = pa.array(np.arange(base + n, base + n + hi - lo))
+                n += hi - lo
+                cols = [keys, batch.column(0).slice(lo, hi - lo), *[pa.array(c.copy()) for c in facts.T], pa.array(digests, pa.string()), *[pa.ListArray.from_arrays(pa.array(offs), pa.array(c)) for c in (pairs, times)]]
+                yield pa.RecordBatch.from_arrays(cols, ["key", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs", "times"])
 
     small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
