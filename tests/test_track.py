@@ -108,7 +108,7 @@ def test_interpolation_in_parts_equals_broadcast(spark):
     ref = spark.createDataFrame([(int(a), float(b)) for a, b in zip(t, rng.normal(size=len(t)), strict=True)], "t_ns long, e double")
     query = spark.createDataFrame([(int(x),) for x in rng.integers(0, 10**6, 3000)], "t_ns long")
     a = asof.interpolate(query, ref, ["e"]).collect()
-    b = asof._interpolate_binned(query, ref, ["e"], "t_ns", int(t[0]), 50_000, broadcast=False).collect()
+    b = asof._interpolate_in_parts(query, ref, ["e"], "t_ns", int(t[0]), 50_000).collect()
     assert sorted((r.t_ns, r.e) for r in a) == sorted((r.t_ns, r.e) for r in b)
 
 
@@ -308,3 +308,32 @@ def test_anchor_of_two_sessions(spark):
     assert [(round(r.tx, 6), round(r.ty, 6), round(r.tz, 6)) for r in moved] == [(x, y, z) for _, _, _, x, y, z in g]
     laid = jobs.constraints(traj, gps, JobConfig(constraint_every_m=2.0))
     assert laid.where("session_id = 2 and y <> 100.0").count() == 0 and laid.where("session_id = 1").count() > 1
+
+
+def test_interpolation_does_not_depend_on_size_with_clashing_knots(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    times = np.sort(rng.integers(0, 400, 300)) * 7
+    ref = spark.createDataFrame([(int(t), float(v)) for t, v in zip(times, rng.normal(size=300), strict=True)] + [(None, 1.0)], "t_ns long, v double").repartition(5)
+    query = spark.createDataFrame([(i, i) for i in range(-5, 2900)], "q long, t_ns long")
+    low, high = {}, {}
+    for t, v in sorted((r.t_ns, r.v) for r in ref.where("t_ns is not null").collect()):
+        low.setdefault(t, v)
+        high[t] = v
+    want, knots = {}, sorted(high)
+    for q in range(-5, 2900):
+        before = [t for t in knots if t <= q]
+        after = [t for t in knots if t >= q]
+        if before and after:
+            a, b = before[-1], after[0]
+            want[q] = high[a] if a == q else high[a] + (low[b] - high[a]) * ((q - a) / (b - a))
+    for part, most in ((4096, asof.BROADCAST_BYTES), (16, asof.BROADCAST_BYTES), (16, 0), (4096, 0)):
+        monkeypatch.setattr(asof, "PART", part)
+        monkeypatch.setattr(asof, "BROADCAST_BYTES", most)
+        out = asof.interpolate(query, ref, ["v"])
+        got = out.collect()
+        assert len(got) == len(want)
+        assert all(abs(r.v - want[r.q]) < 1e-12 for r in got)
+        windows = [w for w in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Window" in w]
+        assert all("[_part" in w.split("],")[-2] + w for w in windows)
+    keyed = asof.interpolate(query.withColumn("k", F.lit(1)), ref.withColumn("k", F.lit(1)), ["v"], keys=["k"]).collect()
+    assert {r.q: r.v for r in keyed} == {r.q: r.v for r in got}

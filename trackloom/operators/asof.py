@@ -9,43 +9,65 @@ from pyspark.sql import functions as F
 
 from ..schema import require_columns
 
-#: Reference rows up to which the binned variant broadcasts the segments; measured before it does.
-BROADCAST_ROWS = 1_000_000
+#: Bytes of segments up to which the binned variant broadcasts them; estimated from a count before it does.
+BROADCAST_BYTES = 256 << 20
+#: Knots of a part of time, about.
+PART = 4096
 
 
 def _blend(value: str, t: str) -> Column:
     """Linear interpolation between knots (prev, next); exact on a knot. Times are subtracted as whole numbers."""
     a, b = F.col("_prev"), F.col("_next")
     share = (F.col(t) - a["t"]).cast("double") / (b["t"] - a["t"]).cast("double")
-    return F.when(a["t"] == b["t"], a[value]).otherwise(a[value] + (b[value] - a[value]) * share)
+    return F.when(a["t"] == F.col(t), a[value]).otherwise(a[value] + (b[value] - a[value]) * share)
 
 
 def interpolate(query: DataFrame, ref: DataFrame, values: Sequence[str], *, time: str = "t_ns", keys: Sequence[str] = ()) -> DataFrame:
     """Adds each of ``values``, interpolated at the query's time between reference knots; rows outside are dropped.
 
+    Of knots that share a time, the largest by their values holds at that time and after it, the
+    smallest ends the segment before it; each query row gives one row.
+
     Without keys the reference is one track.  If it is small, which is counted
     first, its segments are cut into time bins and broadcast: an equi-join on
     the bin, no shuffle of the query side.  Otherwise, and with keys, both sides
-    are joined by :func:`interpolate_partitioned`.
+    are joined by :func:`interpolate_partitioned`.  All ways give the same rows.
     """
     require_columns(ref, [time, *values, *keys], "reference")
     if keys:
         return interpolate_partitioned(query, ref, values, time=time, keys=keys)
     n, lo, hi = ref.agg(F.count(time), F.min(time), F.max(time)).first()
-    if n > BROADCAST_ROWS:
+    # Segments hold two knots, and bins repeat each at most once more on average.
+    if 2 * n * 16 * (2 * len(values) + 4) > BROADCAST_BYTES:
         # One long track: whole bins of time become the partitions, each with the knots around it.
-        return _interpolate_binned(query, ref, values, time, lo, max(1, (hi - lo) // max(1, n // 4096) + 1), broadcast=False)
-    width = max(1, (hi - lo) // max(1, n) + 1) if n else 1  # about the mean period: all segments together fill at most 2n bins
-    return _interpolate_binned(query, ref, values, time, lo or 0, width, broadcast=True)
+        return _interpolate_in_parts(query, ref, values, time, lo, _width(n, lo, hi, PART))
+    return _interpolate_binned(query, ref, values, time, n, lo or 0, hi or 0)
+
+
+def _width(n: int, lo: int, hi: int, knots: int) -> int:
+    """The length of time bins that hold about ``knots`` of ``n`` knots."""
+    return max(1, (hi - lo) // max(1, n // knots) + 1) if n else 1
+
+
+def _successors(rows: DataFrame, part: str, first: Column) -> DataFrame:
+    """(part, _after): for every part of time the first knot of the next part that has any; one entry a part is gathered."""
+    heads = rows.groupBy(part).agg(F.min(first).alias("f"))
+    line = heads.agg(F.sort_array(F.collect_list(F.struct(part, "f"))).alias("a"))
+    rest = F.greatest(F.size("a") - 1, F.lit(0))
+    pairs = F.zip_with(F.slice("a", F.lit(1), rest), F.slice("a", F.lit(2), rest), lambda a, b: F.struct(a[part].alias(part), b["f"].alias("_after"), b[part].alias("_to")))
+    return line.select(F.explode(pairs).alias("s")).select("s.*")
 
 
-def _interpolate_binned(query: DataFrame, ref: DataFrame, values: Sequence[str], time: str, lo: int, width: int, broadcast: bool) -> DataFrame:
-    if not broadcast:
-        return _interpolate_in_parts(query, ref, values, time, lo, width)
+def _interpolate_binned(query: DataFrame, ref: DataFrame, values: Sequence[str], time: str, n: int, lo: int, hi: int) -> DataFrame:
+    """Broadcast segments, each in the time bins that it touches."""
     knot = F.struct(F.col(time).alias("t"), *values)
-    knots = ref.select(time, *values)
-    segments = knots.select(knot.alias("_prev"), F.lead(knot).over(Window.orderBy(time)).alias("_next"))
-    segments = segments.where("_next is not null").unionByName(knots.groupBy().agg(F.max(knot).alias("_prev")).where("_prev is not null").withColumn("_next", F.col("_prev")))
+    knots = ref.where(F.col(time).isNotNull()).groupBy(time).agg(F.min(knot).alias("_low"), F.max(knot).alias("_prev"))
+    knots = knots.withColumn("_part", F.expr(f"({time} - {lo}) div {_width(n, lo, hi, PART)}"))
+    inner = F.lead("_low").over(Window.partitionBy("_part").orderBy(time))
+    segments = knots.withColumn("_inner", inner).join(_successors(knots, "_part", F.col("_low")), "_part", "left")
+    # The last knot of all holds for its own time.
+    segments = segments.select("_prev", F.coalesce("_inner", "_after", "_prev").alias("_next"))
+    width = _width(n, lo, hi, 1)  # about the mean period: all segments together fill at most 2n bins
     bins = F.sequence(F.expr(f"(_prev.t - {lo}) div {width}"), F.expr(f"(_next.t - {lo}) div {width}"))
     segments = segments.select("_prev", "_next", F.explode(bins).alias("_bin"))
     binned = query.withColumn("_bin", F.expr(f"({time} - {lo}) div {width}"))
@@ -60,10 +82,9 @@ def _interpolate_in_parts(query: DataFrame, ref: DataFrame, values: Sequence[str
     Every part, empty ones too, also gets the last knot before it and the first one after it, so each point meets two knots.
     """
     part = F.expr(f"({time} - {lo}) div {width}").alias("_part")
-    knots = ref.select(part, time, *values)
+    knots = ref.where(F.col(time).isNotNull()).select(part, time, *values)
     knot = F.struct(time, *values)
-    ends = knots.groupBy("_part").agg(F.min(knot).alias("_first"), F.max(knot).alias("_last"))  # one row a part
-    gaps = ends.withColumns({"_to": F.lead("_part").over(Window.orderBy("_part")), "_after": F.lead("_first").over(Window.orderBy("_part"))}).where("_to is not null")
+    gaps = knots.groupBy("_part").agg(F.max(knot).alias("_last")).join(_successors(knots, "_part", knot), "_part")
     lent = [gaps.select(F.explode(F.sequence(F.col("_part") + 1, F.col("_to"))).alias("_part"), F.col("_last").alias("k")),
             gaps.select(F.explode(F.sequence(F.col("_part"), F.col("_to") - 1)).alias("_part"), F.col("_after").alias("k"))]
     for more in lent:
@@ -80,6 +101,7 @@ def _neighbours(both: DataFrame, knot: str, keys: Sequence[str], before: Sequenc
 def interpolate_partitioned(query: DataFrame, ref: DataFrame, values: Sequence[str], *, time: str = "t_ns", keys: Sequence[str]) -> DataFrame:
     """The same per key, both sides large: one shuffle on the keys, then ordered frames over the union."""
     require_columns(query, [time, *keys], "query")
+    ref = ref.where(F.col(time).isNotNull())
     kept = [c for c in query.columns if c not in keys and c != time]
     left = query.select(*keys, time, F.struct(*(kept or [F.lit(1).alias("_one")])).alias("_row"), F.lit(None).cast(ref.select(F.struct(F.col(time).alias("t"), *values).alias("k")).schema["k"].dataType).alias("_knot"))
     right = ref.select(*keys, time, F.lit(None).cast(left.schema["_row"].dataType).alias("_row"), F.struct(F.col(time).alias("t"), *values).alias("_knot"))
