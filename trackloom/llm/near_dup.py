@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from . import kit
 from .graph import components
-from .store import free_name, join_dealt, settle, small_batches
+from .store import free_name, join_dealt, settle, small_batches, versions
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -309,17 +309,32 @@ def classes(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
 def keep_one(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     """``docs`` with one row of each class: one of the smallest id; all columns stay.
 
+    Different texts under one id are different documents, each in a class of its own text.
     Rows with a null id have no class: of those with equal texts that hold a word, one stays.
     """
-    gone = classes(docs, threshold).where("doc_id <> class_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    v, key, name, again, nth = (free_name(docs, c) for c in ("v", "key", "k", "again", "nth"))
+    marked = settle(versions(docs.select("doc_id", "text"), "v").where("v > 0").select("doc_id", "v").distinct())
+    if marked.isEmpty():
+        gone = classes(docs, threshold).where("doc_id <> class_id").select("doc_id").distinct()
+        kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    else:
+        # Texts of a repeated id are told apart by a key of their own; the order of (doc_id, v) decides who stays.
+        own = F.when(F.col(v) == 0, F.col("doc_id").cast("long")).otherwise(F.xxhash64("doc_id", v))
+        rows = versions(docs, v).withColumn(key, own)
+        of = settle(classes(rows.select(F.col(key).alias("doc_id"), "text"), threshold).where("doc_id is not null").distinct())
+        place = rows.where(F.col(key).isNotNull()).select(F.col(key).alias("doc_id"), F.struct(F.col("doc_id").alias("i"), F.col(v).alias("v")).alias("place")).distinct()
+        place = settle(of.join(place, "doc_id"))
+        least = place.groupBy("class_id").agg(F.min("place").alias("least"), F.count("*").alias("n")).where("n > 1")
+        gone = join_dealt(place, least, "class_id", "doc_id").where("place <> least").select(F.col("doc_id").alias(key)).distinct()
+        kept = rows.join(gone, key, "left_anti").select(*docs.columns)
     digest = F.sha2(F.col("text"), 256)
-    key = F.coalesce(F.concat(F.lit("i"), F.col("doc_id").cast("string")), F.when(F.col("text").rlike(r"[0-9A-Za-z]|[^\x00-\x7F]"), F.concat(F.lit("t"), digest)))
-    name, again, nth = free_name(docs, "k"), free_name(docs, "again"), free_name(docs, "nth")
+    worded = F.col("text").rlike(r"[0-9A-Za-z]|[^\x00-\x7F]")
+    same = F.coalesce(F.concat(F.lit("i"), F.col("doc_id").cast("string"), F.lit(":"), F.coalesce(digest, F.lit(""))), F.when(worded, F.concat(F.lit("t"), digest)))
     # Only keys that more than one row has send their rows through a shuffle.
-    twice = settle(docs.select(key.alias(again)).where(F.col(again).isNotNull()).groupBy(again).count().where("count > 1").select(again))
+    repeated = docs.join(F.broadcast(marked.select("doc_id").distinct()), "doc_id", "left_semi") if marked.count() <= FEW else docs
+    twice = settle(repeated.unionByName(docs.where("doc_id is null")).select(same.alias(again)).where(F.col(again).isNotNull()).groupBy(again).count().where("count > 1").select(again))
     if twice.isEmpty():
         return kept
-    marked = kept.withColumn(name, key).join(twice, F.col(name) == F.col(again), "left")
-    first = marked.where(F.col(again).isNotNull()).withColumn(nth, F.row_number().over(Window.partitionBy(again).orderBy(digest))).where(F.col(nth) == 1)
-    return marked.where(F.col(again).isNull()).select(*docs.columns).unionByName(first.select(*docs.columns))
+    paired = kept.withColumn(name, same).join(twice, F.col(name) == F.col(again), "left")
+    first = paired.where(F.col(again).isNotNull()).withColumn(nth, F.row_number().over(Window.partitionBy(again).orderBy(digest))).where(F.col(nth) == 1)
+    return paired.where(F.col(again).isNull()).select(*docs.columns).unionByName(first.select(*docs.columns))

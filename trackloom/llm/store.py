@@ -83,6 +83,17 @@ def join_dealt(rows: DataFrame, counts: DataFrame, key: str | list[str], spread:
     return rows.join(dealt, [*keys, "_deal"]).drop("_deal")
 
 
+def versions(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with a long column ``name`` that tells the texts of a repeated doc_id apart; 0 for ids of one row, and for null ids."""
+    again = free_name(docs, "again")
+    twice = settle(docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias(again)))
+    if twice.isEmpty():
+        return docs.withColumn(name, F.lit(0).cast("long"))
+    own = F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit((1 << 24) - 1)) + 1
+    joined = docs.join(twice, F.col("doc_id") == F.col(again), "left")
+    return joined.withColumn(name, F.when(F.col(again).isNotNull(), own).otherwise(F.lit(0)).cast("long")).select(*docs.columns, name)
+
+
 def free_name(df: DataFrame, stem: str) -> str:
     """A column name that ``df`` has not."""
     taken = {c.lower() for c in df.columns}

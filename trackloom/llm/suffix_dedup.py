@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import kit
-from .store import settle, small_batches
+from .store import settle, small_batches, versions
 
 SPAN = 50
 _K = 20
@@ -446,16 +446,6 @@ def _sorted_firsts(strings: DataFrame) -> DataFrame:
     return strings.mapInArrow(run, _FOUND)
 
 
-def _versions(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, id, v): v tells the texts of a repeated id apart and is 0 for all others."""
-    rows = docs.select("doc_id", "text", F.col("doc_id").cast("long").alias("id"))
-    again = settle(rows.where("id is not null").groupBy("id").count().where("count > 1").select(F.col("id").alias("again")))
-    if again.isEmpty():
-        return rows.withColumn("v", F.lit(0).cast("long"))
-    own = F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit((1 << 24) - 1)) + 1
-    return rows.join(again, F.col("id") == F.col("again"), "left").select("doc_id", "text", "id", F.when(F.col("again").isNotNull(), own).otherwise(0).alias("v"))
-
-
 def _dealt(parts: DataFrame, size: Column, *keys: str) -> DataFrame:
     """``parts`` in partitions of about 16 MB, sorted by the lane's key."""
     n = max(parts.sparkSession.sparkContext.defaultParallelism, (parts.agg(F.sum(size)).first()[0] or 0) >> 24)
@@ -528,7 +518,7 @@ def _cut(with_text: bool):
 
 def dedup(docs: DataFrame, with_text: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and ``kept``, the rest of the text) for every row of ``docs``."""
-    rows = _versions(docs)
+    rows = versions(docs.select("doc_id", "text", F.col("doc_id").cast("long").alias("id")), "v")
     ranges = repeats(rows).groupBy(F.col("id").alias("k"), F.col("v").alias("kv")).agg(F.collect_list(F.struct("s", "e")).alias("x"))
     joined = rows.join(ranges, (F.col("id") == F.col("k")) & (F.col("v") == F.col("kv")), "left")
     done = joined.select("doc_id", _cut(with_text).asNondeterministic()("text", "x").alias("r"))
