@@ -45,15 +45,16 @@ def test_speed_outlier(spark):
     assert [r.easting for r in judged.where("verdict = 'kept'").orderBy("ord").collect()] == [0, 2, 4, 6]
     assert track.speed_stats(judged).first().asDict() == {"input": 5, "kept": 4, "dropped": 1, "dropped_speed": 1, "dropped_time": 0}
     # Exactly the limit is kept, no time step is not, and a bad first fix rejects what follows.
-    assert track._speed_fold([0, 10**9, 10**9, 2 * 10**9], [0.0, 20.0, 20.0, 40.0], [0.0] * 4, 20.0) == ["kept", "kept", "time", "kept"]
-    assert track._speed_fold([0, 10**9, 2 * 10**9], [900.0, 0.0, 1.0], [0.0] * 3, 20.0) == ["kept", "speed", "speed"]
-    assert track._speed_fold([], [], [], 1.0) == []
+    speed = lambda t, x: track._speed_run([t, x, [0.0] * len(t)], None, 20.0)[0]
+    assert speed([0, 10**9, 10**9, 2 * 10**9], [0.0, 20.0, 20.0, 40.0]) == ["kept", "kept", "time", "kept"]
+    assert speed([0, 10**9, 2 * 10**9], [900.0, 0.0, 1.0]) == ["kept", "speed", "speed"]
+    assert speed([], []) == []
     with pytest.raises(ValueError):
         track.speed_verdict(df, max_speed_mps=0)
 
 
 def test_thinning_adds_up_between_neighbours():
-    assert track._thin_fold([0.0, 3.0, 0.0, 3.0, 30.0], [0.0] * 5, 9.0) == [True, False, False, True, True]
+    assert track._thin_run([[0.0, 3.0, 0.0, 3.0, 30.0], [0.0] * 5], None, 9.0)[0] == [True, False, False, True, True]
 
 
 def series(spark, ts):

@@ -5,11 +5,11 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import finite, require_columns
+from .folds import fold
 
 XY = ("easting", "northing")
 
@@ -29,51 +29,42 @@ def require_rows(df: DataFrame, least: int = 2, what: str = "finite GPS rows") -
     return df
 
 
-def _speed_fold(times: list[int], xs: list[float], ys: list[float], limit: float) -> list[str]:
-    """'kept', 'time' or 'speed' for each fix, against the last one kept; the first is kept."""
-    out, at = [], -1
-    for i, t in enumerate(times):
-        if at < 0:
+def _speed_run(cols: list[list], last: list | None, limit: float) -> tuple[list[str], list | None]:
+    """'kept', 'time' or 'speed' for each fix, against the ``last`` one kept; the first is kept."""
+    out = []
+    for t, x, y in zip(*cols, strict=True):
+        if last is None:
             verdict = "kept"
         else:
-            dt = (t - times[at]) * 1e-9
-            verdict = "time" if dt <= 0 else "speed" if math.hypot(xs[i] - xs[at], ys[i] - ys[at]) / dt > limit else "kept"
+            dt = (t - last[0]) * 1e-9
+            verdict = "time" if dt <= 0 else "speed" if math.hypot(x - last[1], y - last[2]) / dt > limit else "kept"
         if verdict == "kept":
-            at = i
+            last = [t, x, y]
         out.append(verdict)
-    return out
+    return out, last
 
 
-def _thin_fold(xs: list[float], ys: list[float], every: float) -> list[bool]:
-    """True for samples taken: the first, and each at which the way since the last one taken adds up to ``every``."""
-    out, way = [], 0.0
-    for i in range(len(xs)):
-        if i:
-            way += math.hypot(xs[i] - xs[i - 1], ys[i] - ys[i - 1])
-        take = i == 0 or way >= every
+def _thin_run(cols: list[list], last: list | None, every: float) -> tuple[list[bool], list | None]:
+    """True for samples taken: the first, and each at which the way since the last one taken adds up to ``every``; the state is place and way."""
+    out = []
+    px, py, way = last or (None, None, 0.0)
+    for x, y in zip(*cols, strict=True):
+        if px is not None:
+            way += math.hypot(x - px, y - py)
+        take = px is None or way >= every
         if take:
             way = 0.0
+        px, py = x, y
         out.append(take)
-    return out
-
-
-def _fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], column: str, kind: str, f) -> DataFrame:
-    """Runs ``f`` over each key's rows in order; the state does not fit a window frame, so rows of a key meet in one group."""
-    schema = ", ".join(f"`{n}` {t}" for n, t in df.dtypes) + f", `{column}` {kind}"
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(list(order), kind="stable").reset_index(drop=True)
-        pdf[column] = f(pdf)
-        return pdf
-
-    return df.groupBy(*keys).applyInPandas(run, schema)
+    return out, [px, py, way]
 
 
 def speed_verdict(df: DataFrame, *, max_speed_mps: float, time: str = "t_ns", keys: Sequence[str] = ("session_id",), order: str = "ord") -> DataFrame:
     """Adds ``verdict``: kept, or dropped for its time or its speed, against the last fix kept (speed limit exclusive)."""
     if max_speed_mps <= 0:
         raise ValueError("max_speed_mps must be positive")
-    return _fold(df, keys, [time, order], "verdict", "string", lambda p: _speed_fold(p[time].tolist(), p["easting"].tolist(), p["northing"].tolist(), max_speed_mps))
+    run = lambda cols, last: _speed_run(cols, last, max_speed_mps)
+    return fold(df, run, inputs=[time, "easting", "northing"], keys=keys, order=[time, order], column="verdict", kind="string")
 
 
 def speed_filter(df: DataFrame, **options) -> DataFrame:
@@ -89,7 +80,8 @@ def speed_stats(judged: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 
 def thin_by_distance(df: DataFrame, *, every_m: float, keys: Sequence[str] = ("session_id",), order: Sequence[str] = ("t_ns", "ord"), x: str = "easting", y: str = "northing") -> DataFrame:
     """Samples at least ``every_m`` of way apart; way adds up between neighbours."""
-    return _fold(df, keys, order, "taken", "boolean", lambda p: _thin_fold(p[x].tolist(), p[y].tolist(), every_m)).where("taken").drop("taken")
+    run = lambda cols, last: _thin_run(cols, last, every_m)
+    return fold(df, run, inputs=[x, y], keys=keys, order=order, column="taken", kind="boolean").where("taken").drop("taken")
 
 
 def gradient(value: str, w) -> Column:

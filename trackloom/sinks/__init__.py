@@ -5,11 +5,9 @@ from __future__ import annotations
 import json
 import os
 import shutil
-import struct
 import tempfile
 from collections.abc import Callable
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -97,67 +95,15 @@ def chunk_prefix(out_dir: str, csv_path: str) -> str:
     return os.path.join(out_dir, os.path.splitext(os.path.basename(csv_path))[0])
 
 
-# The public LAS 1.4 layout with point format 6.
-_HEADER, _RECORD, _SCALE = 375, 30, 0.001
-
-
-def las_header(n: int, offsets: tuple[float, float, float], low: tuple, high: tuple, wkt: str = "") -> bytes:
-    vlr = b""
-    if wkt:
-        body = wkt.encode() + b"\0"
-        vlr = struct.pack("<H16sHH32s", 0, b"LASF_Projection", 2112, len(body), b"coordinate system") + body
-    head = struct.pack("<4sHHIHH8sBB32s32sHHHII", b"LASF", 0, 16 if wkt else 0, 0, 0, 0, b"", 1, 4, b"trackloom", b"trackloom", 1, 2000, _HEADER, _HEADER + len(vlr), bool(wkt))
-    head += struct.pack("<BHI5I", 6, _RECORD, 0, 0, 0, 0, 0, 0)
-    head += struct.pack("<3d3d6d", *[_SCALE] * 3, *offsets, high[0], low[0], high[1], low[1], high[2], low[2])
-    head += struct.pack("<QQIQ15Q", 0, 0, 0, n, n, *[0] * 14)
-    return head + vlr
-
-
-def las_records(x: np.ndarray, y: np.ndarray, z: np.ndarray, t: np.ndarray, offsets: tuple[float, float, float]) -> bytes:
-    out = np.zeros(len(x), np.dtype([("x", "<i4"), ("y", "<i4"), ("z", "<i4"), ("intensity", "<u2"), ("returns", "u1"), ("flags", "u1"), ("class", "u1"), ("user", "u1"), ("angle", "<i2"), ("source", "<u2"), ("t", "<f8")]))
-    for c, v, o in zip("xyz", (x, y, z), offsets, strict=True):
-        out[c] = np.round((v - o) / _SCALE).astype(np.int64)
-    out["returns"] = 0x11
-    out["t"] = t
-    return out.tobytes()
-
-
-def write_las(df: DataFrame, path: str, *, offsets: tuple[float, float, float], wkt: str = "") -> int:
-    """One LAS file from (timestamp_ns, x_global, y_global, z_global): partitions are encoded in parallel in a folder that all
-    machines share (beside ``path``), then joined behind one header. Returns the number of points."""
-    parts = path + ".parts"
-    rows = df.select(*GLOBAL)
-
-    def encode(batches):
-        for b in batches:
-            t, x, y, z = (b.column(i).to_numpy() for i in range(4))
-            yield _las_batch(las_records(x, y, z, t / 1e9, offsets), len(x), [v.min() if len(v) else np.inf for v in (x, y, z)], [v.max() if len(v) else -np.inf for v in (x, y, z)])
-
-    encoded = rows.mapInArrow(encode, "n long, data binary, x0 double, y0 double, z0 double, x1 double, y1 double, z1 double")
-    encoded.write.mode("overwrite").parquet(parts)
-    blocks = df.sparkSession.read.parquet(parts)
-    total = blocks.agg(F.sum("n"), *[F.min(f"{c}0") for c in "xyz"], *[F.max(f"{c}1") for c in "xyz"]).first()
-
-    def join(part: str) -> int:
-        with open(part, "wb") as f:
-            f.write(las_header(total[0] or 0, offsets, tuple(v or 0.0 for v in total[1:4]), tuple(v or 0.0 for v in total[4:7]), wkt))
-            for row in blocks.select("data").toLocalIterator():  # one block at a time
-                f.write(row["data"])
-        return total[0] or 0
-
-    try:
-        return commit(path, join)
-    finally:
-        shutil.rmtree(parts, ignore_errors=True)
-
-
-def _las_batch(data: bytes, n: int, low: list, high: list):
-    import pyarrow as pa
-
-    return pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([data], pa.binary()), *[pa.array([float(v)]) for v in (*low, *high)]], ["n", "data", "x0", "y0", "z0", "x1", "y1", "z1"])
-
-
 def clock_sample(ref: Column, sample: Column) -> Column:
     """A clock daemon's sample: whole seconds, microseconds (cut off) and the offset."""
     sec = F.floor(sample).cast("long")
     return F.struct(sec.alias("tv_sec"), F.floor((sample - sec) * 1000000).cast("long").alias("tv_usec"), (ref - sample).alias("offset"))
+
+
+from .las import LasSink, las_header, las_records, write_las  # noqa: E402  needs GLOBAL and commit
+
+__all__ = [
+    "GLOBAL", "LasSink", "chunk_prefix", "clock_sample", "commit", "header_offsets", "las_header", "las_name", "las_records", "next_free", "publish_latest",
+    "qa_path", "qa_report", "write_debug_csv", "write_json_atomic", "write_las", "write_points_csv",
+]
