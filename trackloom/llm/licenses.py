@@ -17,6 +17,7 @@ rows get a row each; whole texts are scanned, however long.
 from __future__ import annotations
 
 import re
+import zlib
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -212,11 +213,25 @@ def _patterns() -> dict[str, str]:
     return {k: "|".join(v) for k, v in out.items()}
 
 
+#: Slots of the hash table of known sentences, each a short list of them.
+SLOTS = 8192
+
+
+def _slots() -> list[str]:
+    """``sentence:id,...`` of the known sentences of each slot, which is their CRC-32 modulo SLOTS."""
+    out: list[list[str]] = [[] for _ in range(SLOTS)]
+    for k, v in _known()[0].items():
+        out[zlib.crc32(k.encode()) % SLOTS].append(f"{k}:{v}")
+    return [",".join(x) for x in out]
+
+
 def _ids(text: Column, hit: Column) -> Column:
     """Identifiers of the known sentences of ``text``, in order."""
-    table = F.str_to_map(F.lit(",".join(f"{k}:{v}" for k, v in _known()[0].items())), F.lit(","), F.lit(":"))  # folded once
+    table = F.split(F.lit("\n".join(_slots())), "\n")  # folded once; an array, so that a slot is found by its number
     parts = F.filter(F.split(text, SPLIT), lambda s: s.rlike(HINTS))
-    known = F.transform(parts, lambda s: F.try_element_at(table, F.trim(F.regexp_replace(s, "[^a-z0-9]+", " "))))
+    plain = F.transform(parts, lambda s: F.trim(F.regexp_replace(s, "[^a-z0-9]+", " ")))
+    slot = lambda s: F.get(table, (F.crc32(s) % SLOTS).cast("int"))
+    known = F.transform(plain, lambda s: F.try_element_at(F.str_to_map(slot(s), F.lit(","), F.lit(":")), s))
     return F.when(hit, F.filter(known, lambda x: x.isNotNull())).otherwise(F.array().cast("array<string>"))
 
 

@@ -31,13 +31,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import kit
-from .store import free_name, small_batches
+from .store import discard, free_name, settle, small_batches
 
 #: Labelled documents that the classifier is fitted on, and documents without a label, at most.
 SAMPLE = 9_000
 UNLABELLED = 3_000
-#: Features kept, at most; the z-score and the log odds ratio from which one is kept.
-FEATURES, Z, ODDS = 4000, 3.2, 2.0
+#: Longest text of the sample, in bytes: longer ones are scored like all others, but not learned from.
+SAMPLE_BYTES = 1 << 20
+#: Texts of the sample that a feature is in at least. Features kept, at most; the z-score and the log odds ratio from which one is kept.
+SEEN, FEATURES, Z, ODDS = 5, 4000, 3.2, 2.0
 VOTERS = 12
 BITS = 22
 THRESHOLD = 0.3
@@ -67,18 +69,15 @@ def _distinct(d: np.ndarray, f: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (key >> BITS).astype(np.int32), (key & ((1 << BITS) - 1)).astype(np.int32)
 
 
-def mine(d: np.ndarray, f: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Features of toxic texts and their z-scores, strongest first; long texts share most words, so lift counts too."""
-    n1, n0 = toxic.sum(), len(toxic) - toxic.sum()
-    a = np.bincount(f[toxic[d] == 1], minlength=1 << BITS)
-    b = np.bincount(f[toxic[d] == 0], minlength=1 << BITS)
-    seen = np.flatnonzero(a + b >= 5)
-    a, b = a[seen] + 0.5, b[seen] + 0.5
+def mine(feats: np.ndarray, a: np.ndarray, b: np.ndarray, n1: int, n0: int) -> tuple[np.ndarray, np.ndarray]:
+    """Features of toxic texts and their z-scores, strongest first, from the numbers of toxic (a of n1) and other (b of n0) texts that hold each; long texts share most words, so lift counts too."""
+    seen = np.flatnonzero(a + b >= SEEN)
+    feats, a, b = feats[seen], a[seen] + 0.5, b[seen] + 0.5
     odds = np.log(a / (n1 + 1 - a)) - np.log(b / (n0 + 1 - b))
     z = odds / np.sqrt(1 / a + 1 / b)
-    order = np.argsort(-z, kind="stable")
+    order = np.lexsort((feats, -z))
     order = order[(z[order] >= Z) & (odds[order] >= ODDS)][:FEATURES]
-    return seen[order], z[order]
+    return feats[order], z[order]
 
 
 class Voters:
@@ -234,7 +233,7 @@ def _sample(docs: DataFrame, labels: DataFrame, labelled: int, unlabelled: int)
     others = ids.join(labels.select(F.col("doc_id").cast("long").alias("id")), "id", "left_anti").distinct().withColumn("toxic", F.lit(-1))
     pick = lambda df, n: df.orderBy(F.xxhash64("id"), "id").limit(n)
     chosen = pick(usable, labelled).unionByName(pick(others, unlabelled))
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(F.broadcast(chosen), "id")
+    texts = docs.where(F.coalesce(F.octet_length("text"), F.lit(0)) <= SAMPLE_BYTES).select(F.col("doc_id").cast("long").alias("id"), "text").join(F.broadcast(chosen), "id")
     return texts.groupBy("id", "toxic").agg(F.min("text").alias("text"))
 
 
@@ -248,36 +247,48 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, unlabelled: in
             at = 0
             for _, hi, block, offs in kit.blocks(*kit.as_bytes(b.column(2))):
                 d, f, n_words = features(block, offs)
-                order = np.argsort(d, kind="stable")
-                ends = np.searchsorted(d[order], np.arange(len(offs)))
-                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(f[order].astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, hi - at), b.column(1).slice(at, hi - at), lists, pa.array(n_words)], ["id", "toxic", "f", "n_words"])
+                key, times = np.unique(d.astype(np.int64) << BITS | f, return_counts=True)
+                ends = pa.array(np.searchsorted(key >> BITS, np.arange(len(offs))), pa.int32())
+                lists = [pa.ListArray.from_arrays(ends, pa.array(x.astype(np.int32))) for x in (key & ((1 << BITS) - 1), times)]
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, hi - at), b.column(1).slice(at, hi - at), *lists, pa.array(n_words)], ["id", "toxic", "f", "times", "n_words"])
                 at = hi
 
-    got = texts.mapInArrow(run, "id long, toxic int, f array<int>, n_words long").toArrow()
-    toxic = got["toxic"].to_numpy().astype(np.int64)
-    if not ((toxic == 0).any() and (toxic == 1).any()):
+    made = settle(texts.mapInArrow(run, "id long, toxic int, f array<int>, times array<int>, n_words long"))
+    # The driver gets counts of features, of which there are 2^BITS at most, and then the places of the few that are kept.
+    told = made.where("toxic >= 0")
+    n1, n0 = (told.agg(F.count_if(F.col("toxic") == y)).first()[0] for y in (1, 0))
+    if not n1 or not n0:
         return np.zeros(0, np.int64), np.zeros(0), -np.inf
-    n_words = got["n_words"].to_numpy()
-    lists = got["f"].combine_chunks()
-    del got
-    f = lists.flatten().to_numpy()
-    d = np.repeat(np.arange(len(toxic), dtype=np.int32), lists.value_lengths().to_numpy())
-    du, fu = _distinct(d, f)
-    told = toxic[du] >= 0
-    rank = np.cumsum(toxic >= 0, dtype=np.int32) - 1
-    feats, z = mine(rank[du[told]], fu[told], toxic[toxic >= 0].astype(np.int8))
-    del told
+    each = told.select("toxic", F.explode("f").alias("f")).groupBy("f").agg(*[F.count_if(F.col("toxic") == y).cast("int").alias(n) for n, y in (("a", 1), ("b", 0))])
+    each = each.where(F.col("a") + F.col("b") >= SEEN).toArrow()
+    feats, z = mine(*(each[c].to_numpy().astype(np.int64) for c in "fab"), n1, n0)
+    del each
     voters = Voters(feats, z)
-    masks = voters.masks(d, f, n_words)
-    del d, f, lists
+    wanted = docs.sparkSession.sparkContext.broadcast(np.sort(feats))
+
+    def narrow(batches):
+        for b in batches:
+            sizes = b.column(2).value_lengths().to_numpy(zero_copy_only=False)
+            f, times = (b.column(i).flatten().to_numpy() for i in (2, 3))
+            use = np.isin(f, wanted.value)
+            kept = np.bincount(np.repeat(np.arange(len(b)), sizes)[use], minlength=len(b))
+            ends = pa.array(np.concatenate([[0], np.cumsum(kept)]), pa.int32())
+            lists = [pa.ListArray.from_arrays(ends, pa.array(x[use])) for x in (f, times)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *lists, b.column(4)], ["id", "toxic", "f", "times", "n_words"])
+
+    got = made.mapInArrow(narrow, "id long, toxic int, f array<int>, times array<int>, n_words long").orderBy("id").toArrow()
+    discard(made)
+    toxic, n_words = (got[c].to_numpy().astype(np.int64) for c in ("toxic", "n_words"))
+    lists = got["f"].combine_chunks()
+    fu, times = lists.flatten().to_numpy().astype(np.int64), got["times"].combine_chunks().flatten().to_numpy()
+    du = np.repeat(np.arange(len(toxic)), lists.value_lengths().to_numpy())
+    masks = voters.masks(np.repeat(du, times), np.repeat(fu, times), n_words)
     gold = np.array([np.bincount(masks[toxic == y], minlength=1 << VOTERS) for y in (0, 1)])
     alone, posterior = label_model(_patterns(docs, voters), gold)
     target = np.where(toxic < 0, alone[masks], posterior[np.maximum(toxic, 0), masks])
     place = np.full(1 << BITS, -1, np.int32)
     place[feats] = np.arange(len(feats))
-    known = place[fu] >= 0
-    w, bias = fit_linear(du[known], place[fu[known]], len(toxic), len(feats), target)
+    w, bias = fit_linear(du, place[fu], len(toxic), len(feats), target)
     return feats, w, bias
 
 
