@@ -16,6 +16,11 @@ def body(sentence: Column) -> Column:
     return F.regexp_extract(sentence, r"^\$([^*]*)", 1)
 
 
+def _once(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, however often it is named."""
+    return F.transform(F.array(value), use)[0]
+
+
 def checksum(text: Column) -> Column:
     """XOR of the characters, as a number."""
     codes = F.transform(F.split(text, ""), lambda c: F.ascii(c))
@@ -33,7 +38,11 @@ def fields(sentence: Column) -> Column:
 
 def kind(sentence: Column) -> Column:
     """RMC, GGA, ...: the last three letters of the first field."""
-    return F.right(F.get(fields(sentence), F.lit(0)), F.lit(3))
+    return _kind(fields(sentence))
+
+
+def _kind(f: Column) -> Column:
+    return F.right(F.get(f, F.lit(0)), F.lit(3))
 
 
 def time_of_day_us(value: Column) -> Column:
@@ -75,9 +84,11 @@ def coordinate(value: Column, hemisphere: Column, latitude: bool) -> Column:
 
 def rmc_date(sentence: Column) -> Column:
     """Date of a valid RMC sentence with status A."""
-    f = fields(sentence)
-    ok = (kind(sentence) == "RMC") & checksum_ok(sentence) & (F.size(f) >= 10) & (F.get(f, F.lit(2)) == "A")
-    return F.when(ok, date(F.get(f, F.lit(9))))
+    return _rmc_date(fields(sentence), checksum_ok(sentence))
+
+
+def _rmc_date(f: Column, valid: Column) -> Column:
+    return F.when((_kind(f) == "RMC") & valid & (F.size(f) >= 10) & (F.get(f, F.lit(2)) == "A"), date(F.get(f, F.lit(9))))
 
 
 def rmc_epoch_us(sentence: Column) -> Column:
@@ -87,11 +98,14 @@ def rmc_epoch_us(sentence: Column) -> Column:
 
 def gga(sentence: Column) -> Column:
     """A fix as a struct; null without a valid checksum, quality or position. The time may be missing; so may the altitude (NaN)."""
-    f = fields(sentence)
+    return _gga(fields(sentence), checksum_ok(sentence))
+
+
+def _gga(f: Column, valid: Column) -> Column:
     at = lambda i: F.get(f, F.lit(i))
     lat, lon = coordinate(at(2), at(3), True), coordinate(at(4), at(5), False)
     quality = at(6).try_cast("int")
-    ok = (kind(sentence) == "GGA") & checksum_ok(sentence) & (F.size(f) >= 10) & (quality > 0) & lat.isNotNull() & lon.isNotNull()
+    ok = (_kind(f) == "GGA") & valid & (F.size(f) >= 10) & (quality > 0) & lat.isNotNull() & lon.isNotNull()
     return F.when(ok, F.struct(
         time_of_day_us(at(1)).alias("us_of_day"), quality.alias("gps_quality"), F.nullif(at(7), F.lit("")).alias("num_sats"), F.nullif(at(8), F.lit("")).alias("hdop"),
         lat.alias("latitude"), lon.alias("longitude"), F.coalesce(at(9).try_cast("double"), F.lit(float("nan"))).alias("altitude_m"),
@@ -105,7 +119,9 @@ def frame(raw: DataFrame, text: str = "value") -> DataFrame:
 
 def fixes(sentences: DataFrame, *, keys: list[str], order: str = "ord", text: str = "value") -> DataFrame:
     """One row per valid GGA sentence; its date is that of the latest RMC sentence before it in the stream."""
-    parsed = sentences.withColumns({"_date": rmc_date(F.col(text)), "_fix": gga(F.col(text))})
+    # Fields first, then the checksum of the two kinds that count, once a line.
+    cut = sentences.withColumn("_f", fields(F.col(text))).where(_kind(F.col("_f")).isin("RMC", "GGA")).where(checksum_ok(F.col(text)))
+    parsed = cut.withColumns({"_date": _rmc_date(F.col("_f"), F.lit(True)), "_fix": _gga(F.col("_f"), F.lit(True))})
     dated = carry_last(parsed, ["_date"], keys=keys, order=order).where("_fix is not null")
     return dated.select(*keys, order, epoch_ns(F.col("_date"), F.col("_fix.us_of_day")).alias("gps_epoch_ns"), *[F.col(f"_fix.{c}").alias(c) for c in ("gps_quality", "num_sats", "hdop", "latitude", "longitude", "altitude_m")])
 
@@ -132,4 +148,4 @@ def _clock(us: Column) -> Column:
 
 
 def _signed(text: Column) -> Column:
-    return F.concat(F.lit("$"), text, F.lit("*"), F.lpad(F.hex(checksum(text)), 2, "0"))
+    return _once(text, lambda t: F.concat(F.lit("$"), t, F.lit("*"), F.lpad(F.hex(checksum(t)), 2, "0")))
