@@ -359,44 +359,40 @@ def chunk_tumble(spark: SparkSession, sf: str) -> DataFrame:
     return tumble(e, "ts", "30 seconds", keys=["event_type"]).select("event_type", ns("start"), "n", ns("first"), ns("last"))
 
 
-@query(f"""WITH {EVENTS}, s AS (SELECT session_id, ord, t_ns, CASE WHEN ord % 4 = 0 THEN NULL ELSE ord // 40 END AS seq, event_type FROM track WHERE t_ns >= 1704200000000000000),
+@query(f"""WITH {EVENTS}, s AS (SELECT session_id, ord, t_ns, CASE WHEN ord % 4 = 0 THEN NULL ELSE ord // 40 END AS seq, event_type FROM track JOIN (SELECT session_id, min(t_ns) AS began FROM track WHERE event_type = 'signup' GROUP BY 1) b USING (session_id) WHERE t_ns >= began),
 m AS (SELECT *, last_value(seq IGNORE NULLS) OVER (PARTITION BY session_id ORDER BY t_ns ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS ls, lag(event_type) OVER (PARTITION BY session_id ORDER BY t_ns) AS le FROM s)
 SELECT session_id, ord, coalesce(seq, -1) AS seq, event_type FROM m WHERE NOT coalesce(CASE WHEN seq IS NOT NULL THEN seq = ls ELSE event_type = le END, false)""")
 def stale_and_dedupe(spark: SparkSession, sf: str) -> DataFrame:
-    e = events(spark, sf).where(F.col("t_ns") >= 1704200000000000000)
+    began = events(spark, sf).where("event_type = 'signup'").groupBy("session_id").agg(F.min("t_ns").alias("began"))  # each session begins with its first signup
+    e = events(spark, sf).join(began, "session_id").where(F.col("t_ns") >= F.col("began")).drop("began")
     e = e.withColumn("seq", F.when(F.col("ord") % 4 != 0, F.expr("ord div 40")))
     return logs.drop_repeats(e, keys=["session_id"], order="t_ns", sequence="seq", signature=["event_type"]).select("session_id", "ord", F.coalesce("seq", F.lit(-1).cast("long")).alias("seq"), "event_type")
 
 
-@query("""WITH a AS (SELECT DISTINCT l_orderkey AS k FROM lineitem EXCEPT SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F'), u AS (SELECT k, 0 AS p FROM a UNION ALL SELECT o_orderkey, 1 FROM orders WHERE o_orderkey % 3 = 0), d AS (SELECT k, min(p) AS p FROM u GROUP BY 1)
+@query("""WITH a AS (SELECT DISTINCT l_orderkey AS k FROM lineitem EXCEPT SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F'), u AS (SELECT k, 0 AS p FROM a UNION ALL SELECT o_orderkey, 1 FROM orders), d AS (SELECT k, min(p) AS p FROM u GROUP BY 1)
 SELECT k, CAST(p AS INTEGER) AS source FROM d""")
 def produced_except(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders")
     new = manifest.produced(table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("k")), orders.where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("k")))
-    both = new.withColumn("source", F.lit(0)).unionByName(orders.where("o_orderkey % 3 = 0").select(F.col("o_orderkey").alias("k"), F.lit(1).alias("source")))
+    both = new.withColumn("source", F.lit(0)).unionByName(orders.select(F.col("o_orderkey").alias("k"), F.lit(1).alias("source")))
     return manifest.distinct_in_order(both, "k", keys=[], order=["source"]).select("k", "source")
 
 
-# Listings as a clock daemon prints them.
-LISTINGS = [
-    (1, 0, "#+ GPS  0   2   377    10   +0ns[   +0ns] +/-    0ns\n#* PPS  0   2   377    10   +0ns[   +0ns] +/-    0ns\n^- 23.150.41.123  2   6   377    10   +1ms[  +1ms] +/-   22ms"),
-    (2, 0, "#? GPS  0\n#? PPS  0\n^* 23.150.41.123  2   6   377    10   +1ms[  +1ms] +/-   22ms"),
-    (3, 1, "#+ GPS  0\n#* PPS  0"),
-    (4, 0, "MS Name/IP address\n====\n"),
-    (5, 0, "^* time.example.org 1"),
-]
-VALUES = ", ".join(f"({i}, {rc}, '{s}')" for i, rc, s in LISTINGS)
-
-
-@query(rf"""WITH l(id, rc, body) AS (VALUES {VALUES}), x AS (SELECT id, unnest(string_split(body, chr(10))) AS line, generate_subscripts(string_split(body, chr(10)), 1) AS ord FROM l),
-s AS (SELECT id, ord, regexp_extract(line, '^([#^=])([*+\-?x~])\s*(\S+)', 2) AS state, regexp_extract(line, '^([#^=])([*+\-?x~])\s*(\S+)', 3) AS name FROM x WHERE regexp_matches(line, '^([#^=])([*+\-?x~])\s*(\S+)')),
-p AS (SELECT id, arg_min(name, ord) FILTER (state = '*') AS sel, string_agg(DISTINCT name || ':' || state, ',' ORDER BY name || ':' || state) FILTER (name IN ('GPS', 'PPS')) AS loc FROM s GROUP BY 1)
-SELECT CAST(l.id AS INTEGER) AS id, rc = 0 AND coalesce(sel IN ('GPS', 'PPS'), false) AS ready, sel AS selected_source, coalesce(loc, '') AS local_states,
-  CASE WHEN rc <> 0 THEN 'chronyc waitsync not yet satisfied' WHEN loc IS NULL THEN 'chrony waitsync passed, but GPS/PPS refclocks were not present in `chronyc sources -v`.' WHEN sel IS NULL THEN 'chrony waitsync passed, but no selected source was reported.'
+@query(r"""WITH l AS (SELECT user_id AS id, event_id AS ord, substr('*+-?x~', CAST(event_id % 6 AS INTEGER) + 1, 1) AS state, CASE event_type WHEN 'view' THEN 'GPS' WHEN 'click' THEN 'PPS' ELSE event_type END AS name FROM events WHERE event_id % 7 <> 0),
+p AS (SELECT id, arg_min(name, ord) FILTER (state = '*') AS sel, string_agg(DISTINCT name || ':' || state, ',' ORDER BY name || ':' || state) FILTER (name IN ('GPS', 'PPS')) AS loc FROM l GROUP BY 1),
+u AS (SELECT DISTINCT user_id AS id, user_id % 4 = 0 AS failed FROM events)
+SELECT u.id, NOT failed AND coalesce(sel IN ('GPS', 'PPS'), false) AS ready, sel AS selected_source, coalesce(loc, '') AS local_states,
+  CASE WHEN failed THEN 'chronyc waitsync not yet satisfied' WHEN loc IS NULL THEN 'chrony waitsync passed, but GPS/PPS refclocks were not present in `chronyc sources -v`.' WHEN sel IS NULL THEN 'chrony waitsync passed, but no selected source was reported.'
     WHEN sel NOT IN ('GPS', 'PPS') THEN 'chrony is synchronized to ' || sel || ' instead of GPS/PPS.' ELSE 'chrony synchronized to local source ' || sel || '.' END AS summary
-FROM l LEFT JOIN p ON l.id = p.id""")
+FROM u LEFT JOIN p ON u.id = p.id""")
 def chrony_parse(spark: SparkSession, sf: str) -> DataFrame:
-    texts = spark.createDataFrame(LISTINGS, "id int, returncode int, body string")
+    """Each user's events printed as a clock daemon's listing, one line an event, every seventh of them no source line."""
+    e, i = table(spark, sf, "events"), F.col("event_id")
+    name = F.when(F.col("event_type") == "view", "GPS").when(F.col("event_type") == "click", "PPS").otherwise(F.col("event_type"))
+    pick = lambda chars, n: F.substr(F.lit(chars), (i % n).cast("int") + 1, F.lit(1))
+    line = F.when(i % 7 == 0, F.lit("MS Name/IP address")).otherwise(F.concat(pick("#^=", 3), pick("*+-?x~", 6), F.lit(" "), name, F.lit("  2   6   377    10   +1ms[  +1ms] +/-   22ms")))
+    lines = e.select(F.col("user_id").alias("id"), F.struct(i.alias("i"), line.alias("line")).alias("l")).groupBy("id").agg(F.array_sort(F.collect_list("l")).alias("l"))
+    texts = lines.select("id", F.array_join(F.transform("l", lambda x: x["line"]), "\n").alias("body"), F.when(F.col("id") % 4 == 0, 1).otherwise(0).alias("returncode"))
     return status.clock_sync(status.clock_sources(texts, "body", keys=["id"]), texts.select("id", "returncode"), keys=["id"])
 
 
@@ -416,9 +412,9 @@ def scan_explode(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""WITH m AS (SELECT vec_id, list_transform(embedding, lambda v: CAST(v AS DOUBLE)) AS m FROM embeddings)
-SELECT vec_id, round(m[1] * m[17] + m[2] * m[18] + m[3] * m[19] + m[4], 6) + 0.0 AS x, round(m[5] * m[17] + m[6] * m[18] + m[7] * m[19] + m[8], 6) + 0.0 AS y, round(m[9] * m[17] + m[10] * m[18] + m[11] * m[19] + m[12], 6) + 0.0 AS z, m[4] AS tx, m[8] AS ty, m[12] AS tz FROM m WHERE vec_id % 3 <> 0""")
+SELECT vec_id, round(m[1] * m[17] + m[2] * m[18] + m[3] * m[19] + m[4], 6) + 0.0 AS x, round(m[5] * m[17] + m[6] * m[18] + m[7] * m[19] + m[8], 6) + 0.0 AS y, round(m[9] * m[17] + m[10] * m[18] + m[11] * m[19] + m[12], 6) + 0.0 AS z, m[4] AS tx, m[8] AS ty, m[12] AS tz FROM m""")
 def pose_apply(spark: SparkSession, sf: str) -> DataFrame:
-    e = table(spark, sf, "embeddings").where("vec_id % 3 <> 0").select("vec_id", F.col("embedding").cast("array<double>").alias("m"))
+    e = table(spark, sf, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("m"))
     x, y, z = geometry.apply_pose(F.col("m")[16], F.col("m")[17], F.col("m")[18], F.col("m"))
     tx, ty, tz = geometry.translation()
     return e.select("vec_id", r(x).alias("x"), r(y).alias("y"), r(z).alias("z"), tx.alias("tx"), ty.alias("ty"), tz.alias("tz"))
@@ -520,35 +516,43 @@ def epoch_convert(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").select("event_id", nmea.epoch_ns(day, tod).alias("exact_ns"), nmea.epoch_ns_via_float(day, tod).alias("float_ns"), text.iso_epoch_ns(iso).alias("iso_ns"), blank.alias("blank"))
 
 
-# Probe texts.
-TEXTS = [
-    (1, "$GPGGA,194410.00,2925.4472,N,09829.6178,W,4,18,0.6,200.5,M,-24.3,M,,*59"),
-    (2, "Leap status     : Normal"),
-    (3, "#* PPS 0 2 377"),
-    (4, "PTP Hardware Clock: 0"),
-    (5, '{"port_state": "SLAVE", "n": 3}'),
-    (6, "phc_ctl: clock time is 1781280168.602482101 or so"),
-    (7, "AirNet:802-11-wireless:wlan0\nCable:802-3-ethernet:eth0"),
-    (8, ""),
-]
-TEXT_VALUES = ", ".join(f"({i}, '{s}')" for i, s in TEXTS)
-
-
-@query(rf"""WITH t(id, body) AS (VALUES {TEXT_VALUES}), p(chk, pat) AS (VALUES ('nmea', '\$G[A-Z]GGA|\$G[A-Z]RMC'), ('leap_normal', 'Leap status\s*:\s*Normal'), ('selected_source', '(?m)^[#^=]\*'), ('local_selected', '(?m)^#\*\s*(PPS|GPS)'), ('ptp_clock', 'PTP Hardware Clock: \d+'), ('slave', '"port_state"\s*:\s*"SLAVE"'))
-SELECT CAST(id AS INTEGER) AS id, chk AS "check", CASE WHEN regexp_matches(body, pat) THEN 'PASS' ELSE 'FAIL' END AS level FROM t, p
-UNION ALL SELECT CAST(id AS INTEGER), 'phc', CAST(TRY_CAST(nullif(regexp_extract(body, 'clock time is (\d+\.\d+)', 1), '') AS DOUBLE) > 1e9 AS VARCHAR) FROM t WHERE regexp_matches(body, 'clock time')
-UNION ALL SELECT 7, 'wifi', 'AirNet@wlan0'""")
+# What a probe may print before a page's own text.
+TEXTS = (
+    "$GPGGA,194410.00,2925.4472,N,09829.6178,W,4,18,0.6,200.5,M,-24.3,M,,*59",
+    "Leap status     : Normal",
+    "#* PPS 0 2 377",
+    "PTP Hardware Clock: 0",
+    '{"port_state": "SLAVE", "n": 3}',
+    "phc_ctl: clock time is 1781280168.602482101 or so",
+    "AirNet:802-11-wireless:wlan0\nCable:802-3-ethernet:eth0",
+    "",
+)
+RULES = ("nmea", "leap_normal", "selected_source,local_selected", "ptp_clock", "slave")
+
+
+@query(f"""WITH p AS (SELECT page_id, page_id % {len(TEXTS)} AS k FROM pages), r(i, chk) AS (VALUES {", ".join(f"({i}, '{c}')" for i, names in enumerate(RULES) for c in names.split(","))})
+SELECT page_id, chk AS "check", CASE WHEN k = i THEN 'PASS' ELSE 'FAIL' END AS level FROM p, r
+UNION ALL SELECT page_id, 'phc', '1781280168.602' FROM p WHERE k = 5
+UNION ALL SELECT page_id, 'wifi', split_part(split_part(list_filter(string_split('{TEXTS[6]}', chr(10)), lambda l: contains(l, 'wireless'))[1], ':', 1) || '@' || split_part(list_filter(string_split('{TEXTS[6]}', chr(10)), lambda l: contains(l, 'wireless'))[1], ':', 3), chr(13), 1) FROM p WHERE k = 6""")
 def text_probe_rules(spark: SparkSession, sf: str) -> DataFrame:
-    t = spark.createDataFrame(TEXTS, "id int, body string")
-    clock = t.where(F.col("body").contains("clock time")).select("id", F.lit("phc").alias("check"), (text.phc_seconds(F.col("body")) > 1e9).cast("string").alias("level"))
-    wifi = status.wifi_rows(t, "body", keys=["id"]).select("id", F.lit("wifi").alias("check"), F.concat_ws("@", "name", "device").alias("level"))
-    return status.probe(t, "body", keys=["id"]).unionByName(clock).unionByName(wifi)
-
-
-@query("""WITH a(s) AS (VALUES (0), (5), (10), (30)) SELECT CAST(s AS INTEGER) AS seconds, CASE WHEN greatest(1, s) < 10 THEN greatest(1, s) || ',10' ELSE CAST(greatest(1, s) AS VARCHAR) END AS attempts, CASE s WHEN 0 THEN 'gptp' WHEN 5 THEN 'default' END AS flip, s IN (0, 5, 30) AS truthy FROM a""")
+    """A probe's print by the page's number, with the page behind it; the SQL knows each page's print and does not parse."""
+    before = F.get(F.array(*[F.lit(t) for t in TEXTS]), (F.col("page_id") % len(TEXTS)).cast("int"))
+    t = table(spark, sf, "pages").select("page_id", F.concat(before, F.lit("\n"), F.coalesce("html", F.lit(""))).alias("body"))
+    seconds = text.phc_seconds(F.col("body"))
+    clock = t.where(seconds.isNotNull()).select("page_id", F.lit("phc").alias("check"), F.format_string("%.3f", seconds).alias("level"))
+    wifi = status.wifi_rows(t, "body", keys=["page_id"]).select("page_id", F.lit("wifi").alias("check"), F.concat_ws("@", "name", "device").alias("level"))
+    return status.probe(t, "body", keys=["page_id"]).unionByName(clock).unionByName(wifi)
+
+
+@query("""WITH a AS (SELECT event_id, CAST(event_id % 35 AS INTEGER) AS s, event_type, value FROM events)
+SELECT event_id, s AS seconds, CASE WHEN greatest(1, s) < 10 THEN greatest(1, s) || ',10' ELSE CAST(greatest(1, s) AS VARCHAR) END AS attempts, CASE event_type WHEN 'view' THEN 'gptp' WHEN 'click' THEN 'default' END AS flip,
+  CASE WHEN value < 20 THEN true WHEN value < 40 THEN true WHEN value < 60 THEN true ELSE false END AS truthy FROM a""")
 def weights_and_attempts(spark: SparkSession, sf: str) -> DataFrame:
-    t = spark.createDataFrame([(0, "default", "Yes"), (5, "GPTP ", "1"), (10, "other", "no"), (30, None, " on ")], "seconds int, profile string, flag string")
-    return t.select("seconds", F.concat_ws(",", text.attempts(F.col("seconds")).cast("array<string>")).alias("attempts"), text.other_profile(F.col("profile")).alias("flip"), text.truthy(F.col("flag")).alias("truthy"))
+    v = F.col("value")
+    profile = F.when(F.col("event_type") == "view", " Default").when(F.col("event_type") == "click", "GPTP ").when(F.col("event_type") == "error", "other")
+    said = F.when(v < 20, "Yes").when(v < 40, " on ").when(v < 60, "1").when(v < 80, "no").otherwise("")
+    t = table(spark, sf, "events").select("event_id", (F.col("event_id") % 35).cast("int").alias("seconds"), profile.alias("profile"), said.alias("flag"))
+    return t.select("event_id", "seconds", F.concat_ws(",", text.attempts(F.col("seconds")).cast("array<string>")).alias("attempts"), text.other_profile(F.col("profile")).alias("flip"), text.truthy(F.col("flag")).alias("truthy"))
 
 
 def _utm_sql() -> str:
@@ -579,12 +583,12 @@ def union_inputs(spark: SparkSession, sf: str) -> DataFrame:
     return f.unionByName(op).unionByName(p).orderBy("o_orderkey")
 
 
-@query(f"""WITH {EVENTS}, d AS (SELECT ord, t_ns, CASE WHEN ord % 31 = 0 THEN CAST('nan' AS DOUBLE) WHEN ord % 37 = 0 THEN CAST('-inf' AS DOUBLE) WHEN ord % 41 = 0 THEN NULL ELSE easting END AS x, CAST(ord % 6 AS INTEGER) AS quality FROM track WHERE t_ns >= 1704100000000000000)
+@query(f"""WITH {EVENTS}, d AS (SELECT ord, t_ns, CASE WHEN ord % 31 = 0 THEN CAST('nan' AS DOUBLE) WHEN ord % 37 = 0 THEN CAST('-inf' AS DOUBLE) WHEN ord % 41 = 0 THEN NULL ELSE easting END AS x, CAST(ord % 6 AS INTEGER) AS quality FROM track)
 SELECT ord, x, quality FROM d WHERE x IS NOT NULL AND isfinite(x) AND quality > 0 AND t_ns > 0""")
 def finite_and_quality(spark: SparkSession, sf: str) -> DataFrame:
     o = F.col("ord")
     x = F.when(o % 31 == 0, float("nan")).when(o % 37 == 0, float("-inf")).when(o % 41 == 0, None).otherwise(F.col("easting"))
-    d = events(spark, sf).where("t_ns >= 1704100000000000000").select("ord", "t_ns", x.alias("x"), (o % 6).cast("int").alias("quality"))
+    d = events(spark, sf).select("ord", "t_ns", x.alias("x"), (o % 6).cast("int").alias("quality"))
     return d.where(finite("x") & (F.col("quality") > 0) & (F.col("t_ns") > 0)).select("ord", "x", "quality")
 
 
