@@ -320,3 +320,26 @@ def test_cancel_removes_partial_output(spark, tmp_path):
     fine.follow(q)
     fine.cancel()
     assert not q.isActive
+
+
+def test_live_log_shows_one_fix_line_a_context(spark, tmp_path):
+    from trackloom import streaming
+    from trackloom.operators import logs
+
+    lines = ["boot", "GPS fix logged: 1", "GPS fix logged: 2", "Starting chunk 0: 30 s", "GPS fix logged: 3", None, "GPS fix logged: 4", "Starting chunk 1: 30 s", "GPS fix logged: 5", "Starting chunk 0: again", "GPS fix logged: 6", "GPS fix logged: 7"]
+    rows = [(k, i, t) for k in (1, 2) for i, t in enumerate(lines)]
+    batches = [[r for r in rows if r[1] % 12 in range(*b)] for b in ((0, 3), (3, 6), (6, 12))]
+    live = drain(streaming.surfaced(stream(spark, tmp_path, batches, "run long, ord long, text string"), keys=["run"]), "shown").where("text is not null").collect()
+    whole = logs.surfaced(spark.createDataFrame(rows, "run long, ord long, text string"), keys=["run"]).where("text is not null").collect()
+    assert sorted(map(tuple, live)) == sorted(map(tuple, whole)) and len(live) == 2 * 8
+
+
+def test_capture_loop_ends_with_the_first_failure(spark):
+    from trackloom.operators import manifest
+
+    rows = [(1, 0, 1, ["a.pcap"]), (1, 1, 0, []), (1, 2, 1, ["a.csv"]), (1, 3, 0, ["b.pcap"]), (2, 0, None, None), (2, 1, 0, []), (None, 5, 0, []), (None, 6, 2, []), (None, 7, 0, [])]
+    df = spark.createDataFrame(rows, "s int, chunk_index int, returncode int, produced_files array<string>")
+    got = lambda **k: sorted((str(r.s), r.chunk_index) for r in manifest.taken(df, keys=["s"], **k).collect())
+    assert got() == [("1", 0), ("1", 1), ("1", 2), ("2", 0), ("None", 5), ("None", 6)]
+    assert got(raw=False) == [("1", 0), ("2", 0), ("None", 5), ("None", 6)]
+    assert got(continuous=False) == [("1", 0), ("2", 0), ("None", 5)]

@@ -88,3 +88,16 @@ def produced(after: DataFrame, before: DataFrame) -> DataFrame:
 def session_rollup(fixes: DataFrame, *, keys: Sequence[str], order: str) -> DataFrame:
     """Rows written, time of the first fix and the latest fix, by arrival."""
     return fixes.groupBy(*keys).agg(F.count("*").alias("rows_written"), F.min_by("t_ns", order).alias("first_fix_time_ns"), F.max_by("t_ns", order).alias("latest_fix_time_ns"))
+
+
+def taken(attempts: DataFrame, *, keys: Sequence[str], index: str = "chunk_index", returncode: str = "returncode", files: str = "produced_files", raw: bool = True, continuous: bool = True) -> DataFrame:
+    """The chunks that a capture loop records: up to the first failure, that one included, or the first alone where it is not continuous.
+
+    A timed stop ends a raw capture with a code that is not 0; with a raw file it is no failure.
+    """
+    stopped = F.coalesce(F.exists(files, lambda x: F.lower(x).endswith(".pcap")), F.lit(False)) if raw else F.lit(False)
+    failed = (F.coalesce(returncode, F.lit(-1)) != 0) & ~stopped
+    last = attempts.groupBy(*keys).agg((F.min(F.when(failed, F.col(index))) if continuous else F.min(index)).alias("_last"))
+    renamed = last.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_last")
+    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    return attempts.join(renamed, same).where(F.col("_last").isNull() | (F.col(index) <= F.col("_last"))).select(*attempts.columns)

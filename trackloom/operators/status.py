@@ -142,6 +142,33 @@ def roll_up(df: DataFrame) -> DataFrame:
     })
 
 
+def service(state: Column) -> Column:
+    """A service's entry of the status document: its state as printed, and whether it is active."""
+    printed = F.btrim(state, F.lit(" \t\r\n"))
+    return F.struct((printed == "active").alias("active"), printed.alias("state"))
+
+
+def status_document(df: DataFrame, *, iface: Column, at: Column, chrony: DataFrame, phc: Column, keys: Sequence[str]) -> DataFrame:
+    """Adds ``document``, the whole nested status, and the flat fields of :func:`roll_up`.
+
+    ``df`` has the printed state of each of SERVICES; ``chrony`` is the result of :func:`clock_sync` per key; ``phc`` a
+    struct with ``ready`` and ``summary`` of the broadcast's alignment, among others.
+    """
+    states = {n: f"_state_{n}" for n in SERVICES}
+    held = df.withColumns({c: F.col(n) for n, c in states.items()} | {"_phc": phc, "iface": iface, "timestamp": at})
+    clock = chrony.select(*keys, F.struct("ready", "selected_source", "local_states", "summary").alias("_chrony"))
+    both = held.join(clock, list(keys), "left")
+    active = {n: F.coalesce(service(F.col(c))["active"], F.lit(False)) for n, c in states.items()}
+    flags = {"gps_ready": F.coalesce("_chrony.ready", F.lit(False)), "gps_time_summary": F.col("_chrony.summary"), "phc_ready": F.coalesce("_phc.ready", F.lit(False)), "phc_summary": F.col("_phc.summary")}
+    rolled = roll_up(both.withColumns(active | flags))
+    said = ("gps_time_ready", "gps_time_summary", "pi_time_broadcast_ready", "pi_time_broadcast_summary", "background_services_ready", "background_services_summary", "summary", "recommended_action")
+    parts = [
+        "timestamp", "iface", *said, F.struct("restart_phc2sys_allowed", "restart_phc2sys_reason").alias("actions"), F.struct(*[service(F.col(c)).alias(n) for n, c in states.items()]).alias("services"),
+        F.struct(F.col("gps_time_ready").alias("ready"), F.col("_chrony").alias("evaluation")).alias("chrony"), F.col("_phc").alias("phc_alignment"),
+    ]
+    return rolled.withColumn("document", F.to_json(F.struct(*parts), {"ignoreNullFields": "false"})).select(*keys, *said, "document")
+
+
 #: What must hold for a fresh capture to count as aligned.
 CAPTURE_CHECKS = ("phc_ready", "locked_before", "locked_after", "aligned_before", "aligned_after", "file_ready", "window_ready")
 

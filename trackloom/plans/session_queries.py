@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import folds, gates, nested, quantiles, track
+from ..operators import folds, gates, manifest, nested, quantiles, status, track
 from ..operators.running import running_sum
 from ..streaming.sources import sentences_of_log
 from .queries import EVENTS, events, query, table
@@ -116,3 +116,34 @@ def speed_filter_one_track(spark: SparkSession, sf: str) -> DataFrame:
     e = events(spark, sf).select("ord", "t_ns", (F.col("easting") * 1000).alias("x"), F.lit(0.0).alias("y"), F.lit(0).alias("all"))
     run = lambda cols, last: track._speed_run(cols, last, 120.0)
     return folds.fold(e, run, inputs=["t_ns", "x", "y"], keys=["all"], order=["t_ns", "ord"], column="verdict", kind="string", rows=500).select("ord", "verdict")
+
+
+@query("""WITH a AS (SELECT user_id AS session_id, event_id AS chunk_index, CAST(event_id % 3 AS INTEGER) AS rc, event_type IN ('view', 'click', 'signup') AS raw FROM events),
+l AS (SELECT session_id, min(chunk_index) FILTER (rc <> 0 AND NOT raw) AS last FROM a GROUP BY 1)
+SELECT session_id, chunk_index, rc AS returncode FROM a JOIN l USING (session_id) WHERE last IS NULL OR chunk_index <= last""")
+def chunks_taken(spark: SparkSession, sf: str) -> DataFrame:
+    e = table(spark, sf, "events")
+    name = F.when(F.col("event_type").isin("view", "click", "signup"), F.concat(F.lit("/d/"), "event_id", F.lit(".PCAP"))).otherwise("/d/x.csv")
+    rows = e.select(F.col("user_id").alias("session_id"), F.col("event_id").alias("chunk_index"), (F.col("event_id") % 3).cast("int").alias("returncode"), F.array(name).alias("produced_files"))
+    return manifest.taken(rows, keys=["session_id"]).drop("produced_files")
+
+
+@query("""WITH f AS (SELECT event_id, event_id % 2 = 0 AS g, event_id % 3 <> 0 AS p, event_id % 5 <> 0 AS s, event_id % 7 <> 0 AS c, event_id % 11 <> 0 AS b, value <= 60 AS a, value FROM events)
+SELECT event_id, g AS gps_time_ready, p AND s AND a AS pi_time_broadcast_ready, c AND b AND p AND s AS background_services_ready, 'eth' || (event_id % 4) AS iface, CASE WHEN p THEN 'active' ELSE 'failed' END AS ptp4l_state, p AS ptp4l_active, b AS bridge_active,
+  CASE WHEN g THEN 'PPS' ELSE 'pool' END AS selected, g AS restart_allowed, round(value / 100, 6) AS delta_s, CASE WHEN g AND p AND s AND a THEN 'You can start a PTP capture session.' WHEN NOT g THEN 'Move outside for sky view and wait for GPS time to lock before starting capture.' WHEN NOT s THEN 'Use the Fix Time Broadcast button once GPS time is ready.'
+    WHEN NOT a THEN 'Use the Fix Time Broadcast button to restart the broadcast after GPS time is ready.' WHEN NOT (c AND b AND p AND s) THEN 'Check the service details below and restart the missing service.' ELSE 'Refresh timing status after a few seconds.' END AS recommended_action FROM f""")
+def status_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """The nested document of each event, read back from its text."""
+    i, v = F.col("event_id"), F.col("value")
+    state = lambda n: F.when(i % n != 0, " active\n").otherwise("failed")
+    rows = table(spark, sf, "events").select("event_id", "value", state(3).alias("ptp4l"), state(5).alias("phc2sys"), state(7).alias("chrony"), state(11).alias("bridge"))
+    source = F.when(i % 2 == 0, "PPS").otherwise("pool")
+    clock = rows.select("event_id", (i % 2 == 0).alias("ready"), source.alias("selected_source"), F.lit("GPS:+").alias("local_states"), F.concat(F.lit("follows "), source).alias("summary"))
+    phc = F.struct((v <= 60).alias("ready"), F.round(v / 100, 6).alias("delta_s"), F.when(v <= 30, "aligned").alias("summary"))
+    out = status.status_document(rows, iface=F.concat(F.lit("eth"), (i % 4).cast("string")), at=F.lit("2026-03-17T09:40:22+00:00"), chrony=clock, phc=phc, keys=["event_id"])
+    read = lambda path, kind="string": F.get_json_object("document", f"$.{path}").cast(kind)
+    return out.select(
+        "event_id", *[read(n, "boolean").alias(n) for n in ("gps_time_ready", "pi_time_broadcast_ready", "background_services_ready")], read("iface").alias("iface"), read("services.ptp4l.state").alias("ptp4l_state"),
+        read("services.ptp4l.active", "boolean").alias("ptp4l_active"), read("services.bridge.active", "boolean").alias("bridge_active"), read("chrony.evaluation.selected_source").alias("selected"),
+        read("actions.restart_phc2sys_allowed", "boolean").alias("restart_allowed"), read("phc_alignment.delta_s", "double").alias("delta_s"), read("recommended_action").alias("recommended_action"),
+    )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions import nmea
-from ..operators.logs import FLAGS, PHASES, after, chunk_of
+from ..operators.logs import FIX_LINE, FLAGS, PHASES, after, chunk_of
 
 
 def _ddl(df: DataFrame, names: Sequence[str]) -> str:
@@ -106,6 +106,27 @@ def log_states(df: DataFrame, *, keys: Sequence[str], order: str = "ord", text:
     return carry(marked, names, keys=keys, order=order).fillna(False, subset=list(FLAGS))
 
 
+def surfaced(df: DataFrame, *, keys: Sequence[str], order: str = "ord", text: str = "text") -> DataFrame:
+    """The streaming form of :func:`logs.surfaced`: all lines but fix lines, and of those the first in each context; the state is two chunk numbers."""
+    rows = df.withColumns({"_chunk": chunk_of(F.col(text)).cast("string"), "_fix": F.coalesce(F.col(text).contains(FIX_LINE), F.lit(False))})
+
+    def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        chunk, seen = state.get if state.exists else ("-1", None)
+        lines = sorted((line for b in batches for line in zip(b[order].tolist(), b["_chunk"].tolist(), b["_fix"].tolist(), b["_row"].tolist(), strict=True)), key=lambda x: x[0])
+        kept = []
+        for _, c, fix, row in lines:
+            chunk = c if isinstance(c, str) else chunk
+            if not fix or seen != chunk:
+                kept.append(row)
+            seen = chunk if fix else seen
+        state.update((chunk, seen))
+        yield pd.DataFrame({"_row": kept}, dtype=object)
+
+    packed = rows.select(*keys, order, "_chunk", "_fix", F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("_row"))
+    shown = packed.groupBy(*keys).applyInPandasWithState(run, "_row string", "chunk string, seen string", "append", GroupStateTimeout.NoTimeout)
+    return shown.select(F.from_json("_row", df.schema).alias("r")).select("r.*")
+
+
 def tumble(df: DataFrame, time: str, width: str, *, keys: Sequence[str] = (), late: str | None = None) -> DataFrame:
     """Rows, first and last time of each fixed window; with ``late`` a stream's windows close after that delay."""
     rows = df.withWatermark(time, late) if late else df
