@@ -112,7 +112,7 @@ def test_packer_round_trip(seed, monkeypatch):
         p.add(i, ids)
     p.pack(last=True)
     parts, windows = collections.defaultdict(list), collections.defaultdict(list)
-    for doc, start, n, crc, total, seq, at, size, _ in zip(*p.out, strict=True):
+    for doc, start, n, crc, total, seq, at, size, *_ in zip(*p.out, strict=True):
         parts[doc].append((start, n))
         windows[seq].append((at, n, size))
         assert total == len(docs[doc]) and crc == packing.zlib.crc32(docs[doc][start : start + n].tobytes())

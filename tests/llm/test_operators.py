@@ -179,6 +179,24 @@ def test_packing(spark, corpus):
     assert packing.pack(docs.limit(0)).count() == 0
 
 
+def test_step_groups_are_balanced_over_partitions(spark, monkeypatch):
+    rng = random.Random(8)
+    rows = [(k, prose(rng, rng.choice((3, 40, 200, 900, 3000)))) for k in range(160)]
+    packed = packing.pack(table(spark, rows, 5)).collect()
+    windows = {r.sequence_id: (r.sequence_length, r.step_group) for r in packed}
+    assert all(len({r.step_group for r in packed if r.sequence_id == s}) == 1 for s in list(windows)[:40])
+    tokens, tiers = collections.Counter(), collections.Counter()
+    for size, g in windows.values():
+        tokens[g] += size
+        tiers[g, size] += 1
+    total = sum(tokens.values())
+    assert set(tokens) == set(range(-(-total // packing.STEP_TOKENS))) and len(tokens) > 3
+    assert max(tokens.values()) - min(tokens.values()) <= packing.WINDOW
+    for size in {s for s, _ in windows.values()}:
+        n = [tiers[g, size] for g in tokens]
+        assert max(n) - min(n) <= 1
+
+
 def test_substring_dedup(spark, corpus):
     docs = table(spark, corpus)
     got = {r.doc_id: r for r in cdc_dedup.report(docs).collect()}

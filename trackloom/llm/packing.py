@@ -7,12 +7,14 @@ it.  Tiers are packed from the longest down: the gap behind a lead is filled
 with whole documents of shorter tiers and closed exactly with a piece cut from
 one.  What is left over at the end of a partition is streamed into the longest
 windows, and the last few ids into windows of decreasing powers of two, so that
-no window is padded.  Windows of one tier are dealt into step groups of equal
-token count.
+no window is padded.
 
 Each input partition is packed on its own: no shuffle, bounded buffers, and a
 lost task repeats only itself.  Window ids are the partition's number and a
-counter.
+counter.  Then all windows, the longest first, are dealt in turn to the step groups, of
+which there are as many as STEP_TOKENS goes into all ids: each group gets its share of
+every tier, and no two groups differ by more than the longest window.  A window's
+place in that order follows from counts for each partition and tier.
 
 Edge cases: a null or empty text is the end id alone; a text longer than a
 window is cut; repeated rows are packed as often as they occur; extra columns
@@ -27,9 +29,10 @@ from collections import deque
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
-from .store import small_batches
+from .store import settle, small_batches
 from .tokens import Encoder
 
 WINDOW = 4096
@@ -39,34 +42,30 @@ STEP_TOKENS = 32768
 BUFFER = 2_000_000
 END_ID = 2
 
-SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, sequence_length long, step_group long"
+#: Pieces as packed: ``part`` is the partition, ``nth`` counts its windows of one length.
+SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, sequence_length long, part long, nth long"
 
 
 class Packer:
     """Packs one partition; ``out`` gathers rows in the order of SCHEMA."""
 
     def __init__(self, partition: int) -> None:
-        self.base = partition << 33
+        self.part, self.base = partition, partition << 33
         self.n = 0
         self.pools: dict[int, deque] = {t: deque() for t in TIERS}
         self.held = 0
-        self.steps: dict[int, int] = {}
-        self.groups = 0
-        self.group_of: dict[int, int] = {}
-        self.out: list[list] = [[] for _ in range(9)]
+        self.closed: dict[int, int] = {}
+        self.out: list[list] = [[] for _ in range(10)]
 
     def _close(self, pieces: list, length: int) -> None:
         """Emits one full window made of (doc_id, ids, start, length) pieces."""
         seq = self.base + self.n
         self.n += 1
-        used = self.steps.get(length, 0)
-        if used == 0 or used + length > STEP_TOKENS:
-            self.group_of[length], used = self.base + self.groups, 0
-            self.groups += 1
-        self.steps[length] = used + length
+        nth = self.closed.get(length, 0)
+        self.closed[length] = nth + 1
         at = 0
         for doc, ids, start, size in pieces:
-            row = (doc, start, size, zlib.crc32(ids[start : start + size]), len(ids), seq, at, length, self.group_of[length])
+            row = (doc, start, size, zlib.crc32(ids[start : start + size]), len(ids), seq, at, length, self.part, nth)
             for col, v in zip(self.out, row, strict=True):
                 col.append(v)
             at += size
@@ -139,11 +138,26 @@ class Packer:
             self.held += n
 
     def batch(self) -> pa.RecordBatch:
-        rows, self.out = self.out, [[] for _ in range(9)]
+        rows, self.out = self.out, [[] for _ in range(10)]
         names = [f.strip().split()[0] for f in SCHEMA.split(",")]
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in rows], names)
 
 
+def step_groups(packed: DataFrame, step_tokens: int = STEP_TOKENS) -> DataFrame:
+    """``packed`` pieces with ``step_group`` instead of ``part`` and ``nth``."""
+    windows = packed.where("offset = 0").groupBy("sequence_length", "part").agg(F.count("*").alias("n"))
+    totals = windows.groupBy("sequence_length").agg(F.sum("n").alias("n")).orderBy(F.desc("sequence_length")).collect()  # one row a length: powers of two and tiers
+    groups = max(1, -(-sum(r["sequence_length"] * r["n"] for r in totals) // step_tokens))
+    longer, first = 0, F.lit(0).cast("long")
+    for r in totals:
+        first = F.when(F.col("sequence_length") == r["sequence_length"], F.lit(longer).cast("long")).otherwise(first)
+        longer += r["n"]
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("sequence_length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    places = windows.select("sequence_length", "part", (first + before).alias("before"))  # a row for each partition and length
+    dealt = packed.join(places, ["sequence_length", "part"]).withColumn("step_group", F.pmod(F.col("before") + F.col("nth"), F.lit(groups)).cast("long"))
+    return dealt.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "sequence_length", "step_group")
+
+
 def pack(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     """One row per piece of a document: where it starts, how long it is, its window and its place there.
 
@@ -165,4 +179,4 @@ def pack(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
         packer.pack(last=True)
         yield packer.batch()
 
-    return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
+    return step_groups(settle(docs.select("doc_id", "text").mapInArrow(run, SCHEMA)))
