@@ -1,6 +1,6 @@
 """Connected components of an edge table, by alternating large-star and small-star steps.
 
-Only counts reach the driver.  Every round's edges become a table in the shared
+Only counts reach the driver.  The edges of a node with very many are dealt over several tasks.  Every round's edges become a table in the shared
 folder, so that lineage stays short and a lost executor repeats one round.
 """
 
@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import settle
+from .store import join_dealt, settle
 
 
 def _both(edges: DataFrame) -> DataFrame:
@@ -30,13 +30,13 @@ def components(edges: DataFrame) -> DataFrame:
             break
         before = state
         both = _both(now)
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("m").alias("u"), "v").where("u <> v")
+        low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count("*").alias("n"))
+        large = join_dealt(both, low, "u", "v").where("v > u").select(F.col("m").alias("u"), "v").where("u <> v")
         # Small star: every node's smaller neighbours, and itself, hang on the smallest of them.
-        down = large.distinct().select(F.col("v").alias("n"), F.col("u").alias("w"))
-        least = down.groupBy("n").agg(F.min("w").alias("m"))
-        small = down.join(least, "n").where("w <> m").select(F.col("m").alias("u"), F.col("w").alias("v"))
-        now = settle(small.unionByName(least.select(F.col("m").alias("u"), F.col("n").alias("v"))).distinct())
+        down = settle(large.select(F.col("v").alias("x"), F.col("u").alias("w")).distinct(), now)
+        least = down.groupBy("x").agg(F.min("w").alias("m"), F.count("*").alias("n"))
+        small = join_dealt(down, least, "x", "w").where("w <> m").select(F.col("m").alias("u"), F.col("w").alias("v"))
+        now = settle(small.unionByName(least.select(F.col("m").alias("u"), F.col("x").alias("v"))).distinct(), down)
     leaves = now.select(F.col("v").alias("node"), F.col("u").alias("component"))
     roots = now.select(F.col("u").alias("node"), F.col("u").alias("component")).distinct()
     return leaves.unionByName(roots)

@@ -220,7 +220,10 @@ def verified(pairs: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
     texts = _texts(docs, pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct())
     a = texts.select(F.col("id").alias("u"), F.col("text").alias("ta"))
     b = texts.select(F.col("id").alias("v"), F.col("text").alias("tb"))
-    return pairs.join(a, "u").join(b, "v").select("u", "v", "ta", "tb").mapInArrow(run, "u long, v long").distinct()
+    # A bucket's head is in as many pairs as the bucket has members: its pairs are dealt over several tasks.
+    heads = pairs.groupBy("u").agg(F.count("*").alias("n"))
+    a = a.join(F.broadcast(heads) if heads.count() <= FEW else heads, "u")
+    return join_dealt(pairs, a, "u", "v").join(b, "v").select("u", "v", "ta", "tb").mapInArrow(run, "u long, v long").distinct()
 
 
 def sketches(texts: DataFrame) -> DataFrame:
@@ -281,8 +284,8 @@ def _met(inside: DataFrame, signed: DataFrame, docs: DataFrame, threshold: float
 def classes(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     """(doc_id, class_id) for every row of ``docs``: class_id is the smallest doc_id linked to it, directly or not."""
     signed = settle(signatures(docs))
-    groups = settle(signed.where("weight > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep")))
-    members = signed.where("weight > 0").select("doc_id", "d1", "d2").join(groups, ["d1", "d2"]).select("doc_id", "rep")
+    groups = settle(signed.where("weight > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")))
+    members = join_dealt(signed.where("weight > 0").select("doc_id", "d1", "d2"), groups, ["d1", "d2"], "doc_id").select("doc_id", "rep")
     reps = signed.join(groups.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").where("weight > 0")
     rows = settle(reps.select(F.col("doc_id").alias("id"), F.explode("bands").alias("b")))
     heads = settle(rows.groupBy("b").agg(F.min("id").alias("head"), F.count("*").alias("n")).where("n > 1"))
@@ -293,7 +296,9 @@ def classes(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
 
     # Members in another class than their bucket's head: each is held against the members of other classes.
     label = lambda df, c, to: df.join(of.select(F.col("node").alias(c), F.col("component").alias(to)), c, "left").withColumn(to, F.coalesce(to, c))
-    placed = settle(label(label(full, "id", "c"), "head", "hc"))
+    # Heads are labelled bucket by bucket, and brought to the members by the bucket, as hot heads are in many rows.
+    named = label(heads.select("b", "head", "n"), "head", "hc")
+    placed = settle(join_dealt(label(full.select("b", "id"), "id", "c"), named, "b", "id"))
     mixed = placed.where("c <> hc").groupBy("b").agg(F.count("*").alias("outside"))
     mixed = settle(mixed.join(heads.select("b", "n"), "b"))
     inside = settle(join_dealt(placed.where("id <> head"), mixed, "b", "id").select("b", "id", "c", (F.col("c") != F.col("hc")).alias("far"), "outside"))
