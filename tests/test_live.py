@@ -292,10 +292,10 @@ def test_quantiles_by_narrowing(spark):
 def test_live_headings_equal_those_of_the_whole_track(timers, tmp_path):
     rng = random.Random(9)
     xy = [(0.0, 0.0), (0.0, 0.0), (0.0, 0.0), (1.0, 0.0), (2.0, 1.0), (2.0, 1.0), (2.0, 1.0)] + [(rng.uniform(0, 9), rng.uniform(0, 9)) for _ in range(8)]
-    rows = [(k, i * S, i, *p, f"r{i}") for k in (1, 2) for i, p in enumerate(xy)] + [(3, 2 * S, 0, 5.0, 5.0, "alone")]
+    rows = [(k, (100 + i) * S, i, *p, f"r{i}") for k in (1, 2) for i, p in enumerate(xy)] + [(3, 102 * S, 0, 5.0, 5.0, "alone")]
     schema = "session_id long, t_ns long, ord long, easting double, northing double, note string"
-    batches = [[r for r in rows if lo <= r[1] < hi * S and r[1] >= lo * S] for lo, hi in ((0, 3), (3, 4), (4, 11), (11, 99))]
-    batches += [[(9, t * S, 0, 0.0, 0.0, "end")] for t in (50, 100, 150)]
+    batches = [[r for r in rows if lo * S <= r[1] < hi * S] for lo, hi in ((0, 103), (103, 104), (104, 111), (111, 199))]
+    batches += [[(9, t * S, 0, 0.0, 0.0, "end")] for t in (150, 200, 250)]
     live = drain(tangent.headings(stream(timers, tmp_path, batches, schema), idle_s=12, fallback_rad=0.25), "turned").where("note <> 'end'").collect()
     want = {(r.session_id, r.ord): r.heading_rad for r in track.heading(timers.createDataFrame(rows, schema), keys=["session_id"], order=["t_ns", "ord"], fallback_rad=0.25).collect()}
     got = {(r.session_id, r.ord): r.heading_rad for r in live}
