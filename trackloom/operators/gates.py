@@ -13,6 +13,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..store import checkpointed
 from .manifest import session_rollup
 
 class Gate(NamedTuple):
@@ -41,6 +42,7 @@ def ordered_gates(polls: DataFrame, gates: Sequence[Gate], *, keys: Sequence[str
     ``polls`` has a row for each poll of a gate.  ``state`` is ready, aborted or waiting; ``until`` is the time up to
     which a session was watched (without it, its end: every deadline has passed).  Gates that are not required count
     as open at once; polls without a key or a time are left out.  Each gate's polls are read once and pre-aggregated: a session is never one task's group.
+    Polls stream past hashed rows of one a session; none of the joins sorts them.
     """
     polls = polls.dropna(subset=[*keys, time])
     out = polls.groupBy(*keys).agg(F.min(time).alias("started"), *([until.alias("_until")] if until is not None else []))
@@ -58,8 +60,8 @@ def ordered_gates(polls: DataFrame, gates: Sequence[Gate], *, keys: Sequence[str
         inside = F.col("_t") >= F.col("_since")
         if g.timeout_ns is not None:
             inside = inside & (F.col("_t") - F.col("_since") <= g.timeout_ns)
-        opened = mine.join(since, list(keys)).where(inside).groupBy(*keys).agg(F.min("_t").alias(name))
-        out = out.join(opened, list(keys), "left")
+        opened = mine.join(since.hint("shuffle_hash"), list(keys)).where(inside).groupBy(*keys).agg(F.min("_t").alias(name))
+        out = out.join(opened.hint("shuffle_hash"), list(keys), "left")
         closed = at.isNotNull() & F.col(name).isNull()
         if g.timeout_ns is not None:
             deadline = at + g.timeout_ns
@@ -80,10 +82,11 @@ def abort_manifests(judged: DataFrame, gates: Sequence[Gate], fixes: DataFrame,
 
     A session stopped by a stage of ``discard`` leaves no manifest.
     """
-    stopped = judged.where((F.col("state") == "aborted") & ~F.col("failed_stage").isin(list(discard)))
+    stopped = checkpointed(judged.where((F.col("state") == "aborted") & ~F.col("failed_stage").isin(list(discard))))  # it is read twice
     until = stopped.select(*keys, F.col("ended").alias("_ended"))
-    logged = fixes.join(until, list(keys)).where(F.col(time) <= F.col("_ended"))
-    rows = stopped.join(session_rollup(logged.withColumnRenamed(time, "t_ns"), keys=keys, order=order), list(keys), "left")
+    logged = fixes.join(until.hint("shuffle_hash"), list(keys)).where(F.col(time) <= F.col("_ended"))
+    rollup = session_rollup(logged.withColumnRenamed(time, "t_ns"), keys=keys, order=order)
+    rows = stopped.join(rollup.hint("shuffle_hash"), list(keys), "left")
     return rows.select(
         *keys, F.concat(F.lit("aborted_no_"), "failed_stage").alias("capture_mode"), "failed_stage", F.col("started").alias("run_start_ns"), F.col("ended").alias("run_end_ns"),
         F.coalesce("rows_written", F.lit(0).cast("long")).alias("gps_rows_written"), F.col("first_fix_time_ns").alias("gps_first_fix_time_ns"), F.col("latest_fix_time_ns").alias("gps_latest_fix_time_ns"),
