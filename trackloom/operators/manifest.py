@@ -31,17 +31,22 @@ def manifest_paths(manifests: DataFrame, kind: str, *, keys: Sequence[str]) -> D
     """(keys, position, path): distinct paths of a manifest's chunks, by chunk index, then path.
 
     ``kind``: 'raw' or 'csv'.  A CSV manifest without chunk paths falls back to the path at its top.
+    ``keys`` tell manifests apart: each is listed within its own row, without a shuffle or a sort of paths.
     """
     ok = is_raw if kind == "raw" else is_csv
     named = "lidar_pcap_path" if kind == "raw" else "lidar_csv_path"
-    chunks = manifests.select(*keys, F.explode("chunks").alias("c"))
-    listed = F.concat(F.coalesce("c.produced_files", F.array().cast("array<string>")), F.array(F.col(f"c.{named}"), F.col("c.requested_output_path")))
-    rows = chunks.select(*keys, F.coalesce("c.chunk_index", F.lit(NO_INDEX)).alias("i"), F.explode(listed).alias("path")).where(F.col("path").isNotNull() & ok(F.col("path")))
+
+    def listed(c: Column) -> Column:
+        index = F.coalesce(c["chunk_index"], F.lit(NO_INDEX)).alias("i")
+        files = F.concat(F.coalesce(c["produced_files"], F.array().cast("array<string>")), F.array(c[named], c["requested_output_path"]))
+        return F.transform(F.filter(files, lambda p: p.isNotNull() & ok(p)), lambda p: F.struct(index, p.alias("path")))
+
+    # By index, then path; of a path that comes again the first one stays, which is the one of its least index.
+    paths = F.array_distinct(F.transform(F.array_sort(F.flatten(F.transform("chunks", listed))), lambda x: x["path"]))
     if kind == "csv":
-        top = manifests.where(F.col("lidar_csv_path").isNotNull()).select(*keys, F.lit(NO_INDEX).alias("i"), F.col("lidar_csv_path").alias("path"))
-        rows = rows.unionByName(top.join(rows.select(*keys).distinct(), list(keys), "left_anti"))
-    rows = distinct_in_order(rows, "path", keys=keys, order=["i"])
-    return rows.select(*keys, F.row_number().over(Window.partitionBy(*keys).orderBy("i", "path")).alias("position"), "path")
+        paths = F.coalesce(paths, F.array().cast("array<string>"))
+        paths = F.when((F.size(paths) == 0) & F.col("lidar_csv_path").isNotNull(), F.array("lidar_csv_path")).otherwise(paths)
+    return manifests.select(*keys, F.posexplode(paths).alias("_at", "path")).select(*keys, (F.col("_at") + 1).alias("position"), "path")
 
 
 def session_paths(paths: DataFrame, session: str) -> DataFrame:
