@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from . import quantiles
+from . import quantiles, track
 
 #: Largest median and 95th percentile of the residuals, in metres, that are accepted.
 MEDIAN_MAX_M, P95_MAX_M = 5.0, 10.0
@@ -22,21 +22,23 @@ def alignment(df: DataFrame, *, ref: Sequence[str], est: Sequence[str], keys: Se
     if not keys:
         return alignment(df.withColumn("_all", F.lit(0)), ref=ref, est=est, keys=["_all"], order=order).drop("_all")
     (rx, ry), (ex, ey) = ref, est
-    w = Window.partitionBy(*keys).orderBy(*order)
-    step = lambda x, y: F.hypot(F.col(x) - F.lag(x).over(w), F.col(y) - F.lag(y).over(w))
-    rows = df.withColumns({"_r": F.hypot(F.col(ex) - F.col(rx), F.col(ey) - F.col(ry)), "_rs": step(rx, ry), "_es": step(ex, ey)})
+    rows = df.withColumn("_r", F.hypot(F.col(ex) - F.col(rx), F.col(ey) - F.col(ry)))
     span = lambda c: F.max(c) - F.min(c)
     middle = {"xy_median_m": 0.5, "xy_p95_m": 0.95}
-    values = (
-        F.count("*"), F.avg("_r"), F.sqrt(F.avg(F.col("_r") * F.col("_r"))), *[F.percentile("_r", q) for q in middle.values()], F.max("_r"),
-        F.coalesce(F.sum("_rs"), F.lit(0.0)), F.coalesce(F.sum("_es"), F.lit(0.0)), span(rx), span(ry), span(ex), span(ey),
-    )
-    made = {n: v.alias(n) for n, v in zip(XY_METRICS, values, strict=True)}
+    paths = {"reference_path_length_m": (rx, ry), "estimated_path_length_m": (ex, ey)}
+    names = [n for n in XY_METRICS if n not in paths]
+    values = (F.count("*"), F.avg("_r"), F.sqrt(F.avg(F.col("_r") * F.col("_r"))), *[F.percentile("_r", q) for q in middle.values()], F.max("_r"), span(rx), span(ry), span(ex), span(ey))
+    made = {n: v.alias(n) for n, v in zip(names, values, strict=True)}
     if df.groupBy(*keys).count().where(F.col("count") > quantiles.SMALL).isEmpty():
-        return rows.groupBy(*keys).agg(*made.values())
-    rest = rows.groupBy(*keys).agg(*[v for n, v in made.items() if n not in middle])
-    exact = quantiles.exact(df.select(*keys, F.hypot(F.col(ex) - F.col(rx), F.col(ey) - F.col(ry)).alias("_r")), "_r", middle, keys=keys)
-    return rest.join(exact, list(keys), "left").select(*keys, *XY_METRICS)
+        out = rows.groupBy(*keys).agg(*made.values())
+    else:
+        out = rows.groupBy(*keys).agg(*[v for n, v in made.items() if n not in middle])
+        out = out.join(quantiles.exact(rows.select(*keys, "_r"), "_r", middle, keys=keys), list(keys), "left")
+    # Few rows, one a key; the rows themselves are never gathered by key.
+    lengths = track.path_lengths(df, paths, keys=keys, order=order)
+    lengths = lengths.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], *paths)
+    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    return out.join(lengths, same, "left").select(*keys, *XY_METRICS)
 
 
 def passes(median: str = "xy_median_m", p95: str = "xy_p95_m") -> Column:

@@ -20,6 +20,7 @@ def in_parts(df: DataFrame, *, keys: Sequence[str], order: str, part: str, rows:
     width = F.expr(f"greatest(1L, (_hi - _lo) div (_n div {rows}) + 1)")
     long = sizes.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_lo", width.alias("_width"))  # one row for every ``rows`` rows at most
     same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+    long = F.broadcast(long) if rows >= PART else long
     return df.join(long, same, "left").withColumn(part, F.coalesce(F.expr(f"(`{order}` - _lo) div _width"), F.lit(0)).cast("long")).select(*df.columns, part)
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..schema import finite, require_columns
 from .folds import fold
+from .running import PART, in_parts
 
 XY = ("easting", "northing")
 
@@ -104,9 +105,32 @@ def heading(df: DataFrame, *, keys: Sequence[str], order: Sequence[str], fallbac
 
 def path_length(df: DataFrame, *, keys: Sequence[str], order: Sequence[str], x: str = "easting", y: str = "northing", name: str = "path_length_m") -> DataFrame:
     """Length of the polyline per key; 0 for fewer than two samples."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    step = F.hypot(F.col(x) - F.lag(x).over(w), F.col(y) - F.lag(y).over(w))
-    return df.select(*keys, step.alias("_s")).groupBy(*keys).agg(F.coalesce(F.sum("_s"), F.lit(0.0)).alias(name))
+    return path_lengths(df, {name: (x, y)}, keys=keys, order=order)
+
+
+def path_lengths(df: DataFrame, paths: dict[str, tuple[str, str]], *, keys: Sequence[str], order: Sequence[str], rows: int = PART) -> DataFrame:
+    """Lengths of several polylines over the same samples, one row per key; equal places in ``order`` go by coordinates.
+
+    Keys of more than ``rows`` samples are cut into parts of the order's first column, if it is a whole number: steps
+    are summed within parts, and the steps between parts lead from one's last sample to the next one's first.
+    """
+    if not keys:
+        return path_lengths(df.withColumn("_all", F.lit(0)), paths, keys=["_all"], order=order, rows=rows).drop("_all")
+    whole = dict(df.dtypes)[order[0]] in ("tinyint", "smallint", "int", "bigint")
+    coords = list(dict.fromkeys(c for xy in paths.values() for c in xy))
+    full = list(dict.fromkeys([*order, *coords]))
+    lean = df.select(*dict.fromkeys([*keys, *full]))
+    cut = in_parts(lean, keys=keys, order=order[0], part="_part", rows=rows) if whole else lean.withColumn("_part", F.lit(0).cast("long"))
+    w = Window.partitionBy(*keys, "_part").orderBy(*full)
+    step = lambda x, y: F.hypot(F.col(x) - F.lag(x).over(w), F.col(y) - F.lag(y).over(w))
+    stepped = cut.withColumns({f"_s{i}": step(*xy) for i, xy in enumerate(paths.values())})
+    ends = F.struct(*full)
+    parts = stepped.groupBy(*keys, "_part").agg(*[F.sum(f"_s{i}").alias(f"_s{i}") for i in range(len(paths))], F.min(ends).alias("_first"), F.max(ends).alias("_last"))
+    before = F.lag("_last").over(Window.partitionBy(*keys).orderBy("_part"))  # one row a part
+    parts = parts.withColumn("_before", before)
+    between = lambda x, y: F.hypot(F.col("_first")[x] - F.col("_before")[x], F.col("_first")[y] - F.col("_before")[y])
+    zero = F.lit(0.0)
+    return parts.groupBy(*keys).agg(*[F.sum(F.coalesce(F.col(f"_s{i}"), zero) + F.coalesce(between(*xy), zero)).alias(n) for i, (n, xy) in enumerate(paths.items())])
 
 
 def middle(df: DataFrame, *, keys: Sequence[str], order: Sequence[str], time: str = "t_ns") -> DataFrame:

@@ -17,6 +17,7 @@ from ..functions import nmea, text
 from ..operators import asof, geometry, logs, manifest, metrics, scan, status, timealign, track
 from ..schema import finite
 from ..sources import sidecars
+from ..store import checkpointed
 from ..streaming import tumble
 from . import jobs
 
@@ -246,6 +247,7 @@ SELECT l_returnflag, count(*) AS samples, round(avg(d), 5) AS xy_mean_m, round(s
 def alignment_metrics(spark: SparkSession, sf: str) -> DataFrame:
     lines = _matched_lines(spark, sf)
     fit = geometry.rigid_fit(lines, src=("sx", "sy"), dst=("dx", "dy"), min_motion_m=1.0, keys=["l_returnflag"])
+    fit = F.broadcast(checkpointed(fit))  # three flags; the metrics read it in each of their passes
     moved = geometry.apply_rigid(lines.withColumns({"ex": F.col("sx"), "ey": F.col("sy")}), fit, x="ex", y="ey", keys=["l_returnflag"])
     # Both coordinates move at once, so the second reads the first as it was.
     m = metrics.alignment(moved, ref=("dx", "dy"), est=("ex", "ey"), keys=["l_returnflag"], order=["l_orderkey", "l_linenumber", "l_partkey", "dx", "sx", "sy", "dy"])
