@@ -181,14 +181,16 @@ def redact(docs: DataFrame) -> DataFrame:
 
     The ledger's findings come back by content address, so copies are scanned once.
     """
-    found = extend(docs, _new_ledger(docs.sparkSession)).where(F.size("findings") > 0).dropDuplicates(["blob"])
+    found = settle(extend(docs, _new_ledger(docs.sparkSession)).where(F.size("findings") > 0).dropDuplicates(["blob"]))
     name, key, addr = free_name(docs, "findings"), free_name(docs, "b"), free_name(docs, "blob")
-    # Rows with secrets are few: their addresses meet the texts in a join whose small side Spark measures at run time.
-    joined = docs.withColumn(addr, F.sha2(F.coalesce("text", F.lit("")), 256)).join(
-        found.select(F.col("blob").alias(key), F.col("findings").alias(name)), F.col(addr) == F.col(key), "left"
-    )
-    hit = joined.where(F.col(name).isNotNull()).withColumn("text", _redacted("text", name))
-    out = joined.where(F.col(name).isNull()).unionByName(hit)
+    spans = found.select(F.col("blob").alias(key), F.col("findings").alias(name))
+    # Blobs with secrets are few, so that texts mostly stay where they are; beyond that they are shuffled once.
+    if found.agg(F.coalesce(F.sum(F.size("findings") + 1), F.lit(0))).first()[0] <= FEW:
+        spans = F.broadcast(spans)
+    joined = docs.withColumn(addr, F.sha2(F.coalesce("text", F.lit("")), 256)).join(spans, F.col(addr) == F.col(key), "left")
+    hit = F.col(name).isNotNull()
+    # Python gets the texts that have findings.
+    out = joined.withColumn("text", F.when(hit, _redacted(F.when(hit, F.col("text")), F.col(name))).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col(name).isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+        out = out.withColumn("n_chars", F.when(hit, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return out.select(*docs.columns)
