@@ -41,7 +41,7 @@ _K = 20
 _W = SPAN - _K + 1
 _TABLE = kit.mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 #: Bytes of lanes, about, that are sorted in step.
-SORTED_BYTES = 2 << 20
+SORTED_BYTES = 4 << 20
 #: Positions of a name's first places (a power of two) that share a lane, and occurrences of a name in an unsalted one.
 REGION, LANE = 9, 4096
 #: A name with more than one in HOT of all occurrences is dealt over several keys of the join.
@@ -56,6 +56,22 @@ _DEAL = 31
 MOST = (1 << _S) - 1
 
 
+def _fresh(x: np.ndarray) -> np.ndarray:
+    """Whether each value differs from the one before it; the first does."""
+    out = np.empty(len(x), bool)
+    out[:1] = True
+    np.not_equal(x[1:], x[:-1], out=out[1:])
+    return out
+
+
+def _gaps(first: np.ndarray, n: int) -> np.ndarray:
+    """Lengths of the runs that start at ``first``, up to ``n``."""
+    out = np.empty_like(first)
+    np.subtract(first[1:], first[:-1], out=out[:-1])
+    out[-1:] = n - first[-1:]
+    return out
+
+
 def suffix_arrays(text: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Suffix arrays of many texts by linear grouping, in step: positions in ``text``, one text after the other.
 
@@ -80,8 +96,10 @@ def suffix_arrays(text: np.ndarray, ends: np.ndarray) -> np.ndarray:
     real[base] = False
     symbol[real] = text + 1
     key = lane * (int(symbol.max(initial=0)) + 1) + symbol
+    del symbol
     order = np.argsort(key, kind="stable")
     new = np.concatenate([[True], np.diff(key[order]) != 0])
+    del key
     starts = np.flatnonzero(new)
     group = np.empty(n, np.int64)  # where a suffix's group starts in ``order``
     group[order] = starts[np.cumsum(new) - 1]
@@ -96,11 +114,11 @@ def suffix_arrays(text: np.ndarray, ends: np.ndarray) -> np.ndarray:
     while len(end):
         start = group.take(order.take(end - 1))
         count = end - start
-        at = np.repeat(start - np.cumsum(count) + count, count) + np.arange(count.sum())
-        i = order.take(at)
-        bar = np.repeat(start, count)
+        upto = count.cumsum()
+        i = order.take((start - upto + count).repeat(count) + np.arange(upto[-1]))
+        bar = start.repeat(count)
         p = i - 1
-        todo = np.flatnonzero(group.take(p) >= bar)
+        todo = (group.take(p) >= bar).nonzero()[0]
         while len(todo):
             to = prev.take(p.take(todo))
             p[todo] = to
@@ -109,20 +127,20 @@ def suffix_arrays(text: np.ndarray, ends: np.ndarray) -> np.ndarray:
         p = p[real.take(p)]
         p.sort()
         if len(p):
-            edge = np.flatnonzero(np.concatenate([[True], p[1:] != p[:-1]]))
-            u, times = p.take(edge), np.diff(np.append(edge, len(p)))
+            edge = _fresh(p).nonzero()[0]
+            u, times = p.take(edge), _gaps(edge, len(p))
             g = group.take(u)
-            by = np.argsort((g << 32) + times)
+            by = ((g << 32) + times).argsort()
             u, times, g = u.take(by), times.take(by), g.take(by)
-            fresh = np.concatenate([[True], g[1:] != g[:-1]])
-            seg = np.flatnonzero(fresh)
-            of = np.cumsum(fresh) - 1
-            here = np.diff(np.append(seg, len(u)))
+            fresh = _fresh(g)
+            seg = fresh.nonzero()[0]
+            of = fresh.cumsum() - 1
+            here = _gaps(seg, len(u))
             low = g.take(seg)
             keep = size.take(low) - here
             tail = low + keep  # the found suffixes of a group move to its end, the most often found last
             to = (tail - seg).take(of) + np.arange(len(u))
-            step = np.flatnonzero(fresh | np.concatenate([[True], times[1:] != times[:-1]]))
+            step = (fresh | _fresh(times)).nonzero()[0]
             had = where.take(u)
             found[u] = True
             out = order.take(to)
@@ -130,13 +148,14 @@ def suffix_arrays(text: np.ndarray, ends: np.ndarray) -> np.ndarray:
             found[u] = False
             order[gap], where[out] = out, gap
             order[to], where[u] = u, to
-            long = np.diff(np.append(step, len(u)))
-            group[u] = np.repeat(to.take(step), long)
+            long = _gaps(step, len(u))
+            group[u] = to.take(step).repeat(long)
             size[low[keep > 0]] = keep[keep > 0]
             size[to.take(step)] = long
         more = start > first
         first, end = first[more], start[more]
 
+    del size, where, found
     out = np.empty(n, np.int64)
     free, best, placed = np.arange(n), np.full(n, n), ~real
     home = group[order]  # the group that holds a place
@@ -148,31 +167,33 @@ def suffix_arrays(text: np.ndarray, ends: np.ndarray) -> np.ndarray:
         # All suffixes that stand ready at the front of the lowest open group, in order.
         to = free.take(home.take(read))
         count = to - read
-        r = np.repeat(read - np.cumsum(count) + count, count) + np.arange(count.sum())
+        upto = count.cumsum()
+        r = (read - upto + count).repeat(count) + np.arange(upto[-1])
         j = out.take(r) - 1
         reached, by = [], []
         while True:
-            go = np.flatnonzero(~placed.take(j) & (r < best.take(j)))
+            go = (~placed.take(j) & (r < best.take(j))).nonzero()[0]
             if not len(go):
                 break
             j, r = j.take(go), r.take(go)
             best[j[::-1]] = r[::-1]
-            go = np.flatnonzero(best.take(j) == r)
+            go = (best.take(j) == r).nonzero()[0]
             j, r = j.take(go), r.take(go)
             reached.append(j)
             by.append(r)
             j = prev.take(j)
         if reached:
             j, r = np.concatenate(reached), np.concatenate(by)
-            own = np.flatnonzero(best.take(j) == r)
+            own = (best.take(j) == r).nonzero()[0]
             j, r = j.take(own), r.take(own)
             g = group.take(j)
-            at = np.argsort((g << 32) + r)
+            at = ((g << 32) + r).argsort()
             j, g = j.take(at), g.take(at)
-            seg = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
-            long = np.diff(np.append(seg, len(j)))
-            out[np.repeat(free[g[seg]] - seg, long) + np.arange(len(j))] = j
-            free[g[seg]] += long
+            seg = _fresh(g).nonzero()[0]
+            long, low = _gaps(seg, len(j)), g.take(seg)
+            front = free.take(low)
+            out[(front - seg).repeat(long) + np.arange(len(j))] = j
+            free[low] = front + long
             placed[j] = True
         more = to <= last
         read, last = to[more], last[more]
