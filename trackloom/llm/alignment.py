@@ -36,6 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import kit
 from .store import join_dealt, settle, small_batches
 from .tokens import byte_symbols
 
@@ -79,15 +80,10 @@ def align(a: list[int], b: list[int], a_ends: list[int], b_ends: list[int]) -> t
 
 
 class Aligner:
-    _one: dict = {}
-
     @classmethod
     def shared(cls, byte_bpe: str | None, piece_bpe: str | None) -> Aligner:
         """One per worker process and pair of files."""
-        key = (byte_bpe, piece_bpe)
-        if key not in cls._one:
-            cls._one[key] = cls(*key)
-        return cls._one[key]
+        return kit.keep((cls, byte_bpe, piece_bpe), lambda: cls(byte_bpe, piece_bpe))
 
     def __init__(self, byte_bpe: str | None = None, piece_bpe: str | None = None) -> None:
         import tiktoken

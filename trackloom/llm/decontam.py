@@ -71,6 +71,7 @@ def _items(table: dict, k: int, h: int, words: bytes) -> set:
 
 def scan(col: pa.Array, table: dict) -> pa.Array:
     """Per text: number of words, merged word intervals inside verified windows, ids of the items found."""
+    kit.give_back()
     data, offs = kit.as_bytes(col)
     n = len(offs) - 1
     n_words = np.zeros(n, np.int64)

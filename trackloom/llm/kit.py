@@ -12,6 +12,10 @@ is hashed in segments.
 
 from __future__ import annotations
 
+import ctypes
+import gc
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 
@@ -44,6 +48,35 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _pow["p"], _pow["i"]
 
 
+#: What this worker process keeps from task to task: the tables of one operator.
+_kept: dict = {}
+
+
+def keep(key: tuple, make: Callable):
+    """The worker's tables for ``key``, made when first asked for; those of another key are given back before."""
+    if key not in _kept:
+        give_back()
+        _kept[key] = make()
+    return _kept[key]
+
+
+def give_back() -> None:
+    """Drops kept tables, and hands freed memory to the system: workers are reused by stages that have no use for them."""
+    if _kept:
+        _kept.clear()
+        gc.collect()
+        trim()
+
+
+def trim() -> None:
+    """Hands memory that this process has freed, but still holds, to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError, TypeError):  # another C library
+        pass
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (splitmix64), on a copy."""
     x = x ^ (x >> U64(30))

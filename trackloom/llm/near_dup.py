@@ -163,6 +163,7 @@ def signatures(docs: DataFrame) -> DataFrame:
     """(doc_id, weight, d1, d2, bands) for every row with an id."""
 
     def run(batches):
+        kit.give_back()
         for b in batches:
             ids, at = b.column(0), 0
             for total, d1, d2, bands in _sign(b.column(1)):
@@ -170,6 +171,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * BANDS, pa.int32()), pa.array(bands.reshape(-1)))
                 yield pa.RecordBatch.from_arrays([ids.slice(at, n), pa.array(total), pa.array(d1), pa.array(d2), lists], ["doc_id", "weight", "d1", "d2", "bands"])
                 at += n
+        kit.trim()
 
     small_batches(docs.sparkSession)
     rows = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -215,6 +217,7 @@ def verified(pairs: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
         for b in batches:
             keep = pa.array(overlap(b.column(2), b.column(3)) >= threshold)
             yield pa.RecordBatch.from_arrays([b.column(0).filter(keep), b.column(1).filter(keep)], ["u", "v"])
+        kit.trim()
 
     pairs = settle(pairs)
     texts = _texts(docs, pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct())

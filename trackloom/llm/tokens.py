@@ -33,7 +33,7 @@ _LETTER = "a-z\u00df-\u00f6\u00f8-\u017f"
 _PLAIN = re.compile("[\x21-\x7e\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f\n]*")
 _WORD = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[0-9]|\n|[^\\s0-9{_LETTER}]+")
 #: Distinct chunks remembered by a worker before it starts afresh.
-REMEMBER = 600_000
+REMEMBER = 300_000
 
 
 def byte_symbols() -> dict[str, int]:
@@ -44,14 +44,10 @@ def byte_symbols() -> dict[str, int]:
 
 
 class Encoder:
-    _one: dict = {}
-
     @classmethod
     def shared(cls, path: str | None) -> Encoder:
         """One per worker process and file."""
-        if path not in cls._one:
-            cls._one[path] = cls(path)
-        return cls._one[path]
+        return kit.keep((cls, path), lambda: cls(path))
 
     def __init__(self, path: str | None = None) -> None:
         import tiktoken

@@ -212,6 +212,7 @@ def _patterns(docs: DataFrame, voters: Voters) -> np.ndarray:
     shared = spark.sparkContext.broadcast(voters)
 
     def run(batches):
+        kit.give_back()
         counts = np.zeros(1 << VOTERS, np.int64)
         for b in batches:
             for _, _, block, at in kit.blocks(*kit.as_bytes(b.column(0))):
@@ -243,6 +244,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, unlabelled: in
     texts = _sample(docs, labels, sample, unlabelled)
 
     def run(batches):
+        kit.give_back()
         for b in batches:
             at = 0
             for _, hi, block, offs in kit.blocks(*kit.as_bytes(b.column(2))):
@@ -304,6 +306,7 @@ def scorer(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float]):
             feats, w, _ = shared.value
             state["table"] = np.zeros(1 << BITS, np.float32)
             state["table"][feats] = w
+        kit.give_back()
         table, bias = state["table"], shared.value[2]
         data, offs = kit.as_bytes(text)
         out = np.zeros(len(offs) - 1)
