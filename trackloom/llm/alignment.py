@@ -28,7 +28,9 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from itertools import accumulate, chain
+from collections import defaultdict
+from itertools import chain, count, islice
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -49,34 +51,60 @@ SIDE = 15
 #: An A id is hot beyond this many postings and this share of all.
 LEAST, SHARE = 4096, 2000
 
+_LAST = itemgetter(-1)
 _CHUNK = re.compile(r" \s*\S*(?:[^\S ]\s*\S*)*")
 #: Fixed value: how byte_bpe_50k splits texts before it merges bytes.
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Ids in decimal, with room for a mark, and their numbers of digits.
+_DECIMAL = np.frombuffer("".join(f"{i:<6}" for i in range(1 << 31 - SIDE)).encode(), np.uint8).reshape(-1, 6)
+_DIGITS = np.array([len(str(i)) for i in range(1 << 31 - SIDE)], np.int64)
 #: Characters whose classes no version of Unicode disputes.
 _PLAIN = re.compile("[\x21-\x7e\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f \n]*")
 
 
-def align(a: list[int], b: list[int], a_ends: list[int], b_ends: list[int]) -> tuple[str, list[int]]:
-    """The groups, as ``a1,a2|b1;a3|b2``, and the linked pairs (a << SIDE | b) of two tokenizations of the same bytes."""
-    if len(a) == 1 or len(b) == 1:
-        return f"{','.join(map(str, a))}|{','.join(map(str, b))}", [x << SIDE | y for x in a for y in b]
-    groups, pairs = [], []
-    i = j = left_i = left_j = 0
-    end_a, end_b, n = a_ends[0], b_ends[0], a_ends[-1]
-    while True:
-        pairs.append(a[i] << SIDE | b[j])
-        if end_a < end_b:
-            i += 1
-            end_a = a_ends[i]
-        elif end_b < end_a:
-            j += 1
-            end_b = b_ends[j]
-        else:
-            i, j = i + 1, j + 1
-            groups.append(f"{a[left_i]}|{b[left_j]}" if i - left_i == 1 == j - left_j else f"{','.join(map(str, a[left_i:i]))}|{','.join(map(str, b[left_j:j]))}")
-            if end_a == n:
-                return ";".join(groups), pairs
-            left_i, left_j, end_a, end_b = i, j, a_ends[i], b_ends[j]
+def cut_chunks(text: str) -> list[str]:
+    """The chunks of a text behind a space: as _CHUNK finds them."""
+    words = text.split(" ")
+    # Where no white space lies before a space, every space begins a chunk.
+    if "" not in words and not any(map(str.isspace, map(_LAST, words))):
+        return [" " + w for w in words]
+    return _CHUNK.findall(" " + text)
+
+
+def _sizes(chunks: list[str], plain: bool) -> np.ndarray:
+    """Bytes of each chunk; in plain ones, a character has one."""
+    return np.array([len(c) if plain else len(c.encode()) for c in chunks], np.int64)
+
+
+def align(a: np.ndarray, b: np.ndarray, a_ends: np.ndarray, b_ends: np.ndarray, stops: np.ndarray):
+    """Groups and links of two tokenizations of the same bytes, cut into chunks that end at the bytes ``stops``.
+
+    Returns each chunk's number of groups and of links, the linked pairs (a << SIDE | b) in order, and each
+    chunk's groups as ``a1,a2|b1;a3|b2;``.
+    """
+    ended = np.zeros(stops[-1] + 1, np.uint8)
+    ended[a_ends] = 1
+    ended[b_ends] |= 2
+    ends = np.flatnonzero(ended)  # between two of them lies one link
+    in_a, in_b, both = (ended[ends] & 1).astype(bool), ended[ends] > 1, ended[ends] == 3
+    up_a, up_b, up_g = np.cumsum(in_a), np.cumsum(in_b), np.cumsum(both)
+    pairs = a[up_a - in_a] << SIDE | b[up_b - in_b]
+    last = np.searchsorted(ends, stops)
+    # Tokens lie in the order in which groups name them, each followed by its mark.
+    before = np.concatenate([[0], up_b[both]])
+    at_a = np.arange(len(a)) + before[(up_g - both)[in_a]]
+    at_b = np.arange(len(b)) + up_a[both][(up_g - both)[in_b]]
+    ids, marks = np.empty(len(a) + len(b), np.int32), np.empty(len(a) + len(b), np.uint8)
+    ids[at_a], ids[at_b] = a, b
+    marks[at_a] = np.where(both[in_a], ord("|"), ord(","))
+    marks[at_b] = np.where(both[in_b], ord(";"), ord(","))
+    size = _DIGITS[ids]
+    text = _DECIMAL[ids]
+    text[np.arange(len(ids)), size] = marks
+    raw = text[np.arange(text.shape[1]) <= size[:, None]].tobytes()
+    upto = np.cumsum(size + 1)[up_a[last] + up_b[last] - 1].tolist()
+    names = [raw[x:y] for x, y in zip([0, *upto], upto)]
+    return np.diff(up_g[last], prepend=0), np.diff(last + 1, prepend=0), pairs, names
 
 
 class Aligner:
@@ -110,63 +138,92 @@ class Aligner:
             piece = self.b.id_to_piece(i)
             byte = re.fullmatch("<0x([0-9A-Fa-f]{2})>", piece)
             self.b_bytes.append(bytes([int(byte[1], 16)]) if byte else piece.replace("▁", " ").encode())
-        self.a_size, self.b_size = [len(x) for x in self.a_bytes], [len(x) for x in self.b_bytes]
+        self.a_size, self.b_size = (np.array([len(x) for x in side], np.int64) for side in (self.a_bytes, self.b_bytes))
         if len(self.b_bytes) > 1 << SIDE or max(vocab.values()) >= 1 << 31 - SIDE:
             raise ValueError("the vocabularies are too large for pairs in an int")
         self._space = self.b.piece_to_id("▁")
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.names: list[str] = []
+        self.known: dict[str, int] = defaultdict(count().__next__)  # a chunk gets the next number where it is first met
+        self.names: list[bytes] = []
         self.held = self.used = 0
         self.pool = np.zeros(1 << 20, np.int32)
         #: Of each chunk: tokens of A, of B, groups, links, place of its pairs, and 1 if its bytes are not those of its tokens.
         self.facts = np.zeros((1 << 16, 6), np.int64)
 
-    def encode(self, chunks: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Both ids of chunks, which start with a space; B adds that space itself."""
-        a = [self.fast.encode_ordinary(c) if _PLAIN.fullmatch(c) else self.a.encode(c, add_special_tokens=False).ids for c in chunks]
+    def encode(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """A's ids of chunks, which start with a space, and their number in each; then B's, which adds that space itself."""
         b = self.b.encode([c[1:] for c in chunks], num_threads=1)
-        return a, [ids if c != " " else [self._space] for c, ids in zip(chunks, b, strict=True)]
+        b = [ids if c != " " else [self._space] for c, ids in zip(chunks, b, strict=True)]
+        return *self._encode_a(chunks), np.array(list(chain.from_iterable(b)), np.int32), np.array(list(map(len, b)), np.int64)
+
+    def _encode_a(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        text = "".join(chunks)
+        # A chunk that ends in white space would be split otherwise with another one's space behind it.
+        if _PLAIN.fullmatch(text) and not any(c[-1] in " \n" for c in chunks):
+            ids = self.fast.encode_to_numpy(text, disallowed_special=()).astype(np.int32)
+            ends = np.cumsum(self.a_size[ids])
+            upto = np.searchsorted(ends, np.cumsum(_sizes(chunks, text.isascii())), "right")
+            return ids, np.diff(upto, prepend=0)
+        out: list = [None] * len(chunks)
+        plain = [i for i, c in enumerate(chunks) if c[-1] not in " \n" and _PLAIN.fullmatch(c)]
+        if plain:
+            ids, sizes = self._encode_a([chunks[i] for i in plain])
+            for i, own in zip(plain, np.split(ids, np.cumsum(sizes)[:-1]), strict=True):
+                out[i] = own
+        for i, c in enumerate(chunks):
+            if out[i] is None:
+                out[i] = np.array(self.fast.encode_ordinary(c) if _PLAIN.fullmatch(c) else self.a.encode(c, add_special_tokens=False).ids, np.int32)
+        return np.concatenate(out), np.array(list(map(len, out)), np.int64)
+
+    def _whole(self, chunks: list[str], ids: np.ndarray, sizes: np.ndarray, token: list[bytes], width: np.ndarray) -> np.ndarray:
+        """Whether the bytes of each chunk are those of its tokens."""
+        got, text = b"".join(map(token.__getitem__, ids.tolist())), "".join(chunks)
+        at = np.concatenate([[0], np.cumsum(width[ids])])[np.concatenate([[0], np.cumsum(sizes)])]
+        same = np.diff(at) == _sizes(chunks, text.isascii())
+        if same.all() and got == text.encode():
+            return same
+        at = at.tolist()
+        return np.array([got[x:y] == c.encode() for x, y, c in zip(at, at[1:], chunks)])
 
     def _learn(self, chunks: list[str]) -> None:
-        facts, pairs, at = [], [], self.used
-        a_byte, b_byte, a_size, b_size = (x.__getitem__ for x in (self.a_bytes, self.b_bytes, self.a_size, self.b_size))
-        for chunk, a, b in zip(chunks, *self.encode(chunks), strict=True):
-            raw = chunk.encode()
-            if b"".join(map(a_byte, a)) == raw == b"".join(map(b_byte, b)):
-                name, linked = align(a, b, list(accumulate(map(a_size, a))), list(accumulate(map(b_size, b))))
-                facts.append((len(a), len(b), name.count(";") + 1, len(linked), at, 0))
-                pairs += linked
-                at += len(linked)
-            else:
-                facts.append((0, 0, 0, 0, at, 1))
-                name = ""
-            self.known[chunk] = len(self.names)
-            self.names.append(name)
-            self.held += len(raw) + len(name) + 150
-        n = len(self.names)
-        while len(self.facts) < n:
+        """Facts, pairs and names of the chunks that are numbered next."""
+        a, n_a, b, n_b = self.encode(chunks)
+        good = self._whole(chunks, a, n_a, self.a_bytes, self.a_size) & self._whole(chunks, b, n_b, self.b_bytes, self.b_size)
+        facts, names = np.zeros((len(chunks), 6), np.int64), [b""] * len(chunks)
+        facts[:, 4], facts[:, 5] = self.used, ~good
+        pairs = np.zeros(0, np.int32)
+        if good.any():
+            if not good.all():
+                a, b = a[np.repeat(good, n_a)], b[np.repeat(good, n_b)]
+            a_ends, b_ends = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
+            groups, links, pairs, found = align(a, b, a_ends, b_ends, a_ends[np.cumsum(n_a[good]) - 1])
+            facts[good, :4] = np.stack([n_a[good], n_b[good], groups, links], axis=1)
+            facts[good, 4] += np.cumsum(links) - links
+            for i, name in zip(np.flatnonzero(good).tolist(), found, strict=True):
+                names[i] = name
+        before, at = len(self.names), self.used + len(pairs)
+        self.names += names
+        while len(self.facts) < len(self.names):
             self.facts = np.concatenate([self.facts, np.zeros_like(self.facts)])
-        self.facts[n - len(chunks) : n] = facts
+        self.facts[before : len(self.names)] = facts
         while len(self.pool) < at:
             self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
         self.pool[self.used : at] = pairs
-        self.held += 4 * len(pairs)
+        self.held += sum(map(len, chunks)) + sum(map(len, names)) + 150 * len(chunks) + 4 * len(pairs)
         self.used = at
 
     def documents(self, texts: list[str | None]):
         """(facts, digests, pairs, times, offsets): n_a, n_b, n_groups and n_links of each text, and its pairs with their multiplicities."""
-        cut = [_CHUNK.findall(" " + t) if t else [] for t in texts]
+        cut = [cut_chunks(t) if t else [] for t in texts]
         flat = list(chain.from_iterable(cut))
         if len(self.known) > REMEMBER or self.held > REMEMBER_BYTES:
             self._forget()
-        ids = list(map(self.known.get, flat))
-        new = list(dict.fromkeys(c for c, i in zip(flat, ids, strict=True) if i is None))
-        if new:
-            self._learn(new)
-            ids = list(map(self.known.__getitem__, flat))
+        ids = list(map(self.known.__getitem__, flat))
+        new = list(islice(reversed(self.known), len(self.known) - len(self.names)))[::-1]
+        for lo, hi in _batches(new):
+            self._learn(new[lo:hi])
         offs = np.concatenate([[0], np.cumsum([len(c) for c in cut])]).astype(np.int64)
         facts = self.facts[np.array(ids, np.int64)]
         whole = np.zeros((len(facts) + 1, 6), np.int64)
@@ -174,7 +231,7 @@ class Aligner:
         of = whole[offs[1:]] - whole[offs[:-1]]
         good = of[:, 5] == 0
         name = self.names.__getitem__
-        digests = [hashlib.sha256(";".join(map(name, ids[lo:hi])).encode()).hexdigest() if ok and hi > lo else "" for lo, hi, ok in zip(offs[:-1].tolist(), offs[1:].tolist(), good, strict=True)]
+        digests = [hashlib.sha256(memoryview(b"".join(map(name, ids[lo:hi])))[:-1]).hexdigest() if ok and hi > lo else "" for lo, hi, ok in zip(offs[:-1].tolist(), offs[1:].tolist(), good, strict=True)]
         doc = np.repeat(np.arange(len(texts)), np.diff(offs))
         use = good[doc]
         size, first = facts[use, 3], facts[use, 4]
