@@ -7,7 +7,8 @@ under one of its documents and a stretch of that one's positions; the strings of
 that are filed together and follow each other move as one stretch of bytes.  All
 stretches filed in one place form a *lane*, a small text of its own, and suffix
 arrays by linear grouping decide which strings of a lane are equal: exact copies,
-near copies and passages alike.  Thousands of lanes are sorted in step, one
+near copies and passages alike.  Runs of equal bytes stand in a lane's array once,
+for the documents of all.  Thousands of lanes are sorted in step, one
 group of suffixes of each lane at a time, so that a step is a few numpy calls.
 
 Names with many occurrences are split.  The counting aggregates on the map side;
@@ -40,6 +41,9 @@ SPAN = 50
 _K = 20
 _W = SPAN - _K + 1
 _TABLE = kit.mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_STEP = [*kit._STEP, np.uint64(0xD6E8FEB86659FD93)]
+#: Bytes of texts, about, that are named together: their hashes stay in a core's cache.
+NAMED_BYTES = 256 << 10
 #: Bytes of lanes, about, that are sorted in step.
 SORTED_BYTES = 4 << 20
 #: Positions of a name's first places (a power of two) that share a lane, and occurrences of a name in an unsalted one.
@@ -97,10 +101,15 @@ def suffix_arrays(text: np.ndarray, ends: np.ndarray) -> np.ndarray:
     symbol[real] = text + 1
     key = lane * (int(symbol.max(initial=0)) + 1) + symbol
     del symbol
-    order = np.argsort(key, kind="stable")
-    new = np.concatenate([[True], np.diff(key[order]) != 0])
+    # Key and position in one word: sorting words is much cheaper than sorting indirectly.
+    bits = n.bit_length()
+    word = (key << bits) + np.arange(n)
     del key
-    starts = np.flatnonzero(new)
+    word.sort()
+    order = word & ((1 << bits) - 1)
+    word >>= bits
+    starts = np.flatnonzero(new := _fresh(word))
+    del word
     group = np.empty(n, np.int64)  # where a suffix's group starts in ``order``
     group[order] = starts[np.cumsum(new) - 1]
     where = np.empty(n, np.int64)
@@ -157,12 +166,12 @@ def suffix_arrays(text: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
     del size, where, found
     out = np.empty(n, np.int64)
-    free, best, placed = np.arange(n), np.full(n, n), ~real
+    free, best = np.arange(n), np.where(real, n, -1)  # -1: needs no place, or has one
     home = group[order]  # the group that holds a place
     read, last = base + 1, base + sizes
     out[read] = base + sizes
     free[home[read]] += 1
-    placed[out[read]] = True
+    best[out[read]] = -1
     while len(read):
         # All suffixes that stand ready at the front of the lowest open group, in order.
         to = free.take(home.take(read))
@@ -172,7 +181,7 @@ def suffix_arrays(text: np.ndarray, ends: np.ndarray) -> np.ndarray:
         j = out.take(r) - 1
         reached, by = [], []
         while True:
-            go = (~placed.take(j) & (r < best.take(j))).nonzero()[0]
+            go = (r < best.take(j)).nonzero()[0]
             if not len(go):
                 break
             j, r = j.take(go), r.take(go)
@@ -194,7 +203,7 @@ def suffix_arrays(text: np.ndarray, ends: np.ndarray) -> np.ndarray:
             front = free.take(low)
             out[(front - seg).repeat(long) + np.arange(len(j))] = j
             free[low] = front + long
-            placed[j] = True
+            best[j] = -1
         more = to <= last
         read, last = to[more], last[more]
     out = out[real]
@@ -211,6 +220,15 @@ def _fold(h: np.ndarray, n: int, f) -> np.ndarray:
     return out
 
 
+def _grams(data: np.ndarray, k: int) -> np.ndarray:
+    """Hashes, not yet mixed, of all ``k``-byte strings (k from 17 to 64), across the ends of texts too."""
+    h, step = _TABLE[data], 1
+    for c in _STEP[: (k - 1).bit_length() - 1]:
+        h = h[:-step] * c + h[step:]
+        step *= 2
+    return h[: step - k] * _STEP[0] + h[k - step :]  # two overlapping strings of 16 or 32 bytes
+
+
 def snippets(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(text index, name, first string's start, number of strings) of every run of strings with one name.
 
@@ -219,12 +237,7 @@ def snippets(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray
     none = np.zeros(0, np.int64)
     if len(data) < SPAN:
         return none, none, none, none
-    h, step = _TABLE[data], 1
-    for c in kit._STEP:
-        h = h[:-step] * c + h[step:]
-        step *= 2
-    h = h[: step - _K] * kit._STEP[0] + h[_K - step :]  # two overlapping 16-grams make a 20-gram
-    least = _fold(kit.mix(h), _W, np.minimum)
+    least = _fold(kit.mix(_grams(data, _K)), _W, np.minimum)
     text = np.repeat(np.arange(len(offs) - 1), np.diff(offs))[: len(least)]
     at = np.flatnonzero(np.arange(len(least)) + SPAN <= offs[text + 1])
     least, text = least[at], text[at]
@@ -241,13 +254,17 @@ def snippets(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 def _promising(raw: np.ndarray, starts: np.ndarray, sizes: np.ndarray, lane: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(start, end) of the runs of strings whose fingerprint occurs more than once in their lane; others need no sorting."""
-    owner = np.repeat(np.arange(len(sizes)), sizes - SPAN + 1)
-    at = starts[owner] + np.arange(len(owner)) - np.repeat(np.cumsum(sizes - SPAN + 1) - (sizes - SPAN + 1), sizes - SPAN + 1)
-    print_ = kit.mix(kit.span_hash(raw, at, at + SPAN) + lane[owner].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    order = np.argsort(print_)
-    same = print_[order[1:]] == print_[order[:-1]]
+    count = sizes - SPAN + 1
+    owner = np.repeat(np.arange(len(sizes)), count)
+    at = np.repeat(starts - np.cumsum(count) + count, count) + np.arange(len(owner))
+    seed = lane.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    # A fingerprint's high bits and its string's number in one word: sorting words is much cheaper than sorting indirectly.
+    low = np.uint64((1 << len(at).bit_length()) - 1)
+    word = kit.mix(_grams(raw, SPAN)[at] + seed[owner]) & ~low | np.arange(len(at), dtype=np.uint64)
+    word.sort()
+    same = word[1:] ^ word[:-1] <= low
     twice = np.zeros(len(at), bool)
-    twice[order[1:][same]] = twice[order[:-1][same]] = True
+    twice[word[1:][same] & low] = twice[word[:-1][same] & low] = True
     at, owner = at[twice], owner[twice]
     if not len(at):
         return at, at
@@ -264,71 +281,51 @@ def _runs(mark: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.n
     return own, lo - starts[own], hi - starts[own]
 
 
-def _once(docs: np.ndarray, lanes: np.ndarray, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(rows, place of each row's stand-in among them): of equal stretches of a lane, one of its smallest document and one of another."""
-    stands = np.empty(len(parts), np.int64)
-    rows: list[int] = []
-    seen: dict[tuple, list] = {}
-    for i, doc in zip((order := np.lexsort((docs, lanes))).tolist(), docs[order].tolist(), strict=True):
-        known = seen.setdefault((int(lanes[i]), parts[i]), [])
-        nth = 0 if not known or known[0][0] == doc else 1
-        if nth == len(known):
-            known.append((doc, len(rows)))
-            rows.append(i)
-        stands[i] = known[nth][1]
-    return np.array(rows, np.int64), stands
+def _once(lanes: np.ndarray, data: bytes, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(kind of each run of bytes, from 0, first run of each kind): runs of a kind are equal and in one lane."""
+    seen: dict[tuple, int] = {}
+    kind = np.array([seen.setdefault((a, data[s:e]), len(seen)) for a, s, e in zip(lanes.tolist(), lo.tolist(), hi.tolist(), strict=True)])
+    return kind, np.unique(kind, return_index=True)[1]
 
 
 def covered(docs: np.ndarray, lanes: np.ndarray, parts: list[bytes], salted: np.ndarray) -> tuple[tuple, tuple]:
     """Runs (stretch, first string, end) of strings that a smaller document of the lane has too, and of all others of salted lanes.
 
-    ``lanes`` ascends from 0.  Strings without an equal in their lane are among the others.
+    ``lanes`` ascends from 0.  Strings without an equal in their lane are among the others.  Of equal runs
+    the suffix array holds one, which stands for the documents of all.
     """
-    rows, stands = _once(docs, lanes, parts)
-    order = np.argsort(rows)  # lanes have to ascend
-    found = _covered(docs[rows[order]], lanes[rows[order]], [parts[i] for i in rows[order].tolist()], salted)
-    back = np.empty(len(rows), np.int64)
-    back[order] = np.arange(len(rows))
-    stands = back[stands]
-    by = np.argsort(stands, kind="stable")
-    first, times = np.searchsorted(stands[by], np.arange(len(rows))), np.bincount(stands, minlength=len(rows))
-
-    def spread(runs):
-        own, lo, hi = runs
-        n = times[own]
-        at = np.repeat(first[own] - np.cumsum(n) + n, n) + np.arange(n.sum())
-        return by[at], np.repeat(lo, n), np.repeat(hi, n)
-
-    return spread(found[0]), spread(found[1])
-
-
-def _covered(docs: np.ndarray, lanes: np.ndarray, parts: list[bytes], salted: np.ndarray) -> tuple[tuple, tuple]:
     sizes = np.array([len(p) for p in parts])
     starts = np.cumsum(sizes) - sizes
-    raw = np.frombuffer(b"".join(parts), np.uint8)
+    data = b"".join(parts)
+    raw = np.frombuffer(data, np.uint8)
     hit = np.zeros(len(raw), bool)
     lo, hi = _promising(raw, starts, sizes, lanes)
     if len(lo):
-        # The runs one after the other, each closed by a symbol below all bytes, and the lowest at a lane's very end.
         of = np.searchsorted(starts, lo, "right") - 1
-        closing = np.append(lanes[of][1:] != lanes[of][:-1], True)
-        length = hi - lo
+        kind, one = _once(lanes[of], data, lo, hi)
+        smallest = np.full(len(one), np.iinfo(np.int64).max)
+        np.minimum.at(smallest, kind, docs[of])
+        # The runs one after the other, each closed by a symbol below all bytes, and the lowest at a lane's very end.
+        lane, length = lanes[of[one]], (hi - lo)[one]
+        closing = np.append(lane[1:] != lane[:-1], True)
         begin = np.cumsum(length + 1 + closing) - (length + 1 + closing)
-        owner = np.repeat(np.arange(len(lo)), length + 1 + closing)
+        owner = np.repeat(np.arange(len(one)), length + 1 + closing)
         inside = np.arange(len(owner)) - begin[owner]
-        src = lo[owner] + np.minimum(inside, length[owner] - 1)
+        src = lo[one][owner] + np.minimum(inside, length[owner] - 1)
         symbols = raw[src].astype(np.int64) + 2
         symbols[begin + length] = 1
         ends = (begin + length + 1 + closing)[closing]
         symbols[ends - 1] = 0
         order = suffix_arrays(symbols, ends)
         order = order[length[owner[order]] - inside[order] >= SPAN]
-        view = np.lib.stride_tricks.sliding_window_view(raw, SPAN)[src[order]]
-        stretch = of[owner[order]]
-        new = np.concatenate([[True], (view[1:] != view[:-1]).any(1) | (lanes[stretch[1:]] != lanes[stretch[:-1]])])
-        doc = docs[stretch]
-        least = np.minimum.reduceat(doc, np.flatnonzero(new))[np.cumsum(new) - 1]
-        hit[src[order[least < doc]]] = True
+        view = np.lib.stride_tricks.sliding_window_view(raw, SPAN)[src[order]].view(np.uint16)
+        run = owner[order]
+        new = np.concatenate([[True], (view[1:] != view[:-1]).any(1) | (lane[run[1:]] != lane[run[:-1]])])
+        least = np.empty(len(symbols), np.int64)
+        least[order] = np.minimum.reduceat(smallest[run], np.flatnonzero(new))[np.cumsum(new) - 1]
+        count = hi - lo - SPAN + 1
+        nth = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        hit[(np.repeat(lo, count) + nth)[least[np.repeat(begin[kind], count) + nth] < np.repeat(docs[of], count)]] = True
     rest = ~hit & np.repeat(salted[lanes], sizes)
     for back in range(1, SPAN):
         rest[starts + sizes - back] = False
@@ -341,7 +338,7 @@ def _named(texts: DataFrame) -> DataFrame:
     def run(batches):
         for b in batches:
             ids, version = b.column(0).to_numpy(), b.column(1).to_numpy()
-            for lo, _, block, offs in kit.blocks(*kit.as_bytes(b.column(2))):
+            for lo, _, block, offs in kit.blocks(*kit.as_bytes(b.column(2)), NAMED_BYTES):
                 text, name, first, count = snippets(block, offs)
                 w = (version[lo + text] << _V) + (first << _S) + count
                 yield pa.RecordBatch.from_arrays([pa.array(name.astype(np.int64)), pa.array(ids[lo + text]), pa.array(w)], ["h", "id", "w"])
@@ -357,34 +354,30 @@ def _stretches(rows: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            cols: list[list] = [[] for _ in range(5)]
             ids, version = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             data, offs = kit.as_bytes(batch.column(2))
-            ws, fs = batch.column(3), batch.column(4)
-            for i in range(batch.num_rows):
-                w, a = (x[i].values.to_numpy(zero_copy_only=False) for x in (ws, fs))
-                order = np.argsort(w, kind="stable")
-                w, a = w[order] & ((1 << _V) - 1), a[order]
-                start, to = w >> _S, (w >> _S) + (w & ((1 << _S) - 1))
-                new = np.ones(len(w), bool)
-                new[1:] = (start[1:] != to[:-1]) | (a[1:] != a[:-1])
-                first = np.flatnonzero(new)
-                last, a = to[np.append(first[1:], len(w)) - 1], a[first]
-                # Long runs are cut, so that a lane's stretches stay short.
-                times = ((last - start[first]) >> _CUT) + 1
-                lo = np.repeat(start[first] - ((np.cumsum(times) - times) << _CUT), times) + (np.arange(times.sum()) << _CUT)
-                hi, a = np.minimum(np.repeat(last, times), lo + (1 << _CUT)), np.repeat(a, times)
-                lo, hi, a = (x[hi > lo] for x in (lo, hi, a))
-                # Over how many lanes a name of many is dealt stands in the low bits of its place, as a logarithm.
-                spot = kit.mix(kit.mix(ids[i : i + 1].astype(np.uint64)) + (lo >> _CUT).astype(np.uint64))
-                salt = (spot >> np.uint64(2)).astype(np.int64) & ((np.int64(1) << (a & _DEAL)) - 1)
-                raw = data[offs[i] : offs[i + 1]].tobytes()
-                cols[0] += a.tolist()
-                cols[1] += np.where(a & _DEAL, salt + 1, 0).tolist()
-                cols[2] += [int(ids[i])] * len(a)
-                cols[3] += ((version[i] << _V) + (lo << _S)).tolist()
-                cols[4] += [raw[s : e + SPAN - 1] for s, e in zip(lo.tolist(), hi.tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in cols[:4]], pa.array(cols[4], pa.binary())], ["a", "b", "id", "w", "part"])
+            row = np.repeat(np.arange(batch.num_rows), pc.list_value_length(batch.column(3)).to_numpy())
+            w, a = (batch.column(k).flatten().to_numpy() & low for k, low in ((3, (1 << _V) - 1), (4, -1)))
+            order = np.lexsort((w, row))
+            w, a, row = w[order], a[order], row[order]
+            start, to = w >> _S, (w >> _S) + (w & ((1 << _S) - 1))
+            new = _fresh(row) | _fresh(a)
+            new[1:] |= start[1:] != to[:-1]
+            first = np.flatnonzero(new)
+            last, start, a, row = to[first + _gaps(first, len(w)) - 1], start[first], a[first], row[first]
+            # Long runs are cut, so that a lane's stretches stay short.
+            times = ((last - start) >> _CUT) + 1
+            lo = np.repeat(start - ((np.cumsum(times) - times) << _CUT), times) + (np.arange(times.sum()) << _CUT)
+            hi = np.minimum(np.repeat(last, times), lo + (1 << _CUT))
+            a, row = np.repeat(a, times), np.repeat(row, times)
+            lo, hi, a, row = (x[hi > lo] for x in (lo, hi, a, row))
+            # Over how many lanes a name of many is dealt stands in the low bits of its place, as a logarithm.
+            spot = kit.mix(kit.mix(ids[row].astype(np.uint64)) + (lo >> _CUT).astype(np.uint64))
+            salt = (spot >> np.uint64(2)).astype(np.int64) & ((np.int64(1) << (a & _DEAL)) - 1)
+            b = np.where(a & _DEAL, salt + 1, 0)
+            raw, begin, end = data.tobytes(), offs[row] + lo, offs[row] + hi + SPAN - 1
+            parts = pa.array([raw[s:e] for s, e in zip(begin.tolist(), end.tolist(), strict=True)], pa.binary())
+            yield pa.RecordBatch.from_arrays([*[pa.array(c) for c in (a, b, ids[row], (version[row] << _V) + (lo << _S))], parts], ["a", "b", "id", "w", "part"])
 
     return rows.select("id", "v", "text", "ws", "as").mapInArrow(run, _PART)
 
